@@ -93,7 +93,7 @@ def cooccurrence_edges(
     group: str,
     side: str,
     measure: str,
-    order: Sequence[str],
+    order: Sequence[str] | None,
     member_type: str = "player",
     same_side: str = "shares_team",
     other_side: str = "plays_against",
@@ -101,7 +101,8 @@ def cooccurrence_edges(
 ) -> DataFrame:
     """Edges between members that appear in the same group.
 
-    Members are deduplicated per (member, group) first, then paired inside
+    Members are deduplicated per (member, group) first (skipped when
+    ``order`` is None: the input is already at that grain), then paired inside
     each group with ``a.member > b.member`` (each unordered pair once). The
     edge type is ``same_side`` when both rows carry the same side value and
     ``other_side`` otherwise (also when a side is NULL). Per (a, b, type):
@@ -113,7 +114,10 @@ def cooccurrence_edges(
     map side before its shuffle.
     """
     cols = [member, group, side, measure]
-    deduped = dedup_first(fact.select(*cols, *order), [member, group], order).select(*cols)
+    if order:
+        deduped = dedup_first(fact.select(*cols, *order), [member, group], order).select(*cols)
+    else:  # caller guarantees one row per (member, group)
+        deduped = fact.select(*cols)
     pairs = salted_self_join(
         deduped,
         deduped,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,26 +28,21 @@ def grain_check(df: DataFrame, keys: str | Sequence[str], count_col: str = "num_
 
 
 def dedup_first(
-    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], descending: bool = False
+    df: DataFrame, keys: str | Sequence[str], order: str | Column | Sequence[str | Column]
 ) -> DataFrame:
-    """Keep the first row per key under a total ``order`` (ascending, NULLs first).
-
-    Written as ``min_by(row, order)`` in a group-by rather than a ranked
-    window: the aggregate is evaluated partially on the map side, so a hot key
-    shrinks to one candidate row per task before the shuffle and no single
-    task ever sorts a whole skewed group. The caller supplies an order that
-    makes ties impossible (or only ties between identical rows).
+    """Keep the first row per key under a total ``order`` (plain names sort ascending, NULLs first).
+
+    ``row_number() == 1`` over (keys ordered by ``order``): Spark plans it as a
+    WindowGroupLimit that runs *partially before the shuffle* (each task keeps
+    only its best row per key) and finally after it, so a hot key shrinks to
+    one candidate per task and no task sorts a whole skewed group. The
+    caller supplies an order that makes ties impossible (or only ties between
+    identical rows), which keeps the result deterministic.
     """
     keys = _as_list(keys)
-    order = _as_list(order)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(keys)
-    pick = F.max_by if descending else F.min_by
-    row = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*[F.col(c) for c in order])
-    picked = df.groupBy(*keys).agg(pick(row, rank).alias("_row"))
-    return picked.select(*[F.col(k) for k in keys], *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    order = [order] if isinstance(order, (str, Column)) else list(order)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def period_bounds(df: DataFrame, period: str, lo: str = "min_period", hi: str = "max_period") -> DataFrame:

@@ -82,9 +82,16 @@ def entity_backfill(spark: SparkSession, sf_dir: str, first=None, last=None, dim
 
 
 def entity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """O01 folded period by period; each period is one written partition."""
-    lo, hi = _entity_bounds(spark, sf_dir)
-    seasons = src.entity_periods(spark, sf_dir)
+    """O01 folded period by period; each period is one written partition.
+
+    The source is staged once as a table partitioned by period (as a
+    player-seasons table would be stored), so each step reads exactly one
+    source partition and one snapshot partition.
+    """
+    staged = SnapshotTable.scratch(spark, "player_seasons", ENTITY_SPEC.period, sort_cols=[ENTITY_SPEC.key])
+    staged.write(src.entity_periods(spark, sf_dir))
+    seasons = staged.read()
+    lo, hi = quality.bounds_of(seasons, ENTITY_SPEC.period)
     table = SnapshotTable.scratch(spark, "players", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
     return fold(
         table,
@@ -111,15 +118,28 @@ def graph_vertices_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return teams.unionByName(player_vertices(spark, sf_dir)).unionByName(game_vertices(spark, sf_dir))
 
 
-def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = src.game_details(spark, sf_dir)
-    per_game = quality.dedup_first(
-        details.select("player_id", "game_id", "player_name", "pts", *src.GAME_DETAIL_ORDER),
-        ["player_id", "game_id"],
-        src.GAME_DETAIL_ORDER,
+def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game details deduplicated to one row per (player, game).
+
+    Player vertices, plays_in edges and pair edges all start from this same
+    frame, so within one plan Spark computes its shuffle once and reuses it.
+    """
+    details = src.game_details(spark, sf_dir).select(
+        "player_id",
+        "game_id",
+        "player_name",
+        "team_id",
+        "team_abbreviation",
+        "start_position",
+        "pts",
+        *src.GAME_DETAIL_ORDER,
     )
+    return quality.dedup_first(details, ["player_id", "game_id"], src.GAME_DETAIL_ORDER)
+
+
+def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.aggregate_vertices(
-        per_game,
+        player_games(spark, sf_dir),
         "player_id",
         "player",
         {
@@ -141,7 +161,7 @@ def game_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plays_in_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.bipartite_edges(
-        src.game_details(spark, sf_dir),
+        player_games(spark, sf_dir),
         "player_id",
         "player",
         "game_id",
@@ -153,18 +173,17 @@ def plays_in_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             "team_id": "team_id",
             "team_abbreviation": "team_abbreviation",
         },
-        order=src.GAME_DETAIL_ORDER,
     )
 
 
 def pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cooccurrence_edges(
-        src.game_details(spark, sf_dir),
+        player_games(spark, sf_dir),
         member="player_id",
         group="game_id",
         side="team_abbreviation",
         measure="pts",
-        order=src.GAME_DETAIL_ORDER,
+        order=None,
     )
 
 

@@ -40,6 +40,12 @@ def get_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # No broadcast from compile-time size estimates: only sides with a
+        # proven bound are broadcast (explicit hints on fixed dimensions and
+        # bounded hot-key lists), plus AQE's runtime switch, which uses the
+        # measured size of a finished shuffle stage.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("STRATA_DRIVER_MEMORY", "16g"),
     }
