@@ -45,6 +45,10 @@ class CumulativeSpec:
         return [self.key, *self.dims, self.history, self.cls, self.idle, self.active, self.as_of]
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def _stats_struct(spec: CumulativeSpec, prefix: str) -> Column:
     return F.struct(*[F.col(f"{prefix}.{c}").alias(c) for c in spec.struct_fields])
 
@@ -149,7 +153,7 @@ def cumulative_backfill(
     if dims_mode == "latest":
         dim_cols = [
             F.try_element_at(
-                F.filter(F.transform(F.col("_hist"), lambda x, d=d: x[d]), lambda v: v.isNotNull()), F.lit(-1)
+                F.filter(F.transform(F.col("_hist"), _field(d)), lambda v: v.isNotNull()), F.lit(-1)
             ).alias(d)
             for d in spec.dims
         ]
