@@ -94,7 +94,7 @@ def activity_backfill(
     days = events.where(cond).select(user_col, d.alias("d")).distinct()
     per_user = days.groupBy(user_col).agg(F.min("d").alias("_first"), F.array_sort(F.collect_list("d")).alias("_all"))
     lo = F.col("_first") if snapshots_from is None else F.greatest(F.col("_first"), date_lit(snapshots_from))
-    snaps = per_user.select(
+    snaps = per_user.where(lo <= date_lit(last_day)).select(
         user_col,
         "_all",
         F.explode(F.sequence(lo, date_lit(last_day), F.expr("INTERVAL 1 DAY"))).alias("date"),

@@ -136,7 +136,9 @@ def cumulative_backfill(
         aggs += [F.max(d).alias(d) for d in spec.dims]
     grouped = src.groupBy(spec.key).agg(*aggs)
     lo = F.col("_first") if first is None else F.greatest(F.col("_first"), F.lit(first))
-    exploded = grouped.select(
+    # entities that start after the last as-of have no snapshot (and
+    # ``sequence`` would count down for them)
+    exploded = grouped.where(lo <= F.lit(last)).select(
         spec.key,
         *(spec.dims if dims_mode == "max" else []),
         "_all",

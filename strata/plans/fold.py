@@ -28,3 +28,24 @@ def fold(
         prev = table.read(as_of=prev_p) if table.has(prev_p) else None
         table.write_period(step(prev, p), p)
     return table
+
+
+def catch_up_then_step(
+    table: SnapshotTable,
+    history: DataFrame | None,
+    periods: Iterable,
+    step: Callable[[DataFrame | None, object], DataFrame],
+    previous_of: Callable[[object], object],
+    history_periods: Iterable = (),
+) -> SnapshotTable:
+    """Backfill history in one job, then continue with incremental steps.
+
+    ``history`` holds the snapshots for ``history_periods`` computed by a
+    closed-form backfill (one shuffle for all of them); it is written once,
+    and the step operator then runs for each of ``periods`` on top of it --
+    how a daily pipeline is bootstrapped before it runs day by day.
+    """
+    if history is not None:
+        table.write(history)
+        table.written.extend(history_periods)
+    return fold(table, periods, step, previous_of)

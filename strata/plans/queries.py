@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_field, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
-from ..plans.fold import fold
+from ..plans.fold import catch_up_then_step, fold
 from ..sources import testdata as src
 from ..sources.snapshots import SnapshotTable
 
@@ -81,23 +81,35 @@ def entity_backfill(spark: SparkSession, sf_dir: str, first=None, last=None, dim
     )
 
 
-def entity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """O01 folded period by period; each period is one written partition.
+def entity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> SnapshotTable:
+    """Snapshot table built with O01 steps; each period is one written partition.
 
     The source is staged once as a table partitioned by period (as a
     player-seasons table would be stored), so each step reads exactly one
-    source partition and one snapshot partition.
+    source partition and one snapshot partition. With ``steps=n`` the first
+    periods come from one backfill job (the fold's closed form, newest-wins
+    dimensions) and only the last ``n`` periods run as incremental steps;
+    ``steps=None`` folds every period.
     """
     staged = SnapshotTable.scratch(spark, "player_seasons", ENTITY_SPEC.period, sort_cols=[ENTITY_SPEC.key])
     staged.write(src.entity_periods(spark, sf_dir))
     seasons = staged.read()
     lo, hi = quality.bounds_of(seasons, ENTITY_SPEC.period)
     table = SnapshotTable.scratch(spark, "players", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
-    return fold(
+    periods = list(range(lo, hi + 1))
+    split = 0 if steps is None else max(len(periods) - steps, 0)
+    history = (
+        cumulative.cumulative_backfill(seasons, ENTITY_SPEC, last=periods[split - 1], dims_mode="latest")
+        if split
+        else None
+    )
+    return catch_up_then_step(
         table,
-        range(lo, hi + 1),
+        history,
+        periods[split:],
         lambda prev, p: cumulative.cumulative_step(prev, seasons, ENTITY_SPEC, p),
         previous_of=lambda p: p - 1,
+        history_periods=periods[:split],
     )
 
 
@@ -191,17 +203,59 @@ def fact_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.build_fact(src.game_details(spark, sf_dir), src.games(spark, sf_dir), order=src.GAME_DETAIL_ORDER)
 
 
-def metric_fold(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dt.date]]:
-    """O19 folded day by day; returns the table and each month's last folded day."""
+def _month_last_days(days: list[dt.date]) -> list[dt.date]:
+    last = {}
+    for d in days:
+        last[metrics.month_start(d)] = d
+    return sorted(last.values())
+
+
+def metric_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> tuple[SnapshotTable, list[dt.date]]:
+    """Month arrays built with O19 steps; returns the table and each month's last day.
+
+    With ``steps=n`` the arrays as of the day before the last ``n`` days come
+    from one backfill job per month, and the last ``n`` days run as
+    incremental upsert steps; ``steps=None`` folds every day.
+    """
     h = src.hits(spark, sf_dir)
     lo, hi = _hit_day_bounds(h)
     days = _days(lo, hi)
+    split = 0 if steps is None else max(len(days) - steps, 0)
     table = SnapshotTable.scratch(spark, "array_metrics", "as_of", sort_cols=["user_id"])
-    fold(table, days, lambda prev, d: metrics.array_metric_step(prev, h, d), previous_of=lambda d: d - dt.timedelta(days=1))
-    month_last = {}
-    for d in days:
-        month_last[metrics.month_start(d)] = d
-    return table, sorted(month_last.values())
+    history, history_days = None, []
+    if split:
+        # state needed later: each earlier month's last day, and the day before the steps
+        history_days = sorted(set(_month_last_days(days[:split])) | {days[split - 1]})
+        for d in history_days:
+            part = metrics.array_metric_backfill(h, d)
+            history = part if history is None else history.unionByName(part)
+    catch_up_then_step(
+        table,
+        history,
+        days[split:],
+        lambda prev, d: metrics.array_metric_step(prev, h, d),
+        previous_of=lambda d: d - dt.timedelta(days=1),
+        history_periods=history_days,
+    )
+    return table, _month_last_days(days)
+
+
+def activity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> SnapshotTable:
+    """Date-list table built with O17 steps (history from one backfill job when ``steps`` is set)."""
+    h = src.hits(spark, sf_dir)
+    lo, hi = _hit_day_bounds(h)
+    days = _days(lo, hi)
+    split = 0 if steps is None else max(len(days) - steps, 0)
+    table = SnapshotTable.scratch(spark, "users_cumulated", "date", sort_cols=["user_id"])
+    history = activity.activity_backfill(h, days[split - 1], first_day=lo) if split else None
+    return catch_up_then_step(
+        table,
+        history,
+        days[split:],
+        lambda prev, d: activity.activity_step(prev, h, d),
+        previous_of=lambda d: d - dt.timedelta(days=1),
+        history_periods=days[:split],
+    )
 
 
 # ---------------------------------------------------------------- queries
@@ -225,8 +279,11 @@ def q_dedup_first(spark, sf_dir):
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
+INCREMENTAL_STEPS = 1
+
+
 def q_cumulative_step(spark, sf_dir):
-    return snapshot_report(entity_fold(spark, sf_dir).read())
+    return snapshot_report(entity_fold(spark, sf_dir, steps=INCREMENTAL_STEPS).read())
 
 
 def q_cumulative_backfill(spark, sf_dir):
@@ -338,11 +395,7 @@ def q_graph_pair_report(spark, sf_dir):
 
 
 def q_activity_datelist(spark, sf_dir):
-    h = src.hits(spark, sf_dir)
-    lo, hi = _hit_day_bounds(h)
-    table = SnapshotTable.scratch(spark, "users_cumulated", "date", sort_cols=["user_id"])
-    fold(table, _days(lo, hi), lambda prev, d: activity.activity_step(prev, h, d), lambda d: d - dt.timedelta(days=1))
-    s = table.read()
+    s = activity_fold(spark, sf_dir, steps=INCREMENTAL_STEPS).read()
     return s.select(
         "user_id",
         iso_date("date").alias("snapshot_date"),
@@ -361,7 +414,7 @@ def q_activity_bitmap(spark, sf_dir):
 
 
 def q_array_metrics(spark, sf_dir):
-    table, month_last = metric_fold(spark, sf_dir)
+    table, month_last = metric_fold(spark, sf_dir, steps=INCREMENTAL_STEPS)
     s = table.read(as_of_in=month_last)
     return s.select(
         "user_id",
@@ -374,11 +427,8 @@ def q_array_metrics(spark, sf_dir):
 def q_array_metrics_daily(spark, sf_dir):
     h = src.hits(spark, sf_dir)
     lo, hi = _hit_day_bounds(h)
-    month_last = {}
-    for d in _days(lo, hi):
-        month_last[metrics.month_start(d)] = d
     arrays = None
-    for d in sorted(month_last.values()):
+    for d in _month_last_days(_days(lo, hi)):
         a = metrics.array_metric_backfill(h, d)
         arrays = a if arrays is None else arrays.unionByName(a)
     return metrics.array_metric_daily(arrays).withColumn("metric_date", iso_date("metric_date"))

@@ -267,3 +267,13 @@ def test_c17_conditional_rate(spark):
     r = facts.conditional_rate(fact, "dim_player_name", "dim_not_with_team").collect()[0]
     assert (r.times_nwt, r.total_games_played) == (1, 3)
     assert r.bailed_pct == pytest.approx(1 / 3)
+
+
+def test_backfill_skips_entities_starting_after_last(spark):
+    src = spark.createDataFrame(
+        [("A", 1996, "X", 1, 21.0, 1.0, 1.0), ("B", 1999, "Y", 1, 9.0, 1.0, 1.0)], SEASON_SCHEMA
+    )
+    out = cumulative.cumulative_backfill(src, SPEC, last=1997)
+    assert rows_of(out, "player_name", "current_season") == [("A", 1996), ("A", 1997)]
+    only = cumulative.cumulative_backfill(src, SPEC, first=1998, last=1998)
+    assert rows_of(only, "player_name", "current_season") == [("A", 1998)]
