@@ -1,0 +1,34 @@
+"""The streaming driver folds the same state as the one-pass backfill."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import activity
+from strata.sources import testdata as src
+from strata.sources.snapshots import SnapshotTable
+from strata.streaming.daily import DailyStepStream
+
+from .conftest import same_rows
+
+
+def test_stream_of_event_files_folds_datelists(spark, sf_dir):
+    events = src.read_table(spark, sf_dir, "events")
+    stream = (
+        spark.readStream.schema(events.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(sf_dir)
+        .select(
+            F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+            F.col("ts").alias("event_time"),
+        )
+    )
+    state = SnapshotTable.scratch(spark, "stream-datelist", "date")
+    driver = DailyStepStream(spark, state, lambda prev, ev, d: activity.activity_step(prev, ev, d))
+    q = driver.start(stream, availableNow=True)
+    q.awaitTermination(300)
+    driver.flush()
+    h = src.hits(spark, sf_dir)
+    last = max(state.written)
+    assert same_rows(state.read(), activity.activity_backfill(h, last))
