@@ -26,6 +26,11 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def lit_of(v) -> Column:
+    """A literal, or the Column itself (e.g. a scalar subquery bound)."""
+    return v if isinstance(v, Column) else F.lit(v)
+
+
 def tier(value: str | Column, tiers: Sequence[tuple[str, float]], default: str = REFERENCE_DEFAULT_TIER) -> Column:
     """First label whose threshold the value strictly exceeds; NULL falls to ``default``."""
     v = col_of(value)

@@ -14,8 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import REFERENCE_DEFAULT_TIER, REFERENCE_TIERS, safe_ratio, tier
-from .quality import bounds_of
+from ..functions.columns import REFERENCE_DEFAULT_TIER, REFERENCE_TIERS, lit_of, safe_ratio, tier
 
 
 @dataclass(frozen=True)
@@ -106,8 +105,8 @@ def cumulative_step(prev: DataFrame | None, cur: DataFrame, spec: CumulativeSpec
 def cumulative_backfill(
     src: DataFrame,
     spec: CumulativeSpec,
-    first: int | None = None,
-    last: int | None = None,
+    first: int | Column | None = None,
+    last: int | Column | None = None,
     dims_mode: str = "max",
 ) -> DataFrame:
     """Every snapshot from each entity's first period up to ``last`` in one pass.
@@ -116,15 +115,18 @@ def cumulative_backfill(
     period) history, ``explode(sequence(first, last))`` fans it out to one row
     per as-of period, and ``filter`` keeps the history up to that period.
     One exchange, no theta join, no window. ``first``/``last`` restrict the
-    as-of range (e.g. ``first=last=P`` builds only snapshot P);
-    ``last`` defaults to the source's last period.
+    as-of range (e.g. ``first=last=P`` builds only snapshot P); either may
+    be a Column such as a scalar subquery. ``last`` defaults to the source's
+    last period, computed as a scalar subquery inside the same plan (no
+    driver round trip).
 
     ``dims_mode='max'`` takes each dimension's maximum over all periods (the
     reference's backfill); ``'latest'`` takes the newest non-NULL value up to
     the as-of (what the step-by-step fold produces).
     """
     if last is None:
-        _, last = bounds_of(src, spec.period)
+        last = src.agg(F.max(spec.period)).scalar()
+    last = lit_of(last)
     if dims_mode not in ("max", "latest"):
         raise ValueError("dims_mode must be 'max' or 'latest'")
     fields = spec.struct_fields + (list(spec.dims) if dims_mode == "latest" else [])
@@ -135,14 +137,14 @@ def cumulative_backfill(
     if dims_mode == "max":
         aggs += [F.max(d).alias(d) for d in spec.dims]
     grouped = src.groupBy(spec.key).agg(*aggs)
-    lo = F.col("_first") if first is None else F.greatest(F.col("_first"), F.lit(first))
+    lo = F.col("_first") if first is None else F.greatest(F.col("_first"), lit_of(first))
     # entities that start after the last as-of have no snapshot (and
     # ``sequence`` would count down for them)
-    exploded = grouped.where(lo <= F.lit(last)).select(
+    exploded = grouped.where(lo <= last).select(
         spec.key,
         *(spec.dims if dims_mode == "max" else []),
         "_all",
-        F.explode(F.sequence(lo, F.lit(last))).alias(spec.as_of),
+        F.explode(F.sequence(lo, last)).alias(spec.as_of),
     )
     upto = F.filter(F.col("_all"), lambda x: x[spec.period] <= F.col(spec.as_of))
     with_hist = exploded.select(
@@ -173,7 +175,7 @@ def cumulative_backfill(
     )
 
 
-def history_explode(snap: DataFrame, spec: CumulativeSpec, as_of: int | None = None, key_value=None) -> DataFrame:
+def history_explode(snap: DataFrame, spec: CumulativeSpec, as_of=None, key_value=None) -> DataFrame:
     """One row per history element with the struct expanded to columns.
 
     Map-only (``inline``); the optional filters on as-of and key run before
@@ -181,7 +183,7 @@ def history_explode(snap: DataFrame, spec: CumulativeSpec, as_of: int | None = N
     """
     df = snap
     if as_of is not None:
-        df = df.where(F.col(spec.as_of) == F.lit(as_of))
+        df = df.where(F.col(spec.as_of) == lit_of(as_of))
     if key_value is not None:
         df = df.where(F.col(spec.key) == F.lit(key_value))
     return df.select(spec.key, F.inline(spec.history))
@@ -190,7 +192,7 @@ def history_explode(snap: DataFrame, spec: CumulativeSpec, as_of: int | None = N
 def first_vs_latest(
     snap: DataFrame,
     spec: CumulativeSpec,
-    as_of: int,
+    as_of,
     cls: str | None = None,
     first_col: str = "first_season",
     latest_col: str = "latest_season",
@@ -200,7 +202,7 @@ def first_vs_latest(
 
     Per-row array access only; the single sort at the end is the only shuffle.
     """
-    df = snap.where(F.col(spec.as_of) == F.lit(as_of))
+    df = snap.where(F.col(spec.as_of) == lit_of(as_of))
     if cls is not None:
         df = df.where(F.col(spec.cls) == F.lit(cls))
     h = F.col(spec.history)
@@ -222,7 +224,7 @@ def snapshot_lookup(
     cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Filtered read of one snapshot (partition pruning on the as-of column)."""
-    df = snap.where(F.col(as_of_col) == F.lit(as_of))
+    df = snap.where(F.col(as_of_col) == lit_of(as_of))
     for p in predicates:
         df = df.where(p)
     return df.select(*cols) if cols else df

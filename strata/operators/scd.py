@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import all_null_safe_equal, any_of
+from ..functions.columns import all_null_safe_equal, any_of, lit_of
 
 
 def _previous(c: str) -> str:
@@ -96,15 +96,15 @@ def scd2_full(
     key: str,
     period: str,
     attrs: Sequence[str],
-    as_of: int,
+    as_of: int | Column,
     start_col: str = "start_season",
     end_col: str = "end_season",
     as_of_col: str = "current_season",
     null_safe: bool = True,
 ) -> DataFrame:
     """Full SCD2 rebuild from snapshots up to ``as_of``, stamped with the as-of."""
-    s = streaks(snap.where(F.col(period) <= F.lit(as_of)), key, period, attrs, start_col, end_col, null_safe)
-    return s.select(key, *attrs, start_col, end_col, F.lit(as_of).alias(as_of_col))
+    s = streaks(snap.where(F.col(period) <= lit_of(as_of)), key, period, attrs, start_col, end_col, null_safe)
+    return s.select(key, *attrs, start_col, end_col, lit_of(as_of).cast("int").alias(as_of_col))
 
 
 def scd2_incremental(
@@ -112,7 +112,7 @@ def scd2_incremental(
     snap_cur: DataFrame,
     key: str,
     attrs: Sequence[str],
-    period: int,
+    period: int | Column,
     snap_period_col: str = "current_season",
     start_col: str = "start_season",
     end_col: str = "end_season",
@@ -132,10 +132,11 @@ def scd2_incremental(
     Every entity lands in exactly one branch, so no NULL rows or duplicates.
     """
     prev = scd_prev.select(key, *attrs, start_col, end_col)
-    closed = prev.where(F.col(end_col) < F.lit(period - 1))
-    open_rows = prev.where(F.col(end_col) == F.lit(period - 1)).withColumn("_in_o", F.lit(True)).alias("o")
+    p = lit_of(period).cast("int")
+    closed = prev.where(F.col(end_col) < p - 1)
+    open_rows = prev.where(F.col(end_col) == p - 1).withColumn("_in_o", F.lit(True)).alias("o")
     cur = (
-        snap_cur.where(F.col(snap_period_col) == F.lit(period))
+        snap_cur.where(F.col(snap_period_col) == p)
         .select(key, *attrs)
         .withColumn("_in_t", F.lit(True))
         .alias("t")
@@ -145,7 +146,6 @@ def scd2_incremental(
     def interval(side: str, start: Column, end: Column) -> Column:
         return F.struct(*[F.col(f"{side}.{a}").alias(a) for a in attrs], start.alias(start_col), end.alias(end_col))
 
-    p = F.lit(period)
     same = all_null_safe_equal([F.col(f"o.{a}") for a in attrs], [F.col(f"t.{a}") for a in attrs])
     rows = (
         F.when(F.col("o._in_o").isNull(), F.array(interval("t", p, p)))
@@ -159,4 +159,4 @@ def scd2_incremental(
         )
     )
     changed = j.select(F.coalesce(F.col(f"o.{key}"), F.col(f"t.{key}")).alias(key), F.inline(rows))
-    return changed.unionByName(closed).select(key, *attrs, start_col, end_col, F.lit(period).alias(as_of_col))
+    return changed.unionByName(closed).select(key, *attrs, start_col, end_col, p.alias(as_of_col))

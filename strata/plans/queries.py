@@ -290,19 +290,26 @@ def q_cumulative_backfill(spark, sf_dir):
     return snapshot_report(entity_backfill(spark, sf_dir))
 
 
+def _last_period(spark, sf_dir):
+    """The last period as a scalar subquery (evaluated inside the query's plan)."""
+    return src.entity_periods(spark, sf_dir).agg(F.max("period")).scalar()
+
+
 def q_history_explode(spark, sf_dir):
-    _, hi = _entity_bounds(spark, sf_dir)
+    hi = _last_period(spark, sf_dir)
     snap = entity_backfill(spark, sf_dir, first=hi, last=hi)
     return cumulative.history_explode(snap, ENTITY_SPEC, as_of=hi)
 
 
 def q_first_vs_latest(spark, sf_dir):
-    _, hi = _entity_bounds(spark, sf_dir)
+    hi = _last_period(spark, sf_dir)
     snap = entity_backfill(spark, sf_dir, first=hi, last=hi)
     return cumulative.first_vs_latest(snap, ENTITY_SPEC, as_of=hi, cls="star")
 
 
 def q_snapshot_lookup(spark, sf_dir):
+    # the as-of of a lookup is a known value, so the read is a static
+    # partition-pruned scan of the written snapshot table
     _, hi = _entity_bounds(spark, sf_dir)
     table = SnapshotTable.scratch(spark, "players_backfill", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
     table.write(entity_backfill(spark, sf_dir, last=hi))
@@ -320,12 +327,12 @@ def q_streaks(spark, sf_dir):
 
 
 def q_scd2_full(spark, sf_dir):
-    _, hi = _entity_bounds(spark, sf_dir)
+    hi = _last_period(spark, sf_dir)
     return scd.scd2_full(entity_backfill(spark, sf_dir, last=hi), "entity_id", "current_season", SCD_ATTRS, as_of=hi)
 
 
 def q_scd2_incremental(spark, sf_dir):
-    _, hi = _entity_bounds(spark, sf_dir)
+    hi = _last_period(spark, sf_dir)
     snaps = entity_backfill(spark, sf_dir, last=hi)
     prev = scd.scd2_full(snaps, "entity_id", "current_season", SCD_ATTRS, as_of=hi - 1)
     return scd.scd2_incremental(prev, snaps, "entity_id", SCD_ATTRS, period=hi)
