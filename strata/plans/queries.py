@@ -386,7 +386,7 @@ def q_graph_edges_pairs(spark, sf_dir):
 
 
 def q_graph_max_points(spark, sf_dir):
-    return graph.vertex_edge_max(
+    best = graph.vertex_edge_max(
         player_vertices(spark, sf_dir),
         plays_in_edges(spark, sf_dir),
         "pts",
@@ -395,6 +395,7 @@ def q_graph_max_points(spark, sf_dir):
         edge_type="plays_in",
         out_value="max_pts",
     )
+    return best.orderBy(F.col("max_pts").desc_nulls_first())
 
 
 def q_graph_pair_report(spark, sf_dir):
@@ -415,9 +416,8 @@ def q_activity_bitmap(spark, sf_dir):
     h = src.hits(spark, sf_dir)
     _, hi = _hit_day_bounds(h)
     snap = activity.activity_backfill(h, hi, snapshots_from=hi)
-    return activity.activity_bitmap(snap, hi).withColumn("date", iso_date("date")).withColumnRenamed(
-        "date", "snapshot_date"
-    )
+    bm = activity.activity_bitmap(snap, hi).withColumn("date", iso_date("date")).withColumnRenamed("date", "snapshot_date")
+    return bm.orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
 
 
 def q_array_metrics(spark, sf_dir):

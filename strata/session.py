@@ -70,11 +70,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     already set on the context). Only when none is configured, as in local
     tests, a private temporary folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - sessions without a local SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -82,6 +86,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
