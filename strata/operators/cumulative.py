@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import REFERENCE_DEFAULT_TIER, REFERENCE_TIERS, lit_of, safe_ratio, tier
+from .quality import bounds_of
 
 
 @dataclass(frozen=True)
@@ -116,16 +117,15 @@ def cumulative_backfill(
     per as-of period, and ``filter`` keeps the history up to that period.
     One exchange, no theta join, no window. ``first``/``last`` restrict the
     as-of range (e.g. ``first=last=P`` builds only snapshot P); either may
-    be a Column such as a scalar subquery. ``last`` defaults to the source's
-    last period, computed as a scalar subquery inside the same plan (no
-    driver round trip).
+    be a Column. ``last`` defaults to the source's last period (one tiny
+    aggregate row read on the driver).
 
     ``dims_mode='max'`` takes each dimension's maximum over all periods (the
     reference's backfill); ``'latest'`` takes the newest non-NULL value up to
     the as-of (what the step-by-step fold produces).
     """
     if last is None:
-        last = src.agg(F.max(spec.period)).scalar()
+        _, last = bounds_of(src, spec.period)
     last = lit_of(last)
     if dims_mode not in ("max", "latest"):
         raise ValueError("dims_mode must be 'max' or 'latest'")

@@ -45,16 +45,29 @@ def build_vertices(
 
 
 def aggregate_vertices(
-    src: DataFrame, id_col: str, vertex_type: str, aggs: dict[str, Column]
+    src: DataFrame,
+    id_col: str,
+    vertex_type: str,
+    aggs: dict[str, Column],
+    static: Sequence[str] = (),
 ) -> DataFrame:
-    """O09 for entities known only from a fact table: properties are aggregates."""
+    """O09 for entities known only from a fact table: properties are aggregates.
+
+    ``static`` columns are functionally dependent on the id (e.g. a name);
+    they are grouped with the id instead of aggregated, which keeps the
+    aggregate a hash aggregate (string MIN/MAX buffers force a sort-based
+    one). A violated dependency shows up as a repeated vertex id, which the
+    vertex grain check reports.
+    """
     if vertex_type not in VERTEX_TYPES:
         raise ValueError(f"unknown vertex type {vertex_type!r}")
-    g = src.groupBy(id_col).agg(*[v.alias(k) for k, v in aggs.items()])
+    g = src.groupBy(id_col, *static).agg(*[v.alias(k) for k, v in aggs.items()])
+    props = {c: F.col(c) for c in static}
+    props.update({k: F.col(k) for k in aggs})
     return g.select(
         F.col(id_col).cast("string").alias("identifier"),
         F.lit(vertex_type).alias("type"),
-        json_object({k: F.col(k) for k in aggs}).alias("properties"),
+        json_object(props).alias("properties"),
     )
 
 

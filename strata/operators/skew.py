@@ -1,15 +1,23 @@
-"""Hot-group handling for joins whose key may hold a large share of the rows.
+"""Hot-group handling for self-joins whose key may hold a large share of rows.
 
 ``salted_self_join`` pairs up rows that share a group key. A plain equi
-self-join sends every row of a group to one task, so a group holding a
-third of the data becomes one task doing a third of the quadratic work.
-Here each hot group is split into ``n`` salt buckets on the left side and
-the right side is replicated to the ``n`` buckets, so the group's pairs
-are produced by ``n`` tasks. Cold groups keep salt 0 and are not replicated.
+self-join sends every row of a group to one task, so a group of n rows
+becomes one task doing n^2 work -- with a group holding a third of the
+data, one task does most of the job.
 
-The hot-group list is the only broadcast: it holds groups with more than
-``chunk_rows`` rows, so it has at most ``total_rows / chunk_rows`` entries
--- bounded by construction, and checked before broadcasting.
+Here a group with more than ``chunk_rows`` rows is cut into
+s = ceil(n / chunk_rows) hash buckets and its pairs are produced on an
+s x s grid of tasks: left rows of bucket i are copied to cells (i, 0..s-1),
+right rows of bucket j to cells (0..s-1, j), and each pair meets in exactly
+one cell. Every task then sees at most about ``chunk_rows`` rows per side
+(chunk_rows^2 candidate pairs) and each row is copied s times -- the
+least shuffle volume for that per-task bound. Cold groups use the single
+cell (0, 0) and are not copied.
+
+Group sizes come from a partial (map-side) count. The hot-group list is
+broadcast only after its size has been counted and is under
+``MAX_BROADCAST_HOT``; beyond that, rows are tagged with a shuffle join
+instead (AQE splits that join's skewed partitions).
 """
 
 from __future__ import annotations
@@ -19,8 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_ROWS = 200_000
-MAX_HOT_GROUPS = 100_000
+DEFAULT_CHUNK_ROWS = 10_000
+MAX_BROADCAST_HOT = 1_000_000  # (group key, bucket count) rows: tens of MB at most
 
 
 def hot_groups(df: DataFrame, group: Sequence[str], chunk_rows: int) -> DataFrame:
@@ -31,6 +39,11 @@ def hot_groups(df: DataFrame, group: Sequence[str], chunk_rows: int) -> DataFram
     )
 
 
+def _tag(df: DataFrame, hot: DataFrame, group: list[str], broadcast: bool) -> DataFrame:
+    side = F.broadcast(hot) if broadcast else hot
+    return df.join(side, group, "left").withColumn("_nsalt", F.coalesce(F.col("_nsalt"), F.lit(1)))
+
+
 def salted_self_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,36 +55,37 @@ def salted_self_join(
     """Inner join of ``left`` (alias ``a``) and ``right`` (alias ``b``) on ``group``.
 
     ``left``/``right`` are two projections of the same rows; ``condition``
-    may reference ``a.*`` and ``b.*``. ``salt_source`` is a left-side column
-    hashed to pick a row's bucket inside a hot group.
+    may reference ``a.*`` and ``b.*``. ``salt_source`` is a column of both
+    sides hashed to pick a row's bucket inside a hot group.
     """
     group = list(group)
     hot = hot_groups(left, group, chunk_rows)
     n_hot = hot.count()
-    if n_hot > MAX_HOT_GROUPS:  # keep the broadcast bounded: widen the chunks
-        return salted_self_join(left, right, group, salt_source, condition, chunk_rows * 4)
     if n_hot == 0:
-        a = left.withColumn("_salt", F.lit(0)).alias("a")
-        b = right.withColumn("_salt", F.lit(0)).alias("b")
+        a = left.withColumn("_cell_a", F.lit(0)).withColumn("_cell_b", F.lit(0)).alias("a")
+        b = right.withColumn("_cell_a", F.lit(0)).withColumn("_cell_b", F.lit(0)).alias("b")
     else:
-        hot_b = F.broadcast(hot)
-        nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
+        bcast = n_hot <= MAX_BROADCAST_HOT
+        bucket = F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsalt").cast("bigint")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col("_nsalt") - 1))
         a = (
-            left.join(hot_b, group, "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_source)), nsalt.cast("bigint")).cast("int"))
+            _tag(left, hot, group, bcast)
+            .withColumn("_cell_a", bucket)
+            .withColumn("_cell_b", every)
             .drop("_nsalt")
             .alias("a")
         )
         b = (
-            right.join(hot_b, group, "left")
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))
+            _tag(right, hot, group, bcast)
+            .withColumn("_cell_b", bucket)
+            .withColumn("_cell_a", every)
             .drop("_nsalt")
             .alias("b")
         )
     cond = F.lit(True)
     for g in group:
         cond = cond & (F.col(f"a.{g}") == F.col(f"b.{g}"))
-    cond = cond & (F.col("a._salt") == F.col("b._salt"))
+    cond = cond & (F.col("a._cell_a") == F.col("b._cell_a")) & (F.col("a._cell_b") == F.col("b._cell_b"))
     if condition is not None:
         cond = cond & condition
     return a.join(b, cond, "inner")

@@ -154,11 +154,8 @@ def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
         player_games(spark, sf_dir),
         "player_id",
         "player",
-        {
-            "player_name": F.max("player_name"),
-            "number_of_games": F.count(F.lit(1)),
-            "total_points": F.sum("pts"),
-        },
+        {"number_of_games": F.count(F.lit(1)), "total_points": F.sum("pts")},
+        static=["player_name"],  # the supplier's name: one per id
     )
 
 
@@ -290,9 +287,13 @@ def q_cumulative_backfill(spark, sf_dir):
     return snapshot_report(entity_backfill(spark, sf_dir))
 
 
-def _last_period(spark, sf_dir):
-    """The last period as a scalar subquery (evaluated inside the query's plan)."""
-    return src.entity_periods(spark, sf_dir).agg(F.max("period")).scalar()
+def _last_period(spark, sf_dir) -> int:
+    """The last period: one tiny aggregate row read on the driver.
+
+    (A scalar subquery would keep it inside the plan, but each use of it
+    inlines another copy of the subquery plan.)
+    """
+    return _entity_bounds(spark, sf_dir)[1]
 
 
 def q_history_explode(spark, sf_dir):

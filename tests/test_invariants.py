@@ -143,3 +143,28 @@ def test_entity_view_check_values(spark):
     ep = src.entity_periods(spark, "/root/testdata/sf0.01")
     r = ep.agg(F.count("*"), F.countDistinct("entity_id"), F.sum("pts"), F.sum("gp")).first()
     assert tuple(r) == (7895, 1500, 197894510965, 15000)
+
+
+def test_hot_game_is_split_on_a_grid(spark, sf_dir):
+    """A game holding a third of the rows: the grid plan equals the plain join
+    and the hot list goes through the broadcast or the shuffle tagging path."""
+    from strata.operators import skew
+
+    rows = Q.player_games(spark, sf_dir)
+    # make one game hot: a third of the rows move to game 0 (player ids stay unique per game)
+    hot_rows = rows.withColumn("orig_game", F.col("game_id")).withColumn(
+        "game_id", F.when(F.xxhash64("player_id", "game_id") % 3 == 0, F.lit(0)).otherwise(F.col("game_id"))
+    )
+    # total order: a player's rows moved to game 0 differ in their original game
+    hot_rows = quality.dedup_first(hot_rows, ["player_id", "game_id"], ["orig_game"])
+    kw = dict(member="player_id", group="game_id", side="team_abbreviation", measure="pts", order=None)
+    plain = graph.cooccurrence_edges(hot_rows, chunk_rows=10**9, **kw)
+    gridded = graph.cooccurrence_edges(hot_rows, chunk_rows=50, **kw)
+    assert same_rows(gridded, plain)
+    old = skew.MAX_BROADCAST_HOT
+    skew.MAX_BROADCAST_HOT = 0  # force the shuffle-join tagging path
+    try:
+        shuffled = graph.cooccurrence_edges(hot_rows, chunk_rows=50, **kw)
+        assert same_rows(shuffled, plain)
+    finally:
+        skew.MAX_BROADCAST_HOT = old
