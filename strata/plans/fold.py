@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..sources.snapshots import SnapshotTable
 
@@ -21,11 +22,24 @@ def fold(
     periods: Iterable,
     step: Callable[[DataFrame | None, object], DataFrame],
     previous_of: Callable[[object], object],
+    carry_latest: bool = False,
 ) -> SnapshotTable:
-    """Apply ``step(prev_snapshot_or_None, period)`` for each period in order."""
+    """Apply ``step(prev_snapshot_or_None, period)`` for each period in order.
+
+    With ``carry_latest`` a skipped period does not reset the state: when
+    ``previous_of(p)`` was never written, the latest partition written
+    before ``p`` stands in for it (relabelled to ``previous_of(p)``), as a
+    keyed table updated in place would behave.
+    """
     for p in periods:
         prev_p = previous_of(p)
-        prev = table.read(as_of=prev_p) if table.has(prev_p) else None
+        if table.has(prev_p):
+            prev = table.read(as_of=prev_p)
+        elif carry_latest and any(w < p for w in table.written):
+            latest = max(w for w in table.written if w < p)
+            prev = table.read(as_of=latest).withColumn(table.as_of_col, F.lit(prev_p))
+        else:
+            prev = None
         table.write_period(step(prev, p), p)
     return table
 
@@ -37,6 +51,7 @@ def catch_up_then_step(
     step: Callable[[DataFrame | None, object], DataFrame],
     previous_of: Callable[[object], object],
     history_periods: Iterable = (),
+    carry_latest: bool = False,
 ) -> SnapshotTable:
     """Backfill history in one job, then continue with incremental steps.
 
@@ -48,4 +63,4 @@ def catch_up_then_step(
     if history is not None:
         table.write(history)
         table.written.extend(history_periods)
-    return fold(table, periods, step, previous_of)
+    return fold(table, periods, step, previous_of, carry_latest)

@@ -233,6 +233,7 @@ def metric_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> t
         lambda prev, d: metrics.array_metric_step(prev, h, d),
         previous_of=lambda d: d - dt.timedelta(days=1),
         history_periods=history_days,
+        carry_latest=True,
     )
     return table, _month_last_days(days)
 
@@ -252,6 +253,7 @@ def activity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) ->
         lambda prev, d: activity.activity_step(prev, h, d),
         previous_of=lambda d: d - dt.timedelta(days=1),
         history_periods=days[:split],
+        carry_latest=True,
     )
 
 

@@ -277,3 +277,19 @@ def test_backfill_skips_entities_starting_after_last(spark):
     assert rows_of(out, "player_name", "current_season") == [("A", 1996), ("A", 1997)]
     only = cumulative.cumulative_backfill(src, SPEC, first=1998, last=1998)
     assert rows_of(only, "player_name", "current_season") == [("A", 1998)]
+
+
+def test_c14_fold_carries_state_over_a_skipped_day(spark):
+    from strata.plans.fold import fold
+    from strata.sources.snapshots import SnapshotTable
+
+    ev = _hits(spark, [(7, dt.datetime(2023, 1, 6, h)) for h in range(3)] + [(7, dt.datetime(2023, 1, 8, 1))])
+    table = SnapshotTable.scratch(spark, "c14", "as_of")
+    days = [dt.date(2023, 1, 6), dt.date(2023, 1, 8)]  # day 7 skipped
+    fold(table, days, lambda prev, d: metrics.array_metric_step(prev, ev, d), lambda d: d - dt.timedelta(days=1),
+         carry_latest=True)
+    assert _arrays(table.read(as_of=dt.date(2023, 1, 8))) == {(7, dt.date(2023, 1, 1)): [0, 0, 0, 0, 0, 3, 0, 1]}
+    # rerun of day 8: same partition content
+    fold(table, days[1:], lambda prev, d: metrics.array_metric_step(prev, ev, d), lambda d: d - dt.timedelta(days=1),
+         carry_latest=True)
+    assert _arrays(table.read(as_of=dt.date(2023, 1, 8))) == {(7, dt.date(2023, 1, 1)): [0, 0, 0, 0, 0, 3, 0, 1]}
