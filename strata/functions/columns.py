@@ -12,9 +12,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The reference's scoring classes and thresholds
-# (strictly greater than 20 -> star, 15 -> good, 10 -> avg, otherwise bad).
-SCORING_CLASSES = ("star", "good", "avg", "bad")
+# The reference's scoring thresholds (strictly greater than
+# 20 -> star, 15 -> good, 10 -> avg, otherwise bad; the class domain is
+# ``strata.schemas.SCORING_CLASS``).
 REFERENCE_TIERS = (("star", 20), ("good", 15), ("avg", 10))
 REFERENCE_DEFAULT_TIER = "bad"
 

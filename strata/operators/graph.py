@@ -15,13 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import json_field, json_object, safe_ratio
+from ..schemas import EDGE_TYPE as EDGE_TYPES
+from ..schemas import VERTEX_TYPE as VERTEX_TYPES
 from .quality import dedup_first
 from .skew import DEFAULT_CHUNK_ROWS, salted_self_join
 
-# The reference's vertex and edge type domains.
-VERTEX_TYPES = ("player", "team", "game")
-EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
-
 VERTEX_COLUMNS = ["identifier", "type", "properties"]
 EDGE_COLUMNS = ["subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", "properties"]
 
