@@ -44,8 +44,13 @@ def build_fact(
     """Game-detail fact at (game, team, player) grain with ``dim_``/``m_`` columns.
 
     Rows are deduplicated on the grain *before* the join to the game header
-    (the header is unique per game), so the join shuffles only surviving
-    rows. Derived columns: home flag (team = home team), three comment flags
+    (unique per game). The dedup hashes on the whole (game, team, player)
+    key with a partial group limit before its shuffle, so a game holding a
+    large share of the rows is spread over many tasks; the join then moves
+    only surviving rows. (Joining first would save that shuffle when the
+    details are a stored table, but would put a hot game whole into one task
+    unless the session lets AQE split skewed joins followed by a window.)
+    Derived columns: home flag (team = home team), three comment flags
     (NULL comment -> FALSE) and minutes from 'mm:ss' text (bad text -> NULL).
     Measures absent from ``details`` are skipped.
     """

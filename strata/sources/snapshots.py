@@ -47,7 +47,11 @@ class SnapshotTable:
         """
         if self.schema is None:
             self.schema = df.schema
-        out = df.select(*self.schema.fieldNames())
+        # REBALANCE on the partition column: AQE cuts the output into
+        # advisory-size tasks (splitting a large as-of partition, merging
+        # small ones), so each as-of directory gets a few well-sized files
+        # instead of one file per upstream task.
+        out = df.select(*self.schema.fieldNames()).hint("rebalance", self.as_of_col)
         if self.sort_cols:
             # partition column first: it is the order the partitioned writer
             # needs anyway, so Spark sorts once instead of twice
