@@ -23,15 +23,21 @@ def fold(
     step: Callable[[DataFrame | None, object], DataFrame],
     previous_of: Callable[[object], object],
     carry_latest: bool = False,
+    resume: bool = False,
 ) -> SnapshotTable:
     """Apply ``step(prev_snapshot_or_None, period)`` for each period in order.
 
     With ``carry_latest`` a skipped period does not reset the state: when
     ``previous_of(p)`` was never written, the latest partition written
     before ``p`` stands in for it (relabelled to ``previous_of(p)``), as a
-    keyed table updated in place would behave.
+    keyed table updated in place would behave. With ``resume`` periods that
+    are already written are skipped (after a restart, re-open the table with
+    ``SnapshotTable.open``); without it every given period is recomputed and
+    its partition replaced.
     """
     for p in periods:
+        if resume and table.has(p):
+            continue
         prev_p = previous_of(p)
         if table.has(prev_p):
             prev = table.read(as_of=prev_p)

@@ -38,6 +38,20 @@ class SnapshotTable:
         """A fresh table under the shared checkpoint folder."""
         return cls(spark, state_path(spark, name), as_of_col, sort_cols)
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
+        """Re-open a table written earlier (e.g. by a driver that was restarted).
+
+        The schema comes from the Parquet footers and the written periods
+        from the partition values -- a distinct over the partition column,
+        so its result is bounded by the number of periods.
+        """
+        table = cls(spark, path, as_of_col, sort_cols)
+        df = spark.read.parquet(path)
+        table.schema = df.schema
+        table.written = sorted(r[0] for r in df.select(as_of_col).distinct().collect())
+        return table
+
     def write(self, df: DataFrame, mode: str = "overwrite") -> None:
         """Write (replace) the as-of partitions present in ``df``.
 
@@ -65,7 +79,8 @@ class SnapshotTable:
 
     def write_period(self, df: DataFrame, as_of) -> None:
         self.write(df)
-        self.written.append(as_of)
+        if as_of not in self.written:
+            self.written.append(as_of)
 
     def read(self, as_of=None, as_of_in: Sequence | None = None) -> DataFrame:
         if self.schema is None:

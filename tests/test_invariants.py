@@ -168,3 +168,18 @@ def test_hot_game_is_split_on_a_grid(spark, sf_dir):
         assert same_rows(shuffled, plain)
     finally:
         skew.MAX_BROADCAST_HOT = old
+
+
+def test_fold_resumes_from_a_reopened_table(spark, sf_dir):
+    seasons = src.entity_periods(spark, sf_dir)
+    lo, hi = quality.bounds_of(seasons, "period")
+    step = lambda prev, p: cumulative.cumulative_step(prev, seasons, Q.ENTITY_SPEC, p)
+    first = SnapshotTable.scratch(spark, "resume", "current_season")
+    fold(first, range(lo, lo + 3), step, lambda p: p - 1)
+    # a new driver re-opens the table and continues where the first stopped
+    again = SnapshotTable.open(spark, first.path, "current_season")
+    assert again.written == list(range(lo, lo + 3))
+    fold(again, range(lo, hi + 1), step, lambda p: p - 1, resume=True)
+    full = SnapshotTable.scratch(spark, "resume-full", "current_season")
+    fold(full, range(lo, hi + 1), step, lambda p: p - 1)
+    assert same_rows(again.read(), full.read())
