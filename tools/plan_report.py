@@ -38,14 +38,16 @@ def summarize(plan: str) -> dict:
     scans = []
     for ln in lines:
         if "FileScan parquet" in ln:
-            name = re.search(r"Location: \w+\(\d+ paths\)\[file:[^\]]*/([^/\]]+)\]", ln)
+            loc = re.search(r"Location: \w+\(\d+ paths\)\[(?:file:)?([^,\]]*)", ln)
+            path = loc.group(1) if loc else "?"
+            name = "state table under the checkpoint folder" if "..." in path or "/strata/" in path else path.rsplit("/", 1)[-1]
             pushed = re.search(r"PushedFilters: \[([^\]]*)\]", ln)
             part = re.search(r"PartitionFilters: \[([^\]]*)\]", ln)
             schema = re.search(r"ReadSchema: struct<([^>]*)", ln)
             cols = [c.split(":")[0] for c in schema.group(1).split(",")] if schema else []
             scans.append(
                 {
-                    "table": name.group(1) if name else "?",
+                    "table": name,
                     "columns": len(cols),
                     "pushed": (pushed.group(1) if pushed else "")[:120],
                     "partition_filters": (part.group(1) if part else "")[:80],
