@@ -17,18 +17,28 @@ def top_bits_mask(n: int, width: int = 32) -> int:
     return ((1 << n) - 1) << (width - n)
 
 
-def date_bitmap(dates: str | Column, anchor: str | Column, width: int = 32, anchor_bit: int = 31) -> Column:
+def date_bitmap(
+    dates: str | Column,
+    anchor: str | Column,
+    width: int = 32,
+    anchor_bit: int = 31,
+    window_days: int | None = None,
+) -> Column:
     """OR of ``1 << (anchor_bit - days_before_anchor)`` over the listed dates.
 
-    Dates after the anchor or more than ``anchor_bit`` days before it are
-    ignored; duplicates are harmless (OR, not SUM). ``anchor_bit=32`` keeps
-    the literal off-by-one exponent: the anchor day's bit falls off the map.
+    Only dates 0 .. ``window_days - 1`` days before the anchor count
+    (default ``anchor_bit + 1`` days, i.e. bit 0 = the oldest day); later
+    or older dates are ignored; duplicates are harmless (OR, not SUM).
+    ``anchor_bit=32, window_days=31`` reproduces the literal job: a 31-day
+    series with exponent 32 - n, so the anchor day's bit falls off the map.
     Computed row-wise with ``aggregate`` -- no cross join with a date series
     and no group-by.
     """
+    if window_days is None:
+        window_days = anchor_bit + 1
     a = col_of(anchor)
     lag = lambda d: F.datediff(a, d)
-    in_range = F.filter(col_of(dates), lambda d: (lag(d) >= 0) & (lag(d) <= F.lit(anchor_bit)))
+    in_range = F.filter(col_of(dates), lambda d: (lag(d) >= 0) & (lag(d) < F.lit(window_days)))
     bits = F.aggregate(
         in_range,
         F.lit(0).cast("bigint"),

@@ -113,16 +113,18 @@ def activity_bitmap(
     width: int = 32,
     anchor_bit: int = 31,
     week_days: int = 7,
+    window_days: int | None = None,
 ) -> DataFrame:
     """Activity bitmap per user as of ``as_of`` and the flags derived from it.
 
     Bit ``anchor_bit`` is the as-of day, bit ``anchor_bit - n`` is n days
     earlier. Days active = bit count; monthly = any bit; weekly = any of the
     top ``week_days`` bits; daily = the top bit. Row-wise, no shuffle.
-    ``anchor_bit=32`` reproduces the literal off-by-one exponent.
+    ``anchor_bit=32, window_days=31`` reproduces the literal job (31-day
+    series, off-by-one exponent: every flag is a day late).
     """
     s = snap.where(F.col("date") == date_lit(as_of))
-    bits = date_bitmap(F.col("dates_active"), F.col("date"), width, anchor_bit)
+    bits = date_bitmap(F.col("dates_active"), F.col("date"), width, anchor_bit, window_days)
     b = s.select(user_col, "date", bits.alias("activity_bits"))
     return b.select(
         user_col,

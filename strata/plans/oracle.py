@@ -204,6 +204,15 @@ from gd group by game_id, team_id, player_id having count(*) > 1
     "grain_check_lineitem": """
 select l_orderkey, l_linenumber, count(*) as num_rows
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1
+""",
+    "grain_check_player_game": f"""
+with gd as ({GAME_DETAILS})
+select player_id, game_id, count(*) as num_rows
+from gd group by player_id, game_id having count(*) > 1
+""",
+    "grain_counts": f"""
+with gd as ({GAME_DETAILS})
+select player_id, game_id, count(*) as num_rows from gd group by player_id, game_id
 """,
     "dedup_first": """
 select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -350,6 +359,26 @@ select user_id, cast((select a from anchor) as varchar) as snapshot_date, activi
        (activity_bits & {WEEK_MASK}) <> 0 as dim_is_weekly_active,
        (activity_bits & {TOP_BIT}) <> 0 as dim_is_daily_active
 from b
+""",
+    "activity_bitmap_literal": f"""
+with {USER_DAYS},
+anchor as (select max(d) as a from ud),
+series as (
+ select cast(unnest(generate_series((select a from anchor) - interval 30 day, (select a from anchor),
+                                    interval 1 day)) as date) as series_date),
+hits_on_series as (
+ select u.user_id, cast(1 as bigint) << (32 - ((select a from anchor) - s.series_date)) as v
+ from ud u join series s on u.d = s.series_date),
+b as (
+ select uu.user_id, cast(coalesce(sum(h.v), 0) as bigint) & {(1 << 32) - 1} as activity_bits
+ from (select distinct user_id from ud) uu left join hits_on_series h on h.user_id = uu.user_id
+ group by uu.user_id)
+select user_id, activity_bits,
+       cast(bit_count(activity_bits) as int) as dim_monthly_active_for_n_days,
+       activity_bits <> 0 as dim_is_monthly_active,
+       (activity_bits & {WEEK_MASK}) <> 0 as dim_is_weekly_active,
+       (activity_bits & {TOP_BIT}) <> 0 as dim_is_daily_active
+from b
 """,
     "array_metrics": f"""
 with {DAILY_HITS},

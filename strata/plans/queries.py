@@ -272,6 +272,14 @@ def q_grain_check_lineitem(spark, sf_dir):
     return quality.grain_check(src.read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_grain_check_player_game(spark, sf_dir):
+    return quality.grain_check(src.game_details(spark, sf_dir), ["player_id", "game_id"])
+
+
+def q_grain_counts(spark, sf_dir):
+    return quality.grain_counts(src.game_details(spark, sf_dir), ["player_id", "game_id"])
+
+
 def q_dedup_first(spark, sf_dir):
     li = src.read_table(spark, sf_dir, "lineitem")
     out = quality.dedup_first(li, ["l_orderkey", "l_linenumber"], LINEITEM_ORDER)
@@ -423,6 +431,22 @@ def q_activity_bitmap(spark, sf_dir):
     return bm.orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
 
 
+def q_activity_bitmap_literal(spark, sf_dir):
+    """O18 with the literal exponent 32 - n over a 31-day series (the reference's own numbers)."""
+    h = src.hits(spark, sf_dir)
+    _, hi = _hit_day_bounds(h)
+    snap = activity.activity_backfill(h, hi, snapshots_from=hi)
+    bm = activity.activity_bitmap(snap, hi, anchor_bit=32, window_days=31)
+    return bm.select(
+        "user_id",
+        "activity_bits",
+        "dim_monthly_active_for_n_days",
+        "dim_is_monthly_active",
+        "dim_is_weekly_active",
+        "dim_is_daily_active",
+    ).orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
+
+
 def q_array_metrics(spark, sf_dir):
     table, month_last = metric_fold(spark, sf_dir, steps=INCREMENTAL_STEPS)
     s = table.read(as_of_in=month_last)
@@ -448,6 +472,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_bounds": q_period_bounds,
     "grain_check": q_grain_check,
     "grain_check_lineitem": q_grain_check_lineitem,
+    "grain_check_player_game": q_grain_check_player_game,
+    "grain_counts": q_grain_counts,
     "dedup_first": q_dedup_first,
     "cumulative_step": q_cumulative_step,
     "cumulative_backfill": q_cumulative_backfill,
@@ -468,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "graph_pair_report": q_graph_pair_report,
     "activity_datelist": q_activity_datelist,
     "activity_bitmap": q_activity_bitmap,
+    "activity_bitmap_literal": q_activity_bitmap_literal,
     "array_metrics": q_array_metrics,
     "array_metrics_daily": q_array_metrics_daily,
 }
