@@ -183,3 +183,43 @@ def test_fold_resumes_from_a_reopened_table(spark, sf_dir):
     full = SnapshotTable.scratch(spark, "resume-full", "current_season")
     fold(full, range(lo, hi + 1), step, lambda p: p - 1)
     assert same_rows(again.read(), full.read())
+
+
+def test_adapter_views_check_values(spark):
+    """FIXTURES section B check values for every adapter view at sf0.01."""
+    d = "/root/testdata/sf0.01"
+    g = src.games(spark, d).agg(F.count("*"), F.sum("season")).first()
+    assert tuple(g) == (15000, 29967355)
+    gd = src.game_details(spark, d)
+    r = gd.agg(
+        F.count("*"),
+        F.count("comment"),
+        F.count("min"),
+    ).first()
+    assert tuple(r) == (60000, 40074, 39972)
+    assert gd.select("game_id", "player_id").distinct().count() == 58785
+    home = gd.join(src.games(spark, d), "game_id").where(F.col("team_id") == F.col("home_team_id")).count()
+    assert home == 2372
+    t = src.teams(spark, d).agg(F.count("*"), F.countDistinct("team_id")).first()
+    assert tuple(t) == (100, 25)
+    h = src.hits(spark, d)
+    r = h.agg(F.count("*"), F.count("user_id"), F.countDistinct("user_id"), F.countDistinct(F.to_date("event_time"))).first()
+    assert tuple(r) == (10000, 7986, 150, 30)
+    day = h.where(F.col("user_id").isNotNull() & (F.to_date("event_time") == F.lit(dt.date(2024, 1, 6))))
+    assert (day.select("user_id").distinct().count(), day.count()) == (121, 258)
+
+
+def test_bitmap_probe_values_on_raw_events(spark):
+    """SURVEY section 2.3 O18 probe: raw events at sf0.01, anchor 2024-01-30."""
+    ev = src.read_table(spark, "/root/testdata/sf0.01", "events").select("user_id", F.col("ts").alias("event_time"))
+    anchor = dt.date(2024, 1, 30)
+    snap = activity.activity_backfill(ev, anchor, snapshots_from=anchor)
+    bm = activity.activity_bitmap(snap, anchor)
+    r = bm.agg(F.count("*"), F.sum("dim_monthly_active_for_n_days"), F.sum(F.col("dim_is_daily_active").cast("int"))).first()
+    assert tuple(r) == (150, 4006, 133)
+    literal = activity.activity_bitmap(snap, anchor, anchor_bit=32, window_days=30)
+    j = bm.select("user_id", F.col("dim_monthly_active_for_n_days").alias("a")).join(
+        literal.select("user_id", F.col("dim_monthly_active_for_n_days").alias("b")), "user_id"
+    )
+    # the literal exponent miscounts exactly the users active on the anchor day
+    assert j.where("a != b").count() == 133
