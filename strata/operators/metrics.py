@@ -68,6 +68,7 @@ def array_metric_step(
     gets k leading zeros, a skipped day leaves a zero, a rerun replaces
     rather than appends. A new month starts new arrays.
     """
+    metrics = metrics or default_metrics()
     m0 = month_start(day)
     k = (day - m0).days
     today = daily_metrics(events, day, day, metrics, user_col, ts_col).drop("day").alias("t")
@@ -80,7 +81,10 @@ def array_metric_step(
     else:
         prior = (
             prev.where(
-                (F.col("as_of") == date_lit(day - dt.timedelta(days=1))) & (F.col("month_start") == date_lit(m0))
+                (F.col("as_of") == date_lit(day - dt.timedelta(days=1)))
+                & (F.col("month_start") == date_lit(m0))
+                # only this job's metrics: other metrics sharing the table are not touched
+                & F.col("metric_name").isin(list(metrics))
             )
             .select(user_col, "metric_name", "metric_array")
             .alias("y")

@@ -94,7 +94,8 @@ def entity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> S
     staged = SnapshotTable.scratch(spark, "player_seasons", ENTITY_SPEC.period, sort_cols=[ENTITY_SPEC.key])
     staged.write(src.entity_periods(spark, sf_dir))
     seasons = staged.read()
-    lo, hi = quality.bounds_of(seasons, ENTITY_SPEC.period)
+    present = staged.periods()  # from the partition listing, no job
+    lo, hi = present[0], present[-1]
     table = SnapshotTable.scratch(spark, "players", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
     periods = list(range(lo, hi + 1))
     split = 0 if steps is None else max(len(periods) - steps, 0)

@@ -9,15 +9,26 @@ period-by-period fold, so a lost executor only recomputes one step.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, DateType, IntegerType, LongType, ShortType, StructType
 
 from ..session import state_path
 
 
+def _parse_partition_value(text: str, dtype):
+    if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
+        return int(text)
+    if isinstance(dtype, DateType):
+        return dt.date.fromisoformat(text)
+    return text
+
+
 class SnapshotTable:
     def __init__(
         self,
@@ -47,11 +58,27 @@ class SnapshotTable:
         so its result is bounded by the number of periods.
         """
         table = cls(spark, path, as_of_col, sort_cols)
-        df = spark.read.parquet(path)
-        table.schema = df.schema
-        table.written = sorted(r[0] for r in df.select(as_of_col).distinct().collect())
+        table.schema = spark.read.parquet(path).schema
+        table.written = table.periods()
         return table
 
+    def periods(self) -> list:
+        """As-of values present in storage, from the partition directory names.
+
+        Uses the file listing (``inputFiles``), so no Spark job runs; the
+        result is bounded by the number of periods.
+        """
+        if self.schema is None:
+            raise ValueError("table has not been written yet")
+        dtype = self.schema[self.as_of_col].dataType
+        pat = re.compile(rf"/{re.escape(self.as_of_col)}=([^/]+)/")
+        values = set()
+        for f in self.spark.read.schema(self.schema).parquet(self.path).inputFiles():
+            m = pat.search(f)
+            if m:
+                values.add(_parse_partition_value(unquote(m.group(1)), dtype))
+        return sorted(values)
+
     def write(self, df: DataFrame, mode: str = "overwrite") -> None:
         """Write (replace) the as-of partitions present in ``df``.
 

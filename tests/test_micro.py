@@ -293,3 +293,14 @@ def test_c14_fold_carries_state_over_a_skipped_day(spark):
     fold(table, days[1:], lambda prev, d: metrics.array_metric_step(prev, ev, d), lambda d: d - dt.timedelta(days=1),
          carry_latest=True)
     assert _arrays(table.read(as_of=dt.date(2023, 1, 8))) == {(7, dt.date(2023, 1, 1)): [0, 0, 0, 0, 0, 3, 0, 1]}
+
+
+def test_metric_step_leaves_other_metrics_alone(spark):
+    ev = _hits(spark, [(7, dt.datetime(2023, 1, 2, 1))])
+    prev = spark.createDataFrame(
+        [(7, dt.date(2023, 1, 1), "purchases", [4], dt.date(2023, 1, 1)),
+         (7, dt.date(2023, 1, 1), "site_hits", [2], dt.date(2023, 1, 1))],
+        "user_id long, month_start date, metric_name string, metric_array array<bigint>, as_of date",
+    )
+    out = metrics.array_metric_step(prev, ev, dt.date(2023, 1, 2))
+    assert {(r.metric_name, tuple(r.metric_array)) for r in out.collect()} == {("site_hits", (2, 1))}
