@@ -67,6 +67,11 @@ def array_metric_step(
     appended, so every array has length k + 1: a first appearance mid-month
     gets k leading zeros, a skipped day leaves a zero, a rerun replaces
     rather than appends. A new month starts new arrays.
+
+    ``metrics`` (name -> aggregate) are all computed in one scan of the
+    day's events; a state table holds the metrics of one such job (rows of
+    other metrics in ``prev`` are ignored, and the written partition
+    replaces the whole as-of day).
     """
     metrics = metrics or default_metrics()
     m0 = month_start(day)
