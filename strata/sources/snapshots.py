@@ -14,6 +14,7 @@ import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DateType, IntegerType, LongType, ShortType, StructType
@@ -49,6 +50,14 @@ class SnapshotTable:
         """A fresh table under the shared checkpoint folder."""
         return cls(spark, state_path(spark, name), as_of_col, sort_cols)
 
+    @classmethod
+    def at(cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
+        """The table stored at ``path``: re-opened if it exists, else a new (empty) one."""
+        try:
+            return cls.open(spark, path, as_of_col, sort_cols)
+        except AnalysisException:  # nothing written there yet
+            return cls(spark, path, as_of_col, sort_cols)
+
     @classmethod
     def open(cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
         """Re-open a table written earlier (e.g. by a driver that was restarted).
