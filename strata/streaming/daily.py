@@ -45,9 +45,25 @@ class DailyStepStream:
         self.step = step
         self.ts_col = ts_col
         self.lateness = lateness
-        self.landing = SnapshotTable(spark, landing_path or state_path(spark, "landing"), "day")
+        self.landing = SnapshotTable.at(spark, landing_path or state_path(spark, "landing"), "day")
         self.max_seen: dt.datetime | None = None
         self.first_day: dt.date | None = None
+        self._recover()
+
+    def _recover(self) -> None:
+        """After a driver restart, pick up where the stored tables left off.
+
+        The first landed day comes from the landing table's partition
+        listing and the latest event time from one small aggregate; the
+        folded days come from the state table's partitions.
+        """
+        if self.landing.written:
+            self.first_day = self.landing.written[0]
+            self.max_seen = self._events().agg(F.max(self.ts_col)).first()[0]
+        if self.state.schema is None:
+            reopened = SnapshotTable.at(self.spark, self.state.path, self.state.as_of_col, self.state.sort_cols)
+            if reopened.schema is not None:
+                self.state.schema, self.state.written = reopened.schema, reopened.written
 
     # -- micro-batch handler -------------------------------------------------
     def _land(self, batch: DataFrame, batch_id: int) -> None:
@@ -61,6 +77,7 @@ class DailyStepStream:
             .partitionBy("day", "batch")
             .parquet(self.landing.path)
         )
+        self.landing.written = sorted(set(self.landing.written) | set(self.landing.periods()))
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         bounds = batch.agg(F.min(self.ts_col).alias("lo"), F.max(self.ts_col).alias("hi")).first()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import activity
 from strata.sources import testdata as src
+from strata.session import state_path
 from strata.sources.snapshots import SnapshotTable
 from strata.streaming.daily import DailyStepStream
 
@@ -25,10 +26,18 @@ def test_stream_of_event_files_folds_datelists(spark, sf_dir):
         )
     )
     state = SnapshotTable.scratch(spark, "stream-datelist", "date")
-    driver = DailyStepStream(spark, state, lambda prev, ev, d: activity.activity_step(prev, ev, d))
+    landing = state_path(spark, "stream-landing")
+    step = lambda prev, ev, d: activity.activity_step(prev, ev, d)
+    driver = DailyStepStream(spark, state, step, landing_path=landing)
     q = driver.start(stream, availableNow=True)
     q.awaitTermination(300)
     driver.flush()
     h = src.hits(spark, sf_dir)
     last = max(state.written)
     assert same_rows(state.read(), activity.activity_backfill(h, last))
+
+    # a restarted driver recovers its position from the stored tables
+    again = DailyStepStream(spark, SnapshotTable(spark, state.path, "date"), step, landing_path=landing)
+    assert again.first_day == driver.first_day and again.max_seen == driver.max_seen
+    assert sorted(again.state.written) == sorted(state.written)
+    assert again.flush() == []
