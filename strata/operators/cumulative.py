@@ -9,7 +9,7 @@ the as-of period.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,6 @@ class CumulativeSpec:
     idle: str = "years_since_last_season"
     active: str = "is_active"
     as_of: str = "current_season"
-    extra: dict = field(default_factory=dict)
 
     @property
     def struct_fields(self) -> list[str]:

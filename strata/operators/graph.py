@@ -20,9 +20,6 @@ from ..schemas import VERTEX_TYPE as VERTEX_TYPES
 from .quality import dedup_first
 from .skew import DEFAULT_CHUNK_ROWS, salted_self_join
 
-VERTEX_COLUMNS = ["identifier", "type", "properties"]
-EDGE_COLUMNS = ["subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", "properties"]
-
 
 def build_vertices(
     src: DataFrame,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_field, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
-from ..plans.fold import catch_up_then_step, fold
+from ..plans.fold import catch_up_then_step
 from ..sources import testdata as src
 from ..sources.snapshots import SnapshotTable
 
