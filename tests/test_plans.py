@@ -60,3 +60,26 @@ def test_no_broadcast_of_growing_tables(spark, sf_dir):
     p = plan_of(src.game_details(spark, sf_dir))
     # only the fixed-size nation dimension may be broadcast
     assert count(p, "BroadcastExchange") <= 1
+
+
+def _exchanges(plan: str) -> int:
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count(
+        "Exchange SinglePartition"
+    )
+
+
+def test_exact_exchange_counts_on_stored_tables(spark, sf_dir):
+    """SURVEY 7.3 step 10: one exchange for the backfill, one for the SCD2 rebuild."""
+    from strata.sources.snapshots import SnapshotTable
+
+    staged = SnapshotTable.scratch(spark, "plan-seasons", "period")
+    staged.write(src.entity_periods(spark, sf_dir))
+    seasons = staged.read()
+    snap = Q.cumulative.cumulative_backfill(seasons, Q.ENTITY_SPEC, last=2001)
+    assert _exchanges(plan_of(snap)) == 1
+
+    players = SnapshotTable.scratch(spark, "plan-players", "current_season")
+    players.write(snap)
+    full = scd.scd2_full(players.read(), "entity_id", "current_season", list(Q.SCD_ATTRS), as_of=2001)
+    p = plan_of(full)
+    assert _exchanges(p) == 1 and "Window" in p
