@@ -71,6 +71,12 @@ def json_field(text: str | Column, key: str, dtype: str | None = None) -> Column
     return v.cast(dtype) if dtype else v
 
 
+def json_struct(text: str | Column, schema_ddl: str) -> Column:
+    """Parse a JSON property bag once into a struct (cheaper than one
+    ``get_json_object`` per field, which re-parses the text each time)."""
+    return F.from_json(col_of(text), schema_ddl)
+
+
 def all_null_safe_equal(left: Iterable[Column], right: Iterable[Column]) -> Column:
     conds = [a.eqNullSafe(b) for a, b in zip(left, right, strict=True)]
     out = conds[0]

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import json_field, json_object, safe_ratio
+from ..functions.columns import json_field, json_object, json_struct, safe_ratio
 from ..schemas import EDGE_TYPE as EDGE_TYPES
 from ..schemas import VERTEX_TYPE as VERTEX_TYPES
 from .quality import dedup_first
@@ -196,21 +196,22 @@ def vertex_edge_report(
     ratio_col: str = "games_per_point",
 ) -> DataFrame:
     """Each edge to an ``object_type`` vertex with its subject's ratio and edge properties."""
+    vp = json_struct("properties", f"`{label_prop}` string, `{num_prop}` double, `{den_prop}` double")
     v = vertices.select(
-        F.col("identifier").alias("subject_identifier"),
-        F.col("type").alias("subject_type"),
-        json_field("properties", label_prop).alias(label_prop),
-        safe_ratio(json_field("properties", num_prop, "double"), json_field("properties", den_prop, "double")).alias(
-            ratio_col
-        ),
+        F.col("identifier").alias("subject_identifier"), F.col("type").alias("subject_type"), vp.alias("vp")
+    ).select(
+        "subject_identifier",
+        "subject_type",
+        F.col(f"vp.{label_prop}").alias(label_prop),
+        safe_ratio(F.col(f"vp.{num_prop}"), F.col(f"vp.{den_prop}")).alias(ratio_col),
     )
-    e = edges.where(F.col("object_type") == F.lit(object_type))
-    return v.join(e, ["subject_identifier", "subject_type"]).select(
-        label_prop,
+    e = edges.where(F.col("object_type") == F.lit(object_type)).select(
         "subject_identifier",
+        "subject_type",
         "object_identifier",
         "edge_type",
-        ratio_col,
-        json_field("properties", "subject_points", "bigint").alias("subject_points"),
-        json_field("properties", "num_games", "bigint").alias("num_games"),
+        json_struct("properties", "subject_points bigint, num_games bigint").alias("ep"),
+    )
+    return v.join(e, ["subject_identifier", "subject_type"]).select(
+        label_prop, "subject_identifier", "object_identifier", "edge_type", ratio_col, "ep.subject_points", "ep.num_games"
     )

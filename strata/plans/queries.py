@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_field, render_list
+from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_struct, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
 from ..plans.fold import catch_up_then_step
@@ -370,31 +370,18 @@ def q_graph_vertex_counts(spark, sf_dir):
 
 def q_graph_edges_plays_in(spark, sf_dir):
     e = plays_in_edges(spark, sf_dir)
+    props = json_struct("properties", "start_position string, pts int, team_id int, team_abbreviation string")
     return e.select(
-        "subject_identifier",
-        "subject_type",
-        "object_identifier",
-        "object_type",
-        "edge_type",
-        json_field("properties", "start_position").alias("start_position"),
-        json_field("properties", "pts", "int").alias("pts"),
-        json_field("properties", "team_id", "int").alias("team_id"),
-        json_field("properties", "team_abbreviation").alias("team_abbreviation"),
-    )
+        "subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", props.alias("p")
+    ).select("subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", "p.*")
 
 
 def q_graph_edges_pairs(spark, sf_dir):
     e = pair_edges(spark, sf_dir)
+    props = json_struct("properties", "num_games bigint, subject_points bigint, object_points bigint")
     return e.select(
-        "subject_identifier",
-        "subject_type",
-        "object_identifier",
-        "object_type",
-        "edge_type",
-        json_field("properties", "num_games", "bigint").alias("num_games"),
-        json_field("properties", "subject_points", "bigint").alias("subject_points"),
-        json_field("properties", "object_points", "bigint").alias("object_points"),
-    )
+        "subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", props.alias("p")
+    ).select("subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", "p.*")
 
 
 def q_graph_max_points(spark, sf_dir):
