@@ -125,14 +125,56 @@ def activity_bitmap(
     """
     s = snap.where(F.col("date") == date_lit(as_of))
     bits = date_bitmap(F.col("dates_active"), F.col("date"), width, anchor_bit, window_days)
-    b = s.select(user_col, "date", bits.alias("activity_bits"))
-    return b.select(
+    return bitmap_flags(s.select(user_col, "date", bits.alias("activity_bits")), "activity_bits", width, week_days)
+
+
+def bitmap_flags(df: DataFrame, bits_col: str = "activity_bits", width: int = 32, week_days: int = 7) -> DataFrame:
+    """Add the bit string, day count and monthly / weekly / daily flags of a bitmap column."""
+    return df.select(
+        "*",
+        bit_string(bits_col, width).alias("activity_bit_string"),
+        F.bit_count(bits_col).cast("int").alias("dim_monthly_active_for_n_days"),
+        (F.col(bits_col) != 0).alias("dim_is_monthly_active"),
+        any_bits(bits_col, top_bits_mask(week_days, width)).alias("dim_is_weekly_active"),
+        any_bits(bits_col, top_bits_mask(1, width)).alias("dim_is_daily_active"),
+    )
+
+
+def activity_bitmap_from_events(
+    events: DataFrame,
+    as_of: dt.date,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+    width: int = 32,
+    anchor_bit: int = 31,
+    week_days: int = 7,
+    window_days: int | None = None,
+) -> DataFrame:
+    """O18 straight from events, for when no date-list table is kept.
+
+    Same output as ``activity_bitmap`` over the as-of snapshot, with a lighter
+    plan: only the window's days are read for the bits, and they are combined
+    with a ``bit_or`` hash aggregate (fixed-width state, partial on the map
+    side) instead of collecting every user's day list. Users seen before the
+    window but not in it get an all-zero map from the distinct user set,
+    which is a second partial aggregate.
+    """
+    if window_days is None:
+        window_days = anchor_bit + 1
+    d = day_of(ts_col)
+    lo = as_of - dt.timedelta(days=window_days - 1)
+    active = events.where(F.col(user_col).isNotNull() & (d >= date_lit(lo)) & (d <= date_lit(as_of)))
+    bits = active.groupBy(user_col).agg(
+        F.bit_or(
+            F.call_function(
+                "shiftleft", F.lit(1).cast("bigint"), F.lit(anchor_bit) - F.datediff(date_lit(as_of), d)
+            )
+        ).alias("_bits")
+    )
+    users = events.where(F.col(user_col).isNotNull() & (d <= date_lit(as_of))).select(user_col).distinct()
+    out = users.join(bits, user_col, "left").select(
         user_col,
-        "date",
-        "activity_bits",
-        bit_string("activity_bits", width).alias("activity_bit_string"),
-        F.bit_count("activity_bits").cast("int").alias("dim_monthly_active_for_n_days"),
-        (F.col("activity_bits") != 0).alias("dim_is_monthly_active"),
-        any_bits("activity_bits", top_bits_mask(week_days, width)).alias("dim_is_weekly_active"),
-        any_bits("activity_bits", top_bits_mask(1, width)).alias("dim_is_daily_active"),
+        date_lit(as_of).alias("date"),
+        F.coalesce(F.col("_bits"), F.lit(0).cast("bigint")).bitwiseAND(F.lit((1 << width) - 1)).alias("activity_bits"),
     )
+    return bitmap_flags(out, "activity_bits", width, week_days)

@@ -397,3 +397,6 @@ from used u left join daily dl on dl.d = u.d
 group by u.d
 """,
 }
+
+# the events-based plan of O18 has the same contract as the list-based one
+ORACLE_SQL["activity_bitmap_events"] = ORACLE_SQL["activity_bitmap"]

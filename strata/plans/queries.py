@@ -419,6 +419,14 @@ def q_activity_bitmap(spark, sf_dir):
     return bm.orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
 
 
+def q_activity_bitmap_events(spark, sf_dir):
+    """O18 computed from events with a ``bit_or`` aggregate (same result as ``activity_bitmap``)."""
+    h = src.hits(spark, sf_dir)
+    _, hi = _hit_day_bounds(h)
+    bm = activity.activity_bitmap_from_events(h, hi).withColumn("date", iso_date("date"))
+    return bm.withColumnRenamed("date", "snapshot_date").orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
+
+
 def q_activity_bitmap_literal(spark, sf_dir):
     """O18 with the literal exponent 32 - n over a 31-day series (the reference's own numbers)."""
     h = src.hits(spark, sf_dir)
@@ -482,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "graph_pair_report": q_graph_pair_report,
     "activity_datelist": q_activity_datelist,
     "activity_bitmap": q_activity_bitmap,
+    "activity_bitmap_events": q_activity_bitmap_events,
     "activity_bitmap_literal": q_activity_bitmap_literal,
     "array_metrics": q_array_metrics,
     "array_metrics_daily": q_array_metrics_daily,

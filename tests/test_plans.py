@@ -83,3 +83,10 @@ def test_exact_exchange_counts_on_stored_tables(spark, sf_dir):
     full = scd.scd2_full(players.read(), "entity_id", "current_season", list(Q.SCD_ATTRS), as_of=2001)
     p = plan_of(full)
     assert _exchanges(p) == 1 and "Window" in p
+
+
+def test_events_bitmap_is_a_hash_aggregate(spark, sf_dir):
+    h = src.hits(spark, sf_dir)
+    p = plan_of(activity.activity_bitmap_from_events(h, dt.date(2024, 1, 30)))
+    assert "ObjectHashAggregate" not in p and "SortAggregate" not in p and "collect_list" not in p
+    assert "bit_or" in p and "NestedLoop" not in p and "Cartesian" not in p
