@@ -335,7 +335,8 @@ def q_detect_changes(spark, sf_dir):
 
 
 def q_streaks(spark, sf_dir):
-    return scd.streaks(entity_backfill(spark, sf_dir), "entity_id", "current_season", SCD_ATTRS)
+    # a report: ordered by entity like the reference's streak query
+    return scd.streaks(entity_backfill(spark, sf_dir), "entity_id", "current_season", SCD_ATTRS).orderBy("entity_id")
 
 
 def q_scd2_full(spark, sf_dir):
@@ -398,7 +399,8 @@ def q_graph_max_points(spark, sf_dir):
 
 
 def q_graph_pair_report(spark, sf_dir):
-    return graph.vertex_edge_report(player_vertices(spark, sf_dir), pair_edges(spark, sf_dir))
+    report = graph.vertex_edge_report(player_vertices(spark, sf_dir), pair_edges(spark, sf_dir))
+    return report.orderBy("player_name")
 
 
 def q_activity_datelist(spark, sf_dir):
