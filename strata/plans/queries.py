@@ -137,7 +137,9 @@ def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     Player vertices, plays_in edges and pair edges all start from this same
     frame, so within one plan Spark computes its shuffle once and reuses it.
     """
-    details = src.game_details(spark, sf_dir).select(
+    # dedup_first(game_details, [player_id, game_id], GAME_DETAIL_ORDER), with the
+    # dedup placed below the many-to-one supplier join (same rows, skew-safe plan)
+    return src.game_details(spark, sf_dir, first_per_player_game=True).select(
         "player_id",
         "game_id",
         "player_name",
@@ -147,7 +149,6 @@ def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pts",
         *src.GAME_DETAIL_ORDER,
     )
-    return quality.dedup_first(details, ["player_id", "game_id"], src.GAME_DETAIL_ORDER)
 
 
 def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
