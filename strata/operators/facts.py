@@ -37,7 +37,7 @@ DEFAULT_MEASURES = {
 def build_fact(
     details: DataFrame,
     games: DataFrame,
-    order: Sequence[str],
+    order: Sequence[str] | None,
     grain: Sequence[str] = ("game_id", "team_id", "player_id"),
     measures: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -52,10 +52,11 @@ def build_fact(
     unless the session lets AQE split skewed joins followed by a window.)
     Derived columns: home flag (team = home team), three comment flags
     (NULL comment -> FALSE) and minutes from 'mm:ss' text (bad text -> NULL).
-    Measures absent from ``details`` are skipped.
+    Measures absent from ``details`` are skipped. ``order=None`` means the
+    caller already delivers one row per grain key (no dedup here).
     """
     measures = {k: v for k, v in (measures or DEFAULT_MEASURES).items() if k in details.columns}
-    deduped = dedup_first(details, list(grain), order)
+    deduped = dedup_first(details, list(grain), order) if order else details
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
     j = deduped.join(g, "game_id")
     return j.select(

@@ -199,7 +199,10 @@ def pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.build_fact(src.game_details(spark, sf_dir), src.games(spark, sf_dir), order=src.GAME_DETAIL_ORDER)
+    # team is the supplier's nation, so the (game, team, player) grain is the
+    # (player, game) grain: dedup on the line items below the supplier join
+    details = src.game_details(spark, sf_dir, first_per_player_game=True)
+    return facts.build_fact(details, src.games(spark, sf_dir), order=None)
 
 
 def _month_last_days(days: list[dt.date]) -> list[dt.date]:
