@@ -304,3 +304,13 @@ def test_metric_step_leaves_other_metrics_alone(spark):
     )
     out = metrics.array_metric_step(prev, ev, dt.date(2023, 1, 2))
     assert {(r.metric_name, tuple(r.metric_array)) for r in out.collect()} == {("site_hits", (2, 1))}
+
+
+def test_change_detection_null_semantics(spark):
+    snap = spark.createDataFrame(
+        [("A", 1, "x"), ("A", 2, None), ("A", 3, None), ("A", 4, "y")], "k string, p int, c string"
+    )
+    safe = rows_of(scd.detect_changes(snap, "k", "p", ["c"]), "p", "c_change_indicator")
+    literal = rows_of(scd.detect_changes(snap, "k", "p", ["c"], null_safe=False), "p", "c_change_indicator")
+    assert safe == [(1, 0), (2, 1), (3, 0), (4, 1)]
+    assert literal == [(1, 0), (2, 0), (3, 0), (4, 0)]  # `<>` with NULL never fires

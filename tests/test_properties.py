@@ -135,3 +135,65 @@ def test_metric_steps_match_brute_force(spark, hits, run_days):
             arr.append(sum(1 for uu, dd in hits if uu == u and dd == d) if d in processed else 0)
         expected[u] = arr
     assert got == expected
+
+
+fact_rows = st.lists(
+    st.tuples(
+        st.integers(1, 6),  # member
+        st.integers(1, 4),  # group
+        st.sampled_from(["T1", "T2", None]),  # side
+        st.integers(0, 9),  # measure
+        st.integers(0, 3),  # order
+    ),
+    min_size=1,
+    max_size=30,
+    unique_by=lambda r: (r[0], r[1], r[4]),
+)
+
+
+@SETTINGS
+@given(fact_rows, st.sampled_from([1, 2, 10**9]))
+def test_pair_edges_match_brute_force(spark, rows, chunk):
+    from strata.operators import graph
+
+    df = spark.createDataFrame(rows, "m long, g long, side string, v int, o int")
+    e = graph.cooccurrence_edges(df, "m", "g", "side", "v", order=["o"], chunk_rows=chunk)
+    got = sorted(
+        (int(r.subject_identifier), int(r.object_identifier), r.edge_type, *[int(x) for x in r.p])
+        for r in e.select(
+            "subject_identifier",
+            "object_identifier",
+            "edge_type",
+            F.array(
+                F.get_json_object("properties", "$.num_games"),
+                F.get_json_object("properties", "$.subject_points"),
+                F.get_json_object("properties", "$.object_points"),
+            ).alias("p"),
+        ).collect()
+    )
+    first = {}
+    for m, g, side, v, o in sorted(rows, key=lambda r: r[4]):
+        first.setdefault((m, g), (side, v))
+    agg = {}
+    for (ma, g), (sa, va) in first.items():
+        for (mb, gb), (sb, vb) in first.items():
+            if g == gb and ma > mb:
+                t = "shares_team" if sa is not None and sa == sb else "plays_against"
+                n, pa, pb = agg.get((ma, mb, t), (0, 0, 0))
+                agg[(ma, mb, t)] = (n + 1, pa + va, pb + vb)
+    assert got == sorted((a, b, t, *vals) for (a, b, t), vals in agg.items())
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 5), st.integers(0, 100)), min_size=1, max_size=25,
+                unique_by=lambda r: (r[0], r[1])))
+def test_dedup_first_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, o int, v int")
+    from strata.operators import quality
+
+    got = sorted(tuple(r) for r in quality.dedup_first(df, ["k"], ["o"]).collect())
+    best = {}
+    for k, o, v in rows:
+        if k not in best or o < best[k][1]:
+            best[k] = (k, o, v)
+    assert got == sorted(best.values())
