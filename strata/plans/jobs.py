@@ -22,9 +22,20 @@ from ..sources.snapshots import SnapshotTable
 from .fold import fold
 
 
-def season_step(spark: SparkSession, seasons: DataFrame, players_path: str, season: int, spec: CumulativeSpec) -> SnapshotTable:
-    """O01 for one season: snapshot ``season`` from snapshot ``season - 1`` (empty before the first)."""
-    table = SnapshotTable.at(spark, players_path, spec.as_of, sort_cols=[spec.key])
+def season_step(
+    spark: SparkSession,
+    seasons: DataFrame,
+    players_path: str,
+    season: int,
+    spec: CumulativeSpec,
+    buckets: int | None = None,
+) -> SnapshotTable:
+    """O01 for one season: snapshot ``season`` from snapshot ``season - 1`` (empty before the first).
+
+    With ``buckets`` the snapshot table is bucketed by the key, so each
+    season's full outer join shuffles only that season's rows.
+    """
+    table = SnapshotTable.at(spark, players_path, spec.as_of, sort_cols=[spec.key], buckets=buckets)
     return fold(table, [season], lambda prev, p: cumulative.cumulative_step(prev, seasons, spec, p), lambda p: p - 1)
 
 
@@ -79,10 +90,21 @@ def scd_increment(
     return table
 
 
-def activity_day(spark: SparkSession, events: DataFrame, state_path: str, day: dt.date, user_col: str = "user_id",
-                 ts_col: str = "event_time") -> SnapshotTable:
-    """O17 for one day (a skipped day carries the latest earlier state)."""
-    table = SnapshotTable.at(spark, state_path, "date", sort_cols=[user_col])
+def activity_day(
+    spark: SparkSession,
+    events: DataFrame,
+    state_path: str,
+    day: dt.date,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+    buckets: int | None = None,
+) -> SnapshotTable:
+    """O17 for one day (a skipped day carries the latest earlier state).
+
+    With ``buckets`` the state is bucketed by user: the day's join shuffles
+    only the day's distinct users, not the whole user table.
+    """
+    table = SnapshotTable.at(spark, state_path, "date", sort_cols=[user_col], buckets=buckets)
     return fold(
         table,
         [day],
@@ -100,9 +122,10 @@ def metric_day(
     metric_exprs: dict[str, Column] | None = None,
     user_col: str = "user_id",
     ts_col: str = "event_time",
+    buckets: int | None = None,
 ) -> SnapshotTable:
-    """O19 for one day: upsert today's values into the month arrays."""
-    table = SnapshotTable.at(spark, state_path, "as_of", sort_cols=[user_col])
+    """O19 for one day: upsert today's values into the month arrays (bucketed by user with ``buckets``)."""
+    table = SnapshotTable.at(spark, state_path, "as_of", sort_cols=[user_col], buckets=buckets)
     return fold(
         table,
         [day],

@@ -10,6 +10,7 @@ period-by-period fold, so a lost executor only recomputes one step.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -37,37 +38,61 @@ class SnapshotTable:
         path: str,
         as_of_col: str,
         sort_cols: Sequence[str] = (),
+        buckets: int | None = None,
     ) -> None:
+        """``buckets`` (optional) stores the table bucketed by its first sort
+        column (the entity key) through the session catalog. A later step's
+        join on that key then reads the state already hash-partitioned and
+        shuffles only the other side (the period's new rows) instead of the
+        whole state. Choose at least ``spark.sql.shuffle.partitions`` buckets.
+        """
         self.spark = spark
         self.path = path
         self.as_of_col = as_of_col
         self.sort_cols = list(sort_cols)
         self.schema: StructType | None = None
         self.written: list = []
+        if buckets and not self.sort_cols:
+            raise ValueError("a bucketed table needs a key in sort_cols")
+        self.buckets = buckets
+        self.table_name = "strata_" + hashlib.sha1(path.encode()).hexdigest()[:16] if buckets else None
 
     @classmethod
-    def scratch(cls, spark: SparkSession, name: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
+    def scratch(
+        cls, spark: SparkSession, name: str, as_of_col: str, sort_cols: Sequence[str] = (), buckets: int | None = None
+    ) -> SnapshotTable:
         """A fresh table under the shared checkpoint folder."""
-        return cls(spark, state_path(spark, name), as_of_col, sort_cols)
+        return cls(spark, state_path(spark, name), as_of_col, sort_cols, buckets)
 
     @classmethod
-    def at(cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
+    def at(
+        cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = (), buckets: int | None = None
+    ) -> SnapshotTable:
         """The table stored at ``path``: re-opened if it exists, else a new (empty) one."""
         try:
-            return cls.open(spark, path, as_of_col, sort_cols)
+            return cls.open(spark, path, as_of_col, sort_cols, buckets)
         except AnalysisException:  # nothing written there yet
-            return cls(spark, path, as_of_col, sort_cols)
+            return cls(spark, path, as_of_col, sort_cols, buckets)
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = ()) -> SnapshotTable:
+    def open(
+        cls, spark: SparkSession, path: str, as_of_col: str, sort_cols: Sequence[str] = (), buckets: int | None = None
+    ) -> SnapshotTable:
         """Re-open a table written earlier (e.g. by a driver that was restarted).
 
         The schema comes from the Parquet footers and the written periods
-        from the partition values -- a distinct over the partition column,
-        so its result is bounded by the number of periods.
+        from the partition directory names. A bucketed table is registered
+        in the session catalog again if this session does not know it.
         """
-        table = cls(spark, path, as_of_col, sort_cols)
+        table = cls(spark, path, as_of_col, sort_cols, buckets)
         table.schema = spark.read.parquet(path).schema
+        if buckets and not spark.catalog.tableExists(table.table_name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
+            key = table.sort_cols[0]
+            spark.sql(
+                f"CREATE TABLE {table.table_name} ({cols}) USING parquet PARTITIONED BY (`{as_of_col}`) "
+                f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+            )
         table.written = table.periods()
         return table
 
@@ -97,6 +122,9 @@ class SnapshotTable:
         """
         if self.schema is None:
             self.schema = df.schema
+        if self.buckets:
+            self._write_bucketed(df.select(*self.schema.fieldNames()))
+            return
         # REBALANCE on the partition column: AQE cuts the output into
         # advisory-size tasks (splitting a large as-of partition, merging
         # small ones), so each as-of directory gets a few well-sized files
@@ -113,6 +141,28 @@ class SnapshotTable:
             .parquet(self.path)
         )
 
+    def _write_bucketed(self, out: DataFrame) -> None:
+        key = self.sort_cols[0]
+        if not self.spark.catalog.tableExists(self.table_name):
+            (
+                out.write.bucketBy(self.buckets, key)
+                .sortBy(key)
+                .partitionBy(self.as_of_col)
+                .mode("overwrite")
+                .option("path", self.path)
+                .saveAsTable(self.table_name)
+            )
+            return
+        # replace only the as-of partitions present in ``out``; insertInto
+        # takes the session's overwrite mode, so set it for this write only
+        conf = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(conf)
+        self.spark.conf.set(conf, "dynamic")
+        try:
+            out.select(*self.spark.table(self.table_name).columns).write.insertInto(self.table_name, overwrite=True)
+        finally:
+            self.spark.conf.set(conf, before)
+
     def write_period(self, df: DataFrame, as_of) -> None:
         self.write(df)
         if as_of not in self.written:
@@ -121,7 +171,10 @@ class SnapshotTable:
     def read(self, as_of=None, as_of_in: Sequence | None = None) -> DataFrame:
         if self.schema is None:
             raise ValueError("table has not been written yet")
-        df = self.spark.read.schema(self.schema).parquet(self.path)
+        if self.buckets:
+            df = self.spark.table(self.table_name)  # bucketed scan: hash-partitioned by the key
+        else:
+            df = self.spark.read.schema(self.schema).parquet(self.path)
         if as_of is not None:
             df = df.where(F.col(self.as_of_col) == F.lit(as_of))
         if as_of_in is not None:

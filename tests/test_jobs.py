@@ -45,3 +45,29 @@ def test_daily_jobs_with_a_skipped_day(spark, sf_dir):
     arrays = SnapshotTable.open(spark, ma, "as_of").read(as_of=days[-1])
     assert arrays.where(F.size("metric_array") != 5).isEmpty()
     assert arrays.where(F.col("metric_array")[3] != 0).isEmpty()  # the skipped day holds 0
+
+
+def test_bucketed_state_avoids_shuffling_the_state(spark, sf_dir):
+    """Bucketed by key, the previous snapshot is read hash-partitioned: the step's
+    full outer join shuffles only the new season's rows, and results are unchanged."""
+    from strata.operators import cumulative
+    from strata.sources.snapshots import SnapshotTable
+
+    seasons = src.entity_periods(spark, sf_dir)
+    lo, hi = quality.bounds_of(seasons, "period")
+    plain, bucketed = state_path(spark, "jobs-plain"), state_path(spark, "jobs-bucketed")
+    for season in range(lo, lo + 3):
+        jobs.season_step(spark, seasons, plain, season, Q.ENTITY_SPEC)
+        jobs.season_step(spark, seasons, bucketed, season, Q.ENTITY_SPEC, buckets=8)
+    a = SnapshotTable.open(spark, plain, "current_season").read()
+    b = SnapshotTable.open(spark, bucketed, "current_season", ["entity_id"], buckets=8).read()
+    assert same_rows(a, b)
+
+    def exchanges(table):
+        step = cumulative.cumulative_step(table.read(as_of=lo + 2), seasons, Q.ENTITY_SPEC, lo + 3)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning"), "Bucketed: true" in plan
+
+    n_plain, _ = exchanges(SnapshotTable.open(spark, plain, "current_season"))
+    n_bucketed, bucket_scan = exchanges(SnapshotTable.open(spark, bucketed, "current_season", ["entity_id"], buckets=8))
+    assert bucket_scan and n_bucketed == n_plain - 1  # the state side is no longer shuffled
