@@ -93,6 +93,7 @@ class SnapshotTable:
                 f"CREATE TABLE {table.table_name} ({cols}) USING parquet PARTITIONED BY (`{as_of_col}`) "
                 f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
             )
+            spark.sql(f"ALTER TABLE {table.table_name} RECOVER PARTITIONS")  # catalog learns the stored periods
         table.written = table.periods()
         return table
 

@@ -71,3 +71,20 @@ def test_bucketed_state_avoids_shuffling_the_state(spark, sf_dir):
     n_plain, _ = exchanges(SnapshotTable.open(spark, plain, "current_season"))
     n_bucketed, bucket_scan = exchanges(SnapshotTable.open(spark, bucketed, "current_season", ["entity_id"], buckets=8))
     assert bucket_scan and n_bucketed == n_plain - 1  # the state side is no longer shuffled
+
+
+def test_bucketed_table_is_registered_again_in_a_new_catalog(spark, sf_dir):
+    from strata.sources.snapshots import SnapshotTable
+
+    h = src.hits(spark, sf_dir)
+    path = state_path(spark, "jobs-bucketed-dl")
+    for d in (dt.date(2024, 1, 1), dt.date(2024, 1, 2)):
+        jobs.activity_day(spark, h, path, d, buckets=8)
+    table = SnapshotTable.open(spark, path, "date", ["user_id"], buckets=8)
+    before = sorted(tuple(r) for r in table.read().collect())
+    spark.sql(f"DROP TABLE {table.table_name}")  # external table: the files stay
+    again = SnapshotTable.open(spark, path, "date", ["user_id"], buckets=8)
+    assert again.written == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert sorted(tuple(r) for r in again.read().collect()) == before
+    jobs.activity_day(spark, h, path, dt.date(2024, 1, 3), buckets=8)  # continues after re-registration
+    assert SnapshotTable.open(spark, path, "date", ["user_id"], buckets=8).written[-1] == dt.date(2024, 1, 3)
