@@ -314,3 +314,14 @@ def test_change_detection_null_semantics(spark):
     literal = rows_of(scd.detect_changes(snap, "k", "p", ["c"], null_safe=False), "p", "c_change_indicator")
     assert safe == [(1, 0), (2, 1), (3, 0), (4, 1)]
     assert literal == [(1, 0), (2, 0), (3, 0), (4, 0)]  # `<>` with NULL never fires
+
+
+def test_history_explode_one_entity_and_lookup_predicates(spark, c1):
+    one = cumulative.history_explode(c1, SPEC, as_of=2000, key_value="A")
+    assert rows_of(one, "season", "pts") == [(1996, 21.0), (1997, 21.0), (1999, 9.0)]
+    assert cumulative.history_explode(c1, SPEC, as_of=2000, key_value="nobody").isEmpty()
+    stars = cumulative.snapshot_lookup(
+        c1, "current_season", 1998, predicates=[F.col("scoring_class") == "star"], cols=["player_name", "is_active"]
+    )
+    assert rows_of(stars) == [("A", False)]
+    assert cumulative.snapshot_lookup(c1, "current_season", 1999, [F.col("scoring_class") == "star"]).isEmpty()
