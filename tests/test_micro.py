@@ -325,3 +325,29 @@ def test_history_explode_one_entity_and_lookup_predicates(spark, c1):
     )
     assert rows_of(stars) == [("A", False)]
     assert cumulative.snapshot_lookup(c1, "current_season", 1999, [F.col("scoring_class") == "star"]).isEmpty()
+
+
+def test_reports_order_desc_with_nulls_first(spark):
+    rows = [("a", [(1, 1, 0.0, 0.0, 0.0), (2, 1, 5.0, 0.0, 0.0)]), ("b", [(1, 1, 4.0, 0.0, 0.0), (2, 1, 6.0, 0.0, 0.0)]),
+            ("c", [(1, 1, None, 0.0, 0.0), (2, 1, 6.0, 0.0, 0.0)])]
+    schema = "player_name string, season_stats array<struct<season:int,gp:int,pts:double,reb:double,ast:double>>"
+    snap = spark.createDataFrame(rows, schema).withColumn("current_season", F.lit(2)).withColumn(
+        "scoring_class", F.lit("star")
+    )
+    ordered = [r.player_name for r in cumulative.first_vs_latest(snap, SPEC, as_of=2).collect()]
+    assert ordered == ["c", "a", "b"]  # NULL first (as in a DESC sort with NULLS FIRST), then 5.0, 1.5
+    fact = spark.createDataFrame(
+        [("p", True), ("p", False), ("q", True), ("r", False)], "dim_player_name string, dim_not_with_team boolean"
+    )
+    rates = [(r.dim_player_name, r.bailed_pct) for r in facts.conditional_rate(fact, "dim_player_name", "dim_not_with_team").collect()]
+    assert rates == [("q", 1.0), ("p", 0.5), ("r", 0.0)]
+
+
+def test_grain_check_and_period_bounds(spark):
+    from strata.operators import quality
+
+    df = spark.createDataFrame([(1, "x", 1995), (1, "x", 1996), (2, "y", 1997), (1, "z", 1995)], "k int, a string, p int")
+    assert rows_of(quality.grain_check(df, ["k", "a"])) == [(1, "x", 2)]
+    assert quality.grain_check(df, ["k", "a", "p"]).isEmpty()
+    assert rows_of(quality.period_bounds(df, "p")) == [(1995, 1997)]
+    assert quality.bounds_of(df, "p") == (1995, 1997)
