@@ -164,6 +164,35 @@ class SnapshotTable:
         finally:
             self.spark.conf.set(conf, before)
 
+    def replace(self, df: DataFrame) -> None:
+        """Truncate and reload: the table afterwards holds exactly ``df``'s periods.
+
+        The stand-in for TRUNCATE followed by INSERT; a static overwrite drops
+        every as-of partition that ``df`` does not contain.
+        """
+        self.schema = df.schema if self.schema is None else self.schema
+        out = df.select(*self.schema.fieldNames())
+        if self.buckets:
+            key = self.sort_cols[0]
+            (
+                out.write.bucketBy(self.buckets, key)
+                .sortBy(key)
+                .partitionBy(self.as_of_col)
+                .mode("overwrite")
+                .option("path", self.path)
+                .saveAsTable(self.table_name)
+            )
+        else:
+            (
+                out.hint("rebalance", self.as_of_col)
+                .sortWithinPartitions(self.as_of_col, *self.sort_cols)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(self.as_of_col)
+                .parquet(self.path)
+            )
+        self.written = self.periods()
+
     def write_period(self, df: DataFrame, as_of) -> None:
         self.write(df)
         if as_of not in self.written:

@@ -88,3 +88,16 @@ def test_bucketed_table_is_registered_again_in_a_new_catalog(spark, sf_dir):
     assert sorted(tuple(r) for r in again.read().collect()) == before
     jobs.activity_day(spark, h, path, dt.date(2024, 1, 3), buckets=8)  # continues after re-registration
     assert SnapshotTable.open(spark, path, "date", ["user_id"], buckets=8).written[-1] == dt.date(2024, 1, 3)
+
+
+def test_replace_truncates_other_periods(spark):
+    from strata.sources.snapshots import SnapshotTable
+
+    for buckets in (None, 4):
+        t = SnapshotTable.scratch(spark, "replace", "p", sort_cols=["k"], buckets=buckets)
+        t.write(spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "k int, p int"))
+        t.write(spark.createDataFrame([(3, 2)], "k int, p int"))  # dynamic: replaces period 2 only
+        assert sorted(tuple(r) for r in t.read().collect()) == [(1, 1), (2, 1), (3, 2)]
+        t.replace(spark.createDataFrame([(9, 3)], "k int, p int"))  # static: the table now holds period 3 only
+        assert sorted(tuple(r) for r in t.read().collect()) == [(9, 3)]
+        assert t.written == [3]
