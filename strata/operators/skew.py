@@ -89,3 +89,36 @@ def salted_self_join(
     if condition is not None:
         cond = cond & condition
     return a.join(b, cond, "inner")
+
+
+def salted_lookup_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    spread_cols: Sequence[str],
+    chunk_rows: int = 1_000_000,
+    how: str = "inner",
+) -> DataFrame:
+    """Many-to-one join (fact rows -> one dimension row per key) that splits hot keys.
+
+    A key with more than ``chunk_rows`` fact rows gets s = ceil(n / chunk_rows)
+    salt buckets: its fact rows are spread over them by a hash of
+    ``spread_cols``, and its single dimension row is copied to every bucket.
+    So no task joins more than about ``chunk_rows`` rows of one key, and the
+    plan does not depend on the session's skew-join settings. Cold keys keep
+    salt 0 and are not copied. The hot-key list is counted before it is
+    broadcast, as in ``salted_self_join``; beyond ``MAX_BROADCAST_HOT`` rows
+    it is joined with a shuffle instead.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    hot = hot_groups(fact, [key], chunk_rows)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return fact.join(dim, key, how)
+    bcast = n_hot <= MAX_BROADCAST_HOT
+    f = _tag(fact, hot, [key], bcast).withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.col("_nsalt").cast("bigint")).cast("int")
+    )
+    d = _tag(dim, hot, [key], bcast).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_nsalt") - 1)))
+    return f.drop("_nsalt").join(d.drop("_nsalt"), [key, "_salt"], how).drop("_salt")
