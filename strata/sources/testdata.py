@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_lookup_join
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -21,6 +23,9 @@ TABLES = (
 # every scale factor, so broadcasting them has a proven size bound.
 FIXED_DIMENSIONS = {"region": 5, "nation": 25}
 
+# Line items of one supplier beyond which the supplier join salts that supplier.
+HOT_KEY_ROWS = 1_000_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -82,10 +87,14 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def game_details(spark: SparkSession, sf_dir: str, salt_hot_suppliers: bool = False) -> DataFrame:
     """One row per line item: player = supplier, team = supplier's nation.
 
     ``ord_*`` columns give the total order used to pick one row per key.
+    By default a supplier holding a large share of the line items is left to
+    AQE's skew-join split (on in ``strata.session``). ``salt_hot_suppliers``
+    salts such suppliers explicitly, independent of session settings, at the
+    price of one extra key-count job per call.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -99,11 +108,20 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice",
         "l_shipdate",
     )
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    supplier = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"
+    )
     nation = _dimension(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     sup = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
     qty = F.col("l_quantity").cast("int")
-    return li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+    if salt_hot_suppliers:
+        # a supplier with very many line items is split over salt buckets (its
+        # one supplier row copied to each), so the windows keyed by player that
+        # follow never see it whole in one task, whatever the AQE settings
+        joined = salted_lookup_join(li, sup, "l_suppkey", ["l_orderkey", "l_linenumber"], chunk_rows=HOT_KEY_ROWS)
+    else:
+        joined = li.join(sup, "l_suppkey")
+    return joined.select(
         F.col("l_orderkey").alias("game_id"),
         F.col("s_nationkey").alias("team_id"),
         F.col("n_name").alias("team_abbreviation"),

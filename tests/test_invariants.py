@@ -239,3 +239,15 @@ def test_salted_lookup_join_equals_plain_join(spark, sf_dir):
         assert same_rows(salted, plain if how == "inner" else hot.join(sup, "l_suppkey", "left"))
     p = skew.salted_lookup_join(hot, sup, "l_suppkey", ["l_orderkey", "l_linenumber"], chunk_rows=100)
     assert "_salt" in p._jdf.queryExecution().executedPlan().toString()
+
+
+def test_game_details_with_salted_suppliers_is_the_same_view(spark, sf_dir):
+    from strata.sources import testdata
+
+    old = testdata.HOT_KEY_ROWS
+    testdata.HOT_KEY_ROWS = 50  # every supplier counts as hot here
+    try:
+        salted = src.game_details(spark, sf_dir, salt_hot_suppliers=True)
+        assert same_rows(salted, src.game_details(spark, sf_dir))
+    finally:
+        testdata.HOT_KEY_ROWS = old
