@@ -101,3 +101,18 @@ def test_replace_truncates_other_periods(spark):
         t.replace(spark.createDataFrame([(9, 3)], "k int, p int"))  # static: the table now holds period 3 only
         assert sorted(tuple(r) for r in t.read().collect()) == [(9, 3)]
         assert t.written == [3]
+
+
+def test_sql_over_a_stored_snapshot_table(spark, sf_dir):
+    from strata.sources.snapshots import SnapshotTable
+
+    seasons = src.entity_periods(spark, sf_dir)
+    path = state_path(spark, "jobs-sql-players")
+    jobs.players_backfill(spark, seasons, path, Q.ENTITY_SPEC)
+    players = SnapshotTable.open(spark, path, "current_season").read()
+    players.createOrReplaceTempView("players")
+    q = spark.sql("SELECT entity_id, scoring_class, is_active FROM players WHERE current_season = 2001")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(current_season" in plan and "= 2001)" in plan
+    expected = Q.q_snapshot_lookup(spark, sf_dir)
+    assert same_rows(q, expected)
