@@ -77,6 +77,7 @@ def activity_backfill(
     snapshots_from: dt.date | None = None,
     user_col: str = "user_id",
     ts_col: str = "event_time",
+    max_days: int | None = None,
 ) -> DataFrame:
     """Date-list snapshots up to ``last_day`` in one pass.
 
@@ -85,7 +86,8 @@ def activity_backfill(
     the user with the (bounded, one per day) sorted day list ->
     ``explode(sequence)`` over the as-of days -> ``filter`` + ``reverse``.
     ``snapshots_from`` limits which as-of days are produced (e.g. only
-    ``last_day``); the lists still hold every active day since ``first_day``.
+    ``last_day``); the lists still hold every active day since ``first_day``
+    (or only the newest ``max_days`` of them, as the step's trim does).
     """
     d = day_of(ts_col)
     cond = F.col(user_col).isNotNull() & (d <= date_lit(last_day))
@@ -99,11 +101,10 @@ def activity_backfill(
         "_all",
         F.explode(F.sequence(lo, date_lit(last_day), F.expr("INTERVAL 1 DAY"))).alias("date"),
     )
-    return snaps.select(
-        user_col,
-        F.reverse(F.filter(F.col("_all"), lambda x: x <= F.col("date"))).alias("dates_active"),
-        "date",
-    )
+    dates = F.reverse(F.filter(F.col("_all"), lambda x: x <= F.col("date")))
+    if max_days is not None:
+        dates = F.slice(dates, 1, max_days)
+    return snaps.select(user_col, dates.alias("dates_active"), "date")
 
 
 def activity_bitmap(

@@ -351,3 +351,13 @@ def test_grain_check_and_period_bounds(spark):
     assert quality.grain_check(df, ["k", "a", "p"]).isEmpty()
     assert rows_of(quality.period_bounds(df, "p")) == [(1995, 1997)]
     assert quality.bounds_of(df, "p") == (1995, 1997)
+
+
+def test_datelist_trim_matches_between_step_and_backfill(spark):
+    ev = _hits(spark, [(1, dt.datetime(2023, 1, d, 9)) for d in (1, 2, 4, 5)] + [(2, dt.datetime(2023, 1, 3, 9))])
+    prev = None
+    for d in range(1, 6):
+        prev = activity.activity_step(prev, ev, dt.date(2023, 1, d), max_days=2)
+    back = activity.activity_backfill(ev, dt.date(2023, 1, 5), snapshots_from=dt.date(2023, 1, 5), max_days=2)
+    assert rows_of(prev, "user_id", "dates_active") == rows_of(back, "user_id", "dates_active")
+    assert rows_of(back, "user_id", "dates_active")[0] == (1, [dt.date(2023, 1, 5), dt.date(2023, 1, 4)])
