@@ -7,6 +7,7 @@ operators were designed around (UTC, AQE with skew handling, no UI).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -23,13 +24,13 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session configured for the operators.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is
-    configured by the launcher (spark-submit on a cluster sets one).
+    Under a launcher (``spark-submit``, a notebook, a session already running)
+    master and driver memory are the launcher's; else ``master`` defaults to
+    ``local[$BENCH_CPUS or *]``.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get(
-        "PYSPARK_SUBMIT_ARGS", ""
-    ):
+    launched = _launched()
+    if master is None and not launched:
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
@@ -51,8 +52,9 @@ def get_session(
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("STRATA_DRIVER_MEMORY", "16g"),
     }
+    if not launched:
+        conf["spark.driver.memory"] = os.environ.get("STRATA_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -63,12 +65,21 @@ def get_session(
     return spark
 
 
+def _launched() -> bool:
+    """Whether something else than this process chose master and driver memory."""
+    submitted = any(k in os.environ for k in ("PYSPARK_GATEWAY_PORT", "SPARK_MASTER", "SPARK_REMOTE"))
+    arguments = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    return submitted or "--master" in arguments or "spark.master" in arguments or SparkSession.getActiveSession() is not None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written state tables.
 
     Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one
-    already set on the context). Only when none is configured, as in local
-    tests, a private temporary folder is created and registered.
+    already set on the context). Only when none is configured and the master
+    is ``local``, as in tests, a private temporary folder is created and
+    registered; on a cluster, where executors would not share it, that is an
+    error.
     """
     try:
         sc = spark.sparkContext
@@ -85,6 +96,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - conf lookup varies by deployment
             configured = None
     if not configured:
+        master = sc.master if sc is not None else "remote"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set: name a folder that the driver and all executors share (master {master})"
+            )
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     if sc is None:
         return configured
