@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, line_templates, phrase_index, quality_rules, simhash_covering
+from . import (
+    bpe_lexicon,
+    license_join,
+    line_templates,
+    phrase_index,
+    quality_knn,
+    quality_rules,
+    simhash_covering,
+    substring_dedup,
+    url_bloom,
+    warc_index,
+)
 from .common import table
 
 
@@ -15,6 +26,21 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# Host, path prefix and verdict of the rules for pages.
+URL_RULES = (
+    url_bloom.UrlRule("org", "/", "allow"),
+    url_bloom.UrlRule("example.org", "/es/", "block"),
+    url_bloom.UrlRule("example.org", "/en/1", "block"),
+    url_bloom.UrlRule("com", "/fr/", "allow"),
+    url_bloom.UrlRule("com", "/de/", "block"),
+)
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per removed span, with the place where its first unit occurs first."""
+    return substring_dedup.repeats(table(spark, sf_dir, "documents")).drop("_key")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_covering.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select(
@@ -22,6 +48,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_knn.score(docs, quality_knn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -29,6 +60,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan(table(spark, sf_dir, "documents"))
+
+
 def digests(encoded: DataFrame, *keep: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 digests of ids and decoded text, with the columns to keep."""
     return encoded.select(
@@ -45,6 +80,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe_lexicon.decode(bpe_lexicon.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are archived, indexed, and read back through the index."""
+    captures, shards = warc_index.archive(spark, table(spark, sf_dir, "pages"))
+    return warc_index.lookup(captures, shards)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"))
     return out.select(
@@ -72,14 +113,25 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the URLs of captures with next to no content."""
+    pages = table(spark, sf_dir, "pages")
+    return url_bloom.filter_urls(pages, url_bloom.thin_pages(pages), URL_RULES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_substring_dedup,
         op2_simhash_near_dedup,
+        op3_quality_classifier,
         op4_line_dedup,
+        op5_license_scan,
         op6_bpe_round_trip,
+        op7_warc,
         op8_quality_rules,
         op9_benchmark_decontamination,
+        op10_url_filter,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
