@@ -82,9 +82,15 @@ def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"), F.col("start"))
     again = (
         every.groupBy("d1", "d2")
-        .agg(F.min(place).alias("first"), F.max(F.struct("_key", "start")).alias("last"))
-        .where((F.col("first._key") != F.col("last._key")) | (F.col("first.start") != F.col("last.start")))
-        .select("d1", "d2", F.col("first.doc_id").alias("first_doc_id"), F.col("first._key").alias("first_key"), F.col("first.start").alias("first_start"))
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select(
+            "d1",
+            "d2",
+            F.col("first.doc_id").alias("first_doc_id"),
+            F.col("first._key").alias("first_key"),
+            F.col("first.start").alias("first_start"),
+        )
     )
     copies = (
         every.join(again, ["d1", "d2"])
