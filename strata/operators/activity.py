@@ -41,14 +41,12 @@ def activity_step(
     day: dt.date,
     user_col: str = "user_id",
     ts_col: str = "event_time",
-    max_days: int | None = None,
 ) -> DataFrame:
     """Date list as of ``day`` from the list as of ``day - 1`` and the day's events.
 
     Full outer join of yesterday's state with today's distinct users: today
     is prepended (newest first), absent users carry their list, new users
-    start one. The as-of is the literal day. ``max_days`` optionally trims
-    the list (off by default: lists keep every active day).
+    start one. The as-of is the literal day; lists keep every active day.
     """
     if prev is None:
         prev = empty_datelist(events, user_col)
@@ -60,8 +58,6 @@ def activity_step(
         .when(F.col("t.date_active").isNull(), F.col("y.dates_active"))
         .otherwise(F.concat(today, F.col("y.dates_active")))
     )
-    if max_days is not None:
-        dates = F.slice(dates, 1, max_days)
     j = y.join(t, F.col(f"y.{user_col}") == F.col(f"t.{user_col}"), "full_outer")
     return j.select(
         F.coalesce(F.col(f"t.{user_col}"), F.col(f"y.{user_col}")).alias(user_col),
@@ -77,7 +73,6 @@ def activity_backfill(
     snapshots_from: dt.date | None = None,
     user_col: str = "user_id",
     ts_col: str = "event_time",
-    max_days: int | None = None,
 ) -> DataFrame:
     """Date-list snapshots up to ``last_day`` in one pass.
 
@@ -86,8 +81,7 @@ def activity_backfill(
     the user with the (bounded, one per day) sorted day list ->
     ``explode(sequence)`` over the as-of days -> ``filter`` + ``reverse``.
     ``snapshots_from`` limits which as-of days are produced (e.g. only
-    ``last_day``); the lists still hold every active day since ``first_day``
-    (or only the newest ``max_days`` of them, as the step's trim does).
+    ``last_day``); the lists still hold every active day since ``first_day``.
     """
     d = day_of(ts_col)
     cond = F.col(user_col).isNotNull() & (d <= date_lit(last_day))
@@ -102,8 +96,6 @@ def activity_backfill(
         F.explode(F.sequence(lo, date_lit(last_day), F.expr("INTERVAL 1 DAY"))).alias("date"),
     )
     dates = F.reverse(F.filter(F.col("_all"), lambda x: x <= F.col("date")))
-    if max_days is not None:
-        dates = F.slice(dates, 1, max_days)
     return snaps.select(user_col, dates.alias("dates_active"), "date")
 
 
@@ -153,29 +145,25 @@ def activity_bitmap_from_events(
 ) -> DataFrame:
     """O18 straight from events, for when no date-list table is kept.
 
-    Same output as ``activity_bitmap`` over the as-of snapshot, with a lighter
-    plan: only the window's days are read for the bits, and they are combined
-    with a ``bit_or`` hash aggregate (fixed-width state, partial on the map
-    side) instead of collecting every user's day list. Users seen before the
-    window but not in it get an all-zero map from the distinct user set,
-    which is a second partial aggregate.
+    Same output as ``activity_bitmap`` over the as-of snapshot from one scan
+    and one hash aggregate: ``bit_or`` over the days in the window (fixed-width
+    state, partial on the map side); users seen only before it get zero.
     """
     if window_days is None:
         window_days = anchor_bit + 1
     d = day_of(ts_col)
-    lo = as_of - dt.timedelta(days=window_days - 1)
-    active = events.where(F.col(user_col).isNotNull() & (d >= date_lit(lo)) & (d <= date_lit(as_of)))
-    bits = active.groupBy(user_col).agg(
-        F.bit_or(
-            F.call_function(
-                "shiftleft", F.lit(1).cast("bigint"), F.lit(anchor_bit) - F.datediff(date_lit(as_of), d)
-            )
-        ).alias("_bits")
+    back = F.datediff(date_lit(as_of), d)
+    bit = F.when(
+        back < window_days, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(anchor_bit) - back)
+    ).otherwise(F.lit(0).cast("bigint"))
+    bits = (
+        events.where(F.col(user_col).isNotNull() & (d <= date_lit(as_of)))
+        .groupBy(user_col)
+        .agg(F.bit_or(bit).alias("_bits"))
     )
-    users = events.where(F.col(user_col).isNotNull() & (d <= date_lit(as_of))).select(user_col).distinct()
-    out = users.join(bits, user_col, "left").select(
+    out = bits.select(
         user_col,
         date_lit(as_of).alias("date"),
-        F.coalesce(F.col("_bits"), F.lit(0).cast("bigint")).bitwiseAND(F.lit((1 << width) - 1)).alias("activity_bits"),
+        F.col("_bits").bitwiseAND(F.lit((1 << width) - 1)).alias("activity_bits"),
     )
     return bitmap_flags(out, "activity_bits", width, week_days)

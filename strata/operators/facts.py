@@ -13,7 +13,7 @@ from .quality import dedup_first
 # Comment tokens and the flags they set.
 COMMENT_FLAGS = {"dim_did_not_play": "DNP", "dim_did_not_dress": "DND", "dim_not_with_team": "NWT"}
 
-# Measures of the fact table: source column -> fact column (``m_`` prefix).
+# Measures of the fact table, source column -> fact column (``m_`` prefix).
 DEFAULT_MEASURES = {
     "fgm": "m_fgm",
     "fga": "m_fga",
@@ -37,26 +37,29 @@ DEFAULT_MEASURES = {
 def build_fact(
     details: DataFrame,
     games: DataFrame,
-    order: Sequence[str],
+    order: Sequence[str] | None,
     grain: Sequence[str] = ("game_id", "team_id", "player_id"),
     measures: dict[str, str] | None = None,
 ) -> DataFrame:
     """Game-detail fact at (game, team, player) grain with ``dim_``/``m_`` columns.
 
-    Rows are deduplicated on the grain *before* the join to the game header
-    (unique per game). The dedup hashes on the whole (game, team, player)
-    key with a partial group limit before its shuffle, so a game holding a
-    large share of the rows is spread over many tasks; the join then moves
-    only surviving rows. (Joining first would save that shuffle when the
-    details are a stored table, but would put a hot game whole into one task
-    unless the session lets AQE split skewed joins followed by a window.)
+    The grain holds for repeated rows on either side: a game's header is its
+    earliest one (by date, then season, then home team), a player's line the
+    first under ``order``. Both sides are reduced before they are joined: the
+    details on the whole (game, team, player) key with a partial group limit
+    before the shuffle, so a game with very many rows is spread over many
+    tasks, and the join moves only surviving rows. With ``order=None`` the
+    details are at the grain already and are not reduced again.
     Derived columns: home flag (team = home team), three comment flags
     (NULL comment -> FALSE) and minutes from 'mm:ss' text (bad text -> NULL).
-    Measures absent from ``details`` are skipped.
+    A measure absent from ``details`` is an error.
     """
-    measures = {k: v for k, v in (measures or DEFAULT_MEASURES).items() if k in details.columns}
-    deduped = dedup_first(details, list(grain), order)
-    g = games.select("game_id", "game_date_est", "season", "home_team_id")
+    measures = measures or DEFAULT_MEASURES
+    if missing := [c for c in measures if c not in details.columns]:
+        raise ValueError(f"details lack the measures {missing}")
+    header = ["game_date_est", "season", "home_team_id"]
+    g = dedup_first(games.select("game_id", *header), "game_id", header)
+    deduped = dedup_first(details, list(grain), order) if order else details
     j = deduped.join(g, "game_id")
     return j.select(
         F.col("game_date_est").alias("dim_game_date"),

@@ -48,15 +48,12 @@ def aggregate_vertices(
 ) -> DataFrame:
     """O09 for entities known only from a fact table: properties are aggregates.
 
-    ``static`` columns are functionally dependent on the id (e.g. a name);
-    they are grouped with the id instead of aggregated, which keeps the
-    aggregate a hash aggregate (string MIN/MAX buffers force a sort-based
-    one). A violated dependency shows up as a repeated vertex id, which the
-    vertex grain check reports.
+    The id alone is the key: ``static`` columns (e.g. a name) take their
+    largest value, so an id with two names is still one vertex.
     """
     if vertex_type not in VERTEX_TYPES:
         raise ValueError(f"unknown vertex type {vertex_type!r}")
-    g = src.groupBy(id_col, *static).agg(*[v.alias(k) for k, v in aggs.items()])
+    g = src.groupBy(id_col).agg(*[F.max(c).alias(c) for c in static], *[v.alias(k) for k, v in aggs.items()])
     props = {c: F.col(c) for c in static}
     props.update({k: F.col(k) for k in aggs})
     return g.select(
@@ -116,10 +113,10 @@ def cooccurrence_edges(
     ``other_side`` otherwise (also when a side is NULL). Per (a, b, type):
     number of shared groups and the sum of each member's measure.
 
-    The pairs inside a group are the output itself (an edge list), so the
-    work is proportional to the result. Hot groups are split over several
-    tasks by ``salted_self_join``; the pair aggregate runs partially on the
-    map side before its shuffle.
+    The pairs inside a group are the output itself (an edge list): a group of
+    n members gives n(n-1)/2 of them, by contract. Large groups are split over
+    several tasks by ``salted_self_join``; the pair aggregate runs partially
+    on the map side before its shuffle.
     """
     cols = [member, group, side, measure]
     if order:
@@ -127,7 +124,6 @@ def cooccurrence_edges(
     else:  # caller guarantees one row per (member, group)
         deduped = fact.select(*cols)
     pairs = salted_self_join(
-        deduped,
         deduped,
         [group],
         salt_source=member,

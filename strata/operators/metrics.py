@@ -116,29 +116,32 @@ def array_metric_step(
 
 def array_metric_backfill(
     events: DataFrame,
-    day: dt.date,
+    day_lo: dt.date,
+    day_hi: dt.date,
     metrics: dict[str, Column] | None = None,
     user_col: str = "user_id",
     ts_col: str = "event_time",
 ) -> DataFrame:
-    """Month arrays as of ``day`` in one pass (same content as folding O19 from day 1).
+    """Month arrays as of each month's last day up to ``day_hi``, in one pass over all months.
 
-    Users are those with an event in the month up to ``day``; each array has
-    one entry per day offset 0..k, 0 where the user had no event.
+    Same content as folding O19 from ``day_lo`` on and reading each month's last
+    snapshot: users are those with an event in the month; an array has one
+    entry per day of the month so far, 0 where the user had no event.
+    ``day_lo`` is a month's first day, or the first day with any event.
     """
-    m0 = month_start(day)
-    k = (day - m0).days
-    daily = daily_metrics(events, m0, day, metrics, user_col, ts_col)
-    per_user = daily.groupBy(user_col, "metric_name").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.datediff("day", date_lit(m0)), F.col("value")))).alias("_m")
+    daily = daily_metrics(events, day_lo, day_hi, metrics, user_col, ts_col)
+    month = F.trunc("day", "month")
+    per_user = daily.groupBy(user_col, month.alias("month_start"), "metric_name").agg(
+        F.map_from_entries(
+            F.collect_list(F.struct(F.datediff("day", F.trunc("day", "month")), F.col("value")))
+        ).alias("_m")
     )
+    as_of = F.least(F.last_day("month_start"), date_lit(day_hi))
     arr = F.transform(
-        F.sequence(F.lit(0), F.lit(k)),
+        F.sequence(F.lit(0), F.datediff(as_of, F.col("month_start"))),
         lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0).cast("bigint")),
     )
-    return per_user.select(
-        user_col, date_lit(m0).alias("month_start"), "metric_name", arr.alias("metric_array"), date_lit(day).alias("as_of")
-    )
+    return per_user.select(user_col, "month_start", "metric_name", arr.alias("metric_array"), as_of.alias("as_of"))
 
 
 def array_metric_daily(metric_arrays: DataFrame) -> DataFrame:

@@ -1,23 +1,14 @@
-"""Hot-group handling for self-joins whose key may hold a large share of rows.
-
-``salted_self_join`` pairs up rows that share a group key. A plain equi
-self-join sends every row of a group to one task, so a group of n rows
-becomes one task doing n^2 work -- with a group holding a third of the
-data, one task does most of the job.
-
-Here a group with more than ``chunk_rows`` rows is cut into
-s = ceil(n / chunk_rows) hash buckets and its pairs are produced on an
-s x s grid of tasks: left rows of bucket i are copied to cells (i, 0..s-1),
-right rows of bucket j to cells (0..s-1, j), and each pair meets in exactly
-one cell. Every task then sees at most about ``chunk_rows`` rows per side
-(chunk_rows^2 candidate pairs) and each row is copied s times -- the
-least shuffle volume for that per-task bound. Cold groups use the single
-cell (0, 0) and are not copied.
-
-Group sizes come from a partial (map-side) count. The hot-group list is
-broadcast only after its size has been counted and is under
-``MAX_BROADCAST_HOT``; beyond that, rows are tagged with a shuffle join
-instead (AQE splits that join's skewed partitions).
+"""Self-joins whose key may hold a large share of the rows.
+
+A plain equi self-join sends every row of a group to one task, so a group of n
+rows is one task with n^2 work. ``salted_self_join`` cuts a group of n rows
+into s = ceil(n / chunk_rows) hash buckets and makes its pairs on an s x s
+grid of cells: left rows of bucket i are copied to cells (i, 0..s-1), right
+rows of bucket j to cells (0..s-1, j), and each pair meets in exactly one
+cell. A cell holds about ``chunk_rows`` rows per side; a group of up to
+``chunk_rows`` rows is one cell and is not copied. The plan is the same at
+every size: the group sizes come from a partial count and are joined back by
+the group's key.
 """
 
 from __future__ import annotations
@@ -28,97 +19,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_ROWS = 10_000
-MAX_BROADCAST_HOT = 1_000_000  # (group key, bucket count) rows: tens of MB at most
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], chunk_rows: int) -> DataFrame:
-    """(group..., _nsalt) for groups larger than ``chunk_rows`` rows."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.where(F.col("_n") > F.lit(chunk_rows)).select(
-        *group, F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_nsalt")
+def with_cells(df: DataFrame, group: Sequence[str], salt_source: str, chunk_rows: int) -> DataFrame:
+    """``df`` with ``_nsalt``, its group's number of buckets, and ``_bucket``, the row's own one."""
+    sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows)).cast("int").alias("_nsalt"))
+    return df.join(sizes, list(group)).withColumn(
+        "_bucket", F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsalt").cast("bigint")).cast("int")
     )
 
 
-def _tag(df: DataFrame, hot: DataFrame, group: list[str], broadcast: bool) -> DataFrame:
-    side = F.broadcast(hot) if broadcast else hot
-    return df.join(side, group, "left").withColumn("_nsalt", F.coalesce(F.col("_nsalt"), F.lit(1)))
-
-
 def salted_self_join(
-    left: DataFrame,
-    right: DataFrame,
+    df: DataFrame,
     group: Sequence[str],
     salt_source: str,
     condition: Column | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """Inner join of ``left`` (alias ``a``) and ``right`` (alias ``b``) on ``group``.
+    """Inner self-join of ``df`` (aliases ``a`` and ``b``) on ``group``.
 
-    ``left``/``right`` are two projections of the same rows; ``condition``
-    may reference ``a.*`` and ``b.*``. ``salt_source`` is a column of both
-    sides hashed to pick a row's bucket inside a hot group.
+    ``condition`` may reference ``a.*`` and ``b.*``; ``salt_source`` is the
+    column hashed to pick a row's bucket. Rows whose group is NULL pair with
+    nothing.
     """
-    group = list(group)
-    hot = hot_groups(left, group, chunk_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
-        a = left.withColumn("_cell_a", F.lit(0)).withColumn("_cell_b", F.lit(0)).alias("a")
-        b = right.withColumn("_cell_a", F.lit(0)).withColumn("_cell_b", F.lit(0)).alias("b")
-    else:
-        bcast = n_hot <= MAX_BROADCAST_HOT
-        bucket = F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsalt").cast("bigint")).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.col("_nsalt") - 1))
-        a = (
-            _tag(left, hot, group, bcast)
-            .withColumn("_cell_a", bucket)
-            .withColumn("_cell_b", every)
-            .drop("_nsalt")
-            .alias("a")
-        )
-        b = (
-            _tag(right, hot, group, bcast)
-            .withColumn("_cell_b", bucket)
-            .withColumn("_cell_a", every)
-            .drop("_nsalt")
-            .alias("b")
-        )
+    rows = with_cells(df, group, salt_source, chunk_rows)
+    every = F.explode(F.sequence(F.lit(0), F.col("_nsalt") - 1))
+    a = rows.withColumn("_cell_a", F.col("_bucket")).withColumn("_cell_b", every).alias("a")
+    b = rows.withColumn("_cell_b", F.col("_bucket")).withColumn("_cell_a", every).alias("b")
     cond = F.lit(True)
-    for g in group:
+    for g in [*group, "_cell_a", "_cell_b"]:
         cond = cond & (F.col(f"a.{g}") == F.col(f"b.{g}"))
-    cond = cond & (F.col("a._cell_a") == F.col("b._cell_a")) & (F.col("a._cell_b") == F.col("b._cell_b"))
     if condition is not None:
         cond = cond & condition
     return a.join(b, cond, "inner")
-
-
-def salted_lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_cols: Sequence[str],
-    chunk_rows: int = 1_000_000,
-    how: str = "inner",
-) -> DataFrame:
-    """Many-to-one join (fact rows -> one dimension row per key) that splits hot keys.
-
-    A key with more than ``chunk_rows`` fact rows gets s = ceil(n / chunk_rows)
-    salt buckets: its fact rows are spread over them by a hash of
-    ``spread_cols``, and its single dimension row is copied to every bucket.
-    So no task joins more than about ``chunk_rows`` rows of one key, and the
-    plan does not depend on the session's skew-join settings. Cold keys keep
-    salt 0 and are not copied. The hot-key list is counted before it is
-    broadcast, as in ``salted_self_join``; beyond ``MAX_BROADCAST_HOT`` rows
-    it is joined with a shuffle instead.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
-    hot = hot_groups(fact, [key], chunk_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return fact.join(dim, key, how)
-    bcast = n_hot <= MAX_BROADCAST_HOT
-    f = _tag(fact, hot, [key], bcast).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.col("_nsalt").cast("bigint")).cast("int")
-    )
-    d = _tag(dim, hot, [key], bcast).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_nsalt") - 1)))
-    return f.drop("_nsalt").join(d.drop("_nsalt"), [key, "_salt"], how).drop("_salt")

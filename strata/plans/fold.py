@@ -17,6 +17,22 @@ from pyspark.sql import functions as F
 from ..sources.snapshots import SnapshotTable
 
 
+class MissingPeriodError(LookupError):
+    """The partition that a step starts from is absent although earlier ones exist."""
+
+
+def previous_snapshot(table: SnapshotTable, period, previous) -> DataFrame | None:
+    """Partition ``previous``; None before the first period; an error if only earlier ones exist."""
+    if table.has(previous):
+        return table.read(as_of=previous)
+    if earlier := [w for w in table.written if w is not None and w < period]:
+        raise MissingPeriodError(
+            f"{table.path}: {previous} was never written, the last period before {period} is {max(earlier)}; "
+            "run the periods between first"
+        )
+    return None
+
+
 def fold(
     table: SnapshotTable,
     periods: Iterable,
@@ -27,46 +43,22 @@ def fold(
 ) -> SnapshotTable:
     """Apply ``step(prev_snapshot_or_None, period)`` for each period in order.
 
-    With ``carry_latest`` a skipped period does not reset the state: when
-    ``previous_of(p)`` was never written, the latest partition written
-    before ``p`` stands in for it (relabelled to ``previous_of(p)``), as a
-    keyed table updated in place would behave. With ``resume`` periods that
-    are already written are skipped (after a restart, re-open the table with
-    ``SnapshotTable.open``); without it every given period is recomputed and
-    its partition replaced.
+    A period whose predecessor is missing although earlier ones are stored is
+    an error: starting anew would lose every history. With ``carry_latest`` the
+    latest partition before it stands in instead (relabelled to
+    ``previous_of(p)``), as a keyed table updated in place would behave. With
+    ``resume`` periods that are already written are skipped (after a restart,
+    re-open the table with ``SnapshotTable.open``); without it every given
+    period is recomputed and its partition replaced.
     """
     for p in periods:
         if resume and table.has(p):
             continue
         prev_p = previous_of(p)
-        if table.has(prev_p):
-            prev = table.read(as_of=prev_p)
-        elif carry_latest and any(w < p for w in table.written):
-            latest = max(w for w in table.written if w < p)
-            prev = table.read(as_of=latest).withColumn(table.as_of_col, F.lit(prev_p))
+        earlier = [w for w in table.written if w is not None and w < p]
+        if carry_latest and earlier and not table.has(prev_p):
+            prev = table.read(as_of=max(earlier)).withColumn(table.as_of_col, F.lit(prev_p))
         else:
-            prev = None
+            prev = previous_snapshot(table, p, prev_p)
         table.write_period(step(prev, p), p)
     return table
-
-
-def catch_up_then_step(
-    table: SnapshotTable,
-    history: DataFrame | None,
-    periods: Iterable,
-    step: Callable[[DataFrame | None, object], DataFrame],
-    previous_of: Callable[[object], object],
-    history_periods: Iterable = (),
-    carry_latest: bool = False,
-) -> SnapshotTable:
-    """Backfill history in one job, then continue with incremental steps.
-
-    ``history`` holds the snapshots for ``history_periods`` computed by a
-    closed-form backfill (one shuffle for all of them); it is written once,
-    and the step operator then runs for each of ``periods`` on top of it --
-    how a daily pipeline is bootstrapped before it runs day by day.
-    """
-    if history is not None:
-        table.write(history)
-        table.written.extend(history_periods)
-    return fold(table, periods, step, previous_of, carry_latest)

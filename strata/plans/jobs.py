@@ -16,10 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import activity, cumulative, metrics, scd
+from .. import schemas
+from ..operators import activity, cumulative, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
 from ..sources.snapshots import SnapshotTable
-from .fold import fold
+from .fold import MissingPeriodError, fold
 
 
 def season_step(
@@ -77,6 +78,9 @@ def scd_increment(
     """SCD2 partition ``season`` from SCD2 partition ``season - 1`` and snapshot ``season``."""
     players = SnapshotTable.open(spark, players_path, spec.as_of)
     table = SnapshotTable.open(spark, scd_path, spec.as_of, sort_cols=[spec.key])
+    for name, stored, period in (("players", players, season), ("SCD2", table, season - 1)):
+        if not stored.has(period):
+            raise MissingPeriodError(f"{name} table {stored.path}: {period} was never written")
     out = scd.scd2_incremental(
         table.read(as_of=season - 1),
         players.read(as_of=season),
@@ -133,3 +137,23 @@ def metric_day(
         lambda d: d - dt.timedelta(days=1),
         carry_latest=True,
     )
+
+
+class DuplicateKeyError(ValueError):
+    """A stored table holds a key more than once."""
+
+
+def store_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Write ``df`` as the declared table ``name``: columns by name, enum domains and primary key enforced.
+
+    The key is checked on the written rows with one partial aggregate, before
+    anything else reads the table.
+    """
+    spark = df.sparkSession
+    rows = schemas.conform(df, schemas.TABLES[name])
+    schemas.enforce_domains(rows, schemas.DOMAINS.get(name, {})).write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(schemas.TABLES[name]).parquet(path)
+    keys = schemas.PRIMARY_KEYS[name]
+    if repeated := quality.grain_check(stored, keys).first():
+        raise DuplicateKeyError(f"{name} at {path}: {repeated.asDict()}")
+    return stored

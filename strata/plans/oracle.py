@@ -32,12 +32,19 @@ from orders o join customer c on o.o_custkey = c.c_custkey
 GAME_DETAILS = """
 select l.l_orderkey as game_id, s.s_nationkey as team_id, n.n_name as team_abbreviation,
  l.l_suppkey as player_id, s.s_name as player_name, l.l_linestatus as start_position,
- cast(l.l_quantity as int) as pts, l.l_linenumber as reb, cast(round(l.l_discount*100) as int) as ast,
  case when l.l_returnflag = 'A' then 'DNP - Coach Decision'
       when l.l_returnflag = 'R' and l.l_linenumber % 2 = 0 then 'NWT - Not With Team'
       when l.l_returnflag = 'R' then 'DND - Did Not Dress' end as comment,
  case when l.l_returnflag <> 'A' then concat(cast(cast(l.l_quantity as int) as string), ':',
       lpad(cast(l.l_linenumber * 7 as string), 2, '0')) end as min,
+ cast(l.l_partkey % 15 as int) as fgm, cast(l.l_partkey % 15 + l.l_linenumber as int) as fga,
+ cast(l.l_partkey % 5 as int) as fg3m, cast(l.l_partkey % 5 + 2 as int) as fg3a,
+ cast(l.l_suppkey % 8 as int) as ftm, cast(l.l_suppkey % 8 + 1 as int) as fta,
+ cast(l.l_linenumber % 3 as int) as oreb, cast(l.l_linenumber - l.l_linenumber % 3 as int) as dreb,
+ l.l_linenumber as reb, cast(round(l.l_discount*100) as int) as ast,
+ cast(l.l_orderkey % 4 as int) as stl, cast(l.l_orderkey % 3 as int) as blk,
+ cast(l.l_partkey % 7 as int) as turnovers, cast(l.l_linenumber % 6 as int) as pf,
+ cast(l.l_quantity as int) as pts, cast(l.l_quantity as int) - 25 as plus_minus,
  l.l_linenumber as ord_line, l.l_partkey as ord_part, l.l_extendedprice as ord_price, l.l_shipdate as ord_ship
 from lineitem l join supplier s on l.l_suppkey = s.s_suppkey join nation n on s.s_nationkey = n.n_nationkey
 """
@@ -49,7 +56,8 @@ from supplier s join nation n on s.s_nationkey = n.n_nationkey join region r on
 """
 
 HITS = """
-select case when event_type = 'error' then null else user_id end as user_id, ts as event_time from events
+select case when event_type = 'error' then null else user_id end as user_id, ts as event_time, event_type
+from events
 """
 
 CLASS_OF_LAST = """
@@ -75,7 +83,10 @@ snap0 as (
         arg_max(p.top_priority, p.period) filter (where p.top_priority is not null) as last_top_priority,
         cast(count(*) as int) as n_seasons,
         string_agg(cast(p.period as varchar), ',' order by p.period) as seasons,
+        string_agg(cast(p.gp as varchar), ',' order by p.period) as gp_history,
         string_agg(cast(p.pts as varchar), ',' order by p.period) as pts_history,
+        string_agg(cast(p.reb as varchar), ',' order by p.period) as reb_history,
+        string_agg(cast(p.ast as varchar), ',' order by p.period) as ast_history,
         arg_max(p.pts, p.period) as last_pts, arg_min(p.pts, p.period) as first_pts,
         max(p.period) as last_period
  from grid g join ep p on p.entity_id = g.entity_id and p.period <= g.current_season
@@ -87,7 +98,8 @@ snap as (
  from snap0)
 """
 
-SNAPSHOT_COLUMNS = """n_seasons, seasons, pts_history, scoring_class, years_since_last_season, is_active"""
+SNAPSHOT_COLUMNS = """n_seasons, seasons, gp_history, pts_history, reb_history, ast_history,
+       scoring_class, years_since_last_season, is_active"""
 
 STREAKS = """
 ind as (
@@ -115,17 +127,20 @@ pv as (
  from f group by player_id)
 """
 
+# from the member list of each game: every member against the ones listed before it
 PAIRS = """
+members as (
+ select game_id, list({'id': player_id, 'team': team_abbreviation, 'pts': pts} order by player_id) as m
+ from f group by game_id),
+later as (select game_id, m, unnest(range(2, len(m) + 1)) as i from members where len(m) > 1),
+met as (select m[i] as s, unnest(m[1:i - 1]) as o from later),
 pairs as (
- select cast(f1.player_id as varchar) as subject_identifier, 'player' as subject_type,
-        cast(f2.player_id as varchar) as object_identifier, 'player' as object_type,
-        case when f1.team_abbreviation = f2.team_abbreviation then 'shares_team' else 'plays_against' end
-          as edge_type,
-        count(*) as num_games, cast(sum(f1.pts) as bigint) as subject_points,
-        cast(sum(f2.pts) as bigint) as object_points
- from f f1 join f f2 on f1.game_id = f2.game_id and f1.player_id > f2.player_id
- group by f1.player_id, f2.player_id,
-          case when f1.team_abbreviation = f2.team_abbreviation then 'shares_team' else 'plays_against' end)
+ select cast(s.id as varchar) as subject_identifier, 'player' as subject_type,
+        cast(o.id as varchar) as object_identifier, 'player' as object_type,
+        if(s.team = o.team, 'shares_team', 'plays_against') as edge_type,
+        count(*) as num_games, cast(sum(s.pts) as bigint) as subject_points,
+        cast(sum(o.pts) as bigint) as object_points
+ from met group by all)
 """
 
 VERTEX_KV = f"""
@@ -148,25 +163,29 @@ kv as (
  union all select cast(game_id as varchar), 'game', 'home_team_id', cast(home_team_id as varchar) from g)
 """
 
+MEASURES = (
+    "fgm fga fg3m fg3a ftm fta oreb dreb reb ast stl blk turnovers pf pts plus_minus"
+).split()
+
+# the header is joined first, one row per grain is picked from the joined rows
 FACT = f"""
-gd as ({GAME_DETAILS}),
-g as ({GAMES}),
-d as (
- select *, row_number() over (partition by game_id, team_id, player_id
-                              order by ord_line, ord_part, ord_price, ord_ship) as rn
- from gd),
+picked as (
+ select game_id, team_id, player_id,
+        arg_min(j, row(game_date_est, season, home_team_id, ord_line, ord_part, ord_price, ord_ship)) as j
+ from (select d.*, g.game_date_est, g.season, g.home_team_id
+       from ({GAME_DETAILS}) d join ({GAMES}) g on d.game_id = g.game_id) j
+ group by game_id, team_id, player_id),
 fact as (
- select g.game_date_est as dim_game_date, g.season as dim_season, d.team_id as dim_team_id,
-        d.player_id as dim_player_id, d.player_name as dim_player_name,
-        d.start_position as dim_start_position, d.team_id = g.home_team_id as dim_is_playing_at_home,
-        coalesce(position('DNP' in d.comment), 0) > 0 as dim_did_not_play,
-        coalesce(position('DND' in d.comment), 0) > 0 as dim_did_not_dress,
-        coalesce(position('NWT' in d.comment), 0) > 0 as dim_not_with_team,
-        try_cast(split_part(d.min, ':', 1) as double) + try_cast(split_part(d.min, ':', 2) as double) / 60.0
+ select j.game_date_est as dim_game_date, j.season as dim_season, j.team_id as dim_team_id,
+        j.player_id as dim_player_id, j.player_name as dim_player_name,
+        j.start_position as dim_start_position, j.team_id = j.home_team_id as dim_is_playing_at_home,
+        contains(coalesce(j.comment, ''), 'DNP') as dim_did_not_play,
+        contains(coalesce(j.comment, ''), 'DND') as dim_did_not_dress,
+        contains(coalesce(j.comment, ''), 'NWT') as dim_not_with_team,
+        try_cast(split_part(j.min, ':', 1) as double) + try_cast(split_part(j.min, ':', 2) as double) / 60.0
           as m_minutes,
-        d.reb as m_reb, d.ast as m_ast, d.pts as m_pts
- from d join g on d.game_id = g.game_id
- where d.rn = 1)
+        {', '.join(f'j.{m} as m_{m}' for m in MEASURES)}
+ from picked)
 """
 
 USER_DAYS = f"""
@@ -177,7 +196,7 @@ ud as (select distinct user_id, cast(event_time as date) as d from h where user_
 DAILY_HITS = f"""
 h as ({HITS}),
 daily as (
- select user_id, cast(event_time as date) as d, count(*) as n
+ select user_id, cast(event_time as date) as d, count(*) as n, count(distinct event_type) as kinds
  from h where user_id is not null group by user_id, cast(event_time as date)),
 days as (
  select cast(unnest(generate_series((select min(d) from daily), (select max(d) from daily), interval 1 day))
@@ -285,7 +304,7 @@ from st group by entity_id, streak_identifier, is_active, scoring_class
 with {FACT}
 select cast(dim_game_date as varchar) as dim_game_date, dim_season, dim_team_id, dim_player_id,
        dim_player_name, dim_start_position, dim_is_playing_at_home, dim_did_not_play, dim_did_not_dress,
-       dim_not_with_team, m_minutes, m_reb, m_ast, m_pts
+       dim_not_with_team, m_minutes, {', '.join(f'm_{m}' for m in MEASURES)}
 from fact
 """,
     "bailed_pct": f"""
@@ -383,18 +402,33 @@ from b
     "array_metrics": f"""
 with {DAILY_HITS},
 grid as (
- select user_id, m, cast(unnest(generate_series(0, cast(last_d - m as bigint))) as int) as day_index from mu)
-select g.user_id, cast(g.m as varchar) as month_start, 'site_hits' as metric_name, g.day_index,
-       coalesce(dl.n, 0) as value
-from grid g left join daily dl on dl.user_id = g.user_id and dl.d = g.m + g.day_index
+ select user_id, m, cast(unnest(generate_series(0, cast(last_d - m as bigint))) as int) as day_index from mu),
+filled as (
+ select g.user_id, cast(g.m as varchar) as month_start, g.day_index, coalesce(dl.n, 0) as site_hits,
+        coalesce(dl.kinds, 0) as event_kinds
+ from grid g left join daily dl on dl.user_id = g.user_id and dl.d = g.m + g.day_index)
+select user_id, month_start, metric_name, day_index, value
+from (unpivot filled on site_hits, event_kinds into name metric_name value value)
 """,
     "array_metrics_daily": f"""
 with {DAILY_HITS},
-used as (select d from days where cast(date_trunc('month', d) as date) in (select m from mu))
-select 'site_hits' as metric_name, cast(u.d as varchar) as metric_date,
-       cast(coalesce(sum(dl.n), 0) as bigint) as value
-from used u left join daily dl on dl.d = u.d
-group by u.d
+used as (select d from days where cast(date_trunc('month', d) as date) in (select m from mu)),
+totals as (
+ select cast(u.d as varchar) as metric_date, cast(coalesce(sum(dl.n), 0) as bigint) as site_hits,
+        cast(coalesce(sum(dl.kinds), 0) as bigint) as event_kinds
+ from used u left join daily dl on dl.d = u.d
+ group by u.d)
+select metric_name, metric_date, value
+from (unpivot totals on site_hits, event_kinds into name metric_name value value)
+""",
+    "history_explode_one": f"""
+with ep as ({ENTITY_PERIODS})
+select entity_id, period, gp, pts, reb, ast from ep where entity_id = (select min(o_custkey) from orders)
+""",
+    "snapshot_lookup_star": f"""
+with {SNAPSHOTS}
+select entity_id, scoring_class, is_active from snap
+where current_season = {LAST_PERIOD} and scoring_class = 'star' and is_active
 """,
 }
 

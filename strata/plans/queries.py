@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_struct, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
-from ..plans.fold import catch_up_then_step
+from ..plans import jobs
+from ..plans.fold import fold
 from ..sources import testdata as src
+from ..session import state_path
 from ..sources.snapshots import SnapshotTable
 
 ENTITY_SPEC = CumulativeSpec(
@@ -48,7 +50,9 @@ LINEITEM_ORDER = [
 
 
 def _entity_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    return quality.bounds_of(src.entity_periods(spark, sf_dir), "period")
+    """First and last order year: one aggregate over one column, no join."""
+    lo, hi = quality.bounds_of(src.read_table(spark, sf_dir, "orders").select("o_orderdate"), "o_orderdate")
+    return lo.year, hi.year
 
 
 def _hit_day_bounds(hits: DataFrame) -> tuple[dt.date, dt.date]:
@@ -68,7 +72,7 @@ def snapshot_report(snap: DataFrame, spec: CumulativeSpec = ENTITY_SPEC) -> Data
         *spec.dims,
         F.size(h).cast("int").alias("n_seasons"),
         render_list(h, spec.period).alias("seasons"),
-        render_list(h, spec.measure).alias("pts_history"),
+        *[render_list(h, c).alias(f"{c}_history") for c in spec.stats],
         spec.cls,
         spec.idle,
         spec.active,
@@ -81,36 +85,23 @@ def entity_backfill(spark: SparkSession, sf_dir: str, first=None, last=None, dim
     )
 
 
-def entity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> SnapshotTable:
-    """Snapshot table built with O01 steps; each period is one written partition.
+def entity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Snapshot table built with O01 steps, one for every period; each is one written partition.
 
     The source is staged once as a table partitioned by period (as a
     player-seasons table would be stored), so each step reads exactly one
-    source partition and one snapshot partition. With ``steps=n`` the first
-    periods come from one backfill job (the fold's closed form, newest-wins
-    dimensions) and only the last ``n`` periods run as incremental steps;
-    ``steps=None`` folds every period.
+    source partition and one snapshot partition.
     """
     staged = SnapshotTable.scratch(spark, "player_seasons", ENTITY_SPEC.period, sort_cols=[ENTITY_SPEC.key])
     staged.write(src.entity_periods(spark, sf_dir))
     seasons = staged.read()
     present = staged.periods()  # from the partition listing, no job
-    lo, hi = present[0], present[-1]
     table = SnapshotTable.scratch(spark, "players", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
-    periods = list(range(lo, hi + 1))
-    split = 0 if steps is None else max(len(periods) - steps, 0)
-    history = (
-        cumulative.cumulative_backfill(seasons, ENTITY_SPEC, last=periods[split - 1], dims_mode="latest")
-        if split
-        else None
-    )
-    return catch_up_then_step(
+    return fold(
         table,
-        history,
-        periods[split:],
+        range(present[0], present[-1] + 1),
         lambda prev, p: cumulative.cumulative_step(prev, seasons, ENTITY_SPEC, p),
         previous_of=lambda p: p - 1,
-        history_periods=periods[:split],
     )
 
 
@@ -128,35 +119,29 @@ def graph_vertices_df(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         order=["ord_supp"],
     )
-    return teams.unionByName(player_vertices(spark, sf_dir)).unionByName(game_vertices(spark, sf_dir))
+    return teams.unionByName(player_vertices(src.player_games(spark, sf_dir))).unionByName(game_vertices(spark, sf_dir))
 
 
 def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Game details deduplicated to one row per (player, game).
+    """Game details at one row per (player, game), written once to the shared folder.
 
-    Player vertices, plays_in edges and pair edges all start from this same
-    frame, so within one plan Spark computes its shuffle once and reuses it.
+    Player vertices, plays_in edges and pair edges all start from this table.
     """
-    details = src.game_details(spark, sf_dir).select(
-        "player_id",
-        "game_id",
-        "player_name",
-        "team_id",
-        "team_abbreviation",
-        "start_position",
-        "pts",
-        *src.GAME_DETAIL_ORDER,
+    path = state_path(spark, "player_games")
+    rows = src.player_games(spark, sf_dir).select(
+        "player_id", "game_id", "player_name", "team_id", "team_abbreviation", "start_position", "pts"
     )
-    return quality.dedup_first(details, ["player_id", "game_id"], src.GAME_DETAIL_ORDER)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_vertices(games_of_players: DataFrame) -> DataFrame:
     return graph.aggregate_vertices(
-        player_games(spark, sf_dir),
+        games_of_players,
         "player_id",
         "player",
         {"number_of_games": F.count(F.lit(1)), "total_points": F.sum("pts")},
-        static=["player_name"],  # the supplier's name: one per id
+        static=["player_name"],
     )
 
 
@@ -169,9 +154,9 @@ def game_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plays_in_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plays_in_edges(games_of_players: DataFrame) -> DataFrame:
     return graph.bipartite_edges(
-        player_games(spark, sf_dir),
+        games_of_players,
         "player_id",
         "player",
         "game_id",
@@ -186,9 +171,9 @@ def plays_in_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pair_edges(games_of_players: DataFrame) -> DataFrame:
     return graph.cooccurrence_edges(
-        player_games(spark, sf_dir),
+        games_of_players,
         member="player_id",
         group="game_id",
         side="team_abbreviation",
@@ -198,7 +183,8 @@ def pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.build_fact(src.game_details(spark, sf_dir), src.games(spark, sf_dir), order=src.GAME_DETAIL_ORDER)
+    # a player has one team: the first line per (game, player) is the one per (game, team, player)
+    return facts.build_fact(src.player_games(spark, sf_dir), src.games(spark, sf_dir), order=None)
 
 
 def _month_last_days(days: list[dt.date]) -> list[dt.date]:
@@ -208,52 +194,35 @@ def _month_last_days(days: list[dt.date]) -> list[dt.date]:
     return sorted(last.values())
 
 
-def metric_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> tuple[SnapshotTable, list[dt.date]]:
-    """Month arrays built with O19 steps; returns the table and each month's last day.
+def metric_exprs() -> dict:
+    """Two metrics of one job: hits, and kinds of events, per user and day."""
+    return {**metrics.default_metrics(), "event_kinds": F.countDistinct("event_type")}
 
-    With ``steps=n`` the arrays as of the day before the last ``n`` days come
-    from one backfill job per month, and the last ``n`` days run as
-    incremental upsert steps; ``steps=None`` folds every day.
-    """
+
+def metric_fold(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dt.date]]:
+    """Month arrays built with O19 steps, one for every day; the table and each month's last day."""
     h = src.hits(spark, sf_dir)
-    lo, hi = _hit_day_bounds(h)
-    days = _days(lo, hi)
-    split = 0 if steps is None else max(len(days) - steps, 0)
+    days = _days(*_hit_day_bounds(h))
     table = SnapshotTable.scratch(spark, "array_metrics", "as_of", sort_cols=["user_id"])
-    history, history_days = None, []
-    if split:
-        # state needed later: each earlier month's last day, and the day before the steps
-        history_days = sorted(set(_month_last_days(days[:split])) | {days[split - 1]})
-        for d in history_days:
-            part = metrics.array_metric_backfill(h, d)
-            history = part if history is None else history.unionByName(part)
-    catch_up_then_step(
+    fold(
         table,
-        history,
-        days[split:],
-        lambda prev, d: metrics.array_metric_step(prev, h, d),
+        days,
+        lambda prev, d: metrics.array_metric_step(prev, h, d, metric_exprs()),
         previous_of=lambda d: d - dt.timedelta(days=1),
-        history_periods=history_days,
         carry_latest=True,
     )
     return table, _month_last_days(days)
 
 
-def activity_fold(spark: SparkSession, sf_dir: str, steps: int | None = None) -> SnapshotTable:
-    """Date-list table built with O17 steps (history from one backfill job when ``steps`` is set)."""
+def activity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Date-list table built with O17 steps, one for every day."""
     h = src.hits(spark, sf_dir)
-    lo, hi = _hit_day_bounds(h)
-    days = _days(lo, hi)
-    split = 0 if steps is None else max(len(days) - steps, 0)
     table = SnapshotTable.scratch(spark, "users_cumulated", "date", sort_cols=["user_id"])
-    history = activity.activity_backfill(h, days[split - 1], first_day=lo) if split else None
-    return catch_up_then_step(
+    return fold(
         table,
-        history,
-        days[split:],
+        _days(*_hit_day_bounds(h)),
         lambda prev, d: activity.activity_step(prev, h, d),
         previous_of=lambda d: d - dt.timedelta(days=1),
-        history_periods=days[:split],
         carry_latest=True,
     )
 
@@ -266,7 +235,7 @@ def q_period_bounds(spark, sf_dir):
 
 
 def q_grain_check(spark, sf_dir):
-    return quality.grain_check(src.game_details(spark, sf_dir), ["game_id", "team_id", "player_id"])
+    return src.game_detail_counts(spark, sf_dir).where("num_rows > 1")
 
 
 def q_grain_check_lineitem(spark, sf_dir):
@@ -274,11 +243,11 @@ def q_grain_check_lineitem(spark, sf_dir):
 
 
 def q_grain_check_player_game(spark, sf_dir):
-    return quality.grain_check(src.game_details(spark, sf_dir), ["player_id", "game_id"])
+    return src.game_detail_counts(spark, sf_dir).where("num_rows > 1").drop("team_id")
 
 
 def q_grain_counts(spark, sf_dir):
-    return quality.grain_counts(src.game_details(spark, sf_dir), ["player_id", "game_id"])
+    return src.game_detail_counts(spark, sf_dir).drop("team_id")
 
 
 def q_dedup_first(spark, sf_dir):
@@ -287,11 +256,8 @@ def q_dedup_first(spark, sf_dir):
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
-INCREMENTAL_STEPS = 2  # the last two periods run as chained steps (step on step)
-
-
 def q_cumulative_step(spark, sf_dir):
-    return snapshot_report(entity_fold(spark, sf_dir, steps=INCREMENTAL_STEPS).read())
+    return snapshot_report(entity_fold(spark, sf_dir).read())
 
 
 def q_cumulative_backfill(spark, sf_dir):
@@ -319,17 +285,43 @@ def q_first_vs_latest(spark, sf_dir):
     return cumulative.first_vs_latest(snap, ENTITY_SPEC, as_of=hi, cls="star")
 
 
-def q_snapshot_lookup(spark, sf_dir):
+def q_history_explode_one(spark, sf_dir):
+    """The unnested history of one entity, the first of the stored snapshot's names."""
+    hi = _last_period(spark, sf_dir)
+    one = src.read_table(spark, sf_dir, "orders").agg(F.min("o_custkey")).first()[0]
+    snap = entity_backfill(spark, sf_dir, first=hi, last=hi)
+    return cumulative.history_explode(snap, ENTITY_SPEC, as_of=hi, key_value=one)
+
+
+def _stored_players(spark, sf_dir) -> str:
+    path = state_path(spark, "players_backfill")
+    _, hi = _entity_bounds(spark, sf_dir)
+    jobs.players_backfill(spark, src.entity_periods(spark, sf_dir), path, ENTITY_SPEC, last=hi)
+    return path
+
+
+def _lookup(spark, sf_dir, *predicates):
     # the as-of of a lookup is a known value, so the read is a static
     # partition-pruned scan of the written snapshot table
-    _, hi = _entity_bounds(spark, sf_dir)
-    table = SnapshotTable.scratch(spark, "players_backfill", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
-    table.write(entity_backfill(spark, sf_dir, last=hi))
+    players = SnapshotTable.open(spark, _stored_players(spark, sf_dir), ENTITY_SPEC.as_of)
     return cumulative.snapshot_lookup(
-        table.read(), ENTITY_SPEC.as_of, hi, cols=[ENTITY_SPEC.key, "scoring_class", "is_active"]
+        players.read(),
+        ENTITY_SPEC.as_of,
+        players.periods()[-1],
+        predicates,
+        cols=[ENTITY_SPEC.key, "scoring_class", "is_active"],
     )
 
 
+def q_snapshot_lookup(spark, sf_dir):
+    return _lookup(spark, sf_dir)
+
+
+def q_snapshot_lookup_star(spark, sf_dir):
+    """Predicated lookup: the active members of one class."""
+    return _lookup(spark, sf_dir, F.col("scoring_class") == "star", F.col("is_active"))
+
+
 def q_detect_changes(spark, sf_dir):
     return scd.detect_changes(entity_backfill(spark, sf_dir), "entity_id", "current_season", SCD_ATTRS)
 
@@ -345,10 +337,11 @@ def q_scd2_full(spark, sf_dir):
 
 
 def q_scd2_incremental(spark, sf_dir):
-    hi = _last_period(spark, sf_dir)
-    snaps = entity_backfill(spark, sf_dir, last=hi)
-    prev = scd.scd2_full(snaps, "entity_id", "current_season", SCD_ATTRS, as_of=hi - 1)
-    return scd.scd2_incremental(prev, snaps, "entity_id", SCD_ATTRS, period=hi)
+    """On stored tables: SCD2 as of the last period but one, then one increment."""
+    players, history = _stored_players(spark, sf_dir), state_path(spark, "players_scd")
+    hi = SnapshotTable.open(spark, players, ENTITY_SPEC.as_of).periods()[-1]
+    jobs.scd_full(spark, players, history, ENTITY_SPEC, as_of=hi - 1, attrs=SCD_ATTRS)
+    return jobs.scd_increment(spark, players, history, ENTITY_SPEC, season=hi, attrs=SCD_ATTRS).read(as_of=hi)
 
 
 def q_fact_game_details(spark, sf_dir):
@@ -370,7 +363,7 @@ def q_graph_vertex_counts(spark, sf_dir):
 
 
 def q_graph_edges_plays_in(spark, sf_dir):
-    e = plays_in_edges(spark, sf_dir)
+    e = plays_in_edges(src.player_games(spark, sf_dir))
     props = json_struct("properties", "start_position string, pts int, team_id int, team_abbreviation string")
     return e.select(
         "subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", props.alias("p")
@@ -378,7 +371,7 @@ def q_graph_edges_plays_in(spark, sf_dir):
 
 
 def q_graph_edges_pairs(spark, sf_dir):
-    e = pair_edges(spark, sf_dir)
+    e = pair_edges(player_games(spark, sf_dir))
     props = json_struct("properties", "num_games bigint, subject_points bigint, object_points bigint")
     return e.select(
         "subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", props.alias("p")
@@ -386,9 +379,10 @@ def q_graph_edges_pairs(spark, sf_dir):
 
 
 def q_graph_max_points(spark, sf_dir):
+    games = player_games(spark, sf_dir)
     best = graph.vertex_edge_max(
-        player_vertices(spark, sf_dir),
-        plays_in_edges(spark, sf_dir),
+        player_vertices(games),
+        plays_in_edges(games),
         "pts",
         "player_name",
         dtype="int",
@@ -399,12 +393,13 @@ def q_graph_max_points(spark, sf_dir):
 
 
 def q_graph_pair_report(spark, sf_dir):
-    report = graph.vertex_edge_report(player_vertices(spark, sf_dir), pair_edges(spark, sf_dir))
+    games = player_games(spark, sf_dir)
+    report = graph.vertex_edge_report(player_vertices(games), pair_edges(games))
     return report.orderBy("player_name")
 
 
 def q_activity_datelist(spark, sf_dir):
-    s = activity_fold(spark, sf_dir, steps=INCREMENTAL_STEPS).read()
+    s = activity_fold(spark, sf_dir).read()
     return s.select(
         "user_id",
         iso_date("date").alias("snapshot_date"),
@@ -433,8 +428,7 @@ def q_activity_bitmap_literal(spark, sf_dir):
     """O18 with the literal exponent 32 - n over a 31-day series (the reference's own numbers)."""
     h = src.hits(spark, sf_dir)
     _, hi = _hit_day_bounds(h)
-    snap = activity.activity_backfill(h, hi, snapshots_from=hi)
-    bm = activity.activity_bitmap(snap, hi, anchor_bit=32, window_days=31)
+    bm = activity.activity_bitmap_from_events(h, hi, anchor_bit=32, window_days=31)
     return bm.select(
         "user_id",
         "activity_bits",
@@ -446,7 +440,7 @@ def q_activity_bitmap_literal(spark, sf_dir):
 
 
 def q_array_metrics(spark, sf_dir):
-    table, month_last = metric_fold(spark, sf_dir, steps=INCREMENTAL_STEPS)
+    table, month_last = metric_fold(spark, sf_dir)
     s = table.read(as_of_in=month_last)
     return s.select(
         "user_id",
@@ -459,10 +453,7 @@ def q_array_metrics(spark, sf_dir):
 def q_array_metrics_daily(spark, sf_dir):
     h = src.hits(spark, sf_dir)
     lo, hi = _hit_day_bounds(h)
-    arrays = None
-    for d in _month_last_days(_days(lo, hi)):
-        a = metrics.array_metric_backfill(h, d)
-        arrays = a if arrays is None else arrays.unionByName(a)
+    arrays = metrics.array_metric_backfill(h, metrics.month_start(lo), hi, metric_exprs())
     return metrics.array_metric_daily(arrays).withColumn("metric_date", iso_date("metric_date"))
 
 
@@ -476,8 +467,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cumulative_step": q_cumulative_step,
     "cumulative_backfill": q_cumulative_backfill,
     "history_explode": q_history_explode,
+    "history_explode_one": q_history_explode_one,
     "first_vs_latest": q_first_vs_latest,
     "snapshot_lookup": q_snapshot_lookup,
+    "snapshot_lookup_star": q_snapshot_lookup_star,
     "detect_changes": q_detect_changes,
     "streaks": q_streaks,
     "scd2_full": q_scd2_full,

@@ -88,7 +88,8 @@ FCT_GAME_DETAILS = _s(
 )
 USERS_CUMULATED = _s(("user_id", LongType()), ("dates_active", ArrayType(DateType())), ("date", DateType()))
 ARRAY_METRICS = _s(
-    ("user_id", LongType()), ("month_start", DateType()), ("metric_name", StringType()), ("metric_array", ArrayType(LongType()))
+    ("user_id", LongType()), ("month_start", DateType()), ("metric_name", StringType()), ("metric_array", ArrayType(LongType())),
+    ("as_of", DateType()),
 )
 
 PRIMARY_KEYS = {
@@ -98,7 +99,25 @@ PRIMARY_KEYS = {
     "edges": ("subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type"),
     "fct_game_details": ("dim_game_date", "dim_team_id", "dim_player_id"),
     "users_cumulated": ("user_id", "date"),
-    "array_metrics": ("user_id", "month_start", "metric_name"),
+    "array_metrics": ("user_id", "month_start", "metric_name", "as_of"),
+}
+
+TABLES = {
+    "players": PLAYERS,
+    "players_scd": PLAYERS_SCD,
+    "vertices": VERTICES,
+    "edges": EDGES,
+    "fct_game_details": FCT_GAME_DETAILS,
+    "users_cumulated": USERS_CUMULATED,
+    "array_metrics": ARRAY_METRICS,
+}
+
+# enum columns of the tables
+DOMAINS = {
+    "players": {"scoring_class": SCORING_CLASS},
+    "players_scd": {"scoring_class": SCORING_CLASS},
+    "vertices": {"type": VERTEX_TYPE},
+    "edges": {"subject_type": VERTEX_TYPE, "object_type": VERTEX_TYPE, "edge_type": EDGE_TYPE},
 }
 
 
@@ -123,3 +142,13 @@ def conform(df: DataFrame, schema: StructType, rename: dict[str, str] | None = N
 def domain_violations(df: DataFrame, column: str, domain: Iterable[str]) -> DataFrame:
     """Rows whose ``column`` is non-NULL and outside ``domain`` (empty = valid enum column)."""
     return df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(domain)))
+
+
+def enforce_domains(df: DataFrame, domains: dict[str, Iterable[str]]) -> DataFrame:
+    """``df``, failing at run time on a value outside its enum: checked in the projection, no extra pass."""
+    checked = {}
+    for name, domain in domains.items():
+        wrong = F.col(name).isNotNull() & ~F.col(name).isin(list(domain))
+        message = F.concat(F.lit(f"{name} is outside its domain: "), F.col(name))
+        checked[name] = F.when(wrong, F.raise_error(message).cast("string")).otherwise(F.col(name))
+    return df.withColumns(checked)

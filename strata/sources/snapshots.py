@@ -1,7 +1,8 @@
 """Snapshot tables: Parquet partitioned by an as-of column, rerun-safe.
 
-Writing period P replaces partition P only (dynamic partition overwrite), so
-rerunning a step is idempotent -- the stand-in for the reference's
+Writing period P replaces partition P only (dynamic partition overwrite, or
+the partition's removal if the new result is empty), so rerunning a step is
+idempotent -- the stand-in for the reference's
 ``INSERT`` / ``ON CONFLICT DO UPDATE`` on a keyed table. Reading one period
 is a partition-pruned scan. Each written step also cuts the lineage of a
 period-by-period fold, so a lost executor only recomputes one step.
@@ -11,7 +12,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -23,7 +23,12 @@ from pyspark.sql.types import ByteType, DateType, IntegerType, LongType, ShortTy
 from ..session import state_path
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # how Spark names the folder of a NULL value
+
+
 def _parse_partition_value(text: str, dtype):
+    if text == NULL_PARTITION:
+        return None
     if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
         return int(text)
     if isinstance(dtype, DateType):
@@ -71,8 +76,10 @@ class SnapshotTable:
         """The table stored at ``path``: re-opened if it exists, else a new (empty) one."""
         try:
             return cls.open(spark, path, as_of_col, sort_cols, buckets)
-        except AnalysisException:  # nothing written there yet
-            return cls(spark, path, as_of_col, sort_cols, buckets)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return cls(spark, path, as_of_col, sort_cols, buckets)  # nothing written there yet
 
     @classmethod
     def open(
@@ -97,22 +104,42 @@ class SnapshotTable:
         table.written = table.periods()
         return table
 
-    def periods(self) -> list:
-        """As-of values present in storage, from the partition directory names.
+    def _listing(self, *below: str) -> list:
+        """Entries of the table's folder or of one below it: one listing, no job; empty if it is absent."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path("/".join([self.path.rstrip("/"), *below]))
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return list(files.listStatus(path)) if files.exists(path) else []
 
-        Uses the file listing (``inputFiles``), so no Spark job runs; the
-        result is bounded by the number of periods.
-        """
+    def _folders(self) -> dict[str, object]:
+        """As-of partition folders: name to value."""
+        dtype = self.schema[self.as_of_col].dataType
+        names = [s.getPath().getName() for s in self._listing() if s.isDirectory()]
+        prefix = f"{self.as_of_col}="
+        return {n: _parse_partition_value(unquote(n[len(prefix) :]), dtype) for n in names if n.startswith(prefix)}
+
+    def _files(self, as_of) -> set[str]:
+        """Names of the files that hold period ``as_of``."""
+        if self.schema is None:
+            return set()
+        folders = [name for name, value in self._folders().items() if value == as_of]
+        return {s.getPath().getName() for name in folders for s in self._listing(name)}
+
+    def periods(self) -> list:
+        """As-of values present in storage (NULL last), from the partition folders' names."""
         if self.schema is None:
             raise ValueError("table has not been written yet")
-        dtype = self.schema[self.as_of_col].dataType
-        pat = re.compile(rf"/{re.escape(self.as_of_col)}=([^/]+)/")
-        values = set()
-        for f in self.spark.read.schema(self.schema).parquet(self.path).inputFiles():
-            m = pat.search(f)
-            if m:
-                values.add(_parse_partition_value(unquote(m.group(1)), dtype))
-        return sorted(values)
+        return sorted(set(self._folders().values()), key=lambda v: (v is None, v if v is not None else 0))
+
+    def _drop_period(self, as_of) -> None:
+        """Remove a period's folder (a rerun whose result is empty)."""
+        jvm = self.spark._jvm
+        for name in [name for name, value in self._folders().items() if value == as_of]:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        if self.buckets:
+            self.spark.sql(f"ALTER TABLE {self.table_name} DROP IF EXISTS PARTITION ({self.as_of_col}='{as_of}')")
+        self.written = [w for w in self.written if w != as_of]
 
     def write(self, df: DataFrame, mode: str = "overwrite") -> None:
         """Write (replace) the as-of partitions present in ``df``.
@@ -194,8 +221,13 @@ class SnapshotTable:
         self.written = self.periods()
 
     def write_period(self, df: DataFrame, as_of) -> None:
+        """Replace partition ``as_of``; an empty result removes it, so no old rows stay behind."""
+        before = self._files(as_of)
         self.write(df)
-        if as_of not in self.written:
+        after = self._files(as_of)
+        if before and after == before:  # nothing was written in its place
+            self._drop_period(as_of)
+        elif after and as_of not in self.written:
             self.written.append(as_of)
 
     def read(self, as_of=None, as_of_in: Sequence | None = None) -> DataFrame:

@@ -12,30 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import salted_lookup_join
+from ..operators.quality import dedup_first, grain_counts
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Fixed-size dimensions: TPC-H defines exactly 5 regions and 25 nations at
-# every scale factor, so broadcasting them has a proven size bound.
-FIXED_DIMENSIONS = {"region": 5, "nation": 25}
-
-# Line items of one supplier beyond which the supplier join salts that supplier.
-HOT_KEY_ROWS = 1_000_000
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = read_table(spark, sf_dir, name)
-    return F.broadcast(df) if name in FIXED_DIMENSIONS else df
-
-
 def _cents(c):
     return F.round(F.col(c) * 100).cast("bigint")
 
@@ -87,73 +74,101 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str, salt_hot_suppliers: bool = False) -> DataFrame:
-    """One row per line item: player = supplier, team = supplier's nation.
-
-    ``ord_*`` columns give the total order used to pick one row per key.
-    By default a supplier holding a large share of the line items is left to
-    AQE's skew-join split (on in ``strata.session``). ``salt_hot_suppliers``
-    salts such suppliers explicitly, independent of session settings, at the
-    price of one extra key-count job per call.
-    """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_discount",
-        "l_returnflag",
-        "l_linestatus",
-        "l_extendedprice",
-        "l_shipdate",
-    )
-    supplier = read_table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"
-    )
-    nation = _dimension(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sup = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-    qty = F.col("l_quantity").cast("int")
-    if salt_hot_suppliers:
-        # a supplier with very many line items is split over salt buckets (its
-        # one supplier row copied to each), so the windows keyed by player that
-        # follow never see it whole in one task, whatever the AQE settings
-        joined = salted_lookup_join(li, sup, "l_suppkey", ["l_orderkey", "l_linenumber"], chunk_rows=HOT_KEY_ROWS)
-    else:
-        joined = li.join(sup, "l_suppkey")
-    return joined.select(
-        F.col("l_orderkey").alias("game_id"),
+def _player_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier and nation: (player_id, player_name, team_id, team_abbreviation)."""
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+        F.col("s_suppkey").alias("player_id"),
+        F.col("s_name").alias("player_name"),
         F.col("s_nationkey").alias("team_id"),
         F.col("n_name").alias("team_abbreviation"),
+    )
+
+
+def _detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as box-score lines, before the player's dimension is joined."""
+    li = read_table(spark, sf_dir, "lineitem")
+    qty, line, part = F.col("l_quantity").cast("int"), F.col("l_linenumber"), F.col("l_partkey")
+
+    def number(value):
+        return value.cast("int")
+
+    # the source has no box score: every measure is a fixed function of the line
+    made, three, free = number(part % 15), number(part % 5), number(F.col("l_suppkey") % 8)
+    return li.select(
+        F.col("l_orderkey").alias("game_id"),
         F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
         F.col("l_linestatus").alias("start_position"),
-        qty.alias("pts"),
-        F.col("l_linenumber").alias("reb"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("ast"),
         F.when(F.col("l_returnflag") == "A", F.lit("DNP - Coach Decision"))
-        .when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 2 == 0), F.lit("NWT - Not With Team"))
+        .when((F.col("l_returnflag") == "R") & (line % 2 == 0), F.lit("NWT - Not With Team"))
         .when(F.col("l_returnflag") == "R", F.lit("DND - Did Not Dress"))
         .alias("comment"),
         F.when(
             F.col("l_returnflag") != "A",
-            F.concat(qty.cast("string"), F.lit(":"), F.lpad((F.col("l_linenumber") * 7).cast("string"), 2, "0")),
+            F.concat(qty.cast("string"), F.lit(":"), F.lpad((line * 7).cast("string"), 2, "0")),
         ).alias("min"),
-        F.col("l_linenumber").alias("ord_line"),
-        F.col("l_partkey").alias("ord_part"),
+        made.alias("fgm"),
+        (made + line).alias("fga"),
+        three.alias("fg3m"),
+        (three + 2).alias("fg3a"),
+        free.alias("ftm"),
+        (free + 1).alias("fta"),
+        number(line % 3).alias("oreb"),
+        (line - number(line % 3)).alias("dreb"),
+        line.alias("reb"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("ast"),
+        number(F.col("l_orderkey") % 4).alias("stl"),
+        number(F.col("l_orderkey") % 3).alias("blk"),
+        number(part % 7).alias("TO"),
+        number(line % 6).alias("pf"),
+        qty.alias("pts"),
+        (qty - 25).alias("plus_minus"),
+        line.alias("ord_line"),
+        part.alias("ord_part"),
         F.col("l_extendedprice").alias("ord_price"),
         F.col("l_shipdate").alias("ord_ship"),
     )
 
 
+def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: player = supplier, team = supplier's nation.
+
+    ``ord_*`` columns give the total order used to pick one row per key.
+    """
+    return _detail_lines(spark, sf_dir).join(_player_dimension(spark, sf_dir), "player_id")
+
+
+def game_detail_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(game_id, team_id, player_id, num_rows): ``game_details`` counted per game and player.
+
+    A player has one team, so the count runs below the player join: partial
+    sums per (game, player) leave no player's lines whole in one task.
+    """
+    counts = grain_counts(_detail_lines(spark, sf_dir), ["game_id", "player_id"])
+    team = _player_dimension(spark, sf_dir).select("player_id", "team_id")
+    return counts.join(team, "player_id").select("game_id", "team_id", "player_id", "num_rows")
+
+
+def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``game_details`` reduced to its first row per (game, player).
+
+    The reduction runs below the player join, with a partial limit before its
+    shuffle on (game, player); the many-to-one join comes last, so nothing
+    above it needs a player's rows together.
+    """
+    first = dedup_first(_detail_lines(spark, sf_dir), ["game_id", "player_id"], GAME_DETAIL_ORDER)
+    return first.join(_player_dimension(spark, sf_dir), "player_id")
+
+
 GAME_DETAIL_ORDER = ["ord_line", "ord_part", "ord_price", "ord_ship"]
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier, so team_id repeats; ``ord_supp`` orders the dedup."""
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = _dimension(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = _dimension(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -175,4 +190,5 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
         F.col("ts").alias("event_time"),
+        "event_type",
     )

@@ -88,13 +88,13 @@ def test_dedup_passes_grain_check(spark, sf_dir):
 
 
 def test_pair_edges_subject_greater_than_object(spark, sf_dir):
-    e = Q.pair_edges(spark, sf_dir)
+    e = Q.pair_edges(src.player_games(spark, sf_dir))
     assert e.where(F.col("subject_identifier").cast("long") <= F.col("object_identifier").cast("long")).isEmpty()
 
 
 def test_salted_pairs_equal_plain_pairs(spark, sf_dir):
     """Force every group to be 'hot' (tiny chunks) and compare with no salting."""
-    rows = Q.player_games(spark, sf_dir)
+    rows = src.player_games(spark, sf_dir)
     kw = dict(member="player_id", group="game_id", side="team_abbreviation", measure="pts", order=None)
     salted = graph.cooccurrence_edges(rows, chunk_rows=2, **kw)
     plain = graph.cooccurrence_edges(rows, chunk_rows=10**9, **kw)
@@ -129,12 +129,15 @@ def test_metric_fold_equals_backfill_and_lengths(spark, sf_dir):
     for d in month_last:
         folded = table.read(as_of=d)
         assert folded.where(F.size("metric_array") != (d - metrics.month_start(d)).days + 1).isEmpty()
-        assert same_rows(folded, metrics.array_metric_backfill(h, d))
+        back = metrics.array_metric_backfill(h, metrics.month_start(d), d, Q.metric_exprs())
+        assert same_rows(folded, back)
 
 
 def test_daily_totals_equal_hit_count(spark, sf_dir):
     h = src.hits(spark, sf_dir)
-    total = Q.q_array_metrics_daily(spark, sf_dir).agg(F.sum("value")).first()[0]
+    daily = Q.q_array_metrics_daily(spark, sf_dir)
+    assert {r[0] for r in daily.select("metric_name").distinct().collect()} == {"site_hits", "event_kinds"}
+    total = daily.where("metric_name = 'site_hits'").agg(F.sum("value")).first()[0]
     assert total == h.where(F.col("user_id").isNotNull()).count()
 
 
@@ -146,11 +149,8 @@ def test_entity_view_check_values(spark):
 
 
 def test_hot_game_is_split_on_a_grid(spark, sf_dir):
-    """A game holding a third of the rows: the grid plan equals the plain join
-    and the hot list goes through the broadcast or the shuffle tagging path."""
-    from strata.operators import skew
-
-    rows = Q.player_games(spark, sf_dir)
+    """A game holding a third of the rows: the grid of cells gives the plain join's pairs."""
+    rows = src.player_games(spark, sf_dir)
     # make one game hot: a third of the rows move to game 0 (player ids stay unique per game)
     hot_rows = rows.withColumn("orig_game", F.col("game_id")).withColumn(
         "game_id", F.when(F.xxhash64("player_id", "game_id") % 3 == 0, F.lit(0)).otherwise(F.col("game_id"))
@@ -161,13 +161,6 @@ def test_hot_game_is_split_on_a_grid(spark, sf_dir):
     plain = graph.cooccurrence_edges(hot_rows, chunk_rows=10**9, **kw)
     gridded = graph.cooccurrence_edges(hot_rows, chunk_rows=50, **kw)
     assert same_rows(gridded, plain)
-    old = skew.MAX_BROADCAST_HOT
-    skew.MAX_BROADCAST_HOT = 0  # force the shuffle-join tagging path
-    try:
-        shuffled = graph.cooccurrence_edges(hot_rows, chunk_rows=50, **kw)
-        assert same_rows(shuffled, plain)
-    finally:
-        skew.MAX_BROADCAST_HOT = old
 
 
 def test_fold_resumes_from_a_reopened_table(spark, sf_dir):
@@ -223,31 +216,3 @@ def test_bitmap_probe_values_on_raw_events(spark):
     )
     # the literal exponent miscounts exactly the users active on the anchor day
     assert j.where("a != b").count() == 133
-
-
-def test_salted_lookup_join_equals_plain_join(spark, sf_dir):
-    """A supplier holding a third of the line items: the salted many-to-one join
-    spreads it over buckets and returns exactly the plain join's rows."""
-    from strata.operators import skew
-
-    li = src.read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
-    hot = li.withColumn("l_suppkey", F.when(F.xxhash64("l_orderkey", "l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey")))
-    sup = src.read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").withColumnRenamed("s_suppkey", "l_suppkey")
-    plain = hot.join(sup, "l_suppkey")
-    for how in ("inner", "left"):
-        salted = skew.salted_lookup_join(hot, sup, "l_suppkey", ["l_orderkey", "l_linenumber"], chunk_rows=100, how=how)
-        assert same_rows(salted, plain if how == "inner" else hot.join(sup, "l_suppkey", "left"))
-    p = skew.salted_lookup_join(hot, sup, "l_suppkey", ["l_orderkey", "l_linenumber"], chunk_rows=100)
-    assert "_salt" in p._jdf.queryExecution().executedPlan().toString()
-
-
-def test_game_details_with_salted_suppliers_is_the_same_view(spark, sf_dir):
-    from strata.sources import testdata
-
-    old = testdata.HOT_KEY_ROWS
-    testdata.HOT_KEY_ROWS = 50  # every supplier counts as hot here
-    try:
-        salted = src.game_details(spark, sf_dir, salt_hot_suppliers=True)
-        assert same_rows(salted, src.game_details(spark, sf_dir))
-    finally:
-        testdata.HOT_KEY_ROWS = old

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strata.operators import activity, quality, scd
@@ -116,3 +118,91 @@ def test_sql_over_a_stored_snapshot_table(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(current_season" in plan and "= 2001)" in plan
     expected = Q.q_snapshot_lookup(spark, sf_dir)
     assert same_rows(q, expected)
+
+
+SEASONS = "entity_id int, period int, name string, segment string, top_priority string, gp int, pts long, reb long, ast long"
+
+
+def _seasons(spark, *rows):
+    return spark.createDataFrame([(e, p, "n", "s", "t", 1, 1, 1, 1) for e, p in rows], SEASONS)
+
+
+def test_a_missing_previous_season_is_an_error(spark):
+    from strata.plans.fold import MissingPeriodError
+
+    seasons = _seasons(spark, (1, 2000), (2, 2000), (1, 2002))
+    path, scd_path = state_path(spark, "gap-players"), state_path(spark, "gap-scd")
+    jobs.season_step(spark, seasons, path, 2000, Q.ENTITY_SPEC)
+    with pytest.raises(MissingPeriodError, match="2001"):
+        jobs.season_step(spark, seasons, path, 2002, Q.ENTITY_SPEC)
+    jobs.scd_full(spark, path, scd_path, Q.ENTITY_SPEC, as_of=2000)
+    jobs.season_step(spark, seasons, path, 2001, Q.ENTITY_SPEC)
+    jobs.season_step(spark, seasons, path, 2002, Q.ENTITY_SPEC)
+    with pytest.raises(MissingPeriodError, match="2001"):
+        jobs.scd_increment(spark, path, scd_path, Q.ENTITY_SPEC, season=2002)
+    jobs.scd_increment(spark, path, scd_path, Q.ENTITY_SPEC, season=2001)
+    out = jobs.scd_increment(spark, path, scd_path, Q.ENTITY_SPEC, season=2002).read(as_of=2002)
+    assert out.select("entity_id").distinct().count() == 2
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_an_empty_rerun_clears_its_period(spark, buckets):
+    from strata.sources.snapshots import SnapshotTable
+
+    t = SnapshotTable.scratch(spark, "rerun", "p", sort_cols=["k"], buckets=buckets)
+    for period in (1, 2):
+        t.write_period(spark.createDataFrame([(1, period), (2, period)], "k int, p int"), period)
+    t.write_period(spark.createDataFrame([], "k int, p int"), 2)
+    assert t.written == t.periods() == [1]
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, 1), (2, 1)]
+    t.write_period(spark.createDataFrame([(7, 2)], "k int, p int"), 2)
+    assert sorted(tuple(r) for r in t.read(as_of=2).collect()) == [(7, 2)]
+
+
+def test_null_periods_and_unreadable_tables(spark, tmp_path):
+    from strata.sources.snapshots import SnapshotTable
+
+    t = SnapshotTable.scratch(spark, "nulls", "p")
+    t.write(spark.createDataFrame([(1, 1), (2, None)], "k int, p int"))
+    assert SnapshotTable.open(spark, t.path, "p").written == [1, None]
+    assert SnapshotTable.at(spark, str(tmp_path / "absent"), "p").written == []
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        SnapshotTable.at(spark, str(tmp_path / "broken"), "p")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(AnalysisException):  # a folder without files is not "nothing written yet"
+        SnapshotTable.at(spark, str(tmp_path / "empty"), "p")
+
+
+def test_declared_tables_enforce_domains_and_keys(spark):
+    schema = "identifier string, type string, properties string, extra int"
+    good = [("1", "player", "{}", 0), ("1", "game", "{}", 0)]
+    stored = jobs.store_table(spark.createDataFrame(good, schema), "vertices", state_path(spark, "v"))
+    assert stored.columns == ["identifier", "type", "properties"] and stored.count() == 2
+    with pytest.raises(jobs.DuplicateKeyError, match="identifier"):
+        jobs.store_table(spark.createDataFrame([*good, good[0]], schema), "vertices", state_path(spark, "v"))
+    with pytest.raises(Exception, match="outside its domain: coach"):
+        jobs.store_table(spark.createDataFrame([("1", "coach", "{}", 0)], schema), "vertices", state_path(spark, "v"))
+
+
+def test_launcher_keeps_its_master(tmp_path):
+    """Under spark-submit the session is the launcher's."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from strata.session import get_session\n"
+        "s = get_session()\n"
+        "print('MASTER', s.sparkContext.master, s.conf.get('spark.driver.memory', 'unset'))\n"
+    )
+    submit = os.path.join(os.path.dirname(__import__("pyspark").__file__), "bin", "spark-submit")
+    env = os.environ | {"PYSPARK_PYTHON": sys.executable, "PYSPARK_DRIVER_PYTHON": sys.executable}
+    env.pop("PYSPARK_GATEWAY_PORT", None)
+    command = [submit, "--master", "local[2]", "--conf", "spark.ui.enabled=false", "--driver-memory", "1g", str(script)]
+    out = subprocess.run(command, env=env, capture_output=True, text=True, timeout=120)
+    assert "MASTER local[2] 1g" in out.stdout, out.stderr[-1500:]

@@ -168,7 +168,7 @@ def test_c9_fact_parsing(spark):
         "min string, ord int",
     )
     games = spark.createDataFrame([(1, dt.date(2020, 1, 1), 2020, 1)], "game_id long, game_date_est date, season int, home_team_id int")
-    out = facts.build_fact(details, games, order=["ord"])
+    out = facts.build_fact(details, games, order=["ord"], measures={"ord": "m_ord"})
     got = rows_of(out, "dim_player_id", "m_minutes", "dim_did_not_play", "dim_is_playing_at_home")
     assert got[0][1] == pytest.approx(34 + 56 / 60)
     assert [g[1] for g in got[1:]] == [None, None, None]
@@ -353,11 +353,24 @@ def test_grain_check_and_period_bounds(spark):
     assert quality.bounds_of(df, "p") == (1995, 1997)
 
 
-def test_datelist_trim_matches_between_step_and_backfill(spark):
-    ev = _hits(spark, [(1, dt.datetime(2023, 1, d, 9)) for d in (1, 2, 4, 5)] + [(2, dt.datetime(2023, 1, 3, 9))])
-    prev = None
-    for d in range(1, 6):
-        prev = activity.activity_step(prev, ev, dt.date(2023, 1, d), max_days=2)
-    back = activity.activity_backfill(ev, dt.date(2023, 1, 5), snapshots_from=dt.date(2023, 1, 5), max_days=2)
-    assert rows_of(prev, "user_id", "dates_active") == rows_of(back, "user_id", "dates_active")
-    assert rows_of(back, "user_id", "dates_active")[0] == (1, [dt.date(2023, 1, 5), dt.date(2023, 1, 4)])
+DETAIL = "game_id long, team_id int, player_id long, player_name string, start_position string, comment string, min string, ord int"
+HEADER = "game_id long, game_date_est date, season int, home_team_id int"
+
+
+def test_fact_keeps_its_grain_with_repeated_headers(spark):
+    details = spark.createDataFrame([(1, 1, 1, "a", "F", None, "1:00", 2), (1, 1, 1, "a", "F", None, "2:00", 1)], DETAIL)
+    games = spark.createDataFrame([(1, dt.date(2020, 1, 2), 2020, 1), (1, dt.date(2020, 1, 1), 2019, 2)], HEADER)
+    out = facts.build_fact(details, games, order=["ord"], measures={"ord": "m_ord"})
+    assert rows_of(out, "dim_game_date", "dim_season", "m_ord") == [(dt.date(2020, 1, 1), 2019, 1)]
+
+
+def test_fact_rejects_missing_measures(spark):
+    details, games = spark.createDataFrame([], DETAIL), spark.createDataFrame([], HEADER)
+    with pytest.raises(ValueError, match="fgm"):
+        facts.build_fact(details, games, order=["ord"])
+
+
+def test_one_vertex_for_an_id_with_two_names(spark):
+    rows = spark.createDataFrame([(1, "Old", 3), (1, "New", 4)], "player_id long, player_name string, pts int")
+    v = graph.aggregate_vertices(rows, "player_id", "player", {"total_points": F.sum("pts")}, static=["player_name"])
+    assert rows_of(v, "identifier", "properties") == [("1", '{"player_name":"Old","total_points":7}')]

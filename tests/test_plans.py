@@ -56,10 +56,48 @@ def test_day_filter_pushed_to_scan(spark, sf_dir):
     )
 
 
-def test_no_broadcast_of_growing_tables(spark, sf_dir):
-    p = plan_of(src.game_details(spark, sf_dir))
-    # only the fixed-size nation dimension may be broadcast
-    assert count(p, "BroadcastExchange") <= 1
+def test_no_broadcast_before_sizes_are_measured(spark, sf_dir):
+    assert count(plan_of(src.game_details(spark, sf_dir)), "BroadcastExchange") == 0
+
+
+def test_hot_suppliers_are_reduced_below_their_join(spark, sf_dir):
+    """Lines are limited or counted per (game, player) before the exchange; the player join comes after."""
+    for df in (src.player_games(spark, sf_dir), Q.fact_df(spark, sf_dir)):
+        p = plan_of(df)
+        join, limit = p.index("SortMergeJoin"), p.index("WindowGroupLimit")
+        assert join < limit and "Partial" in p[limit:]  # a plan's text starts at its top
+        assert "Window" not in p[:join]
+    p = plan_of(Q.q_grain_check(spark, sf_dir))
+    assert p.index("SortMergeJoin") < p.index("partial_count")
+
+
+def test_pairs_run_no_job_while_planning_and_read_lines_once(spark, sf_dir):
+    games = Q.player_games(spark, sf_dir)
+    p = plan_of(Q.graph.vertex_edge_report(Q.player_vertices(games), Q.pair_edges(games)))
+    assert "lineitem.parquet" not in p and "/strata/" in p  # a plan cuts long paths short
+
+
+def test_month_arrays_and_bitmaps_scan_events_once(spark, sf_dir):
+    h = src.hits(spark, sf_dir)
+    arrays = Q.metrics.array_metric_backfill(h, dt.date(2024, 1, 1), dt.date(2024, 3, 31), Q.metric_exprs())
+    bits = activity.activity_bitmap_from_events(h, dt.date(2024, 1, 30))
+    for df in (arrays, bits):
+        p = plan_of(df)
+        assert p.count("FileScan") == 1 and "Join" not in p and "Union" not in p
+
+
+def test_scd_increment_is_one_join_on_stored_tables(spark, sf_dir):
+    from strata.plans import jobs
+    from strata.session import state_path
+    from strata.sources.snapshots import SnapshotTable
+
+    players, history = Q._stored_players(spark, sf_dir), state_path(spark, "plan-scd")
+    table = jobs.scd_full(spark, players, history, Q.ENTITY_SPEC, as_of=2000)
+    snaps = SnapshotTable.open(spark, players, "current_season")
+    p = plan_of(
+        scd.scd2_incremental(table.read(as_of=2000), snaps.read(as_of=2001), "entity_id", list(Q.SCD_ATTRS), period=2001)
+    )
+    assert p.count("SortMergeJoin") == 1 and "Window" not in p and p.count("Exchange hashpartitioning") == 2
 
 
 def _exchanges(plan: str) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata import schemas
 from strata.operators import quality
 from strata.plans import queries as Q
+from strata.sources import testdata as src
 
 
 def test_snapshots_conform_to_players_table(spark, sf_dir):
@@ -17,7 +18,8 @@ def test_snapshots_conform_to_players_table(spark, sf_dir):
 
 def test_graph_tables_respect_domains_and_keys(spark, sf_dir):
     v = schemas.conform(Q.graph_vertices_df(spark, sf_dir), schemas.VERTICES)
-    e = schemas.conform(Q.pair_edges(spark, sf_dir).unionByName(Q.plays_in_edges(spark, sf_dir)), schemas.EDGES)
+    games = src.player_games(spark, sf_dir)
+    e = schemas.conform(Q.pair_edges(games).unionByName(Q.plays_in_edges(games)), schemas.EDGES)
     assert schemas.domain_violations(v, "type", schemas.VERTEX_TYPE).isEmpty()
     assert schemas.domain_violations(e, "edge_type", schemas.EDGE_TYPE).isEmpty()
     assert quality.grain_check(v, list(schemas.PRIMARY_KEYS["vertices"])).isEmpty()
@@ -30,7 +32,5 @@ def test_fact_conforms_and_has_its_grain(spark, sf_dir):
     # one row per (game, team, player); the declared key (date, team, player)
     # assumes one game per player and day, which the adapter data does not
     # guarantee (a supplier can appear in two orders on one date)
-    from strata.sources import testdata as src
-
     keys = src.game_details(spark, sf_dir).select("game_id", "team_id", "player_id").distinct().count()
     assert fact.count() == keys
