@@ -9,6 +9,7 @@ from . import (
     bpe_lexicon,
     license_join,
     line_templates,
+    oracle,
     phrase_index,
     quality_knn,
     quality_rules,
@@ -134,4 +135,10 @@ QUERIES = {
         op10_url_filter,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_license_scan": oracle.license_sql(license_join.BASE_PHRASES, license_join.TEMPLATES, 0.9),
+    "op7_warc": oracle.WARC,
+    "op8_quality_rules": oracle.QUALITY,
+    "op9_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op10_url_filter": oracle.url_sql(URL_RULES, 1500),
+}
