@@ -57,7 +57,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
     return out.select(
-        F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"), "dropped", "text"
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.array_join("dropped", ",").alias("dropped"),
+        "text",
     )
 
 
@@ -136,6 +140,8 @@ QUERIES = {
     )
 }
 ORACLE_SQL = {
+    "op1_substring_dedup": oracle.SUBSTRINGS,
+    "op4_line_dedup": oracle.LINES,
     "op5_license_scan": oracle.license_sql(license_join.BASE_PHRASES, license_join.TEMPLATES, 0.9),
     "op7_warc": oracle.WARC,
     "op8_quality_rules": oracle.QUALITY,
