@@ -30,7 +30,7 @@ import mmap
 import tempfile
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BATCH_ROWS = 256
+LONG_TEXT = 1 << 20  # longer texts and id lists are walked, not listed whole
 MEMO_WORDS = 200_000
 
 
@@ -200,13 +201,20 @@ def _splitter(special: dict[str, int]):
     words = regex.compile(PATTERN)
     marks = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def split(text: str) -> list[str]:
+    def split(text: str) -> Iterable[str]:
+        if len(text) > LONG_TEXT:
+            return walk(text)
         if marks is None or not any(m in text for m in special):
             return words.findall(text)
-        out = []
-        for part in marks.split(text):
-            out += [part] if part in special else words.findall(part)
-        return out
+        return list(walk(text))
+
+    def walk(text: str) -> Iterator[str]:
+        at = 0
+        for mark in marks.finditer(text) if marks else ():
+            yield from (m.group() for m in words.finditer(text[at : mark.start()]))
+            yield mark.group()
+            at = mark.end()
+        yield from (m.group() for m in words.finditer(text[at:]))
 
     return split
 
@@ -273,7 +281,8 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 30_000, carry:
                 out = []
                 for t in part.column("_text"):
                     known = memo.get
-                    out.append(b"".join([known(w) or ids_of(w) for w in split(t.as_py() or "")]))
+                    found = split(t.as_py() or "")
+                    out.append(b"".join([known(w) or ids_of(w) for w in found]))
                 n = pa.array([len(x) // 4 for x in out], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in carry), n, pa.array(out, pa.binary())], [*carry, "n_tokens", "ids"]
@@ -291,13 +300,16 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         letters = [table.get(i, b"") for i in range(max(table) + 1)]
+
+        def text_of(ids: bytes) -> str:
+            numbers = np.frombuffer(ids, "<u4")
+            pieces = (numbers[at : at + LONG_TEXT].tolist() for at in range(0, len(numbers), LONG_TEXT))
+            return b"".join([b"".join([letters[i] for i in piece]) for piece in pieces]).decode("utf-8", "replace")
+
         for b in batches:
             for at in range(0, b.num_rows, BATCH_ROWS):
                 part = b.slice(at, BATCH_ROWS)
-                texts = [
-                    b"".join([letters[i] for i in np.frombuffer(x.as_py() or b"", "<u4").tolist()]).decode("utf-8", "replace")
-                    for x in part.column("ids")
-                ]
+                texts = [text_of(x.as_py() or b"") for x in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import string
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +53,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = state_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def parts(text, size: int = 1 << 20) -> Iterator:
+    """A long text (str or bytes) in pieces of about ``size``, cut before a blank: no word is cut."""
+    blank = re.compile(r"[\x20\x09-\x0D]" if isinstance(text, str) else rb"[\x20\x09-\x0D]")
+    at = 0
+    while at < len(text):
+        cut = blank.search(text, at + size) if at + size < len(text) else None
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import parts
+
 BUCKETS = 4096
 BLOCK_ROWS = 256
 LABELLED_BLOCK = 1024
@@ -48,10 +50,14 @@ def _word_buckets(word: str) -> tuple[int, int]:
 
 def terms(text: str, memo: dict[str, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed terms of a text and their damped counts."""
-    words = text.split()
-    n = len(words)
     counts: Counter = Counter()
-    distinct = Counter(words)
+    distinct: Counter = Counter()
+    n, again, last = 0, 0, None
+    for part in parts(text):  # long texts are taken in pieces
+        words = part.split()
+        distinct.update(words)
+        again += sum(a == b for a, b in zip([last, *words], words, strict=False))
+        n, last = n + len(words), words[-1] if words else last
     for word, k in distinct.items():
         pair = memo.get(word)
         if pair is None:
@@ -61,7 +67,6 @@ def terms(text: str, memo: dict[str, tuple[int, int]]) -> tuple[np.ndarray, np.n
         counts[pair[0]] += k
         counts[pair[1]] += k
     lines = [x for x in text.split("\n") if x.strip()]
-    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
     steps = {
         "length": n.bit_length(),
         "distinct": round(10 * len(distinct) / max(n, 1)),

@@ -35,30 +35,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stored
+from .common import parts, row_key, stored
 
 BITS = 64
 SEED = 42
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Signed 64-bit fingerprint of UTF-8 text."""
+def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of the space-joined shingles of the words (of all words, if they are fewer)."""
     import xxhash
 
-    words = text.lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     n = max(1, len(words) - shingle + 1)
     starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
     stops = ends[-n:].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
-    count = np.zeros(BITS, np.int64)
-    for at in range(0, n, 65536):
-        rows = hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
-        count += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """Signed 64-bit fingerprint of UTF-8 text; long texts are taken in pieces."""
+    count, n, tail, seen = np.zeros(BITS, np.int64), 0, [], 0
+    for part in parts(text):
+        own = part.lower().split()
+        seen += len(own)
+        tail += own
+        if len(tail) < shingle:
+            continue
+        hashes = _shingle_hashes(tail, shingle)
+        rows = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
+        for at in range(0, len(rows), 65536):
+            count += np.unpackbits(rows[at : at + 65536], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+        tail = tail[len(tail) - shingle + 1 :]
+    if 0 < seen < shingle:
+        hashes, n = _shingle_hashes(tail, shingle), 1
+        count += np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little")
     bits = np.packbits(2 * count > n, bitorder="little")
     return int(bits.view("<i8")[0])
 

@@ -186,6 +186,27 @@ def test_simhash(spark, texts):
         assert (r.fingerprint, r.component_id) == (f"{prints[r.doc_id]:016x}", groups[r.doc_id])
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    """Whatever the size of the pieces, words, shingles and counts are those of the whole text."""
+    from strata.llm import common
+
+    text = "Ab  c\n" * 50 + "one two \t three four" + " x" * 30
+    whole = [simhash_covering.fingerprint(t.encode(), 4) for t in (text, "a b", "")]
+    assert [w & (2**64 - 1) for w in whole] == [fingerprint_by_hand(t) for t in (text, "a b", "")]
+    scored = [x.tolist() for x in quality_knn.terms(text, {})]
+    for size in (1, 7, 40):
+        assert "".join(common.parts(text, size)) == text
+        for module in (simhash_covering, quality_knn):
+            monkeypatch.setattr(module, "parts", lambda t, size=size: common.parts(t, size))
+        assert [simhash_covering.fingerprint(t.encode(), 4) for t in (text, "a b", "")] == whole
+        assert [x.tolist() for x in quality_knn.terms(text, {})] == scored
+    split = bpe_lexicon._splitter({"<|endoftext|>": 0})
+    odd = "a<|endoftext|>  b c's<|endoftext|> \n\n d"
+    listed = split(odd)
+    monkeypatch.setattr(bpe_lexicon, "LONG_TEXT", 3)
+    assert list(split(odd)) == listed
+
+
 def test_covering_masks_miss_no_pair():
     rng = np.random.default_rng(1)
     masks = simhash_covering.covering_masks(4)
