@@ -41,14 +41,8 @@ def get_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # split a skewed join partition even when a later window/aggregate on
-        # the same key then needs its own shuffle (e.g. a hot supplier in
-        # lineitem x supplier followed by the per-(player, game) dedup)
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        # No broadcast from compile-time size estimates: only sides with a
-        # proven bound are broadcast (explicit hints on fixed dimensions and
-        # bounded hot-key lists), plus AQE's runtime switch, which uses the
-        # measured size of a finished shuffle stage.
+        # No broadcast from compile-time size estimates: AQE's runtime switch
+        # uses the measured size of a finished shuffle stage.
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query into PLANS.md.
+"""Summarise the physical plans of the data-modelling queries into PLANS.md.
 
 Usage: python tools/plan_report.py [sf_dir] [out.md]
 
@@ -71,13 +71,12 @@ def summarize(plan: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     target = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(__file__)), "PLANS.md")
-    from __spark_entry__ import queries
-
+    from strata.plans.queries import QUERIES
     from strata.session import get_session
 
     spark = get_session(app="strata-plans", shuffle_partitions=16)
     rows = []
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         rows.append((name, summarize(plan)))
