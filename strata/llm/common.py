@@ -43,10 +43,17 @@ def alnum_words(text: Column) -> Column:
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Key of a document row that tells apart rows sharing (or lacking) a doc_id."""
+    """With the doc_id itself, the key of a document: it tells apart rows sharing (or lacking) a doc_id."""
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
+def join_documents(rows: DataFrame, found: DataFrame, how: str, key: str = "_key", doc_id: str = "doc_id") -> DataFrame:
+    """Join what was found per document (``_key``, ``doc_id``) to rows with these two columns; NULL ids match."""
+    side = found.withColumnsRenamed({"_key": "_found_key", "doc_id": "_found_id"})
+    same = (F.col(key) == F.col("_found_key")) & F.col(doc_id).eqNullSafe(F.col("_found_id"))
+    return rows.join(side, same, how).drop("_found_key", "_found_id")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

@@ -32,7 +32,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_WORD_RUN, alnum_words, row_key, stored
+from .common import NON_WORD_RUN, alnum_words, join_documents, row_key, stored
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -132,8 +132,8 @@ def scan(
     # blocks as their template tokens in global order: array_intersect keeps the order of its first side
     tokens = (
         base.where("blocks is not null")
-        .select("_key", F.explode("blocks").alias("block"))
-        .select("_key", F.array_intersect(_strings(order), F.split(F.lower("block"), NON_WORD_RUN)).alias("tokens"))
+        .select("_key", "doc_id", F.explode("blocks").alias("block"))
+        .select("_key", "doc_id", F.array_intersect(_strings(order), F.split(F.lower("block"), NON_WORD_RUN)).alias("tokens"))
         .where(F.arrays_overlap("tokens", _strings(prefix)))
         .distinct()
     )
@@ -156,24 +156,25 @@ def scan(
     sides = F.array(*[_strings(t) for _, t in sets])
     room = F.least(F.col("m") - F.col("i"), F.size("tokens") - F.col("j"))
     matched = (
-        tokens.select("_key", "tokens", F.posexplode("tokens").alias("j", "token"))
+        tokens.select("_key", "doc_id", "tokens", F.posexplode("tokens").alias("j", "token"))
         .join(F.broadcast(index), "token")
         .where((F.size("tokens") >= F.col("need")) & (room >= F.col("need")))
         .withColumn("common", F.size(F.array_intersect("tokens", sides[F.col("template")])))
         .where("common >= need")
         .select(
             "_key",
+            "doc_id",
             _strings([label for label, _ in sets])[F.col("template")].alias("label"),
             (F.col("common") / F.col("m")).alias("containment"),
         )
     )
-    per_doc = matched.groupBy("_key").agg(
+    per_doc = matched.groupBy("_key", "doc_id").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("containment")
     )
     none = F.array().cast("array<string>")
     found = F.coalesce("found", none)
     p = F.col("places")
-    return base.join(per_doc, "_key", "left").select(
+    return join_documents(base, per_doc, "left").select(
         "doc_id",
         "n_words",
         F.coalesce(F.size(found), F.lit(0)).cast("bigint").alias("n_base"),

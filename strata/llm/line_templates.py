@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, BLANKS, row_key, stored
+from .common import BLANK_RUN, BLANKS, join_documents, row_key, stored
 
 WILDCARD = "<*>"
 
@@ -118,7 +118,11 @@ def dropped_lines(
     return (
         lines.select("_key", "doc_id", "line_no", "leaf", F.struct(*runs).alias("form"))
         .join(kept.select("leaf", "form", "kept"), ["leaf", "form"])
-        .where((F.col("kept._key") != F.col("_key")) | (F.col("kept.line_no") != F.col("line_no")))
+        .where(
+            (F.col("kept._key") != F.col("_key"))
+            | ~F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))
+            | (F.col("kept.line_no") != F.col("line_no"))
+        )
         .groupBy("_key", "doc_id")
         .agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
     )
@@ -127,15 +131,13 @@ def dropped_lines(
 def drop_recurring_lines(docs: DataFrame, **parameters) -> DataFrame:
     """Input rows as ``row``, the ``text`` without its dropped lines, ``n_lines`` and the ``dropped`` line numbers."""
     # the list side is built into the hash table: documents are not sorted
-    lost = dropped_lines(docs.select("doc_id", "text"), **parameters).withColumnRenamed("doc_id", "_id").hint(
-        "shuffle_hash"
-    )
+    lost = dropped_lines(docs.select("doc_id", "text"), **parameters).hint("shuffle_hash")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("_row_key")
     )
-    joined = rows.join(
-        lost, (F.col("_row_key") == F.col("_key")) & F.col("row.doc_id").eqNullSafe(F.col("_id")), "left"
-    ).select("row", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    joined = join_documents(rows, lost, "left", "_row_key", "row.doc_id").select(
+        "row", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped")
+    )
     lines = joined.withColumn("_lines", F.split(F.col("row.text"), "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("dropped"))
     text = F.when(F.size("dropped") == 0, F.col("row.text")).otherwise(

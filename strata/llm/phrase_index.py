@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, row_key, stored
+from .common import alnum_words, join_documents, row_key, stored
 
 END = "\x00end"  # no word holds this character
 
@@ -126,12 +126,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50
         by_phrase.where(here >= 0)
         .where(F.get("around", here + F.col("o2")) == F.col("t2"))
         .where(F.slice("around", F.greatest(here, F.lit(0)) + 1, F.size("words")) == F.col("words"))
-        .select("_key", "item_id", at, F.size("words").alias("len"))
+        .select("_key", "doc_id", "item_id", at, F.size("words").alias("len"))
     )
     spans = (
-        exact.groupBy("_key", "start")
+        exact.groupBy("_key", "doc_id", "start")
         .agg(F.max("len").alias("len"))
-        .groupBy("_key")
+        .groupBy("_key", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("start", "len"))).alias("spans"))
     )
     covered = F.aggregate(
@@ -143,50 +143,49 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50
         ),
         lambda acc: acc["n"].cast("bigint"),
     )
-    items = exact.select("_key", "item_id").distinct().groupBy("_key").agg(
+    items = exact.select("_key", "doc_id", "item_id").distinct().groupBy("_key", "doc_id").agg(
         F.sort_array(F.collect_list("item_id")).alias("item_ids")
     )
     near = near_items(index, lookups, slop)
-    return (
-        marks.join(spans.select("_key", covered.alias("n_hit")), "_key", "left")
-        .join(items, "_key", "left")
-        .join(near, "_key", "left")
-        .select(
-            "doc_id",
-            "_key",
-            "n_words",
-            F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-            F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-            F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
-        )
+    out = marks
+    for found in (spans.select("_key", "doc_id", covered.alias("n_hit")), items, near):
+        out = join_documents(out, found, "left")
+    return out.select(
+        "doc_id",
+        "_key",
+        "n_words",
+        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
     )
 
 
 def near_items(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
-    """(_key, n_near): items with a phrase whose two rarest terms stand within ``slop`` words of each other.
+    """(_key, doc_id, n_near): items with a phrase whose two rarest terms stand within ``slop`` words of each other.
 
     Positions are put into cells of ``slop`` + 1 words; two terms are near if
     they share a cell or stand in neighbouring cells with a gap in range, which
     the smallest and largest position of each term in a cell decide.
     """
     pair = lookups.select("item_id", "t1", "t2").distinct()
-    wanted = pair.select("item_id", "t1", "t2", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("t1").alias("term")), F.struct(F.lit(2).alias("side"), F.col("t2").alias("term")))).alias("x"))
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), F.col(f"t{k}").alias("term")) for k in (1, 2)])
+    wanted = pair.select("item_id", "t1", "t2", F.explode(sides).alias("x"))
     cell = F.floor(F.col("pos") / F.lit(slop + 1)).cast("int")
     ends = (
         index.where(F.col("term") != END)
         .join(wanted.select("item_id", "t1", "t2", "x.side", "x.term"), "term")
-        .groupBy("_key", "item_id", "t1", "t2", cell.alias("cell"), "side")
+        .groupBy("_key", "doc_id", "item_id", "t1", "t2", cell.alias("cell"), "side")
         .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     )
     # the last position in a cell also stands before the next cell
-    both = ends.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("ahead")).select(
-        "_key", "item_id", "t1", "t2", (F.col("cell") + F.col("ahead")).alias("cell"), "side", "ahead", "lo", "hi"
+    both = ends.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("ahead")).withColumn(
+        "cell", F.col("cell") + F.col("ahead")
     )
 
     def end(what, value, side, ahead):
         return what(F.when((F.col("side") == side) & (F.col("ahead") == ahead), F.col(value)))
 
-    met = both.groupBy("_key", "item_id", "t1", "t2", "cell").agg(
+    met = both.groupBy("_key", "doc_id", "item_id", "t1", "t2", "cell").agg(
         *[end(F.min, "lo", k, 0).alias(f"lo{k}") for k in (1, 2)],
         *[end(F.max, "hi", k, 1).alias(f"prev{k}") for k in (1, 2)],
     )
@@ -195,7 +194,7 @@ def near_items(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
         | (F.col("lo1") - F.col("prev2") <= slop)
         | (F.col("lo2") - F.col("prev1") <= slop)
     )
-    return met.where(close).select("_key", "item_id").distinct().groupBy("_key").agg(
+    return met.where(close).select("_key", "doc_id", "item_id").distinct().groupBy("_key", "doc_id").agg(
         F.count(F.lit(1)).alias("n_near")
     )
 
@@ -212,12 +211,12 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame
     bad = (
         contaminated(docs.select("doc_id", "text"), benchmark, **parameters)
         .where("contaminated")
-        .select(F.col("_key").alias("_bad"))
+        .select("_key", "doc_id")
         .distinct()
     ).hint("shuffle_hash")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("_row_key")
     )
-    return rows.join(bad, F.col("_row_key") == F.col("_bad"), "left_anti").select(
+    return join_documents(rows, bad, "left_anti", "_row_key", "row.doc_id").select(
         *[F.col("row")[c].alias(c) for c in docs.columns]
     )

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, row_key, stored
+from .common import join_documents, parts, row_key, stored
 
 BITS = 64
 SEED = 42
@@ -243,7 +243,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, block: int = 4096) -> DataFrame:
-    """(doc_id, _key, fp, component_id, lead): ``lead`` is the _key of the component's first row."""
+    """(doc_id, _key, fp, component_id, lead): the component's first document is ``component_id`` with key ``lead``."""
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"))).alias("first")
     distinct = prints.groupBy("fp").agg(first)
@@ -262,13 +262,16 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     """The input's own columns, one row for each component: its first by (doc_id, key of the row)."""
     leads = (
         near_duplicates(docs.select("doc_id", "text"), **parameters)
-        .where("_key = lead")
-        .select(F.col("_key").alias("_lead"))
+        .where("_key = lead and doc_id <=> component_id")
+        .select("_key", "doc_id")
         .distinct()
     )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("_row_key")
     )
-    # the join leaves equal keys sorted side by side: repeated rows go without another exchange
-    one = rows.join(leads, F.col("_row_key") == F.col("_lead"), "left_semi").dropDuplicates(["_row_key"])
+    one = (
+        join_documents(rows, leads, "left_semi", "_row_key", "row.doc_id")
+        .withColumn("_id", F.col("row.doc_id"))
+        .dropDuplicates(["_row_key", "_id"])
+    )
     return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
