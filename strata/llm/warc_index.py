@@ -192,6 +192,11 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 1000, file_by
     return stored(with_types(pages, min_bytes).mapInArrow(run, CAPTURE), "warc-captures")
 
 
+def _ranges(df: DataFrame) -> DataFrame:
+    """Ranges of ``key``, as many as the session's shuffles have partitions: a row is small, its work is not."""
+    return df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+
+
 def write_index(captures: DataFrame, folder: str, block_lines: int = 512) -> DataFrame:
     """Write the shards below ``folder``; (first_key, last_key, shard, directory_bytes) per shard, stored."""
 
@@ -226,7 +231,7 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = 512) -> Dat
         row = {"first_key": directory[0][0], "last_key": last, "shard": name, "directory_bytes": len(data)}
         yield pa.RecordBatch.from_pylist([row])
 
-    ordered = captures.repartitionByRange("key").sortWithinPartitions("key")
+    ordered = _ranges(captures).sortWithinPartitions("key")
     return stored(
         ordered.select("key", "file", "offset", "length").mapInArrow(
             run, "first_key string, last_key string, shard string, directory_bytes bigint"
@@ -328,7 +333,7 @@ def lookup(requests: DataFrame, shards: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-    ordered = requests.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key")
+    ordered = _ranges(requests.select("key").distinct()).sortWithinPartitions("key")
     return ordered.mapInArrow(
         run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
     )
