@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import row_key, stored
+from .common import join_documents, row_key, stored
 
 UNIT = re.compile(r"[^\n.!?]+")
 WORD = re.compile(r"\w+")
@@ -80,7 +80,8 @@ def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """Spans to remove: doc_id, _key, start, stop, n_words, and where the span's first unit occurs first."""
     every = stored(units(docs), "text-units")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"), F.col("start"))
-    again = (
+    # stored, so that the join below has two shuffles of its own and a hot digest's side can be split
+    again = stored(
         every.groupBy("d1", "d2")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
@@ -90,21 +91,28 @@ def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
             F.col("first.doc_id").alias("first_doc_id"),
             F.col("first._key").alias("first_key"),
             F.col("first.start").alias("first_start"),
-        )
+        ),
+        "text-repeats",
     )
     copies = (
         every.join(again, ["d1", "d2"])
-        .where((F.col("_key") != F.col("first_key")) | (F.col("start") != F.col("first_start")))
+        .where(
+            (F.col("_key") != F.col("first_key"))
+            | ~F.col("doc_id").eqNullSafe(F.col("first_doc_id"))
+            | (F.col("start") != F.col("first_start"))
+        )
         .drop("d1", "d2")
-        .dropDuplicates(["_key", "n"])
     )
+    # a document's repeats in order; repeated rows of the document bring each of them again
+    order = W.partitionBy("_key", "doc_id").orderBy("n")
+    new = F.coalesce(F.lag("n").over(order) != F.col("n"), F.lit(True))
+    once = copies.withColumn("new", new).where("new").drop("new")
     # neighbouring repeats of a document share n minus their rank
-    run = F.col("n") - F.row_number().over(W.partitionBy("_key").orderBy("n"))
+    run = F.col("n") - F.row_number().over(order)
     return (
-        copies.withColumn("run", run)
-        .groupBy("_key", "run")
+        once.withColumn("run", run)
+        .groupBy("_key", "doc_id", "run")
         .agg(
-            F.first("doc_id").alias("doc_id"),
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
             F.sum("n_words").alias("n_words"),
@@ -119,11 +127,11 @@ def remove_repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """The input's own columns, with the repeated spans cut out of ``text``."""
     cuts = (
         repeats(docs.select("doc_id", "text"), min_words)
-        .groupBy("_key")
+        .groupBy("_key", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("cuts"))
     ).hint("shuffle_hash")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("_row_key"))
-    joined = rows.join(cuts, F.col("_row_key") == F.col("_key"), "left")
+    joined = join_documents(rows, cuts, "left", "_row_key", "row.doc_id")
     # what is left: from each cut's end to the next cut's start
     ends = F.concat(F.array(F.lit(0)), F.col("cuts.stop"))
     next_starts = F.concat(F.col("cuts.start"), F.array(F.char_length("row.text")))
