@@ -5,13 +5,13 @@ then by a partial aggregate); the ``lexicon_words`` most frequent ones are
 compiled, with their token ids, into a minimal acyclic transducer: words share
 prefixes and suffixes, and the outputs along a path add up to the word's rank,
 which addresses its ids. The automaton is a flat byte string; each worker maps
-it from an unlinked file of its own and walks it in place.
+it from an unlinked file of its own and walks it in place, many words abreast.
 
 Encoding. A text is split at the special tokens' strings, the parts by the
 pre-tokenizer's pattern; a word in the lexicon gives its ids, any other word is
-merged exactly: lowest rank first, leftmost first. A bounded memo per worker
-spares repeated walks; it never changes a result. Decoding joins the ids'
-bytes.
+merged exactly: lowest rank first, leftmost first, again many words abreast.
+Words of the lexicon are remembered for the task, others for a batch of texts.
+Decoding joins the ids' bytes.
 
 The lexicon only speeds the encoding up: results are those of the vocabulary
 file alone. Its size is fixed by the parameter, so the broadcast is bounded.
@@ -28,21 +28,23 @@ import heapq
 import json
 import mmap
 import tempfile
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_ROWS = 256
+BATCH_ROWS = 512
+LONG_WORD = 64  # bytes; longer words are merged one by one
 LONG_TEXT = 1 << 20  # longer texts and id lists are walked, not listed whole
-MEMO_WORDS = 200_000
+COUNTED_WORDS = 300_000  # words that a task counts before it passes them on
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,6 +54,19 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _by_length(words: list[bytes]) -> dict[int, list[int]]:
+    """Positions of the words of each length."""
+    out: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        out.setdefault(len(w), []).append(i)
+    return out
+
+
+def _letters(words: list[bytes], at: list[int], size: int) -> np.ndarray:
+    """The words at some positions, all of one length, as rows of byte values."""
+    return np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(-1, size)
+
+
 class Vocabulary:
     """Ids, merge ranks and special tokens of a byte-level BPE file."""
 
@@ -65,8 +80,9 @@ class Vocabulary:
         self.token_bytes |= {i: t.encode() for t, i in self.special.items()}
         by_byte = {letters[t]: i for t, i in vocab.items() if len(t) == 1 and t in letters}
         self.first = [by_byte[b] for b in range(256)]
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        self.merged = [vocab[a + b] for a, b in pairs]  # by rank
+        self.ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
 
     @classmethod
     def of(cls, parts: dict) -> Vocabulary:
@@ -75,31 +91,93 @@ class Vocabulary:
         out.__dict__.update(parts)
         return out
 
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of one pre-token by exact merging, in O(n log n) for a word of n bytes."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids (as bytes) of pre-tokens by exact merging: lowest rank first, leftmost first."""
+        out: list[bytes] = [b""] * len(words)
+        for size, at in _by_length(words).items():
+            if size > LONG_WORD:
+                for i in at:
+                    out[i] = np.asarray(self._merge_heap(words[i]), "<u4").tobytes()
+            elif size:
+                for i, ids in zip(at, self._merge_abreast(_letters(words, at, size)), strict=True):
+                    out[i] = ids
+        return out
+
+    def _tables(self) -> tuple[np.ndarray, ...]:
+        """Sorted pair keys with their ranks, merged ids by rank, ids of the bytes."""
+        keys = np.fromiter(self.ranks.keys(), np.int64, len(self.ranks))
+        ranks = np.fromiter(self.ranks.values(), np.int64, len(self.ranks))
+        order = np.argsort(keys)
+        return keys[order], ranks[order], np.asarray(self.merged, np.int64), np.asarray(self.first, np.int64)
+
+    def _merge_abreast(self, letters: np.ndarray) -> list[bytes]:
+        """For words of one length, a row each: every round merges the best pair of each row."""
+        if not hasattr(self, "_arrays"):
+            self._arrays = self._tables()
+        keys, key_ranks, merged, first = self._arrays
+        none = len(merged)
+
+        def rank_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = a << 32 | b
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, key_ranks[at], none)
+
+        ids = first[letters]
+        n, size = ids.shape
+        left = np.full(n, size)
+        # a column more than there are pairs, so that every shift has a source
+        ranks = np.full((n, size), none)
+        ranks[:, : size - 1] = rank_of(ids[:, :-1], ids[:, 1:])
+        rows, columns = np.arange(n), np.arange(size)
+        while len(rows):
+            i = ranks[rows].argmin(axis=1)
+            rank = ranks[rows, i]
+            go = rank < none
+            rows, i, rank = rows[go], i[go], rank[go]
+            if not len(rows):
+                break
+            shifted = np.minimum(columns + (columns > i[:, None]), size - 1)
+            ids[rows] = np.take_along_axis(ids[rows], shifted, 1)
+            ids[rows, i] = new = merged[rank]
+            left[rows] -= 1
+            shifted = np.minimum(columns + (columns >= i[:, None]), size - 1)
+            ranks[rows] = np.take_along_axis(ranks[rows], shifted, 1)
+            ranks[rows, size - 1] = none
+            follows = i + 1 < left[rows]
+            ranks[rows[follows], i[follows]] = rank_of(new[follows], ids[rows[follows], i[follows] + 1])
+            ranks[rows[~follows], i[~follows]] = none
+            leads = i > 0
+            ranks[rows[leads], i[leads] - 1] = rank_of(ids[rows[leads], i[leads] - 1], new[leads])
+        data = ids.astype("<u4").tobytes()
+        return [data[4 * size * k : 4 * (size * k + m)] for k, m in enumerate(left.tolist())]
+
+    def _merge_heap(self, word: bytes) -> list[int]:
+        """For a long word, in O(n log n)."""
+        rank_of = self.ranks.get
         ids = [self.first[b] for b in word]
         after = [*range(1, len(ids)), -1]
         before = [*range(-1, len(ids) - 1)]
-        heap = [(m[0], i, m[1], a, b) for i, (a, b) in enumerate(pairwise(ids)) if (m := self.merges.get((a, b)))]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(pairwise(ids)) if (r := rank_of(a << 32 | b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue  # one side was merged meanwhile
+            new = self.merged[rank]
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if m := self.merges.get((new, ids[k])):
-                    heapq.heappush(heap, (m[0], i, m[1], new, ids[k]))
-            if (h := before[i]) >= 0 and (m := self.merges.get((ids[h], new))):
-                heapq.heappush(heap, (m[0], h, m[1], ids[h], new))
+                if (r := rank_of(new << 32 | ids[k])) is not None:
+                    heapq.heappush(heap, (r, i, new, ids[k]))
+            if (h := before[i]) >= 0 and (r := rank_of(ids[h] << 32 | new)) is not None:
+                heapq.heappush(heap, (r, h, ids[h], new))
         return [i for i in ids if i >= 0]
 
 
-def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
-    """Minimal acyclic transducer of ``entries`` as one byte string."""
+def compile_lexicon(entries: dict[bytes, bytes]) -> bytes:
+    """Minimal acyclic transducer of ``entries`` (word to ids, as bytes) as one byte string."""
     states: dict[tuple, int] = {}
     arcs: list[tuple] = []  # per state: ((label, target), ...)
     final: list[bool] = []
@@ -132,27 +210,18 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
         path[-1][1].append((last[len(path) - 1], settle(node)))
     root = settle(path[0])
 
-    labels, targets, outputs, first = [], [], [], [0]
+    keys, targets, outputs = [], [], []  # an arc's key: its state and label, so keys are sorted
     for state, own in enumerate(arcs):
         rank = int(final[state])
         for label, target in own:
-            labels.append(label)
+            keys.append(state << 8 | label)
             targets.append(target)
             outputs.append(rank)
             rank += count[target]
-        first.append(len(labels))
     ids = [entries[w] for w in words]
-    ends = np.cumsum([0, *map(len, ids)])
-    numbers = [
-        [root, len(arcs), len(labels), len(words)],
-        first,
-        targets,
-        outputs,
-        ends,
-        [i for own in ids for i in own],
-    ]
-    flat = [np.asarray(x, "<u4").tobytes() for x in numbers]
-    return b"".join([*flat, bytes(final), bytes(labels)])
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+    numbers = [[root, len(arcs), len(keys), len(words)], keys, targets, outputs, ends]
+    return b"".join([*(np.asarray(x, "<u4").tobytes() for x in numbers), *ids, bytes(final)])
 
 
 class Lexicon:
@@ -160,32 +229,38 @@ class Lexicon:
 
     def __init__(self, buffer):
         view = memoryview(buffer)
-        self.root, n_states, n_arcs, n_words = view[:16].cast("I")
+        self.root, n_states, n_arcs, n_words = np.frombuffer(view, "<u4", 4).tolist()
         at = 16
 
-        def take(n: int):
+        def take(n: int) -> np.ndarray:
             nonlocal at
             at += 4 * n
-            return view[at - 4 * n : at].cast("I")
+            return np.frombuffer(view, "<u4", n, at - 4 * n)
 
-        self.first, self.target, self.output = take(n_states + 1), take(n_arcs), take(n_arcs)
+        self.keys, self.target, self.output = take(n_arcs), take(n_arcs), take(n_arcs)
         self.ends = take(n_words + 1)
-        self.ids = take(self.ends[n_words])
-        self.final, self.labels = view[at : at + n_states], view[at + n_states : at + n_states + n_arcs]
-
-    def get(self, word: bytes) -> list[int] | None:
-        state, rank = self.root, 0
-        first, labels = self.first, self.labels
-        for byte in word:
-            end = first[state + 1]
-            k = bisect_left(labels, byte, first[state], end)
-            if k == end or labels[k] != byte:
-                return None
-            rank += self.output[k]
-            state = self.target[k]
-        if not self.final[state]:
-            return None
-        return self.ids[self.ends[rank] : self.ends[rank + 1]].tolist()
+        self.ids = take(int(self.ends[-1]))
+        self.final = np.frombuffer(view, np.uint8, n_states, at)
+
+    def get(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids (as bytes) of each word, None for a word that is not in the lexicon."""
+        out: list[bytes | None] = [None] * len(words)
+        for size, at in _by_length(words).items():
+            state, rank = np.full(len(at), self.root, np.uint32), np.zeros(len(at), np.int64)
+            known = np.full(len(at), len(self.keys) > 0 or size == 0)
+            letters = _letters(words, at, size) if size and known.any() else ()
+            for j in range(size if known.any() else 0):
+                key = state << np.uint32(8) | letters[:, j]
+                k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                known &= self.keys[k] == key
+                if not known.any():
+                    break
+                rank += self.output[k]
+                state = self.target[k]
+            found = np.flatnonzero(known & (self.final[state] > 0)).tolist()
+            for i in found:
+                out[at[i]] = self.ids[self.ends[rank[i]] : self.ends[rank[i] + 1]].tobytes()
+        return out
 
 
 def _mapped(data: bytes) -> mmap.mmap:
@@ -224,30 +299,36 @@ def word_counts(docs: DataFrame, special: dict[str, int], text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = _splitter(special)
+        counts: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            words, numbers = pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())
+            counts.clear()
+            return pa.RecordBatch.from_arrays([words, numbers], ["word", "n"])
+
         for b in batches:
-            for at in range(0, b.num_rows, 8 * BATCH_ROWS):
-                counts: Counter = Counter()
-                for t in b.column(0).slice(at, 8 * BATCH_ROWS):
-                    counts.update(split(t.as_py() or ""))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-                )
+            for t in b.column(0):
+                counts.update(split(t.as_py() or ""))
+                if len(counts) >= COUNTED_WORDS:
+                    yield out()
+        yield out()
 
     return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -> bytes:
-    """Compiled lexicon of the corpus's most frequent words, at most ``lexicon_words`` of 64 letters or fewer."""
-    top = (
-        word_counts(docs, vocabulary.special)
-        .where(F.char_length("word") <= 64)
-        .orderBy(F.desc("n"), "word")
-        .limit(lexicon_words)
-        .select("word")
-        .collect()
-    )
-    words = {r.word for r in top} - set(vocabulary.special)
-    return compile_lexicon({(w := word.encode()): vocabulary.merge(w) for word in words})
+    """Compiled lexicon of the corpus's most frequent words, at most ``lexicon_words`` of 64 letters or fewer.
+
+    The least count that qualifies comes from the histogram of counts (few
+    rows, whatever the number of words); the words beyond it are collected.
+    """
+    counts = stored(word_counts(docs, vocabulary.special).where(F.char_length("word") <= 64), "bpe-words")
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    more = F.sum("words").over(Window.orderBy(F.desc("n")))
+    fits = histogram.withColumn("more", more).where(F.col("more") <= lexicon_words).agg(F.min("n")).first()[0]
+    top = counts.where(F.col("n") >= fits).select("word").collect() if fits is not None else []
+    words = [w.encode() for w in sorted({r.word for r in top} - set(vocabulary.special))]
+    return compile_lexicon(dict(zip(words, vocabulary.merge(words), strict=True)))
 
 
 def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 30_000, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -259,30 +340,43 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 30_000, carry:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, data = shared.value
         vocab = Vocabulary.of(parts)
-        words = Lexicon(_mapped(data))
+        lexicon = Lexicon(_mapped(data))
         split = _splitter(vocab.special)
-        memo: dict[str, bytes] = {}
-
-        def ids_of(word: str) -> bytes:
-            if word in vocab.special:
-                ids = [vocab.special[word]]
-            else:
-                raw = word.encode()
-                ids = words.get(raw) or vocab.merge(raw)
-            out = np.asarray(ids, "<u4").tobytes()
-            if len(memo) >= MEMO_WORDS:
-                memo.clear()
-            memo[word] = out
-            return out
+        frequent = {t: np.asarray([i], "<u4").tobytes() for t, i in vocab.special.items()}
+
+        def ids_of(words: set[str]) -> dict[str, bytes]:
+            """Ids of the words of a batch; those of the lexicon stay known."""
+            names = list(words)
+            raw = [w.encode() for w in names]
+            found = lexicon.get(raw)
+            frequent.update((w, x) for w, x in zip(names, found, strict=True) if x is not None)
+            rare = [i for i, x in enumerate(found) if x is None]
+            return {names[i]: x for i, x in zip(rare, vocab.merge([raw[i] for i in rare]), strict=True)}
+
+        def ids_of_text(text: str) -> bytes:
+            known = frequent.get
+            out, held = [], []
+            for word in split(text):
+                held.append(word)
+                if len(held) == LONG_TEXT:
+                    rare = ids_of({w for w in held if w not in frequent})
+                    out.append(b"".join([known(w) or rare[w] for w in held]))
+                    held = []
+            rare = ids_of({w for w in held if w not in frequent})
+            return b"".join([*out, *(known(w) or rare[w] for w in held)])
 
         for b in batches:
             for at in range(0, b.num_rows, BATCH_ROWS):
                 part = b.slice(at, BATCH_ROWS)
-                out = []
-                for t in part.column("_text"):
-                    known = memo.get
-                    found = split(t.as_py() or "")
-                    out.append(b"".join([known(w) or ids_of(w) for w in found]))
+                texts = [t or "" for t in part.column("_text").to_pylist()]
+                # short texts share one lookup; a very long one is walked on its own
+                words = [split(t) if len(t) <= LONG_TEXT else None for t in texts]
+                rare = ids_of({w for own in words if own is not None for w in own}.difference(frequent))
+                known = frequent.get
+                out = [
+                    ids_of_text(t) if own is None else b"".join([known(w) or rare[w] for w in own])
+                    for t, own in zip(texts, words, strict=True)
+                ]
                 n = pa.array([len(x) // 4 for x in out], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in carry), n, pa.array(out, pa.binary())], [*carry, "n_tokens", "ids"]

@@ -345,11 +345,16 @@ def test_bpe_edges(spark, edge, empty, clashing, words):
 
 def test_transducer_is_minimal_and_exact():
     words = [b"tap", b"taps", b"top", b"tops", b"stop", b"stops", b"", b"\xff\x00"]
-    entries = {w: [len(w), n] for n, w in enumerate(words)}
-    data = bpe_lexicon.compile_lexicon(entries)
-    lexicon = bpe_lexicon.Lexicon(data)
-    assert all(lexicon.get(w) == ids for w, ids in entries.items())
-    assert lexicon.get(b"ta") is None and lexicon.get(b"tapsx") is None
+    entries = {w: np.asarray([len(w), n], "<u4").tobytes() for n, w in enumerate(words)}
+    lexicon = bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon(entries))
+    assert lexicon.get(words) == [entries[w] for w in words]
+    assert lexicon.get([b"ta", b"tapsx", b"z", b"top"]) == [None, None, None, entries[b"top"]]
+    assert bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon({})).get([b"", b"a"]) == [None, None]
+    vocabulary = bpe_lexicon.Vocabulary(Q.tokenizer_file())
+    texts = ["indistinguishable", "aaaaaaaaaaaa", "aaaaaaaaaaaab", "été", "x", "", "thethethe" * 9, "qzqzqzqz"]
+    raw = [t.encode() for t in texts]
+    by_heap = [np.asarray(vocabulary._merge_heap(r), "<u4").tobytes() for r in raw]
+    assert vocabulary.merge(raw) == by_heap
     # endings share their states: a trie has 20
     assert len(lexicon.final) == 8
 
