@@ -36,7 +36,9 @@ from .common import parts
 BUCKETS = 4096
 BLOCK_ROWS = 256
 LABELLED_BLOCK = 1024
-_SHAPE = str.maketrans({chr(c): "a" if chr(c).islower() else "A" if chr(c).isupper() else "0" for c in range(0x250) if chr(c).isalnum()})
+_SHAPE = str.maketrans(
+    {x: "a" if x.islower() else "A" if x.isupper() else "0" for x in map(chr, range(0x250)) if x.isalnum()}
+)
 _REPEAT = re.compile(r"(.)\1+")
 
 
@@ -111,13 +113,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled
         memo: dict = {}
         for b in batches:
             found = [terms(t.as_py() or "", memo) for t in b.column("text")]
-            at, value = pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), at, value], ["doc_id", "label", "at", "value"])
+            at = pa.array([f[0] for f in found], pa.list_(pa.int64()))
+            value = pa.array([f[1] for f in found], pa.list_(pa.float32()))
+            columns = [b.column("doc_id"), b.column("label"), at, value]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "at", "value"])
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")  # at most max_labelled rows
-        .mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, at array<bigint>, value array<float>")
+        .mapInArrow(run, f"doc_id {kind}, label int, at array<bigint>, value array<float>")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(max_labelled)
         .collect()
@@ -128,8 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled
     rarity = np.log((1 + len(rows)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
     x = _unit(x * rarity)
     rng = np.random.default_rng(0)
-    basis = np.linalg.qr(x.T @ (x @ rng.standard_normal((BUCKETS, dims), np.float32)))[0] if len(rows) else np.zeros((BUCKETS, dims), np.float32)
-    for _ in range(4 if len(rows) else 0):  # subspace iteration towards the leading singular vectors
+    basis = rng.standard_normal((BUCKETS, dims), np.float32)
+    for _ in range(5 if len(rows) else 0):  # subspace iteration towards the leading singular vectors
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
     return {
         "weights": rarity,

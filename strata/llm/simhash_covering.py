@@ -119,8 +119,8 @@ def forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, np.ndarray, bool]]:
-    """(key, values, last) of sorted batches: the values of a key come in one or more parts."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(key, fingerprints) of sorted batches: those of a key come in one or more parts."""
     for b in batches:
         cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
         fp = b.column("fp").to_numpy(zero_copy_only=False)
@@ -134,8 +134,8 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
             yield tuple(c[a].item() for c in cols), fp[a:z]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[np.ndarray], bool]]:
-    """(key, parts, whole): ``parts`` is handed over when the key ends."""
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[np.ndarray]]]:
+    """(key, all its parts), for keys of bounded size."""
     key, parts = None, []
     for k, values in _runs(batches, keys):
         if k != key and parts:
@@ -154,7 +154,6 @@ def links(prints: DataFrame, radius: int, block: int) -> DataFrame:
         "fp",
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "bucket"),
     )
-    # a plain hash of both, so that one mask's buckets spread over all tasks
     dealt = tables.repartition("mask", "bucket").sortWithinPartitions("mask", "bucket", "fp")
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,8 +230,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u")
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
+            .select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+            .select("e.u", F.col("e.m").alias("v"))
             .where("u <> v")
             .distinct()
         )
