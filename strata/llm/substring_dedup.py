@@ -5,8 +5,8 @@ case, words only, single blanks) and hashed to 128 bits. Units are grouped by
 digest over all documents: per digest, a partial aggregate keeps the earliest
 ranked occurrence (smallest doc_id, then offset) and whether there is another.
 Every other occurrence is a repeat. Adjacent repeats of a document form a run;
-a run of at least ``min_words`` words is removed, so single common sentences
-stay where they are.
+a run of at least ``min_words`` words is removed. The default is 1: every later
+occurrence of a repeated unit goes, however short its run.
 
 Scale. Digests are shuffled, not texts, and counted before the shuffle. The
 join of the units with the repeated digests is a plain equi-join, which
@@ -76,7 +76,7 @@ def units(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """Spans to remove: doc_id, _key, start, stop, n_words, and where the span's first unit occurs first."""
     every = stored(units(docs), "text-units")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"), F.col("start"))
@@ -123,7 +123,7 @@ def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """The input's own columns, with the repeated spans cut out of ``text``."""
     cuts = (
         repeats(docs.select("doc_id", "text"), min_words)

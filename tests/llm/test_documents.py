@@ -498,3 +498,22 @@ def test_substring_dedup_edges(edge, empty, clashing):
     assert {r.text for r in out.where("doc_id = 1").collect()} == {PROSE}
     assert all(len(r.text) < 5 for r in out.where("doc_id = 2").collect())
     assert substring_dedup.repeats(empty).count() == 0
+
+
+def test_substring_dedup_removes_short_repeats(spark):
+    rows = [
+        (1, "One short line.\nA line of its own"),
+        (2, "Other words here. One short line. More of them\n重复的一段文字没有空格"),
+        (3, "重复的一段文字没有空格\nIt ends"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.stop, r.first_doc_id, r.first_start) for r in substring_dedup.repeats(docs).collect()}
+    at = rows[1][1].index(" One short line")
+    assert got == {(2, at, at + 15, 1, 0), (3, 0, 11, 2, rows[1][1].index("重"))}
+    left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    assert left == {1: rows[0][1], 2: rows[1][1].replace(" One short line", ""), 3: "\nIt ends"}
+
+
+def test_substring_dedup_leaves_no_repeated_unit(spark, texts):
+    got = {(r.doc_id, r.start, r.stop, r.n_words) for r in Q.op1_substring_dedup(spark, SMOKE_SF).collect()}
+    assert got == repeats_by_hand(texts.items(), min_words=1)
