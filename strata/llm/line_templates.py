@@ -2,19 +2,18 @@
 
 Parsing. A line is split into tokens at blanks; a token with a digit becomes
 the wildcard ``<*>``. The tree has two levels above its leaves: the token
-count, then the ``depth`` leading tokens. In a leaf, the tokens of a line are
-cut into at most ``segments`` consecutive runs of equal length, and two lines
-are alike when at least ``similarity`` of these runs agree; runs of lines of up
-to ``segments`` tokens are single tokens. Every leaf generalises around its
-most frequent line form (ties: the earliest line): forms alike to it become one
-template in which the differing runs are variable fields. The other forms of
-the leaf stay templates of their own.
+count, then the ``depth`` leading tokens. In a leaf, two lines are alike when
+at least ``similarity`` of their tokens agree, place by place. Every leaf
+generalises around its most frequent line form (ties: the earliest line): forms
+alike to it become one template in which the differing tokens are variable
+fields. The other forms of the leaf stay templates of their own.
 
 Dropping. A template found in at least two documents recurs; its earliest line
 (smallest doc_id, then line number) stays, every other line of it is dropped
 from its text. Lines of fewer than ``min_tokens`` tokens are never dropped.
 
-Scale. What is shuffled are hashes of lines, not lines: counts per form are
+Scale. What is shuffled are hashes of lines, and once an integer per token to
+find the tokens of the forms in leaves of several forms: counts per form are
 partial aggregates, so a line in a third of all documents shrinks before the
 shuffle; the joins back are plain equi-joins that adaptive execution may split.
 The text is shuffled once, beside the list of dropped line numbers of its own
@@ -28,7 +27,7 @@ an empty result; a text whose lines are all dropped becomes empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLANK_RUN, BLANKS, join_documents, row_key, stored
@@ -36,12 +35,8 @@ from .common import BLANK_RUN, BLANKS, join_documents, row_key, stored
 WILDCARD = "<*>"
 
 
-def _runs(segments: int) -> list[str]:
-    return [f"run{j}" for j in range(segments)]
-
-
-def parse_lines(docs: DataFrame, depth: int, segments: int) -> DataFrame:
-    """One row per line: key and order of its document, line number, token count, leaf, hashed runs of tokens."""
+def parse_lines(docs: DataFrame, depth: int) -> DataFrame:
+    """One row per line: key and order of its document, line number, token count, leaf, form, hashed tokens."""
     lines = docs.select(
         row_key().alias("_key"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "_line")
     ).where(F.btrim("_line", F.lit(BLANKS)) != "")
@@ -51,24 +46,44 @@ def parse_lines(docs: DataFrame, depth: int, segments: int) -> DataFrame:
     ).otherwise(F.col("_line"))
     tokens = lines.select("_key", "doc_id", "line_no", F.split(F.btrim(masked, F.lit(BLANKS)), BLANK_RUN).alias("_t"))
     t, n = F.col("_t"), F.size("_t")
-    per = F.floor((n + (segments - 1)) / F.lit(segments)).cast("int")
-    run = [F.when(n > j * per, F.hash(F.slice(t, j * per + 1, per))) for j in range(segments)]
     return tokens.select(
         "_key",
         "doc_id",
         "line_no",
         n.alias("n_tokens"),
         F.xxhash64(n, F.slice(t, 1, depth)).alias("leaf"),
-        *[r.alias(name) for r, name in zip(run, _runs(segments), strict=True)],
+        F.xxhash64(t).alias("form"),
+        F.transform(t, lambda x: F.hash(x)).alias("tokens"),
     )
 
 
+def _alike(a: str, b: str, similarity: float) -> Column:
+    """Whether the forms agree in ``similarity`` of their tokens, place by place."""
+    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+    return same >= F.lit(similarity) * F.size(a)
+
+
+def _next_leaders(forms: DataFrame, similarity: float) -> DataFrame:
+    """The forms with the first form of their leaf (``lead``, its hash) and whether they are alike to it."""
+    leaders = forms.groupBy("leaf").agg(F.min(F.struct("order", "form", "tokens")).alias("lead"))
+    return (
+        forms.join(leaders, "leaf")
+        .withColumn("alike", _alike("tokens", "lead.tokens", similarity))
+        .withColumn("lead", F.col("lead.form"))
+    )
+
+
+def form_templates(forms: DataFrame, similarity: float) -> DataFrame:
+    """(leaf, form, template) of the forms (leaf, form, order, tokens) that follow another form."""
+    first = stored(_next_leaders(forms, similarity), "line-leaders")
+    return first.where("alike and form <> lead").select("leaf", "form", F.col("lead").alias("template"))
+
+
 def dropped_lines(
-    docs: DataFrame, depth: int = 3, segments: int = 8, similarity: float = 0.75, min_tokens: int = 2
+    docs: DataFrame, depth: int = 3, similarity: float = 0.75, min_tokens: int = 2
 ) -> DataFrame:
     """(_key, doc_id, dropped: array of line numbers) of the documents that lose lines."""
-    runs = _runs(segments)
-    every = stored(parse_lines(docs, depth, segments), "line-leaves").where(F.col("n_tokens") >= min_tokens)
+    every = stored(parse_lines(docs, depth), "line-leaves").where(F.col("n_tokens") >= min_tokens)
     # a template can recur only in a leaf that recurs: one small row per leaf and task decides that
     leaves = (
         every.groupBy("leaf")
@@ -76,36 +91,32 @@ def dropped_lines(
         .where("lo <> hi")
         .select("leaf")
     )
-    lines = stored(every.drop("n_tokens").join(leaves, "leaf", "left_semi"), "line-recurring-leaves")
+    lines = stored(every.drop("n_tokens", "tokens").join(leaves, "leaf", "left_semi"), "line-recurring-leaves")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"), F.col("line_no"))
-    forms = (
-        lines.groupBy("leaf", *runs)
-        .agg(
+    forms = stored(
+        lines.groupBy("leaf", "form").agg(
             F.count(F.lit(1)).alias("n"),
             F.min(place).alias("earliest"),
             F.min("_key").alias("lo"),
             F.max("_key").alias("hi"),
-        )
-        .select("leaf", F.struct(*runs).alias("form"), "n", "earliest", "lo", "hi")
+        ),
+        "line-forms",
     )
-    leaders = forms.groupBy("leaf").agg(
-        F.min(F.struct((-F.col("n")).alias("order"), F.col("earliest"), F.col("form"))).alias("lead")
-    ).select("leaf", F.col("lead.form").alias("lead"))
-
-    def count(test):
-        return sum(F.when(test(r), 1).otherwise(0) for r in runs)
-
-    same = count(lambda r: F.col("form")[r] == F.col("lead")[r])
-    present = count(lambda r: F.col("form")[r].isNotNull())
-    templates = stored(
-        forms.join(leaders, "leaf").select(
-            "leaf",
-            "form",
-            F.when(same >= F.lit(similarity) * present, F.col("lead")).otherwise(F.col("form")).alias("template"),
-            "earliest",
-            "lo",
-            "hi",
+    # tokens are needed where a leaf has more than one form
+    several = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("leaf")
+    ordered = forms.join(several, "leaf", "left_semi").select(
+        "leaf", "form", F.struct((-F.col("n")).alias("n"), F.col("earliest")).alias("order")
+    )
+    found = stored(
+        every.select("leaf", "form", "tokens").join(
+            ordered.select("leaf", "form").hint("shuffle_hash"), ["leaf", "form"], "left_semi"
         ),
+        "line-form-tokens",
+    )
+    tokens = found.groupBy("leaf", "form").agg(F.first("tokens").alias("tokens"))
+    followers = form_templates(stored(ordered.join(tokens, ["leaf", "form"]), "line-several-forms"), similarity)
+    templates = stored(
+        forms.join(followers, ["leaf", "form"], "left").withColumn("template", F.coalesce("template", "form")),
         "line-templates",
     )
     recurring = (
@@ -116,8 +127,7 @@ def dropped_lines(
     )
     kept = templates.select("leaf", "form", "template").join(recurring, ["leaf", "template"])
     return (
-        lines.select("_key", "doc_id", "line_no", "leaf", F.struct(*runs).alias("form"))
-        .join(kept.select("leaf", "form", "kept"), ["leaf", "form"])
+        lines.join(kept.select("leaf", "form", "kept"), ["leaf", "form"])
         .where(
             (F.col("kept._key") != F.col("_key"))
             | ~F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))

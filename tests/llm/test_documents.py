@@ -517,3 +517,13 @@ def test_substring_dedup_removes_short_repeats(spark):
 def test_substring_dedup_leaves_no_repeated_unit(spark, texts):
     got = {(r.doc_id, r.start, r.stop, r.n_words) for r in Q.op1_substring_dedup(spark, SMOKE_SF).collect()}
     assert got == repeats_by_hand(texts.items(), min_words=1)
+
+
+def dropped_by(docs):
+    return {r.row.doc_id: r.dropped for r in line_templates.drop_recurring_lines(docs).collect()}
+
+
+def test_line_dedup_compares_tokens(spark):
+    line = "Posted by user {} in the forum on {} morning with a total of {} replies and many views so far today"
+    rows = [(1, line.format("alice", "Monday", "seven")), (2, line.format("bob", "Friday", "many"))]
+    assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {1: [], 2: [0]}
