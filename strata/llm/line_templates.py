@@ -3,10 +3,11 @@
 Parsing. A line is split into tokens at blanks; a token with a digit becomes
 the wildcard ``<*>``. The tree has two levels above its leaves: the token
 count, then the ``depth`` leading tokens. In a leaf, two lines are alike when
-at least ``similarity`` of their tokens agree, place by place. Every leaf
-generalises around its most frequent line form (ties: the earliest line): forms
-alike to it become one template in which the differing tokens are variable
-fields. The other forms of the leaf stay templates of their own.
+at least ``similarity`` of their tokens agree, place by place. The forms of a
+leaf, the most frequent first (ties: the earliest line), become templates in
+turn: a form alike to no template before it is the next one, in which the
+tokens that differ are variable fields; any other form belongs to the first
+template it is alike to. So every form meets every template of its leaf.
 
 Dropping. A template found in at least two documents recurs; its earliest line
 (smallest doc_id, then line number) stays, every other line of it is dropped
@@ -17,7 +18,9 @@ find the tokens of the forms in leaves of several forms: counts per form are
 partial aggregates, so a line in a third of all documents shrinks before the
 shuffle; the joins back are plain equi-joins that adaptive execution may split.
 The text is shuffled once, beside the list of dropped line numbers of its own
-document. No pairs of lines are formed.
+document. Leaders are taken in rounds, one of each leaf, which shrinks leaves of
+many alike forms; once few pairs of forms share a run of tokens, these pairs are
+compared instead. No pairs of lines are formed.
 
 Defined results: NULL text stays NULL and has no line; rows equal in doc_id
 and text count as one document and keep the same lines; rows without doc_id
@@ -34,6 +37,10 @@ from .common import BLANK_RUN, BLANKS, join_documents, row_key, stored
 
 WILDCARD = "<*>"
 
+# Up to so many pairs of forms, in all or for each run of a form, are compared at once.
+FEW_PAIRS = 1_000_000
+PAIRS_PER_RUN = 50
+
 
 def parse_lines(docs: DataFrame, depth: int) -> DataFrame:
     """One row per line: key and order of its document, line number, token count, leaf, form, hashed tokens."""
@@ -73,10 +80,82 @@ def _next_leaders(forms: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def form_templates(forms: DataFrame, similarity: float) -> DataFrame:
-    """(leaf, form, template) of the forms (leaf, form, order, tokens) that follow another form."""
-    first = stored(_next_leaders(forms, similarity), "line-leaders")
-    return first.where("alike and form <> lead").select("leaf", "form", F.col("lead").alias("template"))
+def _runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(leaf, run, form, order): one more run of tokens behind the leading ones than alike forms may differ in.
+
+    At least one run of two alike forms is equal, the same run in both; without a token it is equal in all.
+    """
+    n = F.size("tokens")
+    runs = F.floor(n * F.lit(1 - similarity) + F.lit(1e-9)).cast("int") + 1
+    rest = F.greatest(n - depth, F.lit(0))
+
+    def run(j):
+        at = F.floor(rest * j / runs).cast("int")
+        end = F.floor(rest * (j + 1) / runs).cast("int")
+        return F.xxhash64(j, F.slice("tokens", depth + 1 + at, end - at))
+
+    return forms.select("leaf", "form", "order", F.explode(F.transform(F.sequence(F.lit(0), runs - 1), run)).alias("run"))
+
+
+def form_templates(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(leaf, form, template) of the forms (leaf, form, order, tokens) that follow another form.
+
+    In order, a form alike to no leader before it is a leader; the others
+    follow the first leader they are alike to. Rounds settle the first leader
+    of every leaf until the rest has few pairs with an equal run; the alike
+    among these pairs settle the rest.
+    """
+    settled, rest = [], forms
+    while not rest.isEmpty():
+        first = stored(_next_leaders(rest, similarity), "line-leaders")
+        settled.append(first.where("alike and form <> lead").select("leaf", "form", F.col("lead").alias("template")))
+        rest = first.where("not alike").select("leaf", "form", "order", "tokens")
+        runs = stored(_runs(rest, depth, similarity), "line-runs")
+        shared = runs.groupBy("leaf", "run").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+        size = shared.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"), F.sum("k").alias("runs")).first()
+        if (size["pairs"] or 0) <= max(FEW_PAIRS, PAIRS_PER_RUN * (size["runs"] or 0)):
+            settled += _settle_pairs(rest, runs, similarity)
+            break
+    out = forms.sparkSession.createDataFrame([], "leaf bigint, form bigint, template bigint")
+    for found in settled:
+        out = out.union(found)
+    return out
+
+
+def _settle_pairs(forms: DataFrame, runs: DataFrame, similarity: float) -> list[DataFrame]:
+    """(leaf, form, template) of the followers among ``forms``, from the pairs that share a run."""
+    a, b = (runs.select("leaf", "run", F.col("form").alias(x), F.col("order").alias(f"order_{x}")) for x in "ab")
+    near = a.join(b, ["leaf", "run"]).where("order_a < order_b").select("leaf", "a", "b", "order_a").distinct()
+    sides = [forms.select("leaf", F.col("form").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab"]
+    pairs = stored(
+        near.join(sides[0], ["leaf", "a"])
+        .join(sides[1], ["leaf", "b"])
+        .where(_alike("tokens_a", "tokens_b", similarity))
+        .select("leaf", "a", "b", "order_a"),
+        "line-pairs",
+    )
+    # a form that no open pair puts behind another one leads; what is alike to it follows
+    followers, rest = None, pairs
+    while not rest.isEmpty():
+        leads = rest.select("leaf", "a").join(
+            rest.select("leaf", F.col("b").alias("a")).distinct(), ["leaf", "a"], "left_anti"
+        ).distinct()
+        new = stored(rest.join(leads, ["leaf", "a"]).select("leaf", "b").distinct(), "line-followers")
+        followers = new if followers is None else followers.union(new)
+        rest = stored(
+            rest.join(new, ["leaf", "b"], "left_anti").join(
+                new.withColumnRenamed("b", "a"), ["leaf", "a"], "left_anti"
+            ),
+            "line-open-pairs",
+        )
+    if followers is None:
+        return []
+    led = pairs.join(followers.withColumnRenamed("b", "a"), ["leaf", "a"], "left_anti")
+    return [
+        led.groupBy("leaf", F.col("b").alias("form"))
+        .agg(F.min(F.struct("order_a", "a")).alias("lead"))
+        .select("leaf", "form", F.col("lead.a").alias("template"))
+    ]
 
 
 def dropped_lines(
@@ -114,7 +193,7 @@ def dropped_lines(
         "line-form-tokens",
     )
     tokens = found.groupBy("leaf", "form").agg(F.first("tokens").alias("tokens"))
-    followers = form_templates(stored(ordered.join(tokens, ["leaf", "form"]), "line-several-forms"), similarity)
+    followers = form_templates(stored(ordered.join(tokens, ["leaf", "form"]), "line-several-forms"), depth, similarity)
     templates = stored(
         forms.join(followers, ["leaf", "form"], "left").withColumn("template", F.coalesce("template", "form")),
         "line-templates",

@@ -527,3 +527,46 @@ def test_line_dedup_compares_tokens(spark):
     line = "Posted by user {} in the forum on {} morning with a total of {} replies and many views so far today"
     rows = [(1, line.format("alice", "Monday", "seven")), (2, line.format("bob", "Friday", "many"))]
     assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {1: [], 2: [0]}
+
+
+def templates_by_hand(docs, min_tokens):
+    """Templates in turn, token by token: the (doc_id, line number) pairs that go."""
+    leaves = defaultdict(lambda: defaultdict(list))
+    for doc_id, text in docs:
+        for no, line in enumerate((text or "").split("\n")):
+            words = tuple(BLANK_WORD.findall(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line)))
+            if len(words) == 1:
+                words = tuple(BLANK_WORD.findall(line))
+            if len(words) >= max(1, min_tokens):
+                leaves[len(words), words[:3]][words].append((doc_id, no))
+    gone = set()
+    for forms in leaves.values():
+        groups = {}
+        for form in sorted(forms, key=lambda f: (-len(forms[f]), min(forms[f]))):
+            alike = (g for g in groups if sum(x == y for x, y in zip(g, form, strict=True)) >= 0.75 * len(form))
+            groups.setdefault(next(alike, form), []).extend(forms[form])
+        for places in groups.values():
+            if len({d for d, _ in places}) > 1:
+                gone |= set(places) - {min(places)}
+    return gone
+
+
+def test_line_dedup_makes_every_template_of_a_leaf(spark):
+    families = ["This page was last edited on Monday by {} at noon", "This page was moved from another old place to {} today"]
+    rows = [(i, "\n".join(f.format(x) for f in families)) for i, x in enumerate(["alice", "bob", "carol"])]
+    rows += [(9, families[0].format("dora"))]
+    assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {0: [], 1: [0, 1], 2: [0, 1], 9: [0]}
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_line_dedup_templates_in_turn(spark, monkeypatch, few):
+    monkeypatch.setattr(line_templates, "FEW_PAIRS", few)
+    monkeypatch.setattr(line_templates, "PAIRS_PER_RUN", min(few, 50))
+    rng = np.random.default_rng(5)
+    rows = [
+        (i, "\n".join("a b c " + " ".join(rng.choice(list("xyz"), n)) for n in rng.integers(1, 9 if few else 6, 12)))
+        for i in range(60 if few else 6)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(d, no) for d, nos in dropped_by(docs).items() for no in nos}
+    assert got == templates_by_hand(rows, 2)
