@@ -1,7 +1,8 @@
 """Line dedup with a log-template tree of fixed depth, in DataFrame operations only.
 
 Parsing. A line is split into tokens at blanks; a token with a digit becomes
-the wildcard ``<*>``. The tree has two levels above its leaves: the token
+the wildcard ``<*>``, but for a line of this one token, which keeps its raw
+text. The tree has two levels above its leaves: the token
 count, then the ``depth`` leading tokens. In a leaf, two lines are alike when
 at least ``similarity`` of their tokens agree, place by place. The forms of a
 leaf, the most frequent first (ties: the earliest line), become templates in
@@ -11,7 +12,8 @@ template it is alike to. So every form meets every template of its leaf.
 
 Dropping. A template found in at least two documents recurs; its earliest line
 (smallest doc_id, then line number) stays, every other line of it is dropped
-from its text. Lines of fewer than ``min_tokens`` tokens are never dropped.
+from its text. Lines of fewer than ``min_tokens`` tokens are never dropped; the
+default of 1 spares none.
 
 Scale. What is shuffled are hashes of lines, and once an integer per token to
 find the tokens of the forms in leaves of several forms: counts per form are
@@ -51,7 +53,10 @@ def parse_lines(docs: DataFrame, depth: int) -> DataFrame:
         F.col("_line").rlike("[0-9]"),
         F.regexp_replace("_line", "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*", WILDCARD),
     ).otherwise(F.col("_line"))
-    tokens = lines.select("_key", "doc_id", "line_no", F.split(F.btrim(masked, F.lit(BLANKS)), BLANK_RUN).alias("_t"))
+    # a line that is nothing but a wildcard keeps its raw text: equal lines recur, other numbers and URLs stay
+    line = F.btrim(masked, F.lit(BLANKS))
+    line = F.when(line == WILDCARD, F.btrim("_line", F.lit(BLANKS))).otherwise(line)
+    tokens = lines.select("_key", "doc_id", "line_no", F.split(line, BLANK_RUN).alias("_t"))
     t, n = F.col("_t"), F.size("_t")
     return tokens.select(
         "_key",
@@ -159,7 +164,7 @@ def _settle_pairs(forms: DataFrame, runs: DataFrame, similarity: float) -> list[
 
 
 def dropped_lines(
-    docs: DataFrame, depth: int = 3, similarity: float = 0.75, min_tokens: int = 2
+    docs: DataFrame, depth: int = 3, similarity: float = 0.75, min_tokens: int = 1
 ) -> DataFrame:
     """(_key, doc_id, dropped: array of line numbers) of the documents that lose lines."""
     every = stored(parse_lines(docs, depth), "line-leaves").where(F.col("n_tokens") >= min_tokens)

@@ -569,4 +569,14 @@ def test_line_dedup_templates_in_turn(spark, monkeypatch, few):
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(d, no) for d, nos in dropped_by(docs).items() for no in nos}
-    assert got == templates_by_hand(rows, 2)
+    assert got == templates_by_hand(rows, 1)
+
+
+def test_line_dedup_takes_lines_of_one_token(spark):
+    rows = [(1, "Home\nhttp://a.org/1\n12"), (2, " Home\nhttp://a.org/2\n13\n没有空格的一行第3段"), (3, "http://a.org/1\n没有空格的一行第3段")]
+    assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {1: [], 2: [0], 3: [0, 1]}
+
+
+def test_line_dedup_query_against_templates_in_turn(spark, texts):
+    got = {(r.doc_id, int(no)) for r in Q.op4_line_dedup(spark, SMOKE_SF).collect() for no in r.dropped.split(",") if no}
+    assert got == templates_by_hand(texts.items(), 1)
