@@ -1,9 +1,10 @@
 """Licence scan as an exact set-similarity join, in DataFrame operations only.
 
 Base phrases are found as consecutive words of a text. Beyond them, each text
-is cut into blocks (lines, cut further after sentence ends), and a block meets
-a template if it contains at least ``threshold`` of the template's distinct
-tokens. The join is exact:
+is cut into blocks, and a block meets a template if it contains at least
+``threshold`` of the template's distinct tokens. A text is cut at blank lines and after sentence ends; a block is a line
+of such a piece with as many words of the lines behind it as the longest
+template has, so a notice may be wrapped anywhere. The join is exact:
 
 - tokens are put in global order, rarest first, by the number of documents of
   the whole corpus they occur in;
@@ -61,7 +62,7 @@ TEMPLATES = (
     ("public-domain", "this work is dedicated to the public domain"),
 )
 
-BLOCK_END = "\n|(?<=[.!?])[\\x20\\x09-\\x0D]+"
+BLOCK_END = "\n[\\x20\\x09\\x0B-\\x0D]*\n|(?<=[.!?])[\\x20\\x09-\\x0D]+"
 
 
 def _words(text: str) -> list[str]:
@@ -83,6 +84,17 @@ def _phrase_label(w: Column, i: Column, phrases: dict[str, str]) -> Column:
     return out
 
 
+def _line_words(line: Column) -> Column:
+    return F.array_remove(F.split(F.lower(line), NON_WORD_RUN), "")
+
+
+def _spans(lines: Column, longest: int) -> Column:
+    """Each line's words with the next ``longest`` words of the lines behind it; no line is without words."""
+    return F.transform(
+        lines, lambda x, i: F.concat(x, F.slice(F.flatten(F.slice(lines, i + 2, longest)), 1, longest))
+    )
+
+
 def scan(
     docs: DataFrame,
     phrases: dict[str, str] = BASE_PHRASES,
@@ -91,6 +103,7 @@ def scan(
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
     sets = [(label, sorted(set(_words(text)))) for label, text in templates]
+    longest = max(len(_words(text)) for _, text in templates)
     vocabulary = sorted({t for _, tokens in sets for t in tokens})
     words = docs.select("doc_id", "text", row_key().alias("_key"), alnum_words(F.col("text")).alias("w"))
 
@@ -133,7 +146,10 @@ def scan(
     tokens = (
         base.where("blocks is not null")
         .select("_key", "doc_id", F.explode("blocks").alias("block"))
-        .select("_key", "doc_id", F.array_intersect(_strings(order), F.split(F.lower("block"), NON_WORD_RUN)).alias("tokens"))
+        .select("_key", "doc_id", F.transform(F.split("block", "\n"), _line_words).alias("lines"))
+        .where(F.arrays_overlap(F.flatten("lines"), _strings(prefix)))
+        .select("_key", "doc_id", F.explode(_spans(F.filter("lines", lambda x: F.size(x) > 0), longest)).alias("span"))
+        .select("_key", "doc_id", F.array_intersect(_strings(order), "span").alias("tokens"))
         .where(F.arrays_overlap("tokens", _strings(prefix)))
         .distinct()
     )

@@ -580,3 +580,16 @@ def test_line_dedup_takes_lines_of_one_token(spark):
 def test_line_dedup_query_against_templates_in_turn(spark, texts):
     got = {(r.doc_id, int(no)) for r in Q.op4_line_dedup(spark, SMOKE_SF).collect() for no in r.dropped.split(",") if no}
     assert got == templates_by_hand(texts.items(), 1)
+
+
+def test_license_scan_reads_wrapped_notices(spark):
+    notices = [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        " * Permission to use, copy, modify, and/or\n * distribute this software for any\n *\n * purpose with or"
+        "\n * without fee is hereby granted, provided",
+        "Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this software",
+    ]
+    docs = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_join.scan(docs).collect()}
+    assert got == {0: "mit", 1: "bsd", 2: "isc", 3: ""}
