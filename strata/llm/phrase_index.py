@@ -20,7 +20,8 @@ benchmark is large. Postings outside the lookup terms never leave the scan.
 Hits are merged per document; no pairs of documents are formed.
 
 Defined results: NULL or wordless texts have no words and no hit; items
-without an id or without words are not looked up; repeated rows (documents or
+without words are not looked up; the words of items without an id are hit, but
+no id is listed or counted for them; repeated rows (documents or
 items) give equal results row by row; extra columns are ignored or passed
 through; empty tables give no hit, or no row.
 """
@@ -37,7 +38,7 @@ END = "\x00end"  # no word holds this character
 
 def phrases(benchmark: DataFrame, window: int) -> DataFrame:
     """(item_id, words): the distinct test phrases."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select(
+    items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), alnum_words(F.col("text")).alias("w")
     ).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (window - 1), F.lit(1)))
@@ -167,7 +168,7 @@ def near_items(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
     they share a cell or stand in neighbouring cells with a gap in range, which
     the smallest and largest position of each term in a cell decide.
     """
-    pair = lookups.select("item_id", "t1", "t2").distinct()
+    pair = lookups.where("item_id is not null").select("item_id", "t1", "t2").distinct()
     sides = F.array(*[F.struct(F.lit(k).alias("side"), F.col(f"t{k}").alias("term")) for k in (1, 2)])
     wanted = pair.select("item_id", "t1", "t2", F.explode(sides).alias("x"))
     cell = F.floor(F.col("pos") / F.lit(slop + 1)).cast("int")

@@ -593,3 +593,12 @@ def test_license_scan_reads_wrapped_notices(spark):
     docs = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
     got = {r.doc_id: r.labels for r in license_join.scan(docs).collect()}
     assert got == {0: "mit", 1: "bsd", 2: "isc", 3: ""}
+
+
+def test_decontamination_counts_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "zebra and quagga graze"), (2, "other words")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "zebra and quagga"), (7, "quagga graze")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.item_ids, r.contaminated) for r in phrase_index.contaminated(docs, items).collect()}
+    assert got == {1: (4, ["7"], True), 2: (0, [], False)}
+    only = phrase_index.contaminated(docs, items.where("item_id is null")).where("doc_id = 1").first()
+    assert (only.n_hit, only.item_ids, only.contaminated, only.n_near) == (3, [], True, 0)
