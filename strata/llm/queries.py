@@ -15,16 +15,19 @@ from . import (
     quality_rules,
     simhash_covering,
     substring_dedup,
+    token_alignment,
     url_bloom,
+    vector_packing,
     warc_index,
+    whitening,
 )
 from .common import table
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 # Host, path prefix and verdict of the rules for pages.
@@ -124,6 +127,39 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_bloom.filter_urls(pages, url_bloom.thin_pages(pages), URL_RULES)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, cut where a sequence has room, each id loss-bearing."""
+    examples = vector_packing.document_examples(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
+    return vector_packing.pack(examples, vector_packing.Limits(tokens=2048, segments=64, loss_tokens=2048)).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        F.col("tokens").alias("doc_tokens"),
+        "sequence_id",
+        "offset",
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.measure(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", components=16)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return out.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -137,6 +173,9 @@ QUERIES = {
         op8_quality_rules,
         op9_benchmark_decontamination,
         op10_url_filter,
+        op11_packing,
+        op12_token_alignment,
+        op13_embedding_whitening,
     )
 }
 ORACLE_SQL = {

@@ -1,0 +1,111 @@
+"""Whitening against NumPy on the same rows, and on edge cases."""
+
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import queries as Q
+from strata.llm import whitening
+from strata.llm.common import table
+from tests.conftest import SMOKE_SF
+
+ROWS = "vec_id long, embedding array<float>"
+
+
+def whole_numbers(vector):
+    if not vector or any(v is None or not math.isfinite(v) for v in vector):
+        return None
+    return tuple(math.floor(64.0 * v) + 1_000_000 for v in vector)
+
+
+def by_hand(rows, components):
+    """rows: (vec_id, x); n, deviation by row, eigenvalue shares, absolute projections by row."""
+    fit = np.array(sorted({x for _, x in rows}), dtype=object)
+    n, sums = len(fit), fit.sum(axis=0)
+    deviation = [sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True)) for _, x in rows]
+    mean = np.array([float(s) / n for s in sums])
+    centred = fit.astype(np.float64) - mean
+    covariance = centred.T @ centred / n
+    values, unit = np.linalg.eigh(covariance)
+    values, unit = values[::-1], unit[:, ::-1]
+    k = min(components, len(values))
+    out = (np.array([x for _, x in rows], np.float64) - mean) @ unit[:, :k] / np.sqrt(values[:k])
+    return n, deviation, values[:k] / np.trace(covariance), np.abs(out)
+
+
+def test_whitening(spark):
+    rows = [(r.vec_id, whole_numbers(r.embedding)) for r in table(spark, SMOKE_SF, "embeddings").collect()]
+    rows = [r for r in rows if r[1]]
+    n, deviation, explained, projected = by_hand(rows, 16)
+    got = defaultdict(dict)
+    place = {vec_id: i for i, (vec_id, _) in enumerate(rows)}
+    for r in Q.op13_embedding_whitening(spark, SMOKE_SF).collect():
+        i = place[r.vec_id]
+        got[r.vec_id][r.component] = r
+        assert (r.n, r.deviation) == (n, deviation[i])
+        assert r.explained == pytest.approx(explained[r.component - 1], rel=1e-9)
+        assert abs(r.whitened) == pytest.approx(projected[i, r.component - 1], abs=1e-7)
+        assert r.identity_error < 1e-9
+    assert len(got) == len(rows) and all(sorted(x) == list(range(1, 17)) for x in got.values())
+    first = {r[1]: r[0] for r in rows}  # one row of each distinct vector: with one sign for all, projections have mean zero
+    fit = np.array([[got[i][k].whitened for k in range(1, 17)] for i in first.values()])
+    assert fit.mean(axis=0) == pytest.approx(np.zeros(16), abs=1e-9)
+
+
+def whitened(df, **more):
+    return whitening.whiten(df, **more).collect()
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 4096])
+def test_whitening_of_copies_in_small_blocks(spark, rows_per_block):
+    """A vector in most rows counts once; blocks and slices change nothing."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((40, 5)).astype(np.float32)
+    rows = [(i, base[i % 40].tolist()) for i in range(70)] + [(None, base[7].tolist())] * 100
+    df = spark.createDataFrame(rows, ROWS).repartition(7)
+    got = whitened(df, rows_per_block=rows_per_block)
+    numbers = [(i, whole_numbers(v)) for i, v in rows]
+    n, deviation, explained, projected = by_hand(numbers, 16)
+    assert len(got) == len(rows) and {r.n for r in got} == {n} == {40}
+    place = {i: k for k, (i, _) in enumerate(rows)}
+    for r in got:
+        k = place[r.vec_id]
+        assert r.deviation == deviation[k] and r.identity_error < 1e-9
+        assert r.explained == pytest.approx(explained.tolist())
+        assert np.abs(r.whitened) == pytest.approx(projected[k], abs=1e-9)
+    fit = np.array([r.whitened for r in got if r.vec_id is not None and r.vec_id < 40])
+    assert fit.mean(axis=0) == pytest.approx(np.zeros(5), abs=1e-9)
+    assert np.cov(fit.T, bias=True) == pytest.approx(np.eye(5), abs=1e-9)
+
+
+def test_whitening_edges(spark):
+    good = [(i, [float(i), float(i * i % 7)]) for i in range(6)]
+    odd = [
+        (10, None),
+        (11, []),
+        (12, [1.0, None]),
+        (13, [float("nan"), 1.0]),
+        (14, [float("inf"), 1.0]),
+        (15, [3e38, 1.0]),
+        (16, [1.0, 2.0, 3.0]),
+        (None, [2.0, 4.0]),
+        (3, good[3][1]),
+    ]
+    df = spark.createDataFrame(good + odd, ROWS)
+    got = whitened(df.withColumns({c: F.lit(1) for c in ("x", "h1", "h2", "n", "index", "v", "label")}))
+    assert sorted((r.vec_id is None, r.vec_id) for r in got) == [(False, i) for i in (0, 1, 2, 3, 3, 4, 5)] + [(True, None)]
+    assert {len(r.whitened) for r in got} == {2} and {r.n for r in got} == {6}
+    none = spark.createDataFrame([], ROWS)
+    assert whitened(none) == [] and whitening.whiten(none).columns == whitening.whiten(df).columns
+    assert whitened(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], ROWS)) == []  # no variance
+    line = spark.createDataFrame([(i, [float(i), 2.0 * i, 0.0]) for i in range(5)], ROWS)
+    assert {len(r.whitened) for r in whitened(line)} == {1}
+    far = spark.createDataFrame([(i, [1e13 * (i + 1), 0.0]) for i in range(3)], ROWS)
+    _, deviation, _, _ = by_hand([(r.vec_id, whole_numbers(r.embedding)) for r in far.collect()], 1)
+    got = {r.vec_id: r.deviation for r in whitened(far)}
+    assert got == {i: d if d < 2**63 else None for i, d in enumerate(deviation)} and None in got.values()
