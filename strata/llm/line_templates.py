@@ -4,11 +4,9 @@ Parsing. A line is split into tokens at blanks; a token with a digit becomes
 the wildcard ``<*>``, but for a line of this one token, which keeps its raw
 text. The tree has two levels above its leaves: the token
 count, then the ``depth`` leading tokens. In a leaf, two lines are alike when
-at least ``similarity`` of their tokens agree, place by place. The forms of a
-leaf, the most frequent first (ties: the earliest line), become templates in
-turn: a form alike to no template before it is the next one, in which the
-tokens that differ are variable fields; any other form belongs to the first
-template it is alike to. So every form meets every template of its leaf.
+at least ``similarity`` of their tokens agree, place by place. A template is
+what like lines connect: lines joined by a chain of alike ones, whose differing
+tokens are its variable fields.
 
 Dropping. A template found in at least two documents recurs; its earliest line
 (smallest doc_id, then line number) stays, every other line of it is dropped
@@ -20,9 +18,13 @@ find the tokens of the forms in leaves of several forms: counts per form are
 partial aggregates, so a line in a third of all documents shrinks before the
 shuffle; the joins back are plain equi-joins that adaptive execution may split.
 The text is shuffled once, beside the list of dropped line numbers of its own
-document. Leaders are taken in rounds, one of each leaf, which shrinks leaves of
-many alike forms; once few pairs of forms share a run of tokens, these pairs are
-compared instead. No pairs of lines are formed.
+document. Forms are connected in two steps, on one path at every size. Forms
+that are equal outside one run of as many tokens as alike forms may differ in
+are alike: each is linked to the first of its group, so no pairs are formed.
+Other alike forms have one of several runs in common; those of different
+groups are paired there, in cells of bounded size and past a test of four bit
+sketches that no alike pair fails, and then compared token by token. The links
+are contracted by ``components`` in a logarithmic number of rounds.
 
 Defined results: NULL text stays NULL and has no line; rows equal in doc_id
 and text count as one document and keep the same lines; rows without doc_id
@@ -35,13 +37,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_self_join
 from .common import BLANK_RUN, BLANKS, join_documents, row_key, stored
+from .simhash_covering import components
 
 WILDCARD = "<*>"
 
-# Up to so many pairs of forms, in all or for each run of a form, are compared at once.
-FEW_PAIRS = 1_000_000
-PAIRS_PER_RUN = 50
+SKETCHES = 4  # one bit of each token's hash goes into each of so many 64-bit sketches
 
 
 def parse_lines(docs: DataFrame, depth: int) -> DataFrame:
@@ -75,92 +77,97 @@ def _alike(a: str, b: str, similarity: float) -> Column:
     return same >= F.lit(similarity) * F.size(a)
 
 
-def _next_leaders(forms: DataFrame, similarity: float) -> DataFrame:
-    """The forms with the first form of their leaf (``lead``, its hash) and whether they are alike to it."""
-    leaders = forms.groupBy("leaf").agg(F.min(F.struct("order", "form", "tokens")).alias("lead"))
-    return (
-        forms.join(leaders, "leaf")
-        .withColumn("alike", _alike("tokens", "lead.tokens", similarity))
-        .withColumn("lead", F.col("lead.form"))
-    )
+def _may_differ(similarity: float) -> Column:
+    """In how many tokens alike forms may differ."""
+    return F.floor(F.size("tokens") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+
+
+def _without_a_run(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(form, key): equal keys mean forms equal outside one run of the places in which alike forms may differ."""
+    t, n, d = F.col("tokens"), F.size("tokens"), F.col("d")
+    free = F.greatest(n - depth, F.lit(0))
+
+    def key(j):
+        at = F.least(F.lit(depth), n) + j * d
+        return F.xxhash64("leaf", j, F.slice(t, 1, at), F.slice(t, F.least(at + d, n) + 1, n))
+
+    keys = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(free / d).cast("int") - 1, F.lit(0))), key)
+    return forms.withColumn("d", _may_differ(similarity)).where("d > 0").select("form", F.explode(keys).alias("key"))
 
 
-def _runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(leaf, run, form, order): one more run of tokens behind the leading ones than alike forms may differ in.
+def _shared_runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(form, d, sketch_*, key): one run of tokens more than alike forms may differ in, so one is equal in both.
 
-    At least one run of two alike forms is equal, the same run in both; without a token it is equal in all.
+    A token's hash adds a bit to each sketch, at its place modulo 64: forms that
+    differ in d tokens differ in at most d places of the sketches taken together.
     """
-    n = F.size("tokens")
-    runs = F.floor(n * F.lit(1 - similarity) + F.lit(1e-9)).cast("int") + 1
-    rest = F.greatest(n - depth, F.lit(0))
+    n, d = F.size("tokens"), F.col("d")
+    free = F.greatest(n - depth, F.lit(0))
 
     def run(j):
-        at = F.floor(rest * j / runs).cast("int")
-        end = F.floor(rest * (j + 1) / runs).cast("int")
-        return F.xxhash64(j, F.slice("tokens", depth + 1 + at, end - at))
+        at = F.floor(free * j / (d + 1)).cast("int")
+        end = F.floor(free * (j + 1) / (d + 1)).cast("int")
+        return F.xxhash64("leaf", j, F.slice("tokens", depth + 1 + at, end - at))
 
-    return forms.select("leaf", "form", "order", F.explode(F.transform(F.sequence(F.lit(0), runs - 1), run)).alias("run"))
+    def sketch(k):
+        bits = F.transform(
+            "tokens",
+            lambda x, i: F.call_function(
+                "shiftleft", F.shiftrightunsigned(x, 7 * k).bitwiseAND(F.lit(1)).cast("bigint"), F.pmod(i, F.lit(64))
+            ),
+        )
+        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x)).alias(f"sketch_{k}")
 
+    # up to one difference lies in one run: such forms have met already
+    open_forms = forms.withColumn("d", _may_differ(similarity)).where("d > 1")
+    keys = F.explode(F.transform(F.sequence(F.lit(0), d), run)).alias("key")
+    return open_forms.select("form", "comp", "d", *[sketch(k) for k in range(SKETCHES)], keys)
 
-def form_templates(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(leaf, form, template) of the forms (leaf, form, order, tokens) that follow another form.
 
-    In order, a form alike to no leader before it is a leader; the others
-    follow the first leader they are alike to. Rounds settle the first leader
-    of every leaf until the rest has few pairs with an equal run; the alike
-    among these pairs settle the rest.
-    """
-    settled, rest = [], forms
-    while not rest.isEmpty():
-        first = stored(_next_leaders(rest, similarity), "line-leaders")
-        settled.append(first.where("alike and form <> lead").select("leaf", "form", F.col("lead").alias("template")))
-        rest = first.where("not alike").select("leaf", "form", "order", "tokens")
-        runs = stored(_runs(rest, depth, similarity), "line-runs")
-        shared = runs.groupBy("leaf", "run").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-        size = shared.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"), F.sum("k").alias("runs")).first()
-        if (size["pairs"] or 0) <= max(FEW_PAIRS, PAIRS_PER_RUN * (size["runs"] or 0)):
-            settled += _settle_pairs(rest, runs, similarity)
-            break
-    out = forms.sparkSession.createDataFrame([], "leaf bigint, form bigint, template bigint")
-    for found in settled:
-        out = out.union(found)
-    return out
-
-
-def _settle_pairs(forms: DataFrame, runs: DataFrame, similarity: float) -> list[DataFrame]:
-    """(leaf, form, template) of the followers among ``forms``, from the pairs that share a run."""
-    a, b = (runs.select("leaf", "run", F.col("form").alias(x), F.col("order").alias(f"order_{x}")) for x in "ab")
-    near = a.join(b, ["leaf", "run"]).where("order_a < order_b").select("leaf", "a", "b", "order_a").distinct()
-    sides = [forms.select("leaf", F.col("form").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab"]
-    pairs = stored(
-        near.join(sides[0], ["leaf", "a"])
-        .join(sides[1], ["leaf", "b"])
-        .where(_alike("tokens_a", "tokens_b", similarity))
-        .select("leaf", "a", "b", "order_a"),
-        "line-pairs",
+def form_templates(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(form, template) of the forms (leaf, form, tokens): forms connected by alike ones have one template."""
+    keys = stored(_without_a_run(forms, depth, similarity), "line-keys")
+    hubs = stored(
+        keys.groupBy("key").agg(F.min("form").alias("hub"), F.max("form").alias("last")).where("hub <> last"), "line-hubs"
     )
-    # a form that no open pair puts behind another one leads; what is alike to it follows
-    followers, rest = None, pairs
-    while not rest.isEmpty():
-        leads = rest.select("leaf", "a").join(
-            rest.select("leaf", F.col("b").alias("a")).distinct(), ["leaf", "a"], "left_anti"
-        ).distinct()
-        new = stored(rest.join(leads, ["leaf", "a"]).select("leaf", "b").distinct(), "line-followers")
-        followers = new if followers is None else followers.union(new)
-        rest = stored(
-            rest.join(new, ["leaf", "b"], "left_anti").join(
-                new.withColumnRenamed("b", "a"), ["leaf", "a"], "left_anti"
-            ),
-            "line-open-pairs",
-        )
-    if followers is None:
-        return []
-    led = pairs.join(followers.withColumnRenamed("b", "a"), ["leaf", "a"], "left_anti")
-    return [
-        led.groupBy("leaf", F.col("b").alias("form"))
-        .agg(F.min(F.struct("order_a", "a")).alias("lead"))
-        .select("leaf", "form", F.col("lead.a").alias("template"))
+    stars = keys.join(hubs, "key").select(F.col("form").alias("a"), F.col("hub").alias("b"))
+    root = components(stars, "line-groups")
+    grouped = stored(
+        forms.join(root, forms.form == root.node, "left").select(
+            "leaf", "form", "tokens", F.coalesce("root", "form").alias("comp")
+        ),
+        "line-grouped",
+    )
+    runs = stored(_shared_runs(grouped, depth, similarity), "line-runs")
+    mixed = stored(
+        runs.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"),
+        "line-mixed-runs",
+    )
+    apart = [F.col(f"a.sketch_{k}").bitwiseXOR(F.col(f"b.sketch_{k}")) for k in range(SKETCHES)]
+    differ = apart[0]
+    for x in apart[1:]:
+        differ = differ.bitwiseOR(x)
+    near = salted_self_join(
+        stored(runs.join(mixed, "key", "left_semi"), "line-open-runs"),
+        ["key"],
+        "form",
+        (F.col("a.form") < F.col("b.form")) & (F.col("a.comp") != F.col("b.comp")) & (F.bit_count(differ) <= F.col("a.d")),
+    ).select(F.col("a.form").alias("a"), F.col("b.form").alias("b"))
+    sides = [
+        grouped.select(F.col("form").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("tokens").alias(f"tokens_{x}"))
+        for x in "ab"
     ]
+    alike = (
+        stored(near.distinct(), "line-pairs")
+        .join(sides[0], "a")
+        .join(sides[1], "b")
+        .where(_alike("tokens_a", "tokens_b", similarity))
+        .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    )
+    joined = components(alike, "line-joined-groups")
+    return grouped.join(joined, grouped.comp == joined.node, "left").select(
+        "form", F.coalesce(joined.root, "comp").alias("template")
+    )
 
 
 def dropped_lines(
@@ -187,21 +194,21 @@ def dropped_lines(
         "line-forms",
     )
     # tokens are needed where a leaf has more than one form
-    several = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("leaf")
-    ordered = forms.join(several, "leaf", "left_semi").select(
-        "leaf", "form", F.struct((-F.col("n")).alias("n"), F.col("earliest")).alias("order")
+    several = stored(
+        forms.groupBy("leaf").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo <> hi").select("leaf"),
+        "line-leaves-of-several-forms",
     )
+    wanted = stored(forms.select("leaf", "form").join(several, "leaf", "left_semi"), "line-several-forms")
     found = stored(
-        every.select("leaf", "form", "tokens").join(
-            ordered.select("leaf", "form").hint("shuffle_hash"), ["leaf", "form"], "left_semi"
-        ),
+        every.select("leaf", "form", "tokens").join(wanted.hint("shuffle_hash"), ["leaf", "form"], "left_semi"),
         "line-form-tokens",
     )
-    tokens = found.groupBy("leaf", "form").agg(F.first("tokens").alias("tokens"))
-    followers = form_templates(stored(ordered.join(tokens, ["leaf", "form"]), "line-several-forms"), depth, similarity)
+    tokens = stored(
+        found.groupBy("form").agg(F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens")), "line-tokens"
+    )
+    of = form_templates(tokens, depth, similarity)
     templates = stored(
-        forms.join(followers, ["leaf", "form"], "left").withColumn("template", F.coalesce("template", "form")),
-        "line-templates",
+        forms.join(of, "form", "left").withColumn("template", F.coalesce("template", "form")), "line-templates"
     )
     recurring = (
         templates.groupBy("leaf", "template")

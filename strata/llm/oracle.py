@@ -19,51 +19,61 @@ def alnum(text: str) -> str:
     return words(LOWER.format(f"coalesce({text}, '')"), SEPARATORS)
 
 
+# A mark (a private code point) stands where a blank follows a sentence end; marks have no length in the text.
 SUBSTRINGS = r"""
 with pieces as (
  select doc_id, unnest(x) as p, unnest(range(len(x))) as i
- from (select doc_id, regexp_extract_all(text, '[^\n.!?]+|[\n.!?]+') as x from documents)),
+ from (select doc_id, regexp_extract_all(
+         regexp_replace(text, '([.!?])([ \t\x0B\x0C\r])', '\1' || chr(57344) || '\2', 'g'),
+         '[^\n\x{E000}]+|\n') as x from documents)),
 placed as (
- select doc_id, p, cast(sum(length(p)) over (partition by doc_id order by i) - length(p) as int) as start,
+ select doc_id, p, i, cast(sum(length(p)) over (partition by doc_id order by i) - length(p) as int) as start,
+        count(*) filter (p = chr(10)) over (partition by doc_id order by i) as line,
         regexp_extract_all(lower(p), '[\p{L}\p{N}_]+') as w
  from pieces),
 units as (
- select *, row_number() over (partition by doc_id order by start) as n from placed
- where len(w) > 0 and not regexp_matches(p, '^[\n.!?]')),
+ select *, list_sum(list_transform(w, lambda x: strlen(x))) as bytes,
+        row_number() over (partition by doc_id order by start) as n,
+        row_number() over (partition by doc_id, line order by start) = 1 as opens,
+        row_number() over (partition by doc_id, line order by start desc) = 1 as closes
+ from placed where len(w) > 0),
 firsts as (select w, min(row(doc_id, start)) as f from units group by w having count(*) > 1),
 copies as (
- select u.doc_id, u.n, u.start, cast(u.start + length(u.p) as int) as stop, len(u.w) as n_words, f.f,
-        u.n - row_number() over (partition by u.doc_id order by u.n) as run
+ select u.doc_id, u.n, u.start, cast(u.start + length(u.p) as int) as stop, len(u.w) as n_words, u.bytes, u.opens,
+        u.closes, f.f, u.n - row_number() over (partition by u.doc_id order by u.n) as run
  from units u join firsts f on f.w = u.w where row(u.doc_id, u.start) <> f.f)
 select doc_id, min(start) as start, max(stop) as stop, cast(sum(n_words) as bigint) as n_words,
        arg_min(f, n)[1] as first_doc_id, arg_min(f, n)[2] as first_start
-from copies group by doc_id, run having sum(n_words) >= 25
+from copies group by doc_id, run
+having sum(bytes) >= 60 or (min(n) filter (opens) <= max(n) filter (closes) and sum(bytes) >= 30)
 """
 
 LINES = f"""
-with lines as (
+with recursive lines as (
  select doc_id, unnest(l) as line, unnest(range(len(l))) as no
  from (select doc_id, string_split(text, chr(10)) as l from documents)),
-tokens as (
- select doc_id, no, {words("regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g')", BLANKS)} as t
+masked as (
+ select *, {words("regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g')", BLANKS)} as m,
+        {words("line", BLANKS)} as raw
  from lines),
 parsed as (
- select doc_id, no, len(t) as n, list_slice(t, 1, 3) as head,
-        list_transform(range(1, len(t) + 1, (len(t) + 7) // 8),
-                       lambda i: array_to_string(list_slice(t, i, i + (len(t) + 7) // 8 - 1), ' ')) as runs
- from tokens where len(t) >= 2),
+ select doc_id, no, len(m) as n, list_slice(m, 1, 3) as head, if(m = ['<*>'], raw, m) as t
+ from masked where len(m) > 0),
 forms as (
- select n, head, runs, count(*) as c, min(row(doc_id, no)) as f, min(doc_id) as lo, max(doc_id) as hi
- from parsed group by n, head, runs),
-leaders as (select n, head, arg_min(runs, row(-c, f)) as lead from forms group by n, head),
-templates as (
- select n, head, runs, f, lo, hi,
-        if(len(list_filter(range(1, len(runs) + 1), lambda i: runs[i] = lead[i])) >= 0.75 * len(runs), lead, runs) as tpl
- from forms join leaders using (n, head)),
-kept as (select n, head, tpl, min(f) as f from templates group by n, head, tpl having min(lo) <> max(hi)),
+ select n, head, t, row_number() over (order by min(row(doc_id, no))) as id, min(row(doc_id, no)) as f,
+        min(doc_id) as lo, max(doc_id) as hi
+ from parsed group by n, head, t),
+alike as (
+ select a.id as a, b.id as b from forms a join forms b on a.n = b.n and a.t[1:3] = b.t[1:3] and a.id <> b.id
+ where len(list_filter(range(1, a.n + 1), lambda i: a.t[i] = b.t[i])) >= 0.75 * a.n),
+reached(id, root) as (
+ select id, id from forms union select e.b, r.root from reached r join alike e on e.a = r.id where e.b > r.root),
+templates as (select id, min(root) as root from reached group by id),
+kept as (
+ select root, min(f) as f from forms join templates using (id) group by root having min(lo) <> max(hi)),
 gone as (
- select p.doc_id, p.no from parsed p join templates t using (n, head, runs) join kept k using (n, head, tpl)
- where row(p.doc_id, p.no) <> k.f)
+ select p.doc_id, p.no from parsed p join forms f using (n, head, t) join templates t on t.id = f.id
+ join kept k on k.root = t.root where row(p.doc_id, p.no) <> k.f)
 select l.doc_id, count(*) as n_lines, count(g.no) as n_dropped,
        coalesce(string_agg(cast(g.no as varchar), ',' order by g.no), '') as dropped,
        coalesce(string_agg(l.line, chr(10) order by l.no) filter (g.no is null), '') as text

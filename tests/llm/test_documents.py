@@ -85,37 +85,29 @@ def test_quality_rules_follow_labels(spark):
 # ------------------------------------------------------------ line templates
 
 
-def lines_by_hand(docs, depth=3, segments=8, similarity=0.75, min_tokens=2):
-    """docs: (doc_id, text); the (doc_id, line number) pairs that go."""
-    found, first = defaultdict(Counter), {}
-    lines = []
-    docs_of = defaultdict(set)
+def lines_by_hand(docs, depth=3, similarity=0.75, min_tokens=1):
+    """docs: (doc_id, text); the (doc_id, line number) pairs that go: lines are connected through alike ones."""
+    leaves = defaultdict(lambda: defaultdict(list))
     for doc_id, text in docs:
         for no, line in enumerate((text or "").split("\n")):
-            words = BLANK_WORD.findall(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line))
-            if len(words) < max(1, min_tokens):
-                continue
-            per = -(-len(words) // segments)
-            runs = tuple(tuple(words[i : i + per]) for i in range(0, len(words), per))
-            leaf = (len(words), tuple(words[:depth]))
-            lines.append((leaf, runs, doc_id, no))
-            found[leaf][runs] += 1
-            key = (leaf, runs)
-            first[key] = min(first.get(key, (doc_id, no)), (doc_id, no))
-    template = {}
-    for leaf, forms in found.items():
-        lead = min(forms, key=lambda f: (-forms[f], first[leaf, f]))
-        for form in forms:
-            same = sum(a == b for a, b in zip(form, lead, strict=True))
-            template[leaf, form] = (leaf, lead if same >= similarity * len(form) else form)
-    kept = {}
-    for leaf, runs, doc_id, no in lines:
-        t = template[leaf, runs]
-        docs_of[t].add(doc_id)
-        kept[t] = min(kept.get(t, (doc_id, no)), (doc_id, no))
-    return {
-        (d, no) for leaf, runs, d, no in lines if len(docs_of[t := template[leaf, runs]]) > 1 and kept[t] != (d, no)
-    }
+            words = tuple(BLANK_WORD.findall(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line)))
+            if words == ("<*>",):
+                words = tuple(BLANK_WORD.findall(line))
+            if len(words) >= max(1, min_tokens):
+                leaves[len(words), words[:depth]][words].append((doc_id, no))
+    gone = set()
+    for forms in leaves.values():
+        left = set(forms)
+        while left:
+            group = [left.pop()]
+            for form in group:
+                near = {g for g in left if sum(map(str.__eq__, form, g)) >= similarity * len(form)}
+                left -= near
+                group += near
+            places = [p for form in group for p in forms[form]]
+            if len({d for d, _ in places}) > 1:
+                gone |= set(places) - {min(places)}
+    return gone
 
 
 def test_line_dedup(spark, texts):
@@ -453,26 +445,33 @@ def test_votes_are_exact_neighbours():
 # ------------------------------------------------------------ substring dedup
 
 
-def repeats_by_hand(docs, min_words=25):
-    seen, units = {}, {}
+def repeats_by_hand(docs):
+    seen, spans = {}, set()
     for doc_id, text in sorted(docs):
-        units[doc_id] = []
-        for m in re.finditer(r"[^\n.!?]+", text or ""):
-            words = re.findall(r"\w+", m.group().lower())
-            if words:
-                key = " ".join(words)
-                units[doc_id].append((m.start(), m.end(), len(words), key in seen))
-                seen.setdefault(key, (doc_id, m.start()))
-    spans = set()
-    for doc_id, own in units.items():
+        units, at = [], 0  # (start, stop, bytes, words, line, repeat)
+        for line_no, line in enumerate((text or "").split("\n")):
+            own, start = [], at
+            for i, c in enumerate(line, 1):
+                if i == len(line) or (c in ".!?" and line[i] in " \t\x0b\x0c\r"):
+                    words = re.findall(r"\w+", line[start - at : i].lower())
+                    if words:
+                        key = " ".join(words)
+                        own.append((start, at + i, sum(len(w.encode()) for w in words), len(words), line_no, key in seen))
+                        seen.setdefault(key, (doc_id, start))
+                    start = at + i
+            units += own
+            at += len(line) + 1
+        sizes = Counter(u[4] for u in units)
         run = []
-        for u in [*own, (0, 0, 0, False)]:
-            if u[3]:
+        for u in [*units, (0, 0, 0, 0, -1, False)]:
+            if u[5]:
                 run.append(u)
-            else:
-                if run and sum(x[2] for x in run) >= min_words:
-                    spans.add((doc_id, run[0][0], run[-1][1], sum(x[2] for x in run)))
-                run = []
+                continue
+            size = sum(x[2] for x in run)
+            fills = any(n == sizes[k] for k, n in Counter(x[4] for x in run).items())
+            if run and (size >= 60 or (fills and size >= 30)):
+                spans.add((doc_id, run[0][0], run[-1][1], sum(x[3] for x in run)))
+            run = []
     return spans
 
 
@@ -500,23 +499,42 @@ def test_substring_dedup_edges(edge, empty, clashing):
     assert substring_dedup.repeats(empty).count() == 0
 
 
-def test_substring_dedup_removes_short_repeats(spark):
+def test_substring_dedup_runs(spark):
+    """A short repeat goes where its neighbours or its whole line repeat, and stays where it stands alone."""
+    line = "One line of boilerplate that many pages share."
+    long = "This sentence has enough letters to go wherever it is found again, in any line."
     rows = [
-        (1, "One short line.\nA line of its own"),
-        (2, "Other words here. One short line. More of them\n重复的一段文字没有空格"),
-        (3, "重复的一段文字没有空格\nIt ends"),
+        (1, f"{line}\nSo it is. {long} The end of it"),
+        (2, f"Other words here. So it is. More of them\n重复的一段文字没有空格\n {line} "),
+        (3, f"重复的一段文字没有空格\nIt ends. {long} So it is. Not so\nSo it is."),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.start, r.stop, r.first_doc_id, r.first_start) for r in substring_dedup.repeats(docs).collect()}
-    at = rows[1][1].index(" One short line")
-    assert got == {(2, at, at + 15, 1, 0), (3, 0, 11, 2, rows[1][1].index("重"))}
+    second, third = rows[1][1], rows[2][1]
+    at, run = second.index(f" {line}"), third.index(f" {long}")
+    assert got == {
+        (2, at, at + 1 + len(line), 1, 0),
+        (3, 0, 11, 2, second.index("重")),
+        (3, run, run + len(f" {long} So it is."), 1, rows[0][1].index(f" {long}")),
+    }
     left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
-    assert left == {1: rows[0][1], 2: rows[1][1].replace(" One short line", ""), 3: "\nIt ends"}
+    assert left == {1: rows[0][1], 2: second.replace(f" {line}", ""), 3: "\nIt ends. Not so\nSo it is."}
 
 
-def test_substring_dedup_leaves_no_repeated_unit(spark, texts):
-    got = {(r.doc_id, r.start, r.stop, r.n_words) for r in Q.op1_substring_dedup(spark, SMOKE_SF).collect()}
-    assert got == repeats_by_hand(texts.items(), min_words=1)
+def test_substring_dedup_leaves_numbers_and_addresses_whole(spark):
+    texts = [
+        "Version 2.0.0 runs at 10.0.0.1 for $7.99 a month, says bob@site.org.",
+        "Version 1.0.0 runs at 10.0.0.2 for $8.99 a month, says ann@site.org.",
+        "See site.org and 10.0.0.1 for 7.99. The site.org of bob@site.org costs 7.99 too.",
+        "e.g. this costs 7.99 \n 7.99! 10.0.0.1? site.org.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert substring_dedup.repeats(docs).count() == 0
+    assert {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()} == dict(enumerate(texts))
+    edge = ["end.\r\nend.", "a. ! b?! c... d", "...", "x." * 40, ". . .", "a.\x0bb.\tc", "\n\n.\n a"]
+    rows = list(enumerate(edge * 3))
+    got = {(r.doc_id, r.start, r.stop, r.n_words) for r in substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == repeats_by_hand(rows)
 
 
 def dropped_by(docs):
@@ -529,28 +547,6 @@ def test_line_dedup_compares_tokens(spark):
     assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {1: [], 2: [0]}
 
 
-def templates_by_hand(docs, min_tokens):
-    """Templates in turn, token by token: the (doc_id, line number) pairs that go."""
-    leaves = defaultdict(lambda: defaultdict(list))
-    for doc_id, text in docs:
-        for no, line in enumerate((text or "").split("\n")):
-            words = tuple(BLANK_WORD.findall(re.sub(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>", line)))
-            if len(words) == 1:
-                words = tuple(BLANK_WORD.findall(line))
-            if len(words) >= max(1, min_tokens):
-                leaves[len(words), words[:3]][words].append((doc_id, no))
-    gone = set()
-    for forms in leaves.values():
-        groups = {}
-        for form in sorted(forms, key=lambda f: (-len(forms[f]), min(forms[f]))):
-            alike = (g for g in groups if sum(x == y for x, y in zip(g, form, strict=True)) >= 0.75 * len(form))
-            groups.setdefault(next(alike, form), []).extend(forms[form])
-        for places in groups.values():
-            if len({d for d, _ in places}) > 1:
-                gone |= set(places) - {min(places)}
-    return gone
-
-
 def test_line_dedup_makes_every_template_of_a_leaf(spark):
     families = ["This page was last edited on Monday by {} at noon", "This page was moved from another old place to {} today"]
     rows = [(i, "\n".join(f.format(x) for f in families)) for i, x in enumerate(["alice", "bob", "carol"])]
@@ -558,18 +554,32 @@ def test_line_dedup_makes_every_template_of_a_leaf(spark):
     assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {0: [], 1: [0, 1], 2: [0, 1], 9: [0]}
 
 
-@pytest.mark.parametrize("few", [1_000_000, 0])
-def test_line_dedup_templates_in_turn(spark, monkeypatch, few):
-    monkeypatch.setattr(line_templates, "FEW_PAIRS", few)
-    monkeypatch.setattr(line_templates, "PAIRS_PER_RUN", min(few, 50))
-    rng = np.random.default_rng(5)
-    rows = [
-        (i, "\n".join("a b c " + " ".join(rng.choice(list("xyz"), n)) for n in rng.integers(1, 9 if few else 6, 12)))
-        for i in range(60 if few else 6)
-    ]
+@pytest.mark.parametrize("width", [8, 20])
+def test_line_dedup_connects_alike_lines(spark, width):
+    """Differences in one run and in several, chains of alike lines, leaves of many forms."""
+    rng = np.random.default_rng(width)
+    base = [list(rng.choice(list("uvwxyz"), 40)) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(10):
+            words = list(base[rng.integers(6)][: rng.integers(1, width + 1)])
+            for at in rng.integers(0, len(words), rng.integers(0, 1 + len(words) // 3)):
+                words[at] = rng.choice(list("uvwxyz"))
+            lines.append("a b c " + " ".join(words))
+        rows.append((i, "\n".join(lines)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(d, no) for d, nos in dropped_by(docs).items() for no in nos}
-    assert got == templates_by_hand(rows, 1)
+    assert got == lines_by_hand(rows)
+
+
+def test_line_dedup_of_two_free_words(spark):
+    """All combinations of two variable words in one leaf are one template, found without a round per template."""
+    n = 115
+    rows = [(i * n + j, f"alpha beta gamma x{chr(97 + i % 26)}{chr(97 + i // 26)} y{chr(97 + j % 26)}{chr(97 + j // 26)}") for i in range(n) for j in range(n)]
+    out = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = out.where(F.size("dropped") == 0).select("row.doc_id").collect()
+    assert [r.doc_id for r in left] == [0]
 
 
 def test_line_dedup_takes_lines_of_one_token(spark):
@@ -577,11 +587,6 @@ def test_line_dedup_takes_lines_of_one_token(spark):
     assert dropped_by(spark.createDataFrame(rows, "doc_id long, text string")) == {1: [], 2: [0], 3: [0, 1]}
 
 
-def test_line_dedup_query_against_templates_in_turn(spark, texts):
-    got = {(r.doc_id, int(no)) for r in Q.op4_line_dedup(spark, SMOKE_SF).collect() for no in r.dropped.split(",") if no}
-    assert got == templates_by_hand(texts.items(), 1)
-
-
 def test_license_scan_reads_wrapped_notices(spark):
     notices = [
         "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and",
