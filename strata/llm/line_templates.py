@@ -21,10 +21,12 @@ The text is shuffled once, beside the list of dropped line numbers of its own
 document. Forms are connected in two steps, on one path at every size. Forms
 that are equal outside one run of as many tokens as alike forms may differ in
 are alike: each is linked to the first of its group, so no pairs are formed.
-Other alike forms have one of several runs in common; those of different
-groups are paired there, in cells of bounded size and past a test of four bit
-sketches that no alike pair fails, and then compared token by token. The links
-are contracted by ``components`` in a logarithmic number of rounds.
+Other alike forms have one of several runs in common. There, in ``HUB_ROUNDS``
+rounds, every form meets one form of its group, which joins large families
+without pairs; what is then still in different groups is paired, in cells of
+bounded size and past a test of four bit sketches that no alike pair fails.
+Tokens decide. The links are contracted by ``components`` in a logarithmic
+number of rounds.
 
 Defined results: NULL text stays NULL and has no line; rows equal in doc_id
 and text count as one document and keep the same lines; rows without doc_id
@@ -43,6 +45,7 @@ from .simhash_covering import components
 
 WILDCARD = "<*>"
 
+HUB_ROUNDS = 2
 SKETCHES = 4  # one bit of each token's hash goes into each of so many 64-bit sketches
 
 
@@ -96,11 +99,7 @@ def _without_a_run(forms: DataFrame, depth: int, similarity: float) -> DataFrame
 
 
 def _shared_runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(form, d, sketch_*, key): one run of tokens more than alike forms may differ in, so one is equal in both.
-
-    A token's hash adds a bit to each sketch, at its place modulo 64: forms that
-    differ in d tokens differ in at most d places of the sketches taken together.
-    """
+    """(form, comp, key): one run of tokens more than alike forms may differ in, so one is equal in both."""
     n, d = F.size("tokens"), F.col("d")
     free = F.greatest(n - depth, F.lit(0))
 
@@ -109,6 +108,17 @@ def _shared_runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
         end = F.floor(free * (j + 1) / (d + 1)).cast("int")
         return F.xxhash64("leaf", j, F.slice("tokens", depth + 1 + at, end - at))
 
+    # up to one difference lies in one run: such forms have met already
+    open_forms = forms.withColumn("d", _may_differ(similarity)).where("d > 1")
+    return open_forms.select("form", "comp", F.explode(F.transform(F.sequence(F.lit(0), d), run)).alias("key"))
+
+
+def _sketches(forms: DataFrame, similarity: float) -> DataFrame:
+    """(form, d, sketch_*): a token's hash adds a bit to each sketch, at its place modulo 64.
+
+    Forms that differ in d tokens differ in at most d places of the sketches taken together.
+    """
+
     def sketch(k):
         bits = F.transform(
             "tokens",
@@ -118,10 +128,43 @@ def _shared_runs(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
         )
         return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x)).alias(f"sketch_{k}")
 
-    # up to one difference lies in one run: such forms have met already
-    open_forms = forms.withColumn("d", _may_differ(similarity)).where("d > 1")
-    keys = F.explode(F.transform(F.sequence(F.lit(0), d), run)).alias("key")
-    return open_forms.select("form", "comp", "d", *[sketch(k) for k in range(SKETCHES)], keys)
+    return forms.select("form", _may_differ(similarity).alias("d"), *[sketch(k) for k in range(SKETCHES)])
+
+
+def _may_be_alike() -> Column:
+    """Rows a and b, of different groups, whose sketches do not rule it out."""
+    differ = F.lit(0).cast("bigint")
+    for k in range(SKETCHES):
+        differ = differ.bitwiseOR(F.col(f"a.sketch_{k}").bitwiseXOR(F.col(f"b.sketch_{k}")))
+    return (F.col("a.comp") != F.col("b.comp")) & (F.bit_count(differ) <= F.col("a.d"))
+
+
+def _several_groups(runs: DataFrame) -> DataFrame:
+    """The rows of ``runs`` whose key stands in more than one group."""
+    ends = runs.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return stored(runs.join(stored(ends.select("key"), "line-keys-of-groups"), "key", "left_semi"), "line-open-runs")
+
+
+def _alike_groups(near: DataFrame, forms: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): groups of the pairs of forms (a, b, comp_a, comp_b) whose tokens are alike."""
+    sides = [forms.select(F.col("form").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab"]
+    return (
+        stored(near.distinct(), "line-pairs")
+        .join(sides[0], "a")
+        .join(sides[1], "b")
+        .where(_alike("tokens_a", "tokens_b", similarity))
+        .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    )
+
+
+def _pair() -> list[Column]:
+    return [F.col("a.form").alias("a"), F.col("b.form").alias("b"), F.col("a.comp").alias("comp_a"), F.col("b.comp").alias("comp_b")]
+
+
+def _relabelled(rows: DataFrame, root: DataFrame) -> DataFrame:
+    """``rows`` with the group of their group."""
+    names = [c for c in rows.columns if c != "comp"]
+    return rows.join(root, rows.comp == root.node, "left").select(*names, F.coalesce("root", "comp").alias("comp"))
 
 
 def form_templates(forms: DataFrame, depth: int, similarity: float) -> DataFrame:
@@ -131,43 +174,27 @@ def form_templates(forms: DataFrame, depth: int, similarity: float) -> DataFrame
         keys.groupBy("key").agg(F.min("form").alias("hub"), F.max("form").alias("last")).where("hub <> last"), "line-hubs"
     )
     stars = keys.join(hubs, "key").select(F.col("form").alias("a"), F.col("hub").alias("b"))
-    root = components(stars, "line-groups")
     grouped = stored(
-        forms.join(root, forms.form == root.node, "left").select(
-            "leaf", "form", "tokens", F.coalesce("root", "form").alias("comp")
-        ),
-        "line-grouped",
-    )
-    runs = stored(_shared_runs(grouped, depth, similarity), "line-runs")
-    mixed = stored(
-        runs.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"),
-        "line-mixed-runs",
-    )
-    apart = [F.col(f"a.sketch_{k}").bitwiseXOR(F.col(f"b.sketch_{k}")) for k in range(SKETCHES)]
-    differ = apart[0]
-    for x in apart[1:]:
-        differ = differ.bitwiseOR(x)
-    near = salted_self_join(
-        stored(runs.join(mixed, "key", "left_semi"), "line-open-runs"),
-        ["key"],
-        "form",
-        (F.col("a.form") < F.col("b.form")) & (F.col("a.comp") != F.col("b.comp")) & (F.bit_count(differ) <= F.col("a.d")),
-    ).select(F.col("a.form").alias("a"), F.col("b.form").alias("b"))
-    sides = [
-        grouped.select(F.col("form").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("tokens").alias(f"tokens_{x}"))
-        for x in "ab"
-    ]
-    alike = (
-        stored(near.distinct(), "line-pairs")
-        .join(sides[0], "a")
-        .join(sides[1], "b")
-        .where(_alike("tokens_a", "tokens_b", similarity))
-        .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-    )
-    joined = components(alike, "line-joined-groups")
-    return grouped.join(joined, grouped.comp == joined.node, "left").select(
-        "form", F.coalesce(joined.root, "comp").alias("template")
+        _relabelled(forms.withColumn("comp", F.col("form")), components(stars, "line-groups")), "line-grouped"
     )
+    runs = _several_groups(stored(_shared_runs(grouped, depth, similarity), "line-runs"))
+    wanted = stored(grouped.select("form", "tokens").join(runs.select("form").distinct(), "form", "left_semi"), "line-open-forms")
+    runs = stored(runs.join(stored(_sketches(wanted, similarity), "line-sketches"), "form"), "line-open-runs")
+    of = grouped.select("form", "comp")
+    for turn in range(HUB_ROUNDS + 1):
+        if runs.isEmpty():
+            break
+        if turn < HUB_ROUNDS:
+            first = F.min(F.struct(F.xxhash64(F.lit(turn), "form").alias("order"), "form", "comp", *[f"sketch_{k}" for k in range(SKETCHES)]))
+            hubs = stored(runs.groupBy("key").agg(first.alias("hub")).select("key", "hub.*").drop("order"), "line-hubs")
+            met = runs.alias("a").join(hubs.alias("b"), F.col("a.key") == F.col("b.key")).where(_may_be_alike())
+        else:
+            met = salted_self_join(runs, ["key"], "form", (F.col("a.form") < F.col("b.form")) & _may_be_alike())
+        root = components(_alike_groups(met.select(*_pair()), wanted, similarity), "line-joined-groups")
+        of = stored(_relabelled(of, root), "line-groups-of-forms")
+        if turn < HUB_ROUNDS:
+            runs = _several_groups(stored(_relabelled(runs, root), "line-runs"))
+    return of.select("form", F.col("comp").alias("template"))
 
 
 def dropped_lines(
