@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bitmap import any_bits, bit_string, date_bitmap, top_bits_mask
+from ..functions import dateset
+from ..functions.bitmap import any_bits, bit_string, date_bitmap, low_mask, top_bits_mask
 from ..functions.columns import date_lit
 
 
@@ -167,3 +168,78 @@ def activity_bitmap_from_events(
         F.col("_bits").bitwiseAND(F.lit((1 << width) - 1)).alias("activity_bits"),
     )
     return bitmap_flags(out, "activity_bits", width, week_days)
+
+
+def rolling_bitmap_step(
+    prev: DataFrame | None,
+    events: DataFrame,
+    day: dt.date,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+    width: int = 32,
+) -> DataFrame:
+    """O18 kept as state: (user, activity_bits, date) as of ``day`` from an earlier day's and the events since.
+
+    A user's bits move down by the days since ``prev``'s date, and each later
+    day with events sets its bit: one LONG per user, whatever the length of the
+    activity, and no list of dates is read or kept. A step may take in one day
+    or several; days without events need none. Bits pushed out of the window
+    are gone; such users stay, with 0.
+    """
+    if prev is None:
+        prev = events.where(F.lit(False)).select(
+            user_col, F.lit(0).cast("bigint").alias("activity_bits"), F.lit(None).cast("date").alias("date")
+        )
+    d, one = day_of(ts_col), F.lit(1).cast("bigint")
+    since = prev.agg(F.max("date")).first()[0]  # one value: the date is the same in all rows
+    back = F.datediff(date_lit(day), d)
+    bit = F.when(back < width, F.call_function("shiftleft", one, F.lit(width - 1) - back)).otherwise(F.lit(0).cast("bigint"))
+    fresh = F.col(user_col).isNotNull() & (d <= date_lit(day))
+    if since is not None:
+        fresh = fresh & (d > date_lit(since))
+    t = events.where(fresh).groupBy(user_col).agg(F.bit_or(bit).alias("new_bits")).alias("t")
+    y = prev.select(user_col, "activity_bits", "date").alias("y")
+    passed = F.datediff(date_lit(day), F.col("y.date"))
+    moved = F.when(passed < width, F.call_function("shiftright", F.col("y.activity_bits"), passed))
+    zero = F.lit(0).cast("bigint")
+    bits = F.coalesce(moved, zero).bitwiseOR(F.coalesce("t.new_bits", zero)).bitwiseAND(F.lit(low_mask(width)))
+    j = y.join(t, F.col(f"y.{user_col}") == F.col(f"t.{user_col}"), "full_outer")
+    return j.select(
+        F.coalesce(F.col(f"t.{user_col}"), F.col(f"y.{user_col}")).alias(user_col),
+        bits.alias("activity_bits"),
+        date_lit(day).alias("date"),
+    )
+
+
+def day_users(
+    events: DataFrame, first: dt.date, last: dt.date, user_col: str = "user_id", ts_col: str = "event_time"
+) -> DataFrame:
+    """O17's change rows of the days ``first`` .. ``last``: (user, date) of the users each day adds to."""
+    d = day_of(ts_col)
+    inside = F.col(user_col).isNotNull() & (d >= date_lit(first)) & (d <= date_lit(last))
+    return events.where(inside).select(user_col, d.alias("date")).distinct()
+
+
+def merge_day_sets(base: DataFrame | None, changes: DataFrame, as_of: dt.date, user_col: str = "user_id") -> DataFrame:
+    """O17's state (user, days, date) from a base of packed day sets and the change rows after it.
+
+    Base words and changed days become (user, word, bits) rows, folded by a
+    ``bit_or`` hash aggregate with a partial step, then one row per user holds
+    its words: 48 bytes per year of activity (see ``functions.dateset``).
+    """
+    rows = changes.select(user_col, dateset.word_of("date").alias("word"), dateset.bit_of("date").alias("bits"))
+    if base is not None:
+        rows = rows.unionByName(base.select(user_col, F.inline(dateset.entries_of("days"))))
+    words = rows.groupBy(user_col, "word").agg(F.bit_or("bits").alias("bits"))
+    sets = words.groupBy(user_col).agg(F.collect_list(F.struct("word", "bits")).alias("_e"))
+    return sets.select(user_col, dateset.set_of_words("_e").alias("days"), date_lit(as_of).alias("date"))
+
+
+def datelists(sets: DataFrame, as_of: dt.date, user_col: str = "user_id") -> DataFrame:
+    """The date lists (newest first) as of each user's first day up to ``as_of`` from packed sets: row-wise."""
+    first = F.array_min(dateset.unpack("days"))
+    each = sets.select(
+        user_col, "days", F.explode(F.sequence(first, date_lit(as_of), F.expr("INTERVAL 1 DAY"))).alias("date")
+    )
+    dates = F.reverse(dateset.unpack(dateset.upto("days", "date")))
+    return each.select(user_col, dates.alias("dates_active"), "date")

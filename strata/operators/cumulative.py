@@ -73,12 +73,13 @@ def cumulative_step(prev: DataFrame | None, cur: DataFrame, spec: CumulativeSpec
     the class is recomputed from this period's measure (or carried), idle
     periods count up when the entity is absent, and the as-of is the literal
     ``period`` so the output lands in one prunable partition. Both inputs are
-    filtered before the join (filters cannot pass a full outer join).
+    filtered before the join (filters cannot pass a full outer join). Rows
+    without a key are no entity: they have no snapshot.
     """
     if prev is None:
         prev = empty_snapshot(cur, spec)
     y = prev.where(F.col(spec.as_of) == F.lit(period - 1)).alias("y")
-    t = cur.where(F.col(spec.period) == F.lit(period)).alias("t")
+    t = cur.where((F.col(spec.period) == F.lit(period)) & F.col(spec.key).isNotNull()).alias("t")
     present = F.col(f"t.{spec.period}").isNotNull()
     new_entry = F.array(_stats_struct(spec, "t"))
     history = (
@@ -117,7 +118,7 @@ def cumulative_backfill(
     One exchange, no theta join, no window. ``first``/``last`` restrict the
     as-of range (e.g. ``first=last=P`` builds only snapshot P); either may
     be a Column. ``last`` defaults to the source's last period (one tiny
-    aggregate row read on the driver).
+    aggregate row read on the driver). Rows without a key are no entity.
 
     ``dims_mode='max'`` takes each dimension's maximum over all periods (the
     reference's backfill); ``'latest'`` takes the newest non-NULL value up to
@@ -135,7 +136,7 @@ def cumulative_backfill(
     ]
     if dims_mode == "max":
         aggs += [F.max(d).alias(d) for d in spec.dims]
-    grouped = src.groupBy(spec.key).agg(*aggs)
+    grouped = src.where(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(*aggs)
     lo = F.col("_first") if first is None else F.greatest(F.col("_first"), lit_of(first))
     # entities that start after the last as-of have no snapshot (and
     # ``sequence`` would count down for them)

@@ -34,6 +34,11 @@ DEFAULT_MEASURES = {
 }
 
 
+def comment_flags(details: DataFrame) -> DataFrame:
+    """``details`` with the three comment flags (NULL comment -> FALSE)."""
+    return details.withColumns({name: contains_token("comment", token) for name, token in COMMENT_FLAGS.items()})
+
+
 def build_fact(
     details: DataFrame,
     games: DataFrame,

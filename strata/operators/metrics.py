@@ -144,13 +144,75 @@ def array_metric_backfill(
     return per_user.select(user_col, "month_start", "metric_name", arr.alias("metric_array"), as_of.alias("as_of"))
 
 
+def day_values(
+    events: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    metrics: dict[str, Column] | None = None,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+) -> DataFrame:
+    """O19's change rows of the days ``first`` .. ``last``: (user, metric_name, value, as_of) of each day's users."""
+    return daily_metrics(events, first, last, metrics, user_col, ts_col).withColumnRenamed("day", "as_of")
+
+
+def merge_month_arrays(base: DataFrame | None, changes: DataFrame, as_of: dt.date, user_col: str = "user_id") -> DataFrame:
+    """O19's state as of a day from a base of month arrays and the change rows after it.
+
+    Only the as-of month counts: a base of an earlier month adds nothing, and
+    of the changes only that month's partitions are read. A key's array is its
+    base array, padded with zeros to the as-of day, with the changed days' values
+    in their places: one group-by on (user, metric), no join.
+    """
+    m0 = month_start(as_of)
+    day = F.col("as_of")
+    rows = changes.where((day >= date_lit(m0)) & (day <= date_lit(as_of))).select(
+        user_col,
+        "metric_name",
+        F.datediff(day, date_lit(m0)).alias("_at"),
+        "value",
+        F.lit(None).cast("array<bigint>").alias("_old"),
+    )
+    if base is not None:
+        old = base.where(F.col("month_start") == date_lit(m0)).select(
+            user_col,
+            "metric_name",
+            F.lit(None).cast("int").alias("_at"),
+            F.lit(None).cast("bigint").alias("value"),
+            F.col("metric_array").alias("_old"),
+        )
+        rows = rows.unionByName(old)
+    per_key = rows.groupBy(user_col, "metric_name").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "value")))).alias("_new"),
+        F.max("_old").alias("_old"),
+    )
+    zero = F.lit(0).cast("bigint")
+    values = F.transform(
+        F.sequence(F.lit(0), F.lit((as_of - m0).days)),
+        lambda i: F.coalesce(F.try_element_at(F.col("_new"), i), F.get("_old", i), zero),
+    )
+    return per_key.select(
+        user_col,
+        date_lit(m0).alias("month_start"),
+        "metric_name",
+        values.alias("metric_array"),
+        date_lit(as_of).alias("as_of"),
+    )
+
+
 def array_metric_daily(metric_arrays: DataFrame) -> DataFrame:
-    """Element-wise sum of the arrays over users, one row per (metric, date).
+    """Position-wise sum of the arrays over users, one row per (metric, date).
 
-    ``posexplode`` then a group-by on (metric, month, position): the partial
-    aggregate leaves at most one row per position per task, so the shuffle
-    is tiny whatever the number of users.
+    Every array has at most 31 places, so a (metric, month) group's aggregate
+    is 31 sums: one partial row per task and group, and no row is multiplied
+    before it. Places that no array has are NULL and give no row.
     """
-    exploded = metric_arrays.select("metric_name", "month_start", F.posexplode("metric_array").alias("pos", "value"))
-    agg = exploded.groupBy("metric_name", "month_start", "pos").agg(F.sum("value").cast("bigint").alias("value"))
-    return agg.select("metric_name", F.date_add("month_start", F.col("pos")).alias("metric_date"), "value")
+    places = range(31)
+    sums = metric_arrays.groupBy("metric_name", "month_start").agg(
+        *[F.sum(F.get("metric_array", F.lit(i))).cast("bigint").alias(f"_{i}") for i in places]
+    )
+    slots = sums.unpivot(["metric_name", "month_start"], [f"_{i}" for i in places], "slot", "value")
+    place = F.expr("substring(slot, 2)").cast("int")
+    return slots.where("value is not null").select(
+        "metric_name", F.date_add("month_start", place).alias("metric_date"), "value"
+    )

@@ -434,3 +434,14 @@ where current_season = {LAST_PERIOD} and scoring_class = 'star' and is_active
 
 # the events-based plan of O18 has the same contract as the list-based one
 ORACLE_SQL["activity_bitmap_events"] = ORACLE_SQL["activity_bitmap"]
+
+# the forms that read one snapshot's history arrays, catch up or roll have the contracts of the plain ones
+ORACLE_SQL["changes_from_history"] = ORACLE_SQL["detect_changes"]
+ORACLE_SQL["streaks_from_history"] = ORACLE_SQL["streaks"]
+ORACLE_SQL["scd2_from_history"] = ORACLE_SQL["scd2_full"]
+ORACLE_SQL["scd2_catch_up"] = ORACLE_SQL["scd2_full"]
+ORACLE_SQL["activity_bitmap_rolling"] = ORACLE_SQL["activity_bitmap"]
+ORACLE_SQL["grain_check_player"] = """
+select s.s_suppkey as player_id, count(*) as num_rows
+from supplier s join nation n on s.s_nationkey = n.n_nationkey group by s.s_suppkey having count(*) > 1
+"""

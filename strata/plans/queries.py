@@ -22,6 +22,7 @@ from ..plans import jobs
 from ..plans.fold import fold
 from ..sources import testdata as src
 from ..session import state_path
+from ..sources.changes import ChangeTable
 from ..sources.snapshots import SnapshotTable
 
 ENTITY_SPEC = CumulativeSpec(
@@ -199,32 +200,35 @@ def metric_exprs() -> dict:
     return {**metrics.default_metrics(), "event_kinds": F.countDistinct("event_type")}
 
 
-def metric_fold(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dt.date]]:
-    """Month arrays built with O19 steps, one for every day; the table and each month's last day."""
+COMPACT_DAYS = 10  # a base is written after so many days of changes
+
+
+def _change_days(table: ChangeTable, days: list[dt.date], write) -> ChangeTable:
+    """A partition of change rows for every day; after each run of days a new base."""
+    for at in range(0, len(days), COMPACT_DAYS):
+        run = days[at : at + COMPACT_DAYS]
+        write(run[0], run[-1])
+        if at + COMPACT_DAYS < len(days):
+            table.compact(run[-1])
+    return table
+
+
+def metric_days(spark: SparkSession, sf_dir: str) -> tuple[ChangeTable, list[dt.date]]:
+    """Month arrays (O19) from every day's change rows; the table and each month's last day."""
     h = src.hits(spark, sf_dir)
     days = _days(*_hit_day_bounds(h))
-    table = SnapshotTable.scratch(spark, "array_metrics", "as_of", sort_cols=["user_id"])
-    fold(
-        table,
-        days,
-        lambda prev, d: metrics.array_metric_step(prev, h, d, metric_exprs()),
-        previous_of=lambda d: d - dt.timedelta(days=1),
-        carry_latest=True,
-    )
+    table = jobs.metric_changes(spark)
+    _change_days(table, days, lambda lo, hi: jobs.metric_change_days(table, h, lo, hi, metric_exprs()))
     return table, _month_last_days(days)
 
 
-def activity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """Date-list table built with O17 steps, one for every day."""
+def activity_days(spark: SparkSession, sf_dir: str) -> tuple[ChangeTable, dt.date]:
+    """Packed day sets (O17) from every day's change rows; the table and the last day."""
     h = src.hits(spark, sf_dir)
-    table = SnapshotTable.scratch(spark, "users_cumulated", "date", sort_cols=["user_id"])
-    return fold(
-        table,
-        _days(*_hit_day_bounds(h)),
-        lambda prev, d: activity.activity_step(prev, h, d),
-        previous_of=lambda d: d - dt.timedelta(days=1),
-        carry_latest=True,
-    )
+    days = _days(*_hit_day_bounds(h))
+    table = jobs.activity_changes(spark)
+    _change_days(table, days, lambda lo, hi: jobs.activity_change_days(table, h, lo, hi))
+    return table, days[-1]
 
 
 # ---------------------------------------------------------------- queries
@@ -242,6 +246,11 @@ def q_grain_check_lineitem(spark, sf_dir):
     return quality.grain_check(src.read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_grain_check_player(spark, sf_dir):
+    """The dimension that lines are joined with: players that stand in it more than once."""
+    return src.player_dimension_counts(spark, sf_dir).where("num_rows > 1")
+
+
 def q_grain_check_player_game(spark, sf_dir):
     return src.game_detail_counts(spark, sf_dir).where("num_rows > 1").drop("team_id")
 
@@ -293,11 +302,17 @@ def q_history_explode_one(spark, sf_dir):
     return cumulative.history_explode(snap, ENTITY_SPEC, as_of=hi, key_value=one)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def _stored_players(spark, sf_dir) -> str:
-    path = state_path(spark, "players_backfill")
-    _, hi = _entity_bounds(spark, sf_dir)
-    jobs.players_backfill(spark, src.entity_periods(spark, sf_dir), path, ENTITY_SPEC, last=hi)
-    return path
+    """Path of the players table, stored once per application and source: lookups and increments start from it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = state_path(spark, "players_backfill")
+        jobs.players_backfill(spark, src.entity_periods(spark, sf_dir), path, ENTITY_SPEC)
+        _STORED[key] = path
+    return _STORED[key]
 
 
 def _lookup(spark, sf_dir, *predicates):
@@ -336,6 +351,38 @@ def q_scd2_full(spark, sf_dir):
     return scd.scd2_full(entity_backfill(spark, sf_dir, last=hi), "entity_id", "current_season", SCD_ATTRS, as_of=hi)
 
 
+def _last_snapshot(spark, sf_dir) -> tuple[DataFrame, int]:
+    """The stored snapshots' last partition, and its as-of."""
+    players = SnapshotTable.open(spark, _stored_players(spark, sf_dir), ENTITY_SPEC.as_of)
+    hi = players.periods()[-1]
+    return players.read(as_of=hi), hi
+
+
+def q_changes_from_history(spark, sf_dir):
+    return scd.changes_from_history(*_of_last(spark, sf_dir))
+
+
+def q_streaks_from_history(spark, sf_dir):
+    return scd.streaks_from_history(*_of_last(spark, sf_dir))
+
+
+def q_scd2_from_history(spark, sf_dir):
+    return scd.scd2_from_history(*_of_last(spark, sf_dir))
+
+
+def _of_last(spark, sf_dir) -> tuple[DataFrame, CumulativeSpec, int]:
+    snap, hi = _last_snapshot(spark, sf_dir)
+    return snap, ENTITY_SPEC, hi
+
+
+def q_scd2_catch_up(spark, sf_dir):
+    """On stored tables: SCD2 three seasons ago, then the three seasons at once."""
+    players, history = _stored_players(spark, sf_dir), state_path(spark, "players_scd")
+    periods = SnapshotTable.open(spark, players, ENTITY_SPEC.as_of).periods()
+    jobs.scd_full(spark, players, history, ENTITY_SPEC, as_of=periods[max(0, len(periods) - 4)], attrs=SCD_ATTRS)
+    return jobs.scd_catch_up(spark, players, history, ENTITY_SPEC, season=periods[-1], attrs=SCD_ATTRS).read(as_of=periods[-1])
+
+
 def q_scd2_incremental(spark, sf_dir):
     """On stored tables: SCD2 as of the last period but one, then one increment."""
     players, history = _stored_players(spark, sf_dir), state_path(spark, "players_scd")
@@ -349,7 +396,9 @@ def q_fact_game_details(spark, sf_dir):
 
 
 def q_bailed_pct(spark, sf_dir):
-    return facts.conditional_rate(fact_df(spark, sf_dir), "dim_player_name", "dim_not_with_team")
+    # neither game date nor home team matters: the fact's lines without its header
+    flags = facts.comment_flags(src.player_games(spark, sf_dir)).withColumnRenamed("player_name", "dim_player_name")
+    return facts.conditional_rate(flags, "dim_player_name", "dim_not_with_team")
 
 
 def q_graph_vertices(spark, sf_dir):
@@ -399,7 +448,8 @@ def q_graph_pair_report(spark, sf_dir):
 
 
 def q_activity_datelist(spark, sf_dir):
-    s = activity_fold(spark, sf_dir).read()
+    table, last = activity_days(spark, sf_dir)
+    s = activity.datelists(table.read(last), last)
     return s.select(
         "user_id",
         iso_date("date").alias("snapshot_date"),
@@ -416,6 +466,20 @@ def q_activity_bitmap(spark, sf_dir):
     return bm.orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
 
 
+ROLL_DAYS = 6  # days that a step of the rolling bitmaps takes in
+
+
+def q_activity_bitmap_rolling(spark, sf_dir):
+    """O18 kept as one LONG per user, stepped through the days; the last day's flags."""
+    h = src.hits(spark, sf_dir)
+    path = state_path(spark, "rolling-bitmaps")
+    days = _days(*_hit_day_bounds(h))
+    for day in days[::-1][::ROLL_DAYS][::-1]:  # the last step ends on the last day
+        table = jobs.bitmap_day(spark, h, path, day)
+    bm = activity.bitmap_flags(table.read(as_of=day)).withColumn("date", iso_date("date"))
+    return bm.withColumnRenamed("date", "snapshot_date").orderBy(F.col("dim_monthly_active_for_n_days").desc_nulls_first())
+
+
 def q_activity_bitmap_events(spark, sf_dir):
     """O18 computed from events with a ``bit_or`` aggregate (same result as ``activity_bitmap``)."""
     h = src.hits(spark, sf_dir)
@@ -440,8 +504,10 @@ def q_activity_bitmap_literal(spark, sf_dir):
 
 
 def q_array_metrics(spark, sf_dir):
-    table, month_last = metric_fold(spark, sf_dir)
-    s = table.read(as_of_in=month_last)
+    table, month_last = metric_days(spark, sf_dir)
+    s = table.read(month_last[0])
+    for day in month_last[1:]:
+        s = s.unionByName(table.read(day))
     return s.select(
         "user_id",
         iso_date("month_start").alias("month_start"),
@@ -461,6 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_bounds": q_period_bounds,
     "grain_check": q_grain_check,
     "grain_check_lineitem": q_grain_check_lineitem,
+    "grain_check_player": q_grain_check_player,
     "grain_check_player_game": q_grain_check_player_game,
     "grain_counts": q_grain_counts,
     "dedup_first": q_dedup_first,
@@ -475,6 +542,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaks": q_streaks,
     "scd2_full": q_scd2_full,
     "scd2_incremental": q_scd2_incremental,
+    "scd2_catch_up": q_scd2_catch_up,
+    "changes_from_history": q_changes_from_history,
+    "streaks_from_history": q_streaks_from_history,
+    "scd2_from_history": q_scd2_from_history,
     "fact_game_details": q_fact_game_details,
     "bailed_pct": q_bailed_pct,
     "graph_vertices": q_graph_vertices,
@@ -485,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "graph_pair_report": q_graph_pair_report,
     "activity_datelist": q_activity_datelist,
     "activity_bitmap": q_activity_bitmap,
+    "activity_bitmap_rolling": q_activity_bitmap_rolling,
     "activity_bitmap_events": q_activity_bitmap_events,
     "activity_bitmap_literal": q_activity_bitmap_literal,
     "array_metrics": q_array_metrics,

@@ -118,7 +118,7 @@ class SnapshotTable:
         prefix = f"{self.as_of_col}="
         return {n: _parse_partition_value(unquote(n[len(prefix) :]), dtype) for n in names if n.startswith(prefix)}
 
-    def _files(self, as_of) -> set[str]:
+    def files_of(self, as_of) -> set[str]:
         """Names of the files that hold period ``as_of``."""
         if self.schema is None:
             return set()
@@ -131,7 +131,7 @@ class SnapshotTable:
             raise ValueError("table has not been written yet")
         return sorted(set(self._folders().values()), key=lambda v: (v is None, v if v is not None else 0))
 
-    def _drop_period(self, as_of) -> None:
+    def drop_period(self, as_of) -> None:
         """Remove a period's folder (a rerun whose result is empty)."""
         jvm = self.spark._jvm
         for name in [name for name, value in self._folders().items() if value == as_of]:
@@ -222,11 +222,11 @@ class SnapshotTable:
 
     def write_period(self, df: DataFrame, as_of) -> None:
         """Replace partition ``as_of``; an empty result removes it, so no old rows stay behind."""
-        before = self._files(as_of)
+        before = self.files_of(as_of)
         self.write(df)
-        after = self._files(as_of)
+        after = self.files_of(as_of)
         if before and after == before:  # nothing was written in its place
-            self._drop_period(as_of)
+            self.drop_period(as_of)
         elif after and as_of not in self.written:
             self.written.append(as_of)
 

@@ -75,7 +75,20 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _player_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier and nation: (player_id, player_name, team_id, team_abbreviation)."""
+    """Supplier and nation, one row per player: (player_id, player_name, team_id, team_abbreviation).
+
+    A repeated supplier or nation row would repeat every line that joins it; the first by name, team and
+    abbreviation stands for the player, and ``player_dimension_counts`` tells which repeat.
+    """
+    return dedup_first(_player_rows(spark, sf_dir), "player_id", ["player_name", "team_id", "team_abbreviation"])
+
+
+def player_dimension_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(player_id, num_rows) of the dimension that lines are joined with."""
+    return grain_counts(_player_rows(spark, sf_dir), "player_id")
+
+
+def _player_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
