@@ -203,12 +203,9 @@ def dropped_lines(
     """(_key, doc_id, dropped: array of line numbers) of the documents that lose lines."""
     every = stored(parse_lines(docs, depth), "line-leaves").where(F.col("n_tokens") >= min_tokens)
     # a template can recur only in a leaf that recurs: one small row per leaf and task decides that
-    leaves = (
-        every.groupBy("leaf")
-        .agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"))
-        .where("lo <> hi")
-        .select("leaf")
-    )
+    leaves = every.groupBy("leaf").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).where("lo <> hi")
+    # stored, so that a hot leaf's lines may be split in the join
+    leaves = stored(leaves.select("leaf"), "line-leaves-of-several-documents")
     lines = stored(every.drop("n_tokens", "tokens").join(leaves, "leaf", "left_semi"), "line-recurring-leaves")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_key"), F.col("line_no"))
     forms = stored(
