@@ -16,7 +16,7 @@ of shards has one row per partition; only that list is broadcast.
 Lookup. A key is searched by bisection among the shards' first keys, then in
 the shard's directory; one range read brings its block, a bisection its lines,
 and one range read per line its record. A revisit is resolved by looking up
-the response that it names. Requests come sorted, so the few directories and
+the response that it names, the one with its payload digest. Requests come sorted, so the few directories and
 blocks that a task holds at a time serve many of them.
 
 Defined results: NULL html is an empty payload; NULL or shapeless URLs share
@@ -282,16 +282,19 @@ class Index:
         for _, file, offset, length in self.captures(low, high):
             yield parse(zlib.decompress(self.files.read(file, offset, length), 31))
 
-    def response(self, key: str) -> tuple[int, str]:
-        """Length and SHA-1 of the response's payload stored under a key."""
+    def response(self, key: str, digest: str) -> tuple[int, str]:
+        """Length and SHA-1 of the payload of the response stored under a key with a payload digest.
+
+        A key may hold several captures (rows that share page_id and URL): the digest tells them apart.
+        """
 
         def find() -> tuple[int, str]:
             for fields, payload in self.records(key, key):
-                if fields["WARC-Type"] == "response":
+                if fields["WARC-Type"] == "response" and fields["WARC-Payload-Digest"] == digest:
                     return len(payload), hashlib.sha1(payload).hexdigest()
-            raise LookupError(f"no response under {key!r}")
+            raise LookupError(f"no response with {digest} under {key!r}")
 
-        return self._get(("response", key), find)
+        return self._get(("response", key, digest), find)
 
 
 def lookup(requests: DataFrame, shards: DataFrame) -> DataFrame:
@@ -317,7 +320,9 @@ def lookup(requests: DataFrame, shards: DataFrame) -> DataFrame:
                         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
                     else:
                         refers = _number(fields["WARC-Refers-To"])
-                        size, digest = index.response(unquote(fields["WARC-Refers-To-Capture"]))
+                        size, digest = index.response(
+                            unquote(fields["WARC-Refers-To-Capture"]), fields["WARC-Payload-Digest"]
+                        )
                     if f"sha1:{digest}" != fields["WARC-Payload-Digest"]:
                         raise ValueError(f"damaged record under {key!r}")
                     out.append(

@@ -67,6 +67,14 @@ def test_warc_round_trip(spark, pages):
     assert kinds == {"response": 9, "revisit": 4}
 
 
+def test_warc_of_two_payloads_under_one_key(spark):
+    """Rows that share page_id and URL are captures of one key; a revisit finds the one with its payload."""
+    x, y, u = "x" * 1500, "y" * 1500, "http://u.example.org/"
+    rows = [(9, u, x), (9, u, y), (3, "http://v.example.org/", y), (4, "http://w.example.org/", x), (9, u, "short")]
+    got = read_back(spark, spark.createDataFrame(rows, PAGE))[2].collect()
+    assert Counter(map(tuple, got)) == archive_by_hand(rows)
+
+
 def test_index_lookup_by_address(spark):
     """Few lines a block, several shards: every address finds all of its captures and no others."""
     rows = [(i, f"http://h{i % 7}.example.org/p{i % 30}", f"body {i}") for i in range(300)]
