@@ -207,6 +207,51 @@ def metric_change_days(
     table.write_range(metrics.day_values(events, first, last, metric_exprs, user_col, ts_col), first, last)
 
 
+def activity_day(
+    spark: SparkSession,
+    events: DataFrame,
+    state_path: str,
+    day: dt.date,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+    buckets: int | None = None,
+) -> SnapshotTable:
+    """O17 for one day (a skipped day carries the latest earlier state).
+
+    With ``buckets`` the state is bucketed by user: the day's join shuffles
+    only the day's distinct users, not the whole user table.
+    """
+    table = SnapshotTable.at(spark, state_path, "date", sort_cols=[user_col], buckets=buckets)
+    return fold(
+        table,
+        [day],
+        lambda prev, d: activity.activity_step(prev, events, d, user_col, ts_col),
+        lambda d: d - dt.timedelta(days=1),
+        carry_latest=True,
+    )
+
+
+def metric_day(
+    spark: SparkSession,
+    events: DataFrame,
+    state_path: str,
+    day: dt.date,
+    metric_exprs: dict[str, Column] | None = None,
+    user_col: str = "user_id",
+    ts_col: str = "event_time",
+    buckets: int | None = None,
+) -> SnapshotTable:
+    """O19 for one day: upsert today's values into the month arrays (bucketed by user with ``buckets``)."""
+    table = SnapshotTable.at(spark, state_path, "as_of", sort_cols=[user_col], buckets=buckets)
+    return fold(
+        table,
+        [day],
+        lambda prev, d: metrics.array_metric_step(prev, events, d, metric_exprs, user_col, ts_col),
+        lambda d: d - dt.timedelta(days=1),
+        carry_latest=True,
+    )
+
+
 class DuplicateKeyError(ValueError):
     """A stored table holds a key more than once."""
 

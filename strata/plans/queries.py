@@ -200,6 +200,34 @@ def metric_exprs() -> dict:
     return {**metrics.default_metrics(), "event_kinds": F.countDistinct("event_type")}
 
 
+def metric_fold(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dt.date]]:
+    """Month arrays built with O19 steps, one for every day; the table and each month's last day."""
+    h = src.hits(spark, sf_dir)
+    days = _days(*_hit_day_bounds(h))
+    table = SnapshotTable.scratch(spark, "array_metrics", "as_of", sort_cols=["user_id"])
+    fold(
+        table,
+        days,
+        lambda prev, d: metrics.array_metric_step(prev, h, d, metric_exprs()),
+        previous_of=lambda d: d - dt.timedelta(days=1),
+        carry_latest=True,
+    )
+    return table, _month_last_days(days)
+
+
+def activity_fold(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Date-list table built with O17 steps, one for every day."""
+    h = src.hits(spark, sf_dir)
+    table = SnapshotTable.scratch(spark, "users_cumulated", "date", sort_cols=["user_id"])
+    return fold(
+        table,
+        _days(*_hit_day_bounds(h)),
+        lambda prev, d: activity.activity_step(prev, h, d),
+        previous_of=lambda d: d - dt.timedelta(days=1),
+        carry_latest=True,
+    )
+
+
 COMPACT_DAYS = 10  # a base is written after so many days of changes
 
 
