@@ -77,6 +77,16 @@ def json_struct(text: str | Column, schema_ddl: str) -> Column:
     return F.from_json(col_of(text), schema_ddl)
 
 
+def typed_object(fields: dict[str, str | Column]) -> Column:
+    """VARIANT of the named fields: values keep their types and are read back without parsing text."""
+    return F.to_variant_object(F.struct(*[col_of(v).alias(k) for k, v in fields.items()]))
+
+
+def typed_field(bag: str | Column, key: str, dtype: str = "string") -> Column:
+    """A VARIANT's field as ``dtype``; absent, null or not convertible gives NULL."""
+    return F.try_variant_get(col_of(bag), f"$.{key}", dtype)
+
+
 def all_null_safe_equal(left: Iterable[Column], right: Iterable[Column]) -> Column:
     conds = [a.eqNullSafe(b) for a, b in zip(left, right, strict=True)]
     out = conds[0]

@@ -3,8 +3,11 @@
 Vertices are (identifier, type, properties); edges are (subject identifier
 and type, object identifier and type, edge type, properties). Identifiers
 are text; properties are JSON text written with ``to_json`` (NULL fields
-kept) and read back with ``get_json_object``. No traversal exists in the
-reference, so everything is relational: group-bys and equi-joins.
+kept) and read back with ``get_json_object``. With ``typed`` the builders
+give a VARIANT instead, for jobs that read the properties again: nothing is
+rendered as text or parsed, and ``with_text`` renders it where rows leave
+Spark. The reports take either form. No traversal exists in the reference, so
+everything is relational: group-bys and equi-joins.
 """
 
 from __future__ import annotations
@@ -13,20 +16,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
-from ..functions.columns import json_field, json_object, json_struct, safe_ratio
+from ..functions.columns import json_field, json_object, json_struct, safe_ratio, typed_field, typed_object
 from ..schemas import EDGE_TYPE as EDGE_TYPES
 from ..schemas import VERTEX_TYPE as VERTEX_TYPES
 from .quality import dedup_first
 from .skew import DEFAULT_CHUNK_ROWS, salted_self_join
 
 
+def _bag(props: dict[str, str | Column], typed: bool) -> Column:
+    return (typed_object(props) if typed else json_object(props)).alias("properties")
+
+
+def _is_typed(df: DataFrame) -> bool:
+    return isinstance(df.schema["properties"].dataType, VariantType)
+
+
+def _field(df: DataFrame, key: str, dtype: str) -> Column:
+    """One property of ``df``'s bags."""
+    return typed_field("properties", key, dtype) if _is_typed(df) else json_field("properties", key, dtype)
+
+
+def _fields(df: DataFrame, fields: dict[str, str]) -> Column:
+    """Several properties of ``df``'s bags, as a struct; text is parsed once."""
+    if _is_typed(df):
+        return F.struct(*[typed_field("properties", k, dtype).alias(k) for k, dtype in fields.items()])
+    return json_struct("properties", ", ".join(f"`{k}` {dtype}" for k, dtype in fields.items()))
+
+
+def with_text(df: DataFrame) -> DataFrame:
+    """Vertices or edges with their properties as JSON text (as they are, if they are text already)."""
+    return df.withColumn("properties", F.to_json("properties")) if _is_typed(df) else df
+
+
 def build_vertices(
     src: DataFrame,
     id_col: str,
     vertex_type: str,
     props: dict[str, str | Column],
     order: Sequence[str] | None = None,
+    typed: bool = False,
 ) -> DataFrame:
     """One vertex per id (first row under ``order`` when ids repeat)."""
     if vertex_type not in VERTEX_TYPES:
@@ -35,7 +65,7 @@ def build_vertices(
     return df.select(
         F.col(id_col).cast("string").alias("identifier"),
         F.lit(vertex_type).alias("type"),
-        json_object(props).alias("properties"),
+        _bag(props, typed),
     )
 
 
@@ -45,6 +75,7 @@ def aggregate_vertices(
     vertex_type: str,
     aggs: dict[str, Column],
     static: Sequence[str] = (),
+    typed: bool = False,
 ) -> DataFrame:
     """O09 for entities known only from a fact table: properties are aggregates.
 
@@ -59,7 +90,7 @@ def aggregate_vertices(
     return g.select(
         F.col(id_col).cast("string").alias("identifier"),
         F.lit(vertex_type).alias("type"),
-        json_object(props).alias("properties"),
+        _bag(props, typed),
     )
 
 
@@ -77,6 +108,7 @@ def bipartite_edges(
     edge_type: str,
     props: dict[str, str | Column],
     order: Sequence[str] | None = None,
+    typed: bool = False,
 ) -> DataFrame:
     """One edge per distinct (subject, object) pair of a fact table."""
     if edge_type not in EDGE_TYPES:
@@ -88,7 +120,7 @@ def bipartite_edges(
         F.col(obj).cast("string").alias("object_identifier"),
         F.lit(object_type).alias("object_type"),
         F.lit(edge_type).alias("edge_type"),
-        json_object(props).alias("properties"),
+        _bag(props, typed),
     )
 
 
@@ -103,6 +135,7 @@ def cooccurrence_edges(
     same_side: str = "shares_team",
     other_side: str = "plays_against",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    typed: bool = False,
 ) -> DataFrame:
     """Edges between members that appear in the same group.
 
@@ -144,9 +177,7 @@ def cooccurrence_edges(
         F.col("_o").cast("string").alias("object_identifier"),
         F.lit(member_type).alias("object_type"),
         "edge_type",
-        json_object(
-            {"num_games": "num_games", "subject_points": "subject_points", "object_points": "object_points"}
-        ).alias("properties"),
+        _bag({"num_games": "num_games", "subject_points": "subject_points", "object_points": "object_points"}, typed),
     )
 
 
@@ -170,12 +201,12 @@ def vertex_edge_max(
     out_value = out_value or f"max_{prop}"
     e = edges if edge_type is None else edges.where(F.col("edge_type") == F.lit(edge_type))
     best = e.groupBy("subject_identifier", "subject_type").agg(
-        F.max(json_field("properties", prop, dtype)).alias(out_value)
+        F.max(_field(e, prop, dtype)).alias(out_value)
     )
     v = vertices.select(
         F.col("identifier").alias("subject_identifier"),
         F.col("type").alias("subject_type"),
-        json_field("properties", label_prop).alias(out_label),
+        _field(vertices, label_prop, "string").alias(out_label),
     )
     return v.join(best, ["subject_identifier", "subject_type"]).select(
         F.col("subject_identifier").alias("identifier"), out_label, out_value
@@ -192,7 +223,7 @@ def vertex_edge_report(
     ratio_col: str = "games_per_point",
 ) -> DataFrame:
     """Each edge to an ``object_type`` vertex with its subject's ratio and edge properties."""
-    vp = json_struct("properties", f"`{label_prop}` string, `{num_prop}` double, `{den_prop}` double")
+    vp = _fields(vertices, {label_prop: "string", num_prop: "double", den_prop: "double"})
     v = vertices.select(
         F.col("identifier").alias("subject_identifier"), F.col("type").alias("subject_type"), vp.alias("vp")
     ).select(
@@ -206,7 +237,7 @@ def vertex_edge_report(
         "subject_type",
         "object_identifier",
         "edge_type",
-        json_struct("properties", "subject_points bigint, num_games bigint").alias("ep"),
+        _fields(edges, {"subject_points": "bigint", "num_games": "bigint"}).alias("ep"),
     )
     return v.join(e, ["subject_identifier", "subject_type"]).select(
         label_prop, "subject_identifier", "object_identifier", "edge_type", ratio_col, "ep.subject_points", "ep.num_games"

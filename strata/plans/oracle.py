@@ -445,3 +445,14 @@ ORACLE_SQL["grain_check_player"] = """
 select s.s_suppkey as player_id, count(*) as num_rows
 from supplier s join nation n on s.s_nationkey = n.n_nationkey group by s.s_suppkey having count(*) > 1
 """
+ORACLE_SQL["period_bounds_stored"] = ORACLE_SQL["period_bounds"]
+ORACLE_SQL["graph_vertex_counts_stored"] = ORACLE_SQL["graph_vertex_counts"]
+# the added column is NULL in the seasons that were written before it
+ORACLE_SQL["snapshot_columns"] = f"""
+with {SNAPSHOTS}
+select entity_id, current_season, scoring_class, is_active,
+       case when current_season > ((select min(period) from ep) + {LAST_PERIOD}) // 2
+            then cast(list_sum(list_transform(string_split(gp_history, ','), lambda x: cast(x as bigint))) as bigint)
+       end as games_so_far
+from snap
+"""

@@ -11,15 +11,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_struct, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
 from ..plans import jobs
 from ..plans.fold import fold
+from ..sources import footers
 from ..sources import testdata as src
 from ..session import state_path
 from ..sources.changes import ChangeTable
@@ -136,13 +139,14 @@ def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def player_vertices(games_of_players: DataFrame) -> DataFrame:
+def player_vertices(games_of_players: DataFrame, typed: bool = False) -> DataFrame:
     return graph.aggregate_vertices(
         games_of_players,
         "player_id",
         "player",
         {"number_of_games": F.count(F.lit(1)), "total_points": F.sum("pts")},
         static=["player_name"],
+        typed=typed,
     )
 
 
@@ -155,7 +159,7 @@ def game_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plays_in_edges(games_of_players: DataFrame) -> DataFrame:
+def plays_in_edges(games_of_players: DataFrame, typed: bool = False) -> DataFrame:
     return graph.bipartite_edges(
         games_of_players,
         "player_id",
@@ -169,10 +173,11 @@ def plays_in_edges(games_of_players: DataFrame) -> DataFrame:
             "team_id": "team_id",
             "team_abbreviation": "team_abbreviation",
         },
+        typed=typed,
     )
 
 
-def pair_edges(games_of_players: DataFrame) -> DataFrame:
+def pair_edges(games_of_players: DataFrame, typed: bool = False) -> DataFrame:
     return graph.cooccurrence_edges(
         games_of_players,
         member="player_id",
@@ -180,6 +185,7 @@ def pair_edges(games_of_players: DataFrame) -> DataFrame:
         side="team_abbreviation",
         measure="pts",
         order=None,
+        typed=typed,
     )
 
 
@@ -263,7 +269,14 @@ def activity_days(spark: SparkSession, sf_dir: str) -> tuple[ChangeTable, dt.dat
 
 
 def q_period_bounds(spark, sf_dir):
-    return quality.period_bounds(src.entity_periods(spark, sf_dir), "period")
+    return quality.period_bounds(src.order_periods(spark, sf_dir), "period")
+
+
+def q_period_bounds_stored(spark, sf_dir):
+    """On the stored table of seasons: from the file footers."""
+    path = state_path(spark, "player_seasons")
+    src.entity_periods(spark, sf_dir).write.parquet(path)
+    return footers.stored_bounds(spark, path, "period")
 
 
 def q_grain_check(spark, sf_dir):
@@ -356,6 +369,27 @@ def _lookup(spark, sf_dir, *predicates):
     )
 
 
+def q_snapshot_columns(spark, sf_dir):
+    """Snapshots whose columns change halfway: one is renamed, one is added, later seasons are stepped on."""
+    seasons = src.entity_periods(spark, sf_dir)
+    lo, hi = _entity_bounds(spark, sf_dir)
+    half = (lo + hi) // 2
+    before = replace(ENTITY_SPEC, cls="scorer_class")
+    table = SnapshotTable.scratch(spark, "players", ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
+    table.write(cumulative.cumulative_backfill(seasons, before, last=half))
+    table.rename_column("scorer_class", ENTITY_SPEC.cls)
+    table.add_column("games_so_far", LongType())
+    table = SnapshotTable.open(spark, table.path, ENTITY_SPEC.as_of, sort_cols=[ENTITY_SPEC.key])
+
+    def step(prev, period):
+        games = F.aggregate(ENTITY_SPEC.history, F.lit(0).cast("bigint"), lambda n, x: n + x["gp"])
+        snap = cumulative.cumulative_step(prev, seasons, ENTITY_SPEC, period)
+        return snap.withColumn("games_so_far", games)
+
+    rows = fold(table, range(half + 1, hi + 1), step, lambda p: p - 1).read()
+    return rows.select("entity_id", "current_season", "scoring_class", "is_active", "games_so_far")
+
+
 def q_snapshot_lookup(spark, sf_dir):
     return _lookup(spark, sf_dir)
 
@@ -439,6 +473,13 @@ def q_graph_vertex_counts(spark, sf_dir):
     return graph.vertex_type_counts(graph_vertices_df(spark, sf_dir))
 
 
+def q_graph_vertex_counts_stored(spark, sf_dir):
+    """On the stored vertices, a folder per type: from the file footers."""
+    path = state_path(spark, "vertices")
+    graph_vertices_df(spark, sf_dir).write.partitionBy("type").parquet(path)
+    return footers.stored_counts(spark, path, ["type"], "num_vertices")
+
+
 def q_graph_edges_plays_in(spark, sf_dir):
     e = plays_in_edges(src.player_games(spark, sf_dir))
     props = json_struct("properties", "start_position string, pts int, team_id int, team_abbreviation string")
@@ -458,8 +499,8 @@ def q_graph_edges_pairs(spark, sf_dir):
 def q_graph_max_points(spark, sf_dir):
     games = player_games(spark, sf_dir)
     best = graph.vertex_edge_max(
-        player_vertices(games),
-        plays_in_edges(games),
+        player_vertices(games, typed=True),
+        plays_in_edges(games, typed=True),
         "pts",
         "player_name",
         dtype="int",
@@ -471,7 +512,7 @@ def q_graph_max_points(spark, sf_dir):
 
 def q_graph_pair_report(spark, sf_dir):
     games = player_games(spark, sf_dir)
-    report = graph.vertex_edge_report(player_vertices(games), pair_edges(games))
+    report = graph.vertex_edge_report(player_vertices(games, typed=True), pair_edges(games, typed=True))
     return report.orderBy("player_name")
 
 
@@ -553,6 +594,7 @@ def q_array_metrics_daily(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_bounds": q_period_bounds,
+    "period_bounds_stored": q_period_bounds_stored,
     "grain_check": q_grain_check,
     "grain_check_lineitem": q_grain_check_lineitem,
     "grain_check_player": q_grain_check_player,
@@ -564,6 +606,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_explode": q_history_explode,
     "history_explode_one": q_history_explode_one,
     "first_vs_latest": q_first_vs_latest,
+    "snapshot_columns": q_snapshot_columns,
     "snapshot_lookup": q_snapshot_lookup,
     "snapshot_lookup_star": q_snapshot_lookup_star,
     "detect_changes": q_detect_changes,
@@ -578,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bailed_pct": q_bailed_pct,
     "graph_vertices": q_graph_vertices,
     "graph_vertex_counts": q_graph_vertex_counts,
+    "graph_vertex_counts_stored": q_graph_vertex_counts_stored,
     "graph_edges_plays_in": q_graph_edges_plays_in,
     "graph_edges_pairs": q_graph_edges_pairs,
     "graph_max_points": q_graph_max_points,

@@ -62,6 +62,19 @@ def entity_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(period): first and last order year of every customer, for the bounds of ``entity_periods``.
+
+    Two values per customer leave the partial aggregate; of the customer table only the key is read.
+    """
+    orders = read_table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
+    )
+    customer = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    ends = orders.join(customer, "o_custkey", "left_semi")
+    return ends.select(F.explode(F.array("first", "last")).alias("day")).select(F.year("day").cast("int").alias("period"))
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: game date, season and the customer's nation as home team."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

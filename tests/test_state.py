@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from strata.functions import dateset
-from strata.operators import activity, cumulative, metrics, scd
+from strata.operators import activity, cumulative, graph, metrics, scd
 from strata.plans import jobs
 from strata.plans import queries as Q
 from strata.session import state_path
+from strata.sources import footers
 from strata.sources import testdata as src
-from strata.sources.snapshots import SnapshotTable
+from strata.sources.snapshots import ColumnMismatchError, SnapshotTable
 from strata.sources.versions import VersionedTable
 
 from .conftest import rows_of, same_rows
@@ -259,6 +264,156 @@ def test_a_shorter_backfill_leaves_no_old_season(spark):
     assert SnapshotTable.open(spark, path, "current_season").periods() == [2001, 2002]
 
 
+# ------------------------------------------------------------ columns of stored snapshots
+
+
+def test_columns_change_over_several_periods(spark):
+    path = state_path(spark, "columns")
+    table = SnapshotTable(spark, path, "p", sort_cols=["k"])
+    table.write(spark.createDataFrame([(1, "a", 2000), (2, "b", 2000)], "k int, label string, p int"))
+    files = table.files_of(2000)
+    table.rename_column("label", "grade")
+    assert table.read().columns == ["k", "grade", "p"]
+    table = SnapshotTable.open(spark, path, "p", sort_cols=["k"])  # another session's driver
+    table.write_period(spark.createDataFrame([(1, "c", 2001)], "k int, grade string, p int"), 2001)
+    table.add_column("label", IntegerType())  # the name that the files use for another column
+    table.write_period(spark.createDataFrame([(1, "d", 7, 2002)], "k int, grade string, label int, p int"), 2002)
+    table.rename_column("k", "key")
+    want = [(1, "a", None, 2000), (1, "c", None, 2001), (1, "d", 7, 2002), (2, "b", None, 2000)]
+    for t in (table, SnapshotTable.open(spark, path, "p", sort_cols=["key"])):
+        assert sorted(t.read().collect(), key=lambda r: (r.key, r.p)) == sorted(want, key=lambda r: (r[0], r[3]))
+        assert rows_of(t.read(as_of=2002)) == [(1, "d", 7, 2002)]
+        assert t.written == [2000, 2001, 2002] and t.files_of(2000) == files  # no file was rewritten
+    filtered = table.read(as_of=2000).where("grade = 'b'")
+    assert "EqualTo(label,b)" in plan_of(filtered)  # the filter reaches the scan under the file's name
+    rows = spark.createDataFrame([(5, "e", 1, 2003)], "key int, grade string, label int, p int")
+    table.replace(rows)
+    assert rows_of(SnapshotTable.open(spark, path, "p").read()) == [(5, "e", 1, 2003)]
+    assert SnapshotTable.open(spark, path, "p").stored_names == {}
+
+
+def test_rows_of_other_columns_are_refused(spark):
+    path = state_path(spark, "columns")
+    table = SnapshotTable(spark, path, "p")
+    table.write(spark.createDataFrame([(1, 2000)], "k int, p int"))
+    for schema, row in (("k int, extra int, p int", (1, 1, 2001)), ("p int", (2001,)), ("k string, p int", ("x", 2001))):
+        for write in (table.write, table.replace, lambda df: table.write_period(df, 2001)):
+            with pytest.raises(ColumnMismatchError):
+                write(spark.createDataFrame([row], schema))
+    for change in (
+        lambda: table.rename_column("k", "p"),
+        lambda: table.rename_column("p", "q"),
+        lambda: table.rename_column("absent", "q"),
+        lambda: table.add_column("k", IntegerType()),
+        lambda: table.widen_column("k", StringType()),
+    ):
+        with pytest.raises(ColumnMismatchError):
+            change()
+    assert rows_of(SnapshotTable.open(spark, path, "p").read()) == [(1, 2000)]
+    with pytest.raises(ValueError, match="not been written"):
+        SnapshotTable(spark, state_path(spark, "never"), "p").rename_column("k", "q")
+
+
+def test_a_history_gets_a_new_stat(spark):
+    seasons = spark.createDataFrame([(e, p, "n", "s", "t", 1, 1, 1, 1) for e in (1, 2) for p in (2000, 2001)], TYPES)
+    path = state_path(spark, "new-stat")
+    jobs.season_step(spark, seasons, path, 2000, Q.ENTITY_SPEC)
+    table = SnapshotTable.open(spark, path, "current_season", sort_cols=["entity_id"])
+    entry = table.schema["season_stats"].dataType.elementType
+    more = ArrayType(StructType([*entry.fields, StructField("steals", IntegerType())]))
+    with pytest.raises(ColumnMismatchError, match="loses"):
+        table.widen_column("season_stats", ArrayType(StructType(entry.fields[:-1])))
+    table.widen_column("season_stats", more)
+    spec = replace(Q.ENTITY_SPEC, stats=(*Q.ENTITY_SPEC.stats, "steals"))
+    late = seasons.withColumn("steals", F.lit(9)).where("period = 2001 and entity_id = 1")
+    jobs.season_step(spark, late, path, 2001, spec)
+    rows = SnapshotTable.open(spark, path, "current_season").read().selectExpr(
+        "current_season", "entity_id", "transform(season_stats, x -> coalesce(x.steals, -1)) steals",
+        "transform(season_stats, x -> x.pts) pts",
+    )
+    assert rows_of(rows) == [
+        (2000, 1, [-1], [1]), (2000, 2, [-1], [1]), (2001, 1, [-1, 9], [1, 1]), (2001, 2, [-1], [1]),
+    ]
+
+
+def test_columns_of_a_bucketed_table(spark):
+    path = state_path(spark, "bucketed-columns")
+    table = SnapshotTable(spark, path, "p", sort_cols=["k"], buckets=2)
+    table.write_period(spark.createDataFrame([(1, "a", 2000)], "k int, label string, p int"), 2000)
+    table.rename_column("label", "grade")
+    table.add_column("n", IntegerType())
+    table.write_period(spark.createDataFrame([(1, "b", 3, 2001)], "k int, grade string, n int, p int"), 2001)
+    again = SnapshotTable.open(spark, path, "p", sort_cols=["k"], buckets=2)
+    want = [(1, "a", None, 2000), (1, "b", 3, 2001)]
+    assert [tuple(r) for r in again.read().orderBy("p").collect()] == want
+    with pytest.raises(ColumnMismatchError, match="bucketed"):
+        again.widen_column("grade", StringType())
+
+
+# ------------------------------------------------------------ counts and bounds from footers
+
+
+def test_footers_answer_counts_and_bounds(spark, sf_dir):
+    path = state_path(spark, "footers")
+    schema = "id long, d date, name string, kind string"
+    rows = [(i, day(i % 7), str(i), "ab"[i % 2]) for i in range(20)] + [(None, None, None, "c")]
+    spark.createDataFrame(rows, schema).repartition(3).write.partitionBy("kind").parquet(path)
+    counts = footers.stored_counts(spark, path, ["kind"])
+    assert rows_of(counts) == [("a", 10), ("b", 10), ("c", 1)]
+    assert rows_of(footers.stored_bounds(spark, path, "d", "lo", "hi")) == [(day(0), day(6))]  # kind c has no bounds
+    bounds = footers.footer_bounds(spark, f"{path}/kind=a", "d")
+    assert rows_of(bounds) == [(day(0), day(6))]
+    assert rows_of(footers.stored_counts(spark, path)) == [(21,)]
+    assert "PushedAggregation: [COUNT(*)]" in formatted(counts) and "PushedGroupBy: [kind]" in formatted(counts)
+    assert "PushedAggregation: [MIN(d), MAX(d)]" in formatted(bounds)
+    with pytest.raises(TypeError, match="no exact bounds"):
+        footers.stored_bounds(spark, path, "name")
+    empty = state_path(spark, "footers-empty")
+    spark.createDataFrame([], "d date").write.parquet(empty)
+    assert rows_of(footers.stored_bounds(spark, empty, "d")) == [(None, None)]
+    assert rows_of(footers.stored_counts(spark, empty)) == [(0,)]
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
+    assert "PushedAggregation: [COUNT(*)]" in formatted(Q.q_graph_vertex_counts_stored(spark, sf_dir))
+    assert rows_of(Q.q_period_bounds_stored(spark, sf_dir)) == rows_of(Q.q_period_bounds(spark, sf_dir))
+
+
+def formatted(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+# ------------------------------------------------------------ typed property bags
+
+
+def test_typed_bags_are_neither_rendered_nor_parsed(spark, sf_dir):
+    games = Q.player_games(spark, sf_dir)
+    for q in (Q.q_graph_max_points, Q.q_graph_pair_report):
+        p = q(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "variant" in p and not any(f in p for f in ("to_json", "structstojson", "from_json", "jsontostructs", "get_json"))
+    for typed, text in (
+        (Q.player_vertices(games, typed=True), Q.player_vertices(games)),
+        (Q.plays_in_edges(games, typed=True), Q.plays_in_edges(games)),
+    ):
+        fields = F.from_json("properties", "map<string,string>").alias("m")
+        keys = [c for c in text.columns if c != "properties"]
+        entries = [x.select(*keys, F.explode(fields)) for x in (graph.with_text(typed), graph.with_text(text))]
+        assert same_rows(*entries) and not entries[0].isEmpty()
+
+
+def test_typed_bags_keep_nulls(spark):
+    df = spark.createDataFrame([("1", None, 2.5), ("2", 3, None)], "id string, a int, b double")
+    bag = graph.build_vertices(df, "id", "team", {"a": "a", "b": "b"}, typed=True)
+    assert [r.properties for r in graph.with_text(bag).orderBy("identifier").collect()] == [
+        '{"a":null,"b":2.5}', '{"a":3,"b":null}',
+    ]
+    edges = graph.bipartite_edges(df, "id", "team", "id", "game", "plays_in", {"pts": "a"}, typed=True)
+    assert rows_of(graph.vertex_edge_max(bag, edges, "pts", "b", out_label="b", out_value="m").where("m is not null")) == [
+        ("2", None, 3)
+    ]
+
+
 # ------------------------------------------------------------ keys and dimensions
 
 
