@@ -1,10 +1,11 @@
 """Licence scan as an exact set-similarity join, in DataFrame operations only.
 
 Base phrases are found as consecutive words of a text. Beyond them, each text
-is cut into blocks, and a block meets a template if it contains at least
-``threshold`` of the template's distinct tokens. A text is cut at blank lines and after sentence ends; a block is a line
-of such a piece with as many words of the lines behind it as the longest
-template has, so a notice may be wrapped anywhere. The join is exact:
+is cut into paragraphs at its blank lines, and a paragraph into units at line
+ends and sentence ends. A block is a unit with as many words of the units
+behind it as the longest template has, so a notice may be wrapped anywhere and
+may run over sentence ends. A block meets a template if it contains at least
+``threshold`` of the template's distinct tokens. The join is exact:
 
 - tokens are put in global order, rarest first, by the number of documents of
   the whole corpus they occur in;
@@ -62,7 +63,8 @@ TEMPLATES = (
     ("public-domain", "this work is dedicated to the public domain"),
 )
 
-BLOCK_END = "\n[\\x20\\x09\\x0B-\\x0D]*\n|(?<=[.!?])[\\x20\\x09-\\x0D]+"
+PARAGRAPH_END = "\n[\\x20\\x09\\x0B-\\x0D]*\n"
+UNIT_END = "\n|(?<=[.!?])[\\x20\\x09-\\x0D]+"
 
 
 def _words(text: str) -> list[str]:
@@ -84,14 +86,14 @@ def _phrase_label(w: Column, i: Column, phrases: dict[str, str]) -> Column:
     return out
 
 
-def _line_words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), NON_WORD_RUN), "")
+def _unit_words(unit: Column) -> Column:
+    return F.array_remove(F.split(F.lower(unit), NON_WORD_RUN), "")
 
 
-def _spans(lines: Column, longest: int) -> Column:
-    """Each line's words with the next ``longest`` words of the lines behind it; no line is without words."""
+def _spans(units: Column, longest: int) -> Column:
+    """Each unit's words with the next ``longest`` words of the units behind it; no unit is without words."""
     return F.transform(
-        lines, lambda x, i: F.concat(x, F.slice(F.flatten(F.slice(lines, i + 2, longest)), 1, longest))
+        units, lambda x, i: F.concat(x, F.slice(F.flatten(F.slice(units, i + 2, longest)), 1, longest))
     )
 
 
@@ -133,22 +135,22 @@ def scan(
         "_key",
         n.cast("bigint").alias("n_words"),
         marks.alias("marks"),
-        F.when(F.arrays_overlap(w, _strings(prefix)), F.split("text", BLOCK_END)).alias("blocks"),
+        F.when(F.arrays_overlap(w, _strings(prefix)), F.split("text", PARAGRAPH_END)).alias("paragraphs"),
     )
     m = F.col("marks")
     places = F.filter(F.transform(m, lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull())
     base = stored(
-        first.select("doc_id", "_key", "n_words", places.alias("places"), F.array_compact("marks").alias("found"), "blocks"),
+        first.select("doc_id", "_key", "n_words", places.alias("places"), F.array_compact("marks").alias("found"), "paragraphs"),
         "license-base",
     )
 
     # blocks as their template tokens in global order: array_intersect keeps the order of its first side
     tokens = (
-        base.where("blocks is not null")
-        .select("_key", "doc_id", F.explode("blocks").alias("block"))
-        .select("_key", "doc_id", F.transform(F.split("block", "\n"), _line_words).alias("lines"))
-        .where(F.arrays_overlap(F.flatten("lines"), _strings(prefix)))
-        .select("_key", "doc_id", F.explode(_spans(F.filter("lines", lambda x: F.size(x) > 0), longest)).alias("span"))
+        base.where("paragraphs is not null")
+        .select("_key", "doc_id", F.explode("paragraphs").alias("paragraph"))
+        .select("_key", "doc_id", F.transform(F.split("paragraph", UNIT_END), _unit_words).alias("units"))
+        .where(F.arrays_overlap(F.flatten("units"), _strings(prefix)))
+        .select("_key", "doc_id", F.explode(_spans(F.filter("units", lambda x: F.size(x) > 0), longest)).alias("span"))
         .select("_key", "doc_id", F.array_intersect(_strings(order), "span").alias("tokens"))
         .where(F.arrays_overlap("tokens", _strings(prefix)))
         .distinct()

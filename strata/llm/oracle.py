@@ -101,12 +101,14 @@ m as (
         len(l) as n_lines,
         len(list_filter(l, lambda x: regexp_matches(x, '^[\\x20\\x09]*[-*•●‣]'))) as n_bullets,
         len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|…) *$'))) as n_ellipses,
-        len(list_intersect(w, string_split('the be to of and that have with der die und den das von zu mit '
-            || 'le la les de et des en un que el los las y del se por con', ' '))) as n_stops
- from w left join covered c on c.k = w.k),
+        len(list_intersect(w, s.stops)) as n_stop_kinds,
+        len(list_filter(w, lambda x: list_contains(s.stops, lower(x)))) as n_stops
+ from w cross join (select string_split('the be to of and that have with der die und den das von zu mit '
+            || 'le la les de et des en un que el los las y del se por con', ' ') as stops) s left join covered c on c.k = w.k),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and word_chars / n_words between 2 and 12 and n_symbols / n_words <= 0.1 and n_stops >= 2
+       not base_failed and word_chars / n_words between 2 and 12 and n_symbols / n_words <= 0.1 and n_stop_kinds >= 2
+        and n_stops / n_words >= 0.03
         and n_dup_lines / greatest(n_lines, 1) <= 0.3 and n_bullets / greatest(n_lines, 1) <= 0.9
         and n_ellipses / greatest(n_lines, 1) <= 0.3 as kept
 from f
@@ -115,7 +117,7 @@ from f
 DECONTAMINATION = f"""
 with d as (select row_number() over () as k, doc_id, {alnum('text')} as w from documents),
 items as (
- select cast(item_id as varchar) as item_id, {alnum('text')} as w from benchmark where item_id is not null),
+ select cast(item_id as varchar) as item_id, {alnum('text')} as w from benchmark),
 phrases as (
  select distinct item_id, list_slice(w, i, i + 12) as p
  from (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from items where len(w) > 0)),
@@ -126,7 +128,7 @@ found as (
  where list_slice(d.w, t.pos, t.pos + len(p.p) - 1) = p.p),
 hit as (
  select k, count(distinct j) as n from (select k, unnest(range(s, s + n)) as j from found) group by k),
-ids as (select k, list(distinct item_id) as ids from found group by k),
+ids as (select k, list(distinct item_id) filter (item_id is not null) as ids from found group by k),
 frequency as (select term, count(*) as n from tokens group by term),
 ranked as (
  select item_id, p, o, x.term, row_number() over (partition by item_id, p order by coalesce(n, 0), o) as r
@@ -149,6 +151,7 @@ from d left join hit h on h.k = d.k left join ids i on i.k = d.k left join near
 
 
 def license_sql(phrases: dict[str, str], templates: tuple[tuple[str, str], ...], threshold: float) -> str:
+    longest = max(len(t.split()) for _, t in templates)
     base = ", ".join(f"('{label}', string_split('{p}', ' '))" for p, label in phrases.items())
     sets = ", ".join(f"({i}, '{label}', list_distinct(string_split('{t}', ' ')))" for i, (label, t) in enumerate(templates))
     return f"""
@@ -161,9 +164,16 @@ places as (
  where list_slice(t.w, t.pos, t.pos + len(b.p) - 1) = b.p),
 per_base as (
  select k, count(*) as n, min(pos) - 1 as lo, max(pos) - 1 as hi, list(distinct label) as labels from places group by k),
-blocks as (
- select k, unnest(string_split(regexp_replace(t, '([.!?]){BLANKS}', '\\1' || chr(10), 'g'), chr(10))) as b from d),
-sets as (select k, list_distinct({words('lower(b)', SEPARATORS)}) as s from blocks),
+paragraphs as (
+ select k, unnest(regexp_split_to_array(t, '\\n[\\x20\\x09\\x0B-\\x0D]*\\n')) as p from d),
+units as (
+ select k, list_filter(list_transform(
+   string_split(regexp_replace(p, '([.!?]){BLANKS}', '\\1' || chr(10), 'g'), chr(10)),
+   lambda u: {words('lower(u)', SEPARATORS)}), lambda u: len(u) > 0) as u
+ from paragraphs),
+sets as (
+ select k, list_distinct(u[i] || list_slice(flatten(list_slice(u, i + 1, i + {longest})), 1, {longest})) as s
+ from (select k, u, unnest(range(1, len(u) + 1)) as i from units)),
 met as (
  select s.k, x.label, len(list_intersect(s.s, x.t)) / len(x.t) as c
  from sets s join templates x on len(list_intersect(s.s, x.t)) >= {threshold} * len(x.t) - 1e-9),

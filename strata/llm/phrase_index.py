@@ -12,7 +12,8 @@ Search. A posting of the rarest term of a phrase, minus the term's offset,
 gives a start; the second rarest term must stand at its own offset from that
 start, and the remaining words must follow: an exact phrase match. Proximity:
 both terms stand within ``slop`` words of each other, in any order, whatever
-the words between them; it is reported, and decides nothing.
+the words between them; it is reported, and decides nothing. ``matches``
+returns the places of both kinds.
 
 Scale. The test items are taken in blocks of at most ``block_terms`` lookup
 terms, so what is broadcast has a stated bound; there is one block unless the
@@ -120,18 +121,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50
     index = postings(docs, lookups, window, block_terms)
     marks = index.where(F.col("term") == END).select("doc_id", "_key", F.col("pos").cast("bigint").alias("n_words"))
 
-    by_phrase = index.join(lookups.withColumnRenamed("t1", "term"), "term")
-    here = F.col("before") - F.col("o1")
-    at = (F.col("pos") - F.col("o1")).alias("start")
-    exact = (
-        by_phrase.where(here >= 0)
-        .where(F.get("around", here + F.col("o2")) == F.col("t2"))
-        .where(F.slice("around", F.greatest(here, F.lit(0)) + 1, F.size("words")) == F.col("words"))
-        .select("_key", "doc_id", "item_id", at, F.size("words").alias("len"))
-    )
+    exact = exact_matches(index, lookups)
     spans = (
         exact.groupBy("_key", "doc_id", "start")
-        .agg(F.max("len").alias("len"))
+        .agg(F.max("length").alias("len"))
         .groupBy("_key", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("start", "len"))).alias("spans"))
     )
@@ -147,7 +140,13 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50
     items = exact.select("_key", "doc_id", "item_id").distinct().groupBy("_key", "doc_id").agg(
         F.sort_array(F.collect_list("item_id")).alias("item_ids")
     )
-    near = near_items(index, lookups, slop)
+    near = (
+        near_matches(index, lookups, slop)
+        .select("_key", "doc_id", "item_id")
+        .distinct()
+        .groupBy("_key", "doc_id")
+        .agg(F.count(F.lit(1)).alias("n_near"))
+    )
     out = marks
     for found in (spans.select("_key", "doc_id", covered.alias("n_hit")), items, near):
         out = join_documents(out, found, "left")
@@ -161,8 +160,38 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50
     )
 
 
-def near_items(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
-    """(_key, doc_id, n_near): items with a phrase whose two rarest terms stand within ``slop`` words of each other.
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop: int = 50, block_terms: int = 100_000) -> DataFrame:
+    """doc_id, _key, item_id, kind, start, length: where test items stand in the documents, in words from 0.
+
+    ``kind`` is ``phrase`` for each exact phrase, and ``proximity`` for the
+    shortest stretch around both lookup terms in each cell of ``slop`` + 1
+    words. Repeated rows of a document share their matches.
+    """
+    lookups = lookup_terms(docs, phrases(benchmark, window), block_terms)
+    index = postings(docs, lookups, window, block_terms)
+    kinds = (("phrase", exact_matches(index, lookups)), ("proximity", near_matches(index, lookups, slop)))
+    phrase, near = (
+        rows.select("doc_id", "_key", "item_id", F.lit(kind).alias("kind"), "start", "length").distinct()
+        for kind, rows in kinds
+    )
+    return phrase.unionByName(near)
+
+
+def exact_matches(index: DataFrame, lookups: DataFrame) -> DataFrame:
+    """(_key, doc_id, item_id, start, length): phrases whose words all stand at their offsets from the rarest term."""
+    by_phrase = index.join(lookups.withColumnRenamed("t1", "term"), "term")
+    here = F.col("before") - F.col("o1")
+    at = (F.col("pos") - F.col("o1")).alias("start")
+    return (
+        by_phrase.where(here >= 0)
+        .where(F.get("around", here + F.col("o2")) == F.col("t2"))
+        .where(F.slice("around", F.greatest(here, F.lit(0)) + 1, F.size("words")) == F.col("words"))
+        .select("_key", "doc_id", "item_id", at, F.size("words").alias("length"))
+    )
+
+
+def near_matches(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
+    """(_key, doc_id, item_id, start, length): phrases whose two rarest terms stand within ``slop`` words of each other.
 
     Positions are put into cells of ``slop`` + 1 words; two terms are near if
     they share a cell or stand in neighbouring cells with a gap in range, which
@@ -190,13 +219,17 @@ def near_items(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
         *[end(F.min, "lo", k, 0).alias(f"lo{k}") for k in (1, 2)],
         *[end(F.max, "hi", k, 1).alias(f"prev{k}") for k in (1, 2)],
     )
-    close = (
-        (F.col("lo1").isNotNull() & F.col("lo2").isNotNull())
-        | (F.col("lo1") - F.col("prev2") <= slop)
-        | (F.col("lo2") - F.col("prev1") <= slop)
-    )
-    return met.where(close).select("_key", "doc_id", "item_id").distinct().groupBy("_key", "doc_id").agg(
-        F.count(F.lit(1)).alias("n_near")
+
+    def stretch(a: str, b: str):
+        """Length and start of the words from one position to the other, if they are near."""
+        gap = F.abs(F.col(a) - F.col(b))
+        return F.when(gap <= slop, F.struct((gap + 1).alias("length"), F.least(a, b).alias("start")))
+
+    best = F.array_min(F.array(stretch("lo1", "lo2"), stretch("lo1", "prev2"), stretch("lo2", "prev1")))
+    return (
+        met.withColumn("best", best)
+        .where("best is not null")
+        .select("_key", "doc_id", "item_id", F.col("best.start").alias("start"), F.col("best.length").alias("length"))
     )
 
 

@@ -5,7 +5,10 @@ one narrow projection: no user function, no shuffle, no limit on text length.
 
 Words are runs of non-blank characters. Repeated words are those covered by a
 three-word window that occurs at least twice in the text; windows are compared
-by a 64-bit hash within one document.
+by a 64-bit hash within one document. Function words must make up a share of
+the words, in any case of letters, and two different ones must stand in lower
+case: texts wholly in capitals are rejected, as are texts of 50 words or more
+in languages without these function words.
 
 Defined results: NULL text counts as empty (no word; rejected as too short);
 rows are judged one by one, so repeated rows and NULL ids get equal verdicts;
@@ -57,7 +60,8 @@ class Rule:
 DEFAULT_RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 12.0),
     Rule("symbols_per_word", "n_symbols", "n_words", None, 0.1),
-    Rule("stop_words", "n_stop_words", None, 2.0, None),
+    Rule("stop_word_kinds", "n_stop_kinds", None, 2.0, None),
+    Rule("stop_words", "n_stop_words", "n_words", 0.03, None),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.3),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 0.9),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 0.3),
@@ -118,7 +122,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.filter(lines, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")))
         .cast("bigint")
         .alias("n_ellipsis_lines"),
-        F.size(F.array_intersect(w, F.array(*[F.lit(s) for s in STOP_WORDS]))).cast("bigint").alias("n_stop_words"),
+        F.size(F.array_intersect(w, F.array(*[F.lit(s) for s in STOP_WORDS]))).cast("bigint").alias("n_stop_kinds"),
+        F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).cast("bigint").alias("n_stop_words"),
         grams.alias("_grams"),
     )
     pairs, starts, covered = _repeat_words("_grams")

@@ -363,13 +363,16 @@ def licences_by_hand(text):
                 places.append(i)
                 labels.add(x)
     more, best = set(labels), 1.0 if labels else 0.0
-    for block in re.split("\n|(?<=[.!?])[\\x20\\x09-\\x0D]+", text or ""):
-        have = set(re.split("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", block.lower()))
-        for x, template in license_join.TEMPLATES:
-            want = set(template.split())
-            if len(want & have) >= 0.9 * len(want) - 1e-9:
-                more.add(x)
-                best = max(best, len(want & have) / len(want))
+    longest = max(len(t.split()) for _, t in license_join.TEMPLATES)
+    for paragraph in re.split("\n[\\x20\\x09\\x0B-\\x0D]*\n", text or ""):
+        units = [ALNUM_WORD.findall(u.lower()) for u in re.split("\n|(?<=[.!?])[\\x20\\x09-\\x0D]+", paragraph)]
+        for i, unit in enumerate(units):
+            have = set(unit) | set([w for u in units[i + 1 :] for w in u][:longest]) if unit else set()
+            for x, template in license_join.TEMPLATES:
+                want = set(template.split())
+                if len(want & have) >= 0.9 * len(want) - 1e-9:
+                    more.add(x)
+                    best = max(best, len(want & have) / len(want))
     return (
         len(words),
         len(places),
@@ -600,6 +603,66 @@ def test_license_scan_reads_wrapped_notices(spark):
     assert got == {0: "mit", 1: "bsd", 2: "isc", 3: ""}
 
 
+NOTICES_OVER_SENTENCES = [
+    "Copyright 2020 Foo Inc. All rights reserved.",
+    "Copyright 2020 Foo Inc.\nAll rights\nreserved! More.",
+    "Copyright 2020 Foo Inc.\n \nAll rights reserved.",
+    "Copyright of all. " + "Filler words here. " * 6 + "rights reserved",
+    "Copyright of all. " + "Filler words here. " * 5 + "rights reserved",
+    None,
+    "",
+]
+
+
+def test_license_scan_reads_over_sentence_ends(spark):
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(list(enumerate(NOTICES_OVER_SENTENCES)), schema)
+    got = {r.doc_id: (r.labels, r.score) for r in license_join.scan(docs).collect()}
+    found = ("all-rights-reserved", 1.0)
+    assert got == {0: found, 1: found, 2: ("", 0.0), 3: ("", 0.0), 4: found, 5: ("", 0.0), 6: ("", 0.0)}
+    assert got == {r[0]: (r[6], r[7]) for r in in_sql(Q.ORACLE_SQL["op5_license_scan"], documents=docs)}
+
+
+def in_sql(sql, **tables):
+    """Rows of a SQL twin over small tables."""
+    import duckdb
+
+    c = duckdb.connect()
+    for name, df in tables.items():
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString().replace('string', 'varchar')}" for f in df.schema)
+        c.execute(f"create table {name} ({columns})")
+        for r in df.collect():
+            c.execute(f"insert into {name} values ({', '.join('?' * len(r))})", list(r))
+    return c.execute(sql).fetchall()
+
+
+def test_stop_words_are_a_share_of_the_words(spark):
+    plain = " ".join(f"{a}{b}{c}{d}" for a in "bdfgk" for b in "aeiou" for c in "mnprs" for d in ("ta", "lo"))  # 250 words
+    rows = ["the of " + plain, "the of " * 4 + plain, "The Of " * 4 + "the of " + plain, ("the of " + plain + " ").upper() * 2]
+    rows = [" ".join(t.split()) for t in rows]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.row.doc_id: (r.n_stop_kinds, r.n_stop_words, r.ok_stop_words, r.ok_stop_word_kinds) for r in quality_rules.judge(docs).collect()}
+    assert got == {0: (2, 2, False, True), 1: (2, 8, True, True), 2: (2, 10, True, True), 3: (0, 4, False, False)}
+    kept = {r.row.doc_id: r.kept for r in quality_rules.judge(docs).collect()}
+    assert kept == {r[0]: r[7] for r in in_sql(Q.ORACLE_SQL["op8_quality_rules"], documents=docs)}
+
+
+def test_matches_tell_their_places(spark):
+    texts = ["one zebra and quagga graze here", "quagga far from a zebra", "quagga " + "x " * 60 + "zebra", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "zebra and quagga"), (None, "quagga graze"), (8, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.kind, r.start, r.length) for r in phrase_index.matches(docs, items).collect()}
+    phrase = {(0, "7", "phrase", 1, 3), (0, None, "phrase", 3, 2)}
+    assert {m for m in got if m[2] == "phrase"} == phrase
+    near = {m for m in got if m[2] == "proximity"}
+    # the two rarest words of item 7 are "and" and one of zebra and quagga, which are equally frequent
+    assert {m[:3] for m in near} == {(0, "7", "proximity")} and all(m[3] in (1, 2) and m[4] == 2 for m in near)
+    wide = spark.createDataFrame([(9, "quagga zebra")], "item_id long, text string")
+    got = sorted((r.doc_id, r.start, r.length) for r in phrase_index.matches(docs, wide).collect())
+    assert got == [(0, 1, 3), (1, 0, 5)]
+    assert phrase_index.matches(docs.where("false"), items).isEmpty() and phrase_index.matches(docs, items.where("false")).isEmpty()
+
+
 def test_decontamination_counts_items_without_id(spark):
     docs = spark.createDataFrame([(1, "zebra and quagga graze"), (2, "other words")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "zebra and quagga"), (7, "quagga graze")], "item_id long, text string")
@@ -607,3 +670,5 @@ def test_decontamination_counts_items_without_id(spark):
     assert got == {1: (4, ["7"], True), 2: (0, [], False)}
     only = phrase_index.contaminated(docs, items.where("item_id is null")).where("doc_id = 1").first()
     assert (only.n_hit, only.item_ids, only.contaminated, only.n_near) == (3, [], True, 0)
+    twin = {r[0]: (r[2], r[3], r[5]) for r in in_sql(Q.ORACLE_SQL["op9_benchmark_decontamination"], documents=docs, benchmark=items)}
+    assert twin == {1: (4, 1, True), 2: (0, 0, False)}
