@@ -9,7 +9,8 @@ words, two bits set in each); a block is one row, made by ``bit_or``
 aggregates. A URL whose bits are not all set in its block is not listed. The
 possible hits alone go on to an equi-join with the list, which removes the
 false positives. The blocks hold ``bits_per_url`` bits for each listed URL;
-they are broadcast up to ``broadcast_bytes``, else joined by block number.
+they are broadcast up to ``broadcast_bytes`` of memory, of which a block takes
+up to 256 bytes in a hash relation, else joined by block number.
 
 Rules (host, path prefix, verdict) come first: a rule fits its host and all
 subdomains if the path starts with the rule's; the longest one wins.
@@ -30,6 +31,9 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, stored
 
 WORDS = 4
+# memory of a block in a broadcast hash relation: its row of 56 bytes, its share of the key array (16 bytes a
+# slot, two to four slots a key) and of pages that double as they grow
+BLOCK_BYTES = 256
 TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
 
 
@@ -109,7 +113,7 @@ def filter_urls(
     )
     blocks = max(1, -(-urls.count() * bits_per_url // 256))
     filter_rows = bloom_blocks(urls, blocks)
-    if blocks * 64 <= broadcast_bytes:
+    if blocks * BLOCK_BYTES <= broadcast_bytes:
         filter_rows = F.broadcast(filter_rows)
 
     host, path, _ = url_parts(F.col("url"))

@@ -131,6 +131,8 @@ def test_url_filter(spark, pages):
     assert got == Counter((i, i in yes, "block" if i in yes else "allow") for i, _, _ in ROWS)
     assert url_bloom.filter_urls(pages, listed.where("false")).where("listed").count() == 0
     assert url_bloom.filter_urls(pages.where("false"), listed).count() == 0
+    extra = pages.select("*", *[F.lit(i).alias(n) for i, n in enumerate("host path rule listed block word0 canonical _url bits1".split())])
+    assert Counter((r.page_id, r.listed, r.verdict) for r in url_bloom.filter_urls(extra, listed).collect()) == got
 
 
 @pytest.mark.parametrize("limit", [0, 32_000_000])
