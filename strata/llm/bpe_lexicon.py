@@ -11,7 +11,8 @@ Encoding. A text is split at the special tokens' strings, the parts by the
 pre-tokenizer's pattern; a word in the lexicon gives its ids, any other word is
 merged exactly: lowest rank first, leftmost first, again many words abreast.
 Words of the lexicon are remembered for the task, others for a batch of texts.
-Decoding joins the ids' bytes.
+A batch is cut by its bytes, so that a task's memory does not depend on the
+texts' lengths. Decoding joins the ids' bytes.
 
 The lexicon only speeds the encoding up: results are those of the vocabulary
 file alone. Its size is fixed by the parameter, so the broadcast is bounded.
@@ -34,6 +35,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ from .common import stored
 
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_ROWS = 512
+BATCH_BYTES = 1 << 22  # texts, or id lists, that are worked on together
 LONG_WORD = 64  # bytes; longer words are merged one by one
 LONG_TEXT = 1 << 20  # longer texts and id lists are walked, not listed whole
 COUNTED_WORDS = 300_000  # words that a task counts before it passes them on
@@ -270,6 +272,18 @@ def _mapped(data: bytes) -> mmap.mmap:
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
+def _by_bytes(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``BATCH_BYTES`` of a column's values, a row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at] - sizes[at]
+        stop = max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _splitter(special: dict[str, int]):
     import regex
 
@@ -331,7 +345,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -
     return compile_lexicon(dict(zip(words, vocabulary.merge(words), strict=True)))
 
 
-def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 30_000, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 100_000, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` columns, n_tokens and ids (little-endian unsigned 32-bit integers, binary) of every row."""
     vocabulary = Vocabulary(tokenizer)
     lexicon = build_lexicon(docs, vocabulary, lexicon_words)
@@ -366,8 +380,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 30_000, carry:
             return b"".join([*out, *(known(w) or rare[w] for w in held)])
 
         for b in batches:
-            for at in range(0, b.num_rows, BATCH_ROWS):
-                part = b.slice(at, BATCH_ROWS)
+            for part in _by_bytes(b, "_text"):
                 texts = [t or "" for t in part.column("_text").to_pylist()]
                 # short texts share one lookup; a very long one is walked on its own
                 words = [split(t) if len(t) <= LONG_TEXT else None for t in texts]
@@ -401,8 +414,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
             return b"".join([b"".join([letters[i] for i in piece]) for piece in pieces]).decode("utf-8", "replace")
 
         for b in batches:
-            for at in range(0, b.num_rows, BATCH_ROWS):
-                part = b.slice(at, BATCH_ROWS)
+            for part in _by_bytes(b, "ids"):
                 texts = [text_of(x.as_py() or b"") for x in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 

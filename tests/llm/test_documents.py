@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -75,6 +76,16 @@ def test_quality_rules(spark, texts, edge):
         assert r.kept == (r.text in (PROSE, LONG))
 
 
+def test_quality_rules_edges(edge, empty, clashing):
+    assert quality_rules.judge(empty).count() == quality_rules.filter_documents(empty).count() == 0
+    kept = quality_rules.filter_documents(clashing)
+    assert kept.columns == clashing.columns
+    wanted = Counter(tuple(r) for r in clashing.collect() if r.text in (PROSE, LONG))
+    assert Counter(tuple(r) for r in kept.collect()) == wanted
+    plain = quality_rules.filter_documents(edge).collect()
+    assert Counter(plain) == Counter(r for r in edge.collect() if r.text in (PROSE, LONG))
+
+
 def test_quality_rules_follow_labels(spark):
     sf = "/root/testdata/sf0.01"
     rows = Q.op8_quality_rules(spark, sf).join(table(spark, sf, "labels"), "doc_id").collect()
@@ -320,7 +331,7 @@ def test_bpe(spark, texts):
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
 
 
-@pytest.mark.parametrize("words", [0, 3, 30_000])
+@pytest.mark.parametrize("words", [0, 3, 100_000])
 def test_bpe_edges(spark, edge, empty, clashing, words):
     odd = ["a<|endoftext|>b <|endoftext|>", "x" * 5000, "I'll  we've\n\n  \t'S 12345 ٣٤ 日本語 🙂🙂", "\x00\x01   ", "don't<|endoftext"]
     docs = edge.unionByName(spark.createDataFrame([(100 + i, t, None, None, None) for i, t in enumerate(odd)], edge.schema))
@@ -335,6 +346,17 @@ def test_bpe_edges(spark, edge, empty, clashing, words):
         assert bpe_lexicon.encode(clashing, path).columns == ["doc_id", "n_tokens", "ids"]
 
 
+@pytest.mark.parametrize("size", [1, 50, 4000])
+def test_bpe_in_small_batches(spark, edge, monkeypatch, size):
+    batch = pa.RecordBatch.from_pydict({"t": ["ab", None, "", "c" * 60, "é" * 30, "d"]})
+    monkeypatch.setattr(bpe_lexicon, "BATCH_BYTES", size)
+    parts = list(bpe_lexicon._by_bytes(batch, "t"))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column(0).to_pylist()) <= size for p in parts)
+    assert len(parts) == {1: 5, 50: 4, 4000: 1}[size]
+    assert list(bpe_lexicon._by_bytes(batch.slice(0, 0), "t")) == []
+
+
 def test_transducer_is_minimal_and_exact():
     words = [b"tap", b"taps", b"top", b"tops", b"stop", b"stops", b"", b"\xff\x00"]
     entries = {w: np.asarray([len(w), n], "<u4").tobytes() for n, w in enumerate(words)}
