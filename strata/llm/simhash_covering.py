@@ -39,6 +39,8 @@ from .common import join_documents, parts, row_key, stored
 
 BITS = 64
 SEED = 42
+LEAST_FILES = 8  # of a step's edges
+FILE_ROWS = 100_000
 
 
 def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
@@ -235,7 +237,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        now = stored(small, name)
+        # a step leaves at most two rows for each of the last: few rows go to few files, whatever the partitions
+        now = stored(small.coalesce(max(LEAST_FILES, 2 * seen[0] // FILE_ROWS)), name)
         last, seen = seen, mark(now)
         if last == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

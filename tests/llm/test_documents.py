@@ -234,6 +234,25 @@ def test_simhash_links_through_blocks(spark, block):
     assert {order[v]: order[root.get(v, v)] for v in values} == by_hand
 
 
+def test_components_store_few_rows_in_few_files(spark, monkeypatch):
+    """The files of a step follow its rows, not the number of partitions; many rows keep their partitions."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    chain = [(n, n + 1) for n in range(0, 40) if n % 10]
+    wanted = {n: (n - 1) - (n - 1) % 10 + 1 for n in range(2, 41) if n % 10 != 1}
+    spark.conf.set(key, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for rows, fewest, most in ((100_000, 1, 8), (1, 9, 40)):
+            monkeypatch.setattr(simhash_covering, "FILE_ROWS", rows, raising=False)
+            found = simhash_covering.components(spark.createDataFrame(chain, "a long, b long"))
+            assert {r.node: r.root for r in found.collect()} == wanted
+            assert fewest <= len(found.inputFiles()) <= most
+    finally:
+        spark.conf.set(key, was)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_simhash_edges(edge, empty, clashing):
     got = Counter((r.doc_id, r.component_id) for r in simhash_covering.near_duplicates(edge).collect())
     # texts without words share fingerprint zero; the group's id is its smallest id
