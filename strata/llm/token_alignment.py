@@ -4,9 +4,10 @@ Tokenizer A (byte-level BPE) encodes a blank and the text, B (pieces with byte
 fallback) the text, before which it puts a blank of its own: the bytes of both
 token sequences are the same, or the text is left without tokens. Incidence
 matrices in CSR form, built by hand: A has a row per A token with a one at each
-of its bytes, Bᵀ a row per byte with a one at the B token there. Gustavson's
-row products give A·Bᵀ, whose entries are the bytes that two tokens share: the
-overlap links. Those whose tokens end together cut the tokens into groups; the
+of its bytes, Bᵀ a row per byte with a one at the B token there. Bytes between
+two ends of tokens have equal columns and rows and are kept as one, with their
+number. Gustavson's row products give A·Bᵀ, whose entries are the bytes that two
+tokens share: the overlap links. Those whose tokens end together cut the tokens into groups; the
 product of the group incidence matrices, again by rows, gives the shared-group
 links.
 
@@ -16,9 +17,9 @@ other's: the vocabularies alone bound the pairs that can be linked
 pairs, counted per task and summed by Spark; the table of counts, one number
 per pair, is what goes back to the tasks.
 
-Scale. Texts are aligned one by one, very long ones piece by piece: a piece
+Scale. Texts are encoded one by one, very long ones piece by piece: a piece
 ends where tokens of both sides end, so groups and links of the pieces are
-those of the whole text. Nothing is shuffled but the pairs' counts.
+those of the whole text, and several pieces can be aligned side by side. Nothing is shuffled but the pairs' counts.
 
 Defined results: NULL or empty texts, and texts whose tokens do not give back
 their bytes (such as those with U+2581), have no tokens and no links; rows are
@@ -43,6 +44,7 @@ from .common import stored
 from .tokens import byte_bpe, encoder, word_parts
 
 BATCH_BYTES = 1 << 22
+TOGETHER = 1 << 15  # A tokens
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -119,15 +121,50 @@ class Alignment:
 
 def align(a: np.ndarray, b: np.ndarray, bytes_a: np.ndarray, bytes_b: np.ndarray) -> Alignment:
     """Aligns ids whose tokens have so many bytes each, the same in all on both sides."""
-    in_a, in_b = runs(bytes_a), runs(bytes_b)
-    overlaps = multiply(in_a, in_b.transposed())
+    ends_a, ends_b = np.cumsum(bytes_a), np.cumsum(bytes_b)
+    stretches = Stretches(ends_a, ends_b)
+    overlaps = multiply(stretches.of(ends_a, stretches.sizes), stretches.of(ends_b).transposed())
     row, column = overlaps.rows(), overlaps.columns
-    together = in_a.ends[1:][row] == in_b.ends[1:][column]
+    together = ends_a[row] == ends_b[column]
     last_a, last_b = row[together], column[together]
     sizes_a, sizes_b = (np.diff(np.concatenate([[-1], x])) for x in (last_a, last_b))
     return Alignment(a, b, overlaps, runs(sizes_a), runs(sizes_b))
 
 
+class Stretches:
+    """Bytes between two ends of tokens of either side: columns (of A) and rows (of Bᵀ) that are alike, as one."""
+
+    def __init__(self, ends_a: np.ndarray, ends_b: np.ndarray):
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        self.ends = ends[np.diff(ends, prepend=0) > 0]
+        self.sizes = np.diff(self.ends, prepend=0)
+
+    def of(self, ends: np.ndarray, values: np.ndarray | None = None) -> Csr:
+        """Incidence of the tokens with such ends and their stretches."""
+        n = len(self.ends)
+        upto = np.concatenate([[0], np.searchsorted(self.ends, ends, "right")])
+        return Csr(upto, np.arange(n), np.ones(n, np.int64) if values is None else values, n)
+
+
+class PairNumbers:
+    """The numbers of known pairs: most by one look into a hashed table, the others by bisection."""
+
+    BITS, FACTOR = 21, np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.table = known, np.zeros(1 << self.BITS, np.int32)
+        self.table[self._place(known)] = np.arange(len(known))
+
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.view(np.uint64) * self.FACTOR) >> np.uint64(64 - self.BITS)
+
+    def of(self, pairs: np.ndarray) -> np.ndarray:
+        at = self.table[self._place(pairs)]
+        other = np.flatnonzero(self.known[at] != pairs)
+        at[other] = np.searchsorted(self.known, pairs[other])
+        return at
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens; to be built in the task."""
 
@@ -141,8 +178,8 @@ class Tokenizers:
         self.len_a = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
         self.len_b = np.array([len(t) for t in self.bytes_b])
 
-    def align(self, text: str) -> Iterator[Alignment | None]:
-        """The alignment of each piece of the text; None for a piece whose tokens do not give back its bytes."""
+    def encoded(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """The ids of each piece of the text; None for a piece whose tokens do not give back its bytes."""
         for part in word_parts(text):
             # the pieces after the first start with the blank that B would add
             whole, bare = (" " + part, part) if not part.startswith(" ") or part is text else (part, part[1:])
@@ -152,8 +189,17 @@ class Tokenizers:
             if b"".join([self.bytes_b[i] for i in b]) != raw or self.coder.decode_bytes(a.tolist()) != raw:
                 yield None
             else:
-                b = np.asarray(b, np.int64)
-                yield align(a, b, self.len_a[a], self.len_b[b])
+                yield a, np.asarray(b, np.int64)
+
+    def joined(self, ids: list[tuple[np.ndarray, np.ndarray]]) -> Alignment:
+        """The alignment of pieces side by side: both sides' tokens end where a piece ends."""
+        a, b = (np.concatenate(x) for x in zip(*ids, strict=True))
+        return align(a, b, self.len_a[a], self.len_b[b])
+
+    def align(self, text: str) -> Iterator[Alignment | None]:
+        """The alignment of each piece of the text; None for a piece whose tokens do not give back its bytes."""
+        for ids in self.encoded(text):
+            yield None if ids is None else self.joined([ids])
 
 
 def piece_bytes(pieces) -> list[bytes]:
@@ -186,7 +232,8 @@ class GroupText:
         )
         self.size_a, self.size_b = size_a, size_b
 
-    def write(self, x: Alignment) -> str:
+    def words_of(self, x: Alignment) -> list[str]:
+        """One for each id, with the mark after it: a piece's stand together."""
         last_a, last_b = x.end_links()
         closes_a, closes_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
         closes_a[last_a] = closes_b[last_b] = 1
@@ -196,7 +243,10 @@ class GroupText:
         out[np.arange(len(x.b)) + np.repeat(x.groups_a.ends[1:], np.diff(x.groups_b.ends))] = (
             2 * self.size_a + x.b + closes_b * self.size_b
         )
-        return "".join(self.words[out].tolist())
+        return self.words[out].tolist()
+
+    def write(self, x: Alignment) -> str:
+        return "".join(self.words_of(x))
 
 
 def _broadcast(docs: DataFrame, byte_file: str, piece_file: str):
@@ -285,6 +335,61 @@ def links(docs: DataFrame, byte_file: str, piece_file: str, kind: str = "overlap
     return docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(run, f"doc_id {id_kind}, {fields}")
 
 
+class Measures:
+    """What is known of a text after some of its pieces."""
+
+    def __init__(self, doc_id):
+        self.doc_id, self.counts, self.links = doc_id, np.zeros(6, np.int64), []
+        self.digest, self.mark, self.failed = hashlib.sha256(), "", False
+
+    def add(self, counts: list[int], groups: str, numbers: np.ndarray) -> None:
+        self.counts += counts
+        self.digest.update((self.mark + groups[:-1]).encode())
+        self.mark = ";"
+        self.links.append(numbers.tobytes())
+
+    def row(self) -> tuple:
+        if self.failed or not self.counts[0]:
+            return (self.doc_id, *[0] * 6, "", b"")
+        return (self.doc_id, *self.counts.tolist(), self.digest.hexdigest(), b"".join(self.links))
+
+
+def _measures(texts: Iterator[tuple], both: Tokenizers, writer: GroupText, numbers: PairNumbers) -> Iterator[Measures]:
+    """Of each (doc_id, text) in order: pieces are aligned side by side, about ``TOGETHER`` A tokens at a time."""
+    held: list[tuple[Measures, np.ndarray, np.ndarray]] = []
+
+    def add_held() -> None:
+        x = both.joined([ids for _, *ids in held])
+        last_a, last_b = x.end_links()
+        found = numbers.of(x.a[last_a].astype(np.int64) << 32 | x.b[last_b]).astype("<u4")
+        group_links = np.concatenate([[0], np.cumsum(product_sizes(x.groups_a.transposed(), x.groups_b))])
+        words = writer.words_of(x)
+        end_a, end_b = (np.cumsum([0, *map(len, side)]) for side in zip(*[ids for _, *ids in held], strict=True))
+        end_g, end_o, end_l = np.searchsorted(last_a, end_a), x.overlaps.ends[end_a], group_links[end_a]
+        sizes = np.diff([end_a, end_b, end_g, end_g, end_o, end_l]).T.tolist()
+        at, to = ((end_a + end_b).tolist(), end_g.tolist())
+        for k, (one, *_) in enumerate(held):
+            one.add(sizes[k], "".join(words[at[k] : at[k + 1]]), found[to[k] : to[k + 1]])
+        held.clear()
+
+    waiting, size = [], 0
+    for doc_id, text in texts:
+        waiting.append(Measures(doc_id))
+        for ids in both.encoded(text):
+            if ids is None:
+                waiting[-1].failed = True
+                break
+            held.append((waiting[-1], *ids))
+            size += len(ids[0])
+            if size >= TOGETHER:
+                add_held()
+                yield from waiting[:-1]
+                waiting, size = waiting[-1:], 0
+    if held:
+        add_held()
+    yield from waiting
+
+
 def aligned(docs: DataFrame, byte_file: str, piece_file: str) -> tuple[DataFrame, np.ndarray]:
     """Stored rows of every document, and the pairs that can be linked.
 
@@ -297,26 +402,13 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str) -> tuple[DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, special, model, known = shared.value
         both = Tokenizers(ranks, special, model)
-        writer = GroupText(len(both.len_a), len(both.len_b))
-
-        def row_of(text: str) -> tuple:
-            counts, found = np.zeros(6, np.int64), []
-            digest, mark = hashlib.sha256(), ""
-            for x in both.align(text):
-                if x is None:
-                    return (*[0] * 6, "", b"")
-                last_a, last_b = x.end_links()
-                found.append(np.searchsorted(known, x.a[last_a].astype(np.int64) << 32 | x.b[last_b]).astype("<u4").tobytes())
-                n_group_links = int(product_sizes(x.groups_a.transposed(), x.groups_b).sum())
-                counts += (len(x.a), len(x.b), x.groups_a.height, len(last_a), len(x.overlaps.columns), n_group_links)
-                digest.update((mark + writer.write(x)[:-1]).encode())
-                mark = ";"
-            return (*counts.tolist(), digest.hexdigest() if counts[0] else "", b"".join(found))
+        writer, numbers = GroupText(len(both.len_a), len(both.len_b)), PairNumbers(known)
 
         def rows_of(b: pa.RecordBatch):
-            for doc_id, text in zip(b.column("doc_id"), b.column("_text"), strict=True):
-                row = row_of(text.as_py() or "")
-                yield (doc_id.as_py(), *row), len(row[-1]) + 200
+            texts = ((i.as_py(), t.as_py() or "") for i, t in zip(b.column("doc_id"), b.column("_text"), strict=True))
+            for x in _measures(texts, both, writer, numbers):
+                row = x.row()
+                yield row, len(row[-1]) + 200
 
         for b in batches:
             schema = pa.schema([("doc_id", b.column("doc_id").type), *zip(names, types, strict=True)])

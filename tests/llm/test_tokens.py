@@ -247,6 +247,31 @@ def test_alignment_edges(spark, odd, empty, clashing):
     assert token_alignment.measure(clashing, *files()).count() == len(EDGE_ROWS)
 
 
+def test_alignment_work_follows_tokens(monkeypatch):
+    """The product runs over stretches between token ends, not bytes, and over several texts at once; rows are as one by one."""
+    ranks, special = tokens.byte_bpe(files()[0])
+    both = token_alignment.Tokenizers(ranks, special, open(files()[1], "rb").read())
+    sizes, multiply = [], token_alignment.multiply
+    monkeypatch.setattr(token_alignment, "multiply", lambda a, b: sizes.append(len(a.columns)) or multiply(a, b))
+    text = "Considerable responsibilities, internationally " * 40
+    x = next(both.align(text))
+    assert sum(sizes) <= len(x.a) + len(x.b) < len(text.encode())
+    known = token_alignment.linkable(ranks, both.bytes_b)
+    numbers = token_alignment.PairNumbers(known)
+    assert (numbers.of(known) == np.arange(len(known))).all()  # also those whose place in the table is another's
+    writer = token_alignment.GroupText(len(both.len_a), len(both.len_b))
+    texts = [text, "", "a b", "x \u2581 y", "\u65e5\u672c é", " ", text[:100], "a\u2581", "end"]
+
+    def measured(at_once):
+        monkeypatch.setattr(token_alignment, "TOGETHER", at_once)
+        sizes.clear()
+        return [m.row() for m in token_alignment._measures(enumerate(texts), both, writer, numbers)], len(sizes)
+
+    alone, n_alone = measured(1)
+    assert [r[0] for r in alone] == list(range(len(texts))) and n_alone == 6
+    assert measured(1 << 20) == (alone, 1) and measured(60) == (alone, 2)
+
+
 def test_alignment_in_parts(monkeypatch):
     ranks, special = tokens.byte_bpe(files()[0])
     both = token_alignment.Tokenizers(ranks, special, open(files()[1], "rb").read())
