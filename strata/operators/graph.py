@@ -136,6 +136,7 @@ def cooccurrence_edges(
     other_side: str = "plays_against",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     typed: bool = False,
+    largest: int | None = None,
 ) -> DataFrame:
     """Edges between members that appear in the same group.
 
@@ -148,7 +149,8 @@ def cooccurrence_edges(
 
     The pairs inside a group are the output itself (an edge list): a group of
     n members gives n(n-1)/2 of them, by contract. Large groups are split over
-    several tasks by ``salted_self_join``; the pair aggregate runs partially
+    several tasks by ``salted_self_join``, unless ``largest``, the counted size of
+    the largest, is within ``chunk_rows``; the pair aggregate runs partially
     on the map side before its shuffle.
     """
     cols = [member, group, side, measure]
@@ -162,11 +164,10 @@ def cooccurrence_edges(
         salt_source=member,
         condition=F.col(f"a.{member}") > F.col(f"b.{member}"),
         chunk_rows=chunk_rows,
+        largest=largest,
     )
-    etype = F.when(F.col(f"a.{side}") == F.col(f"b.{side}"), F.lit(same_side)).otherwise(F.lit(other_side))
-    agg = pairs.groupBy(
-        F.col(f"a.{member}").alias("_s"), F.col(f"b.{member}").alias("_o"), etype.alias("edge_type")
-    ).agg(
+    same = F.coalesce(F.col(f"a.{side}") == F.col(f"b.{side}"), F.lit(False))  # the type's text follows the shuffle
+    agg = pairs.groupBy(F.col(f"a.{member}").alias("_s"), F.col(f"b.{member}").alias("_o"), same.alias("_same")).agg(
         F.count(F.lit(1)).alias("num_games"),
         F.sum(F.col(f"a.{measure}")).alias("subject_points"),
         F.sum(F.col(f"b.{measure}")).alias("object_points"),
@@ -176,7 +177,7 @@ def cooccurrence_edges(
         F.lit(member_type).alias("subject_type"),
         F.col("_o").cast("string").alias("object_identifier"),
         F.lit(member_type).alias("object_type"),
-        "edge_type",
+        F.when(F.col("_same"), F.lit(same_side)).otherwise(F.lit(other_side)).alias("edge_type"),
         _bag({"num_games": "num_games", "subject_points": "subject_points", "object_points": "object_points"}, typed),
     )
 

@@ -20,6 +20,7 @@ from pyspark.sql.types import LongType
 from ..functions.columns import ENTITY_PERIOD_TIERS, iso_date, json_struct, render_list
 from ..operators import activity, cumulative, facts, graph, metrics, quality, scd
 from ..operators.cumulative import CumulativeSpec
+from ..operators.skew import largest_group
 from ..plans import jobs
 from ..plans.fold import fold
 from ..sources import footers
@@ -177,7 +178,7 @@ def plays_in_edges(games_of_players: DataFrame, typed: bool = False) -> DataFram
     )
 
 
-def pair_edges(games_of_players: DataFrame, typed: bool = False) -> DataFrame:
+def pair_edges(games_of_players: DataFrame, typed: bool = False, largest: int | None = None) -> DataFrame:
     return graph.cooccurrence_edges(
         games_of_players,
         member="player_id",
@@ -186,6 +187,7 @@ def pair_edges(games_of_players: DataFrame, typed: bool = False) -> DataFrame:
         measure="pts",
         order=None,
         typed=typed,
+        largest=largest,
     )
 
 
@@ -489,7 +491,8 @@ def q_graph_edges_plays_in(spark, sf_dir):
 
 
 def q_graph_edges_pairs(spark, sf_dir):
-    e = pair_edges(player_games(spark, sf_dir))
+    games = player_games(spark, sf_dir)
+    e = pair_edges(games, largest=largest_group(games, ["game_id"]))
     props = json_struct("properties", "num_games bigint, subject_points bigint, object_points bigint")
     return e.select(
         "subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", props.alias("p")
@@ -512,7 +515,10 @@ def q_graph_max_points(spark, sf_dir):
 
 def q_graph_pair_report(spark, sf_dir):
     games = player_games(spark, sf_dir)
-    report = graph.vertex_edge_report(player_vertices(games, typed=True), pair_edges(games, typed=True))
+    edges, path = pair_edges(games, typed=True, largest=largest_group(games, ["game_id"])), state_path(spark, "pair_edges")
+    edges.write.parquet(path)  # the order's sample of names reads them: the pairs are not made twice
+    edges = spark.read.schema(edges.schema).parquet(path)
+    report = graph.vertex_edge_report(player_vertices(games, typed=True), edges)
     return report.orderBy("player_name")
 
 

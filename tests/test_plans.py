@@ -77,6 +77,25 @@ def test_pairs_run_no_job_while_planning_and_read_lines_once(spark, sf_dir):
     assert "lineitem.parquet" not in p and "/strata/" in p  # a plan cuts long paths short
 
 
+def test_pairs_of_small_groups_join_plainly_and_are_made_once(spark, sf_dir):
+    """No sizes are joined where the largest group is one cell; the report's order samples stored edges, not the pairs."""
+    games = Q.player_games(spark, sf_dir)
+    n = Q.largest_group(games, ["game_id"])
+    assert n == games.groupBy("game_id").count().agg({"count": "max"}).first()[0]
+    kw = dict(member="player_id", group="game_id", side="team_abbreviation", measure="pts", order=None)
+    rows = {}
+    for chunk in (n, n - 1):
+        edges = Q.graph.cooccurrence_edges(games, **kw, chunk_rows=chunk, largest=n)
+        assert ("_nsalt" in plan_of(edges)) == (chunk < n)
+        rows[chunk] = sorted(map(str, edges.collect()))
+    assert rows[n] == rows[n - 1] and rows[n]
+    for q in (Q.q_graph_edges_pairs, Q.q_graph_pair_report):
+        assert "_nsalt" not in plan_of(q(spark, sf_dir))
+    assert count(Q.q_graph_pair_report(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString(), "Join ") == 1
+    empty = games.limit(0)
+    assert Q.largest_group(empty, ["game_id"]) == 0 and Q.pair_edges(empty, largest=0).isEmpty()
+
+
 def test_month_arrays_and_bitmaps_scan_events_once(spark, sf_dir):
     h = src.hits(spark, sf_dir)
     arrays = Q.metrics.array_metric_backfill(h, dt.date(2024, 1, 1), dt.date(2024, 3, 31), Q.metric_exprs())
