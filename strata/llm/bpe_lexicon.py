@@ -11,8 +11,10 @@ Encoding. A text is split at the special tokens' strings, the parts by the
 pre-tokenizer's pattern; a word in the lexicon gives its ids, any other word is
 merged exactly: lowest rank first, leftmost first, again many words abreast.
 Words of the lexicon are remembered for the task, others for a batch of texts.
-A batch is cut by its bytes, so that a task's memory does not depend on the
-texts' lengths. Decoding joins the ids' bytes.
+A batch is cut into parts of a bounded number of bytes: words and ids are listed
+for a part at a time, so the lists do not grow with the batch or the texts'
+lengths. A worker gets what its own side needs, encoding the merges as
+arrays, decoding the tokens' bytes. Decoding joins the ids' bytes.
 
 The lexicon only speeds the encoding up: results are those of the vocabulary
 file alone. Its size is fixed by the parameter, so the broadcast is bounded.
@@ -31,6 +33,7 @@ import mmap
 import tempfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import pairwise
 
 import numpy as np
@@ -39,11 +42,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bound_arrow_batches, stored
 
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_BYTES = 1 << 22  # texts, or id lists, that are worked on together
+BATCH_BYTES = 1 << 20  # texts, or id lists, that are worked on together
 LONG_WORD = 64  # bytes; longer words are merged one by one
 LONG_TEXT = 1 << 20  # longer texts and id lists are walked, not listed whole
 COUNTED_WORDS = 300_000  # words that a task counts before it passes them on
@@ -83,16 +86,27 @@ class Vocabulary:
         by_byte = {letters[t]: i for t, i in vocab.items() if len(t) == 1 and t in letters}
         self.first = [by_byte[b] for b in range(256)]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.merged = [vocab[a + b] for a, b in pairs]  # by rank
-        self.ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = np.asarray([vocab[a + b] for a, b in pairs], np.int64)  # by rank
+        ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.keys = np.asarray(sorted(ranks), np.int64)  # of the pairs
+        self.key_ranks = np.asarray([ranks[k] for k in self.keys.tolist()], np.int64)
+
+    def merges(self) -> dict:
+        """The parts that ``merge`` needs, as broadcast: without the tokens' bytes."""
+        return {k: getattr(self, k) for k in ("special", "first", "merged", "keys", "key_ranks")}
 
     @classmethod
     def of(cls, parts: dict) -> Vocabulary:
-        """From the plain ``__dict__`` of another one, as broadcast."""
+        """From the ``merges`` of another one."""
         out = object.__new__(cls)
         out.__dict__.update(parts)
         return out
 
+    @cached_property
+    def ranks(self) -> dict[int, int]:
+        """Rank by pair key; only long words need it."""
+        return dict(zip(self.keys.tolist(), self.key_ranks.tolist(), strict=True))
+
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids (as bytes) of pre-tokens by exact merging: lowest rank first, leftmost first."""
         out: list[bytes] = [b""] * len(words)
@@ -105,18 +119,9 @@ class Vocabulary:
                     out[i] = ids
         return out
 
-    def _tables(self) -> tuple[np.ndarray, ...]:
-        """Sorted pair keys with their ranks, merged ids by rank, ids of the bytes."""
-        keys = np.fromiter(self.ranks.keys(), np.int64, len(self.ranks))
-        ranks = np.fromiter(self.ranks.values(), np.int64, len(self.ranks))
-        order = np.argsort(keys)
-        return keys[order], ranks[order], np.asarray(self.merged, np.int64), np.asarray(self.first, np.int64)
-
     def _merge_abreast(self, letters: np.ndarray) -> list[bytes]:
         """For words of one length, a row each: every round merges the best pair of each row."""
-        if not hasattr(self, "_arrays"):
-            self._arrays = self._tables()
-        keys, key_ranks, merged, first = self._arrays
+        keys, key_ranks, merged = self.keys, self.key_ranks, self.merged
         none = len(merged)
 
         def rank_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -124,7 +129,7 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             return np.where(keys[at] == key, key_ranks[at], none)
 
-        ids = first[letters]
+        ids = np.asarray(self.first, np.int64)[letters]
         n, size = ids.shape
         left = np.full(n, size)
         # a column more than there are pairs, so that every shift has a source
@@ -166,7 +171,7 @@ class Vocabulary:
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue  # one side was merged meanwhile
-            new = self.merged[rank]
+            new = int(self.merged[rank])
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
@@ -347,9 +352,10 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -
 
 def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 100_000, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` columns, n_tokens and ids (little-endian unsigned 32-bit integers, binary) of every row."""
+    bound_arrow_batches(docs.sparkSession)
     vocabulary = Vocabulary(tokenizer)
     lexicon = build_lexicon(docs, vocabulary, lexicon_words)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.__dict__, lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.merges(), lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, data = shared.value
@@ -401,12 +407,13 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 100_000, carry:
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """The columns of ``encoded`` plus ``decoded``, the text of its ``ids``."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(tokenizer).token_bytes)
+    bound_arrow_batches(encoded.sparkSession)
+    table = Vocabulary(tokenizer).token_bytes
+    shared = encoded.sparkSession.sparkContext.broadcast([table.get(i, b"") for i in range(max(table) + 1)])
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        letters = [table.get(i, b"") for i in range(max(table) + 1)]
+        letters = shared.value
 
         def text_of(ids: bytes) -> str:
             numbers = np.frombuffer(ids, "<u4")

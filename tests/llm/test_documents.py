@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -23,7 +24,7 @@ from strata.llm import (
     substring_dedup,
 )
 from strata.llm import queries as Q
-from strata.llm.common import table
+from strata.llm.common import ARROW_BOUND, ARROW_BYTES, table
 from tests.conftest import SMOKE_SF
 
 from .conftest import EDGE_ROWS, LONG, PROSE
@@ -376,6 +377,48 @@ def test_bpe_in_small_batches(spark, edge, monkeypatch, size):
     assert list(bpe_lexicon._by_bytes(batch.slice(0, 0), "t")) == []
 
 
+def test_bpe_worker_memory(spark, monkeypatch):
+    """Lists and tables of a worker are those of a bounded part of the batch, whatever its size."""
+    path, tasks = Q.tokenizer_file(), []
+    text = " ".join(f"{a}{b}" for a in ("form", "take", "the", "run") for b in range(50_000))
+    docs = spark.createDataFrame([(1, text[:3000])], "doc_id long, text string")
+    plain = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, f, schema: tasks.append(f) or plain(df, f, schema))
+    bpe_lexicon.decode(bpe_lexicon.encode(docs, path), path)
+    _, encode, decode = tasks
+    texts = [text[i : i + 3000] for i in range(0, len(text), 3000)] * 3
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "_text": texts})
+    assert batch.nbytes > 5 << 20
+    peaks = []
+    for run in (encode, decode):
+        tracemalloc.start()
+        parts = list(run(iter([batch])))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    assert batch.column("decoded").to_pylist() == texts
+    assert peaks[0] < 50 << 20 and peaks[1] < 10 << 20, peaks
+
+
+def test_bpe_bounds_arrow_batches(spark):
+    docs = spark.createDataFrame([(i, "word " * 2000) for i in range(2000)], "doc_id long, text string").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": [b.nbytes]})
+
+    path, before = Q.tokenizer_file(), spark.conf.get(ARROW_BOUND, None)
+    try:
+        spark.conf.unset(ARROW_BOUND)
+        bpe_lexicon.encode(docs, path)
+        assert max(r.size for r in docs.mapInArrow(sizes, "size bigint").collect()) < 1.1 * ARROW_BYTES
+        spark.conf.set(ARROW_BOUND, "1234567")
+        bpe_lexicon.decode(bpe_lexicon.encode(docs, path), path)
+        assert spark.conf.get(ARROW_BOUND) == "1234567"
+    finally:
+        spark.conf.unset(ARROW_BOUND) if before is None else spark.conf.set(ARROW_BOUND, before)
+
+
 def test_transducer_is_minimal_and_exact():
     words = [b"tap", b"taps", b"top", b"tops", b"stop", b"stops", b"", b"\xff\x00"]
     entries = {w: np.asarray([len(w), n], "<u4").tobytes() for n, w in enumerate(words)}
