@@ -1,5 +1,11 @@
 """Byte-level BPE with a transducer lexicon: encoding and decoding of whole texts.
 
+Pre-tokens. The texts of a batch lie end to end in its buffer. The characters'
+kinds (letter, number, blank, other) give the places where the pattern cuts, for
+all texts at once; the pre-tokens are slices of that buffer, and only distinct
+ones become strings. Very long texts and texts with a special token's string
+are walked with the pattern itself.
+
 Lexicon. Pre-tokens are counted over all documents (per batch in the tasks,
 then by a partial aggregate); the ``lexicon_words`` most frequent ones are
 compiled, with their token ids, into a minimal acyclic transducer: words share
@@ -11,10 +17,12 @@ Encoding. A text is split at the special tokens' strings, the parts by the
 pre-tokenizer's pattern; a word in the lexicon gives its ids, any other word is
 merged exactly: lowest rank first, leftmost first, again many words abreast.
 Words of the lexicon are remembered for the task, others for a batch of texts.
+The texts' ids are taken from those of the distinct words, by their numbers.
 A batch is cut into parts of a bounded number of bytes: words and ids are listed
 for a part at a time, so the lists do not grow with the batch or the texts'
 lengths. A worker gets what its own side needs, encoding the merges as
-arrays, decoding the tokens' bytes. Decoding joins the ids' bytes.
+arrays, decoding the tokens' bytes. Decoding takes the ids' bytes from that
+table for a part at a time.
 
 The lexicon only speeds the encoding up: results are those of the vocabulary
 file alone. Its size is fixed by the parameter, so the broadcast is bounded.
@@ -34,7 +42,7 @@ import tempfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cached_property
-from itertools import pairwise
+from itertools import batched, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +52,15 @@ from pyspark.sql import functions as F
 
 from .common import bound_arrow_batches, stored
 
-# Fixed value: the pattern that splits text before the merges.
+# The pattern that splits text before the merges, and its classes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+KINDS = (r"\p{L}+", r"\p{N}+", r"\s+")  # kinds 1 to 3; any other character is of kind 0
+BLANK = 3
 BATCH_BYTES = 1 << 20  # texts, or id lists, that are worked on together
-LONG_WORD = 64  # bytes; longer words are merged one by one
+PLACE = 6  # bits of a place in a word
+LONG_WORD = 1 << PLACE  # bytes; longer words are merged one by one
 LONG_TEXT = 1 << 20  # longer texts and id lists are walked, not listed whole
-COUNTED_WORDS = 300_000  # words that a task counts before it passes them on
+COUNTED_WORDS = 300_000  # words that a task counts before it passes them on; it holds about twice as many
 
 
 def byte_letters() -> dict[str, int]:
@@ -61,10 +72,10 @@ def byte_letters() -> dict[str, int]:
 
 def _by_length(words: list[bytes]) -> dict[int, list[int]]:
     """Positions of the words of each length."""
-    out: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        out.setdefault(len(w), []).append(i)
-    return out
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    cuts = np.flatnonzero(np.diff(sizes[order])) + 1
+    return {len(words[at[0]]): at.tolist() for at in np.split(order, cuts) if len(at)}
 
 
 def _letters(words: list[bytes], at: list[int], size: int) -> np.ndarray:
@@ -107,6 +118,18 @@ class Vocabulary:
         """Rank by pair key; only long words need it."""
         return dict(zip(self.keys.tolist(), self.key_ranks.tolist(), strict=True))
 
+    @cached_property
+    def byte_ranks(self) -> np.ndarray:
+        """Rank of each pair of bytes, with which every word starts."""
+        first = np.asarray(self.first, np.int64)
+        return self._rank_of(first[:, None], first[None, :])
+
+    def _rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; beyond the last one for pairs that do not merge."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_ranks[at], len(self.merged))
+
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids (as bytes) of pre-tokens by exact merging: lowest rank first, leftmost first."""
         out: list[bytes] = [b""] * len(words)
@@ -121,42 +144,35 @@ class Vocabulary:
 
     def _merge_abreast(self, letters: np.ndarray) -> list[bytes]:
         """For words of one length, a row each: every round merges the best pair of each row."""
-        keys, key_ranks, merged = self.keys, self.key_ranks, self.merged
-        none = len(merged)
-
-        def rank_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            key = a << 32 | b
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            return np.where(keys[at] == key, key_ranks[at], none)
-
-        ids = np.asarray(self.first, np.int64)[letters]
-        n, size = ids.shape
-        left = np.full(n, size)
-        # a column more than there are pairs, so that every shift has a source
-        ranks = np.full((n, size), none)
-        ranks[:, : size - 1] = rank_of(ids[:, :-1], ids[:, 1:])
-        rows, columns = np.arange(n), np.arange(size)
-        while len(rows):
-            i = ranks[rows].argmin(axis=1)
-            rank = ranks[rows, i]
-            go = rank < none
-            rows, i, rank = rows[go], i[go], rank[go]
+        n, size = letters.shape
+        none = len(self.merged) << PLACE
+        letters, at = letters.T, np.arange(size)[:, None]
+        ids = np.asarray(self.first, np.int64)[letters]  # a column each from here on; -1 where a token was merged away
+        after, before = np.repeat(at + 1, n, axis=1), np.repeat(at - 1, n, axis=1)
+        pairs = np.full((size, n), none)  # a pair's rank, then its place, so that the least one is the next to merge
+        pairs[:-1] = self.byte_ranks[letters[:-1], letters[1:]] << PLACE | at[:-1]
+        while True:
+            least = pairs.min(axis=0)
+            rows = np.flatnonzero(least < none)
             if not len(rows):
                 break
-            shifted = np.minimum(columns + (columns > i[:, None]), size - 1)
-            ids[rows] = np.take_along_axis(ids[rows], shifted, 1)
-            ids[rows, i] = new = merged[rank]
-            left[rows] -= 1
-            shifted = np.minimum(columns + (columns >= i[:, None]), size - 1)
-            ranks[rows] = np.take_along_axis(ranks[rows], shifted, 1)
-            ranks[rows, size - 1] = none
-            follows = i + 1 < left[rows]
-            ranks[rows[follows], i[follows]] = rank_of(new[follows], ids[rows[follows], i[follows] + 1])
-            ranks[rows[~follows], i[~follows]] = none
-            leads = i > 0
-            ranks[rows[leads], i[leads] - 1] = rank_of(ids[rows[leads], i[leads] - 1], new[leads])
-        data = ids.astype("<u4").tobytes()
-        return [data[4 * size * k : 4 * (size * k + m)] for k, m in enumerate(left.tolist())]
+            i = least[rows] & LONG_WORD - 1
+            ids[i, rows] = new = self.merged[least[rows] >> PLACE]
+            j = after[i, rows]
+            ids[j, rows] = -1
+            pairs[i, rows] = pairs[j, rows] = none
+            after[i, rows] = k = after[j, rows]
+            on = k < size
+            i_on, k_on, own = i[on], k[on], rows[on]
+            before[k_on, own] = i_on
+            pairs[i_on, own] = self._rank_of(new[on], ids[k_on, own]) << PLACE | i_on
+            h = before[i, rows]
+            on = h >= 0
+            h_on, own = h[on], rows[on]
+            pairs[h_on, own] = self._rank_of(ids[h_on, own], new[on]) << PLACE | h_on
+        ids = ids.T
+        data = ids[ids >= 0].astype("<u4").tobytes()
+        return [data[x:y] for x, y in pairwise([0, *(4 * np.cumsum((ids >= 0).sum(axis=1))).tolist()])]
 
     def _merge_heap(self, word: bytes) -> list[int]:
         """For a long word, in O(n log n)."""
@@ -313,24 +329,131 @@ def _splitter(special: dict[str, int]):
     return split
 
 
+def kind_runs() -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of all code points by the pattern's classes, as runs: their kinds and lengths."""
+    import regex
+
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.zeros(len(every), np.uint8)
+    for kind, chars in enumerate(KINDS, 1):
+        for m in regex.finditer(chars, every):
+            kinds[m.start() : m.end()] = kind
+    at = np.flatnonzero(np.diff(kinds, prepend=255))
+    return kinds[at], np.diff(at, append=len(kinds))
+
+
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Places in the data buffer at which the strings of an array start, and the end of the last one."""
+    if not len(values):
+        return np.zeros(1, np.int32)
+    return np.frombuffer(values.buffers()[1], "<i4", len(values) + 1, 4 * values.offset)
+
+
+def _data(values: pa.Array) -> np.ndarray:
+    """The bytes of an array's strings, end to end."""
+    ends, data = _offsets(values), values.buffers()[2]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+
+
+def _strings(kind: pa.DataType, offsets: np.ndarray, data) -> pa.Array:
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(kind, len(offsets) - 1, buffers)
+
+
+def _values(column: pa.Array) -> list:
+    """As ``to_pylist`` of a column without NULLs, in a fraction of its time."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+class Cutter:
+    """Cuts many texts at once into the pre-tokens that ``PATTERN`` finds in each."""
+
+    def __init__(self, runs: tuple[np.ndarray, np.ndarray]):
+        self.kinds = np.repeat(*runs)
+        self.of_bytes = self.kinds[:256].tobytes()  # for ASCII only
+
+    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All pre-tokens of texts without NULLs, in order, and how many there are up to the end of each text."""
+        data, ends = _data(texts), _offsets(texts)
+        ends = ends[1:] - ends[0]
+        if not len(data):
+            return pa.array([], pa.string()), np.zeros(len(ends), np.int64)
+        if data.max() < 128:
+            at = self._starts(data, np.frombuffer(data.tobytes().translate(self.of_bytes), np.uint8), ends)
+        else:
+            points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+            lead = np.flatnonzero((data & 0xC0) != 0x80)  # the first byte of each character
+            at = lead[self._starts(points, self.kinds[points], np.searchsorted(lead, ends))]
+        return _strings(pa.string(), np.append(at, len(data)), data), np.searchsorted(at, ends)
+
+    @staticmethod
+    def _starts(points: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places where pre-tokens start, of code points with their kinds; ``ends`` are those of the texts."""
+        n = len(points)
+        first = np.zeros(n + 1, bool)  # of a text
+        first[0] = first[ends] = True
+        blank = kinds == BLANK
+        starts = np.empty(n, bool)
+        starts[1:] = kinds[1:] != kinds[:-1]
+        # the last one of a run of blanks stands alone, or with what follows if it is a space
+        starts[:-1] |= blank[:-1] & ~blank[1:] & ~first[1:n]
+        starts[1:] &= blank[1:] | (points[:-1] != 32)
+        starts |= first[:n]
+        quotes = np.flatnonzero(starts & (points == 39))
+        if len(quotes):  # 's 't 'm 'd 're 've 'll
+            stop = ends[np.searchsorted(ends, quotes, "right")]
+            one, two = (np.where(quotes + k < stop, points[np.minimum(quotes + k, n - 1)], 0) for k in (1, 2))
+            short = np.isin(one, list(b"stmd"))
+            long = np.isin(one, list(b"rv")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+            size = np.where(short, 2, np.where(long, 3, 0))
+            quotes, stop, size = quotes[size > 0], stop[size > 0], size[size > 0]
+            starts[quotes + 1] = False
+            after = quotes + size
+            starts[after[after < stop]] = True
+        return np.flatnonzero(starts)
+
+
+def _set_apart(texts: pa.Array, special: dict[str, int]) -> tuple[pa.Array, dict[int, str]]:
+    """The texts for the cutter, and by place those that are walked instead (there left empty)."""
+    texts = pc.fill_null(texts, "")
+    walked = pc.greater(pc.binary_length(texts), LONG_TEXT)
+    for mark in special:
+        walked = pc.or_(walked, pc.match_substring(texts, mark))
+    at = np.flatnonzero(walked.to_numpy(zero_copy_only=False)).tolist()
+    if at:
+        own = {i: texts[i].as_py() for i in at}
+        return pc.if_else(walked, pa.scalar("", texts.type), texts).cast(pa.string()), own
+    return texts.cast(pa.string()), {}
+
+
 def word_counts(docs: DataFrame, special: dict[str, int], text: str = "text") -> DataFrame:
     """(word, n): pre-tokens of all documents."""
+    runs = kind_runs()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = _splitter(special)
-        counts: Counter = Counter()
+        split, cutter = _splitter(special), Cutter(runs)
+        held: list[pa.Table] = []  # counts of parts, or their sums
 
-        def out() -> pa.RecordBatch:
-            words, numbers = pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())
-            counts.clear()
-            return pa.RecordBatch.from_arrays([words, numbers], ["word", "n"])
+        def hold(words: pa.Array, numbers: pa.Array) -> None:
+            held.append(pa.table({"word": words, "n": numbers}))
+
+        def sums() -> pa.Table:
+            found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return found.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
         for b in batches:
-            for t in b.column(0):
-                counts.update(split(t.as_py() or ""))
-                if len(counts) >= COUNTED_WORDS:
-                    yield out()
-        yield out()
+            for part in _by_bytes(b, b.schema.names[0]):
+                texts, walked = _set_apart(part.column(0), special)
+                hold(*cutter.words(texts)[0].value_counts().flatten())
+                for t in walked.values():
+                    counts = Counter(split(t))
+                    hold(pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()))
+                if sum(x.num_rows for x in held) >= 2 * COUNTED_WORDS:
+                    held[:] = [sums()]
+                    if held[0].num_rows >= COUNTED_WORDS:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from sums().to_batches()
 
     return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -355,51 +478,52 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_words: int = 100_000, carry:
     bound_arrow_batches(docs.sparkSession)
     vocabulary = Vocabulary(tokenizer)
     lexicon = build_lexicon(docs, vocabulary, lexicon_words)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.merges(), lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.merges(), lexicon, kind_runs()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, data = shared.value
+        parts, data, runs = shared.value
         vocab = Vocabulary.of(parts)
         lexicon = Lexicon(_mapped(data))
-        split = _splitter(vocab.special)
+        split, cutter = _splitter(vocab.special), Cutter(runs)
         frequent = {t: np.asarray([i], "<u4").tobytes() for t, i in vocab.special.items()}
 
-        def ids_of(words: set[str]) -> dict[str, bytes]:
-            """Ids of the words of a batch; those of the lexicon stay known."""
-            names = list(words)
-            raw = [w.encode() for w in names]
-            found = lexicon.get(raw)
-            frequent.update((w, x) for w, x in zip(names, found, strict=True) if x is not None)
-            rare = [i for i, x in enumerate(found) if x is None]
-            return {names[i]: x for i, x in zip(rare, vocab.merge([raw[i] for i in rare]), strict=True)}
+        def ids_of(words: list[str]) -> list[bytes]:
+            """Ids of distinct words; those of the lexicon stay known."""
+            ids = list(map(frequent.get, words))
+            new = [i for i, x in enumerate(ids) if x is None]
+            raw = [words[i].encode() for i in new]
+            rare = []
+            for i, w, x in zip(new, raw, lexicon.get(raw), strict=True):
+                if x is None:
+                    rare.append((i, w))
+                else:
+                    ids[i] = frequent[words[i]] = x
+            for (i, _), x in zip(rare, vocab.merge([w for _, w in rare]), strict=True):
+                ids[i] = x
+            return ids
 
         def ids_of_text(text: str) -> bytes:
-            known = frequent.get
-            out, held = [], []
-            for word in split(text):
-                held.append(word)
-                if len(held) == LONG_TEXT:
-                    rare = ids_of({w for w in held if w not in frequent})
-                    out.append(b"".join([known(w) or rare[w] for w in held]))
-                    held = []
-            rare = ids_of({w for w in held if w not in frequent})
-            return b"".join([*out, *(known(w) or rare[w] for w in held)])
+            out = []
+            for words in batched(split(text), LONG_TEXT):
+                names = list(dict.fromkeys(words))
+                ids = dict(zip(names, ids_of(names), strict=True))
+                out.append(b"".join([ids[w] for w in words]))
+            return b"".join(out)
+
+        def ids_of_texts(texts: pa.Array) -> pa.Array:
+            words, last = cutter.words(texts)
+            numbered = words.dictionary_encode()
+            ids = pa.array(ids_of(_values(numbered.dictionary)), pa.binary()).take(numbered.indices)
+            return _strings(pa.binary(), _offsets(ids)[np.append(0, last)], _data(ids))
 
         for b in batches:
             for part in _by_bytes(b, "_text"):
-                texts = [t or "" for t in part.column("_text").to_pylist()]
-                # short texts share one lookup; a very long one is walked on its own
-                words = [split(t) if len(t) <= LONG_TEXT else None for t in texts]
-                rare = ids_of({w for own in words if own is not None for w in own}.difference(frequent))
-                known = frequent.get
-                out = [
-                    ids_of_text(t) if own is None else b"".join([known(w) or rare[w] for w in own])
-                    for t, own in zip(texts, words, strict=True)
-                ]
-                n = pa.array([len(x) // 4 for x in out], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in carry), n, pa.array(out, pa.binary())], [*carry, "n_tokens", "ids"]
-                )
+                texts, walked = _set_apart(part.column("_text"), vocab.special)
+                out = ids_of_texts(texts)
+                if walked:
+                    out = pa.array([ids_of_text(walked[i]) if i in walked else x for i, x in enumerate(_values(out))], pa.binary())
+                n = pa.array(np.diff(_offsets(out)) // 4, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), n, out], [*carry, "n_tokens", "ids"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, n_tokens bigint, ids binary")
@@ -413,17 +537,32 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = shared.value
+        letters = pa.array(shared.value, pa.binary())
+
+        def bytes_of(ids: np.ndarray) -> pa.Array:
+            return letters.take(pa.array(ids))
 
         def text_of(ids: bytes) -> str:
             numbers = np.frombuffer(ids, "<u4")
-            pieces = (numbers[at : at + LONG_TEXT].tolist() for at in range(0, len(numbers), LONG_TEXT))
-            return b"".join([b"".join([letters[i] for i in piece]) for piece in pieces]).decode("utf-8", "replace")
+            pieces = (numbers[at : at + LONG_TEXT] for at in range(0, len(numbers), LONG_TEXT))
+            return b"".join([_data(bytes_of(piece)).tobytes() for piece in pieces]).decode("utf-8", "replace")
+
+        def texts_of(ids: pa.Array) -> pa.Array:
+            ends = _offsets(ids)
+            if ends[-1] - ends[0] <= 4 * LONG_TEXT:
+                found = bytes_of(_data(ids).view("<u4"))
+                texts = _strings(pa.string(), _offsets(found)[(ends - ends[0]) // 4], _data(found))
+                try:
+                    texts.validate(full=True)
+                    return texts
+                except pa.ArrowInvalid:  # some ids' bytes are no UTF-8: text by text
+                    pass
+            return pa.array([text_of(x.as_py()) for x in ids], pa.string())
 
         for b in batches:
             for part in _by_bytes(b, "ids"):
-                texts = [text_of(x.as_py() or b"") for x in part.column("ids")]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+                texts = texts_of(pc.fill_null(part.column("ids"), b"").cast(pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{fields}, decoded string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -419,6 +420,78 @@ def test_bpe_bounds_arrow_batches(spark):
         spark.conf.unset(ARROW_BOUND) if before is None else spark.conf.set(ARROW_BOUND, before)
 
 
+@pytest.mark.parametrize("ascii_only", [True, False])
+def test_bpe_cuts_as_the_pattern(ascii_only):
+    """Texts end to end, cut at once, give what the pattern finds in each."""
+    import regex
+
+    rng = np.random.default_rng(5)
+    odd = ["", " ", "  ", "'", "x'", "'s'll've're", "I'll  we've\n'\t's 'd", "a\t b \n\n", "it's's '' 'S'l 'r've", " 12ab 3\x00"]
+    if not ascii_only:
+        odd += ["e\u0301 \u00a0b\u00a0\u00a0c", "\u0663\u0664x\u2028\u2028y", "\u65e5\u672c\U0001f642\U0001f642 'm\u00e9", "\u3000", "\U0001f642's"]
+    letters = list("aselvrtmdZ9  \n\t''-\x1c\x00") + ([] if ascii_only else list("\x85\xa0\u3000\u00e9\u0301\u0664\u00bd\u65e5\U0001f642\u2019"))
+    texts = odd + ["".join(rng.choice(letters, n)) for n in rng.integers(0, 40, 3000)]
+    cutter = bpe_lexicon.Cutter(bpe_lexicon.kind_runs())
+    for some in (texts, texts[::-1], odd[:1], []):
+        found, last = cutter.words(pa.array(["left out", *some], pa.string()).slice(1))
+        words, ends = found.to_pylist(), [0, *last.tolist()]
+        found.validate(full=True)
+        assert [words[a:b] for a, b in zip(ends, ends[1:])] == [regex.findall(bpe_lexicon.PATTERN, t) for t in some]
+
+
+def test_bpe_counts(spark, edge, monkeypatch):
+    path, mark = Q.tokenizer_file(), "<|endoftext|>"
+    docs = edge.select("text").unionByName(spark.createDataFrame([("a b<|endoftext|> b",), ("b b " * 9,), (None,)], "text string"))
+    split = bpe_lexicon._splitter({mark: 0})
+    expected = Counter(w for r in docs.collect() for w in split(r.text or ""))
+    for held in (bpe_lexicon.COUNTED_WORDS, 2):
+        monkeypatch.setattr(bpe_lexicon, "COUNTED_WORDS", held)
+        monkeypatch.setattr(bpe_lexicon, "BATCH_BYTES", 40)
+        found = bpe_lexicon.word_counts(docs, bpe_lexicon.Vocabulary(path).special).collect()
+        assert {r.word: r.n for r in found} == expected and len(found) == len(expected)
+
+
+def test_bpe_decodes_cut_characters(spark):
+    """Ids whose bytes are no UTF-8, alone or only next to others, beside whole texts."""
+    path = Q.tokenizer_file()
+    table = bpe_lexicon.Vocabulary(path).token_bytes
+    one = {b: i for i, b in table.items() if len(b) == 1}
+    lists = [[one[b"\xc3"]], [one[b"\xa9"]], [one[b"\xc3"], one[b"\xa9"]], [], None, [one[b"x"], one[b"\xf0"], one[b"y"]]]
+    rows = [(i, None if x is None else np.asarray(x, "<u4").tobytes()) for i, x in enumerate(lists)]
+    for some in (rows, rows[2:5]):
+        out = bpe_lexicon.decode(spark.createDataFrame(some, "doc_id long, ids binary").coalesce(1), path).collect()
+        own = {i: b"".join(table[k] for k in x or []).decode("utf-8", "replace") for i, x in enumerate(lists)}
+        assert {r.doc_id: r.decoded for r in out} == {i: own[i] for i, _ in some}
+
+
+def test_bpe_time(spark, monkeypatch):
+    """Counting, and encoding known words, take less time than the pattern alone needs text by text."""
+    import regex
+
+    path, tasks = Q.tokenizer_file(), []
+    rng = np.random.default_rng(3)
+    words = np.asarray(["form", "take", "the", "run", "it's", "caf\u00e9", "12", "(so)", "\n\n"])
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(1000)]
+    docs = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    plain = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, f, schema: tasks.append(f) or plain(df, f, schema))
+    bpe_lexicon.encode(docs, path)
+    batch = pa.RecordBatch.from_pydict({"text": texts, "doc_id": range(len(texts)), "_text": texts})
+
+    def seconds(job) -> float:
+        taken = []
+        for _ in range(3):
+            start = time.process_time()
+            job()
+            taken.append(time.process_time() - start)
+        return min(taken)
+
+    pattern = regex.compile(bpe_lexicon.PATTERN)
+    alone = seconds(lambda: [pattern.findall(t) for t in texts])
+    for run in tasks:
+        assert seconds(lambda run=run: list(run(iter([batch])))) < 0.8 * alone
+
+
 def test_transducer_is_minimal_and_exact():
     words = [b"tap", b"taps", b"top", b"tops", b"stop", b"stops", b"", b"\xff\x00"]
     entries = {w: np.asarray([len(w), n], "<u4").tobytes() for n, w in enumerate(words)}
